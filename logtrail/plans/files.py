@@ -1,0 +1,51 @@
+"""Folder operations through Hadoop, for any file system Spark can reach."""
+
+from __future__ import annotations
+
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import SparkSession
+
+DELETE_THREADS = 16
+
+
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists."""
+    fs, jpath = _fs(spark, path)
+    return fs.exists(jpath)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder, empty when there is no such folder."""
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(jpath))
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove a folder; False when it was not there."""
+    fs, jpath = _fs(spark, path)
+    return fs.delete(jpath, True)
+
+
+def delete_all(spark: SparkSession, paths: list[str]) -> int:
+    """Remove many folders side by side; the number that were there."""
+    with ThreadPoolExecutor(DELETE_THREADS) as pool:
+        return sum(pool.map(lambda path: delete(spark, path), paths))
+
+
+def move_into(spark: SparkSession, path: str, folder: str) -> str:
+    """Move a file into a folder, in place of one of that name."""
+    fs, jpath = _fs(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder, jpath.getName())
+    fs.mkdirs(target.getParent())
+    fs.delete(target, False)
+    if not fs.rename(jpath, target):
+        raise OSError(f"could not move {path} to {folder}")
+    return str(target)
