@@ -81,9 +81,13 @@ def clamp_to_log(
     start: str = "log_start_time",
     end: str = "log_end_time",
     hours: int = fixed.CLAMP_MARGIN_HOURS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Facts whose time fits their log (F7, J5); rows without a log or a time go."""
-    bounds = logs.select(key, F.col(start).alias("_start"), F.col(end).alias("_end"))
+    """Facts whose time fits their log (F7, J5); rows without a log or a time go.
+
+    ``carry`` names columns of the log to keep, so one join serves both needs.
+    """
+    bounds = logs.select(key, F.col(start).alias("_start"), F.col(end).alias("_end"), *carry)
     joined = lookup_join(facts.where(F.col(time).isNotNull()), bounds, [key], "inner")
     return joined.where(within_log(F.col(time), F.col("_start"), F.col("_end"), hours)).drop("_start", "_end")
 

@@ -5,31 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtrail.session import broadcast_limit, planned_bytes
 
-SALTS = 32
-
-
-def lookup_join(
-    facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner", salts: int = SALTS
-) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join facts with a table that has at most one row per key.
 
-    A lookup whose planned size is under the broadcast limit is joined as is,
-    and Catalyst broadcasts it. A larger one is shuffled: then a key may hold a
-    large share of the facts, so each key is spread over ``salts`` partitions
-    by a hash of the row, and the lookup is repeated once per salt.
+    There is no hint on purpose. Catalyst broadcasts the lookup while its
+    measured size is under the broadcast limit and shuffles beyond it. In a
+    shuffled join the adaptive skew handling, which ``session.configure``
+    forces on, splits the fact side of a key that holds much of the data, for
+    every join type used here.
     """
-    if planned_bytes(lookup) <= broadcast_limit(facts.sparkSession):
-        return facts.join(lookup, keys, how)
-    spread = [c for c in facts.columns if c not in keys and not _is_map(facts, c)]
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)) if spread else F.lit(0)
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
-    return facts.withColumn("_salt", salt.cast("bigint")).join(copies, [*keys, "_salt"], how).drop("_salt")
-
-
-def _is_map(df: DataFrame, column: str) -> bool:
-    return "map<" in df.schema[column].dataType.simpleString()
+    return facts.join(lookup, keys, how)
 
 
 def attach_log(facts: DataFrame, logs: DataFrame, key: str = "log_hash") -> DataFrame:
@@ -45,9 +31,16 @@ def one_position_per_key(location: DataFrame, keys: list[str], latest_by: list[s
     return location.groupBy(*keys).agg(best).select(*keys, *[F.col("_best")[c].alias(c) for c in values])
 
 
-def attach_position(facts: DataFrame, location: DataFrame, keys: list[str], latest_by: list[str] = ()) -> DataFrame:
-    """Each fact with its position, null where there is none."""
-    return lookup_join(facts, one_position_per_key(location, keys, list(latest_by)), keys, "left")
+def attach_position(
+    facts: DataFrame, location: DataFrame, keys: list[str], latest_by: list[str] | None = None
+) -> DataFrame:
+    """Each fact with its position, null where there is none.
+
+    Give ``latest_by`` unless the key is known to be unique.
+    """
+    if latest_by is not None:
+        location = one_position_per_key(location, keys, latest_by)
+    return lookup_join(facts, location, keys, "left")
 
 
 def already_merged(incoming: DataFrame, ledger: DataFrame, key: str = "log_hash") -> DataFrame:

@@ -20,6 +20,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether a path names one file."""
+    fs, jpath = _fs(spark, path)
+    return fs.exists(jpath) and fs.getFileStatus(jpath).isFile()
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly under a folder, empty when there is no such folder."""
     fs, jpath = _fs(spark, path)

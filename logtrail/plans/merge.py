@@ -20,6 +20,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -282,11 +283,19 @@ def _write_table(
     stored = {c: t for c, t in schema.columns.items() if c != "log_hash"}
     final = conform(counted, {**stored, store.month: "string", "log_hash": "bigint"})
     store.write_log_partitions(final, columns.table, schema.gen)
-    counts = seen.get
+    counts = _observed(seen)
     bad = typed.where(F.col(CAST_ERRORS) > 0).select(F.col("_path").alias("path")).distinct() if counts.get("lost") else None
     return time.monotonic() - begun, counts.get("rows") or 0, bad
 
 
+def _observed(seen: Observation) -> dict:
+    """Observed values; none when the rows turned out empty and were planned away."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
 # Whole operations -------------------------------------------------------
 
 

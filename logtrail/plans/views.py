@@ -27,9 +27,12 @@ def kpi_with_position(facts: DataFrame, kpi: str, location: DataFrame | None = N
     return placed.select("log_hash", "time", "lat", "lon", F.col(kpi).alias("kpi"))
 
 
-def kpi_bundle(facts: DataFrame, kpis: list[str], location: DataFrame | None = None) -> DataFrame:
-    """Several KPIs with time and position (V2)."""
-    return with_position(facts, location).select("log_hash", "time", *kpis, "lat", "lon")
+def kpi_bundle(
+    facts: DataFrame, kpis: list[str], location: DataFrame | None = None, ordered: bool = True
+) -> DataFrame:
+    """Several KPIs with time and position, in time order (V2)."""
+    placed = with_position(facts, location).select("log_hash", "time", *kpis, "lat", "lon")
+    return placed.orderBy("time", "log_hash") if ordered else placed
 
 
 def l3_messages(signalling: DataFrame) -> DataFrame:

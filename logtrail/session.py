@@ -1,11 +1,13 @@
-"""Session settings, the shared scratch folder and size checks."""
+"""Session settings and the shared scratch folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # UTC keeps text timestamps as written; column names are compared as written.
 RUNTIME_CONF = {
@@ -13,12 +15,35 @@ RUNTIME_CONF = {
     "spark.sql.caseSensitive": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split hot keys even where a later step could have reused the shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
 
+_shipped_to: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Not needed where it is installed on every node; harmless there.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped_to:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="logtrail-code-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))
+    _shipped_to.add(context.applicationId)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the library relies on to an existing session."""
+    ship_package(spark)
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -53,14 +78,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/logtrail/{label}-{uuid.uuid4().hex}"
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's upper estimate for the size of ``df``; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """Size up to which Catalyst broadcasts a join side by itself, in bytes."""
-    jconf = spark._jsparkSession.sessionState().conf()
-    return int(jconf.autoBroadcastJoinThreshold())
