@@ -139,10 +139,11 @@ def _archive(tables: dict[str, tuple[str, list[tuple]]]) -> bytes:
     return out.getvalue()
 
 
-def merged_store(spark: SparkSession, events: DataFrame, by_row_month: bool = False) -> LogStore:
+def merged_store(
+    spark: SparkSession, events: DataFrame, layout: str = stores.PER_BATCH, month: str = stores.BY_LOG_MONTH
+) -> LogStore:
     """A new store with all derived logs merged."""
-    month = stores.BY_ROW_MONTH if by_row_month else stores.BY_LOG_MONTH
-    store = LogStore(spark, scratch_path(spark, "store"), "all_logs", month)
+    store = LogStore(spark, scratch_path(spark, "store"), "all_logs", layout, month)
     merge(store, log_files_from(events))
     return store
 
@@ -168,12 +169,14 @@ def report(store: LogStore) -> DataFrame:
     return store.ledger().select("log_hash", "status", "log_ym").join(sizes, "log_hash")
 
 
-def after_unmerge(store: LogStore, events: DataFrame) -> DataFrame:
+def after_unmerge(store: LogStore, events: DataFrame, purge: bool = False) -> DataFrame:
     """Messages left when even devices are removed and every fourth is merged again."""
     device = F.shiftrightunsigned("log_hash", 32)
     unmerge(store, store.active_logs().select("log_hash").where(device % 2 == 0))
     fourth = F.floor(F.col("user_id") / USERS_PER_DEVICE) % 4 == 0
     merge(store, log_files_from(events.where(fourth)))
+    if purge:
+        store.purge()
     return store.table("signalling").select("log_hash", "posid", "direction")
 
 

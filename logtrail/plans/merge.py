@@ -56,7 +56,8 @@ class MergeOptions:
     """What to import and how.
 
     ``preprocess(df, table)`` gets the rows of one table as text columns, with
-    ``_path`` and ``log_hash``, and gives back the rows to import (U1).
+    all columns that start with ``_``, which it has to keep, and ``log_hash``.
+    It gives back the rows to import (U1).
     """
 
     tables: filters.TableFilter = field(default_factory=filters.TableFilter)
@@ -86,10 +87,12 @@ def _decoded(files: DataFrame, options: MergeOptions) -> DataFrame:
 
 
 def stage(store: LogStore, files: DataFrame, options: MergeOptions, batch_id: str) -> DataFrame:
-    """Decode files into a written staging table, one folder per source table."""
+    """Decode files into a written staging table, one folder per source table.
+
+    Every decode task writes its own files: the decoded rows are not shuffled.
+    """
     path = f"{store.root}/staging/{batch_id}/rows"
-    decoded = _decoded(files, options).hint("rebalance", "table_name")
-    decoded.write.mode("overwrite").partitionBy("table_name").parquet(path)
+    _decoded(files, options).write.mode("overwrite").partitionBy("table_name").parquet(path)
     return store.spark.read.schema(log_files.DECODED_SCHEMA).parquet(path)
 
 
@@ -253,7 +256,8 @@ def typed_facts(
         text = text.withColumn("_month", identity.month_of(when))
     else:
         text = text.withColumnRenamed("_log_ym", "_month")
-    typed = typed_rows.type_columns(text, columns, target, ["_path", "log_hash", "_month"], options.strip_band)
+    keep = ["_path", "log_hash", "_month", "_chunk"]
+    typed = typed_rows.type_columns(text, columns, target, keep, options.strip_band)
     return typed.withColumnRenamed("_month", month)
 
 
@@ -272,7 +276,13 @@ def _stored_columns(columns: TableColumns, options: MergeOptions) -> dict[str, s
 
 
 def _write_table(
-    store: LogStore, rows: DataFrame, chunks: DataFrame, columns: TableColumns, schema: stores.TableSchema, options: MergeOptions
+    store: LogStore,
+    rows: DataFrame,
+    chunks: DataFrame,
+    columns: TableColumns,
+    schema: stores.TableSchema,
+    options: MergeOptions,
+    attempt: str,
 ) -> tuple[float, int, DataFrame | None]:
     """Write one table; seconds, rows and, if cells were lost, the files that lost some."""
     begun = time.monotonic()
@@ -281,8 +291,8 @@ def _write_table(
     seen = Observation()
     counted = typed.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(CAST_ERRORS).alias("lost"))
     stored = {c: t for c, t in schema.columns.items() if c != "log_hash"}
-    final = conform(counted, {**stored, store.month: "string", "log_hash": "bigint"})
-    store.write_log_partitions(final, columns.table, schema.gen)
+    final = conform(counted, {**stored, store.month: "string", "log_hash": "bigint", "_chunk": "int"})
+    store.write_rows(final.withColumn("batch_id", F.lit(attempt)), columns.table, schema.gen, "_chunk")
     counts = _observed(seen)
     bad = typed.where(F.col(CAST_ERRORS) > 0).select(F.col("_path").alias("path")).distinct() if counts.get("lost") else None
     return time.monotonic() - begun, counts.get("rows") or 0, bad
@@ -362,10 +372,10 @@ def _import_logs(
     metrics: list[tuple],
 ) -> DataFrame | None:
     """Steps 3 and 4; gives ``(path, table)`` of logs that failed, if any did."""
-    leftovers = store.ledger().where(F.col("status").isin(*stores.HIDDEN))
-    again = accepted.select("log_hash").join(leftovers, "log_hash", "inner")
-    store.remove_log_partitions(again)
-    store.record(accepted, stores.PENDING, batch_id)
+    attempt = f"{batch_id}-{uuid.uuid4().hex[:8]}"
+    if store.layout == stores.PER_LOG:
+        store.remove_log_folders(accepted.select("log_hash").join(store.hidden(), "log_hash"))
+    store.record((accepted, stores.PENDING, True, attempt))
 
     summaries = table_summaries(rows)
     columns = source_columns(rows, accepted)
@@ -383,20 +393,22 @@ def _import_logs(
 
     failed: DataFrame | None = None
     with ThreadPoolExecutor(options.parallel_tables) as pool:
-        jobs = {t: pool.submit(_write_table, store, rows, chunks, c, schemas[t], options) for t, c in tables.items()}
+        jobs = {t: pool.submit(_write_table, store, rows, chunks, c, schemas[t], options, attempt) for t, c in tables.items()}
         for table, job in jobs.items():
             seconds, count, bad = job.result()
             metrics.append((batch_id, table, "write", seconds, count))
             if bad is not None:
                 failed = _note_bad_cells(store, table, bad, failed, options, batch_id)
-    good = accepted
-    if failed is not None:
-        failed = _written(store, failed, f"{folder}/failed")
-        good = accepted.join(failed.select("path").distinct(), "path", "left_anti")
-        broken = accepted.join(failed.select("path").distinct(), "path", "left_semi")
-        store.remove_log_partitions(broken)
-        store.record(broken, stores.FAILED, batch_id)
-    store.record(good, stores.MERGED, batch_id)
+    if failed is None:
+        store.record((accepted, stores.MERGED, True, attempt))
+        return None
+    failed = _written(store, failed, f"{folder}/failed")
+    good = accepted.join(failed.select("path").distinct(), "path", "left_anti")
+    broken = accepted.join(failed.select("path").distinct(), "path", "left_semi")
+    if store.layout == stores.PER_LOG:
+        store.remove_log_folders(broken)
+    on_disk = store.layout == stores.PER_BATCH
+    store.record((good, stores.MERGED, True, attempt), (broken, stores.FAILED, on_disk, attempt))
     return failed
 
 
@@ -484,16 +496,16 @@ def unmerge(store: LogStore, logs: DataFrame, batch_id: str | None = None) -> Da
         logs = read_identity(log_files.decode(logs, only_logs)).where(F.col("log_hash").isNotNull())
     wanted = logs.select("log_hash").distinct()
     exists = not store.is_empty()
-    known = store.active_logs().select("log_hash", "log_ym", F.col("path").alias("merged_from"))
+    known = store.active_logs().select(
+        "log_hash", "log_ym", F.col("path").alias("merged_from"), F.col("batch_id").alias("attempt")
+    )
     status = outcome(F.col("log_ym").isNotNull(), F.lit(exists), unmerge=True)
     decided = wanted.join(known, "log_hash", "left").withColumn("status", status)
     folder = f"{store.root}/staging/{batch_id}"
     decided = _written(store, decided, f"{folder}/files")
     gone = decided.where(F.col("status") == UNMERGED).withColumnRenamed("merged_from", "path")
     if not gone.isEmpty():
-        store.record(gone, stores.REMOVING, batch_id)
-        store.remove_log_partitions(gone)
-        store.record(gone, stores.REMOVED, batch_id)
+        store.forget(gone)
     report = decided.select(
         F.col("merged_from").alias("path"),
         "log_hash",

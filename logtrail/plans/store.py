@@ -2,14 +2,17 @@
 
 A store is a folder in any Hadoop file system:
 
-* ``tables/<table>/gen=<n>/log_ym=…/log_hash=…`` – partitioned Parquet. One log
-  is one partition, so removing a log is a folder removal and reading one log
-  prunes to it.
+* ``tables/<table>/gen=<n>/…`` – partitioned Parquet, in one of two layouts.
+  ``PER_BATCH`` (the default) has a folder per month and merge attempt. Its
+  file count follows the data and not the number of logs. Removing a log is one
+  ledger row, and ``purge`` gives the space back. ``PER_LOG`` has a folder per
+  month and log. Removing a log drops its folders at once; it suits stores of
+  up to some 100,000 logs.
 * ``schemas`` – columns of each table. Columns are only ever added. A column
   that has to become wider starts a new ``gen``; reads cast older ones.
 * ``ledger`` – what happened to each log, append only. It is written *before*
   a log's rows (``pending``) and *after* them (``merged``). Reads leave out
-  logs that are not finished, so a half-written log is never seen.
+  rows of attempts that are not finished, so a half-written log is never seen.
 * ``dispositions``, ``metrics``, ``ingest_events`` – reports per batch.
 
 One writer at a time.
@@ -18,32 +21,32 @@ One writer at a time.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logtrail.functions.types import widen
+from logtrail.operators.aggregates import total_size
 from logtrail.operators.joins import lookup_join
 from logtrail.plans import files
 from logtrail.session import configure
 
-LEDGER_SCHEMA = "log_hash bigint, log_ym string, status string, batch_id string, path string, at bigint"
+LEDGER_SCHEMA = "log_hash bigint, log_ym string, status string, stored boolean, batch_id string, path string, at bigint"
 SCHEMAS_SCHEMA = "table_name string, gen int, ordinal int, column string, type string"
 DISPOSITION_SCHEMA = "path string, log_hash bigint, status string, reason string, batch_id string"
 METRICS_SCHEMA = "batch_id string, table string, operation string, duration double, rows bigint"
 EVENTS_SCHEMA = "batch_id string, path string, table string, event string, detail string"
 
-# Ledger states whose rows must not be read.
-PENDING, MERGED, REMOVING, REMOVED, FAILED = "pending", "merged", "removing", "unmerged", "failed"
-HIDDEN = (PENDING, REMOVING)
+# Ledger states. Rows are read only while their log is merged.
+PENDING, MERGED, UNMERGED, FAILED = "pending", "merged", "unmerged", "failed"
 
-CAST_ERRORS = "_cast_errors"
-
-# Folder of a log's month: by log start, or by row time.
+# Folder levels: the month of the log start or of the row time, then one of these.
 BY_LOG_MONTH, BY_ROW_MONTH = "log_ym", "row_ym"
+PER_BATCH, PER_LOG = "batch_id", "log_hash"
 
 
 @dataclass(frozen=True)
@@ -57,10 +60,18 @@ class TableSchema:
 class LogStore:
     """A merge target. ``namespace`` keeps its tables apart from all others (M9)."""
 
-    def __init__(self, spark: SparkSession, root: str, namespace: str = "public", month: str = BY_LOG_MONTH):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        namespace: str = "public",
+        layout: str = PER_BATCH,
+        month: str = BY_LOG_MONTH,
+    ):
         self.spark = configure(spark)
         self.root = f"{root.rstrip('/')}/{namespace}"
         self.namespace = namespace
+        self.layout = layout
         self.month = month
 
     # Reports and ledger -------------------------------------------------
@@ -75,29 +86,54 @@ class LogStore:
         """Add rows to a report or to the ledger."""
         df.write.mode("append").parquet(f"{self.root}/{name}")
 
-    def record(self, logs: DataFrame, status: str, batch_id: str) -> None:
-        """Write a new ledger state for ``logs(log_hash, log_ym, path)``."""
-        self.append(
-            "ledger",
+    def record(self, *changes: tuple[DataFrame, str, bool, str | None]) -> None:
+        """Write new ledger states, all at once.
+
+        A change is ``logs(log_hash, log_ym, path)``, their status, whether
+        their rows are on disk, and the attempt that wrote them; without one,
+        the logs name it themselves in ``attempt``.
+        """
+        at = time.time_ns()
+        states = [
             logs.select(
                 "log_hash",
                 "log_ym",
                 F.lit(status).alias("status"),
-                F.lit(batch_id).alias("batch_id"),
+                F.lit(stored).alias("stored"),
+                (F.col("attempt") if batch_id is None else F.lit(batch_id)).alias("batch_id"),
                 "path",
-                F.lit(time.time_ns()).alias("at"),
-            ),
-        )
+                F.lit(at).alias("at"),
+            )
+            for logs, status, stored, batch_id in changes
+        ]
+        self.append("ledger", reduce(DataFrame.unionByName, states))
+
+    def attempts(self) -> DataFrame:
+        """Latest state of each log per merge attempt."""
+        values = ("log_ym", "status", "stored", "path", "at")
+        state = F.max_by(F.struct(*values), "at").alias("s")
+        rows = self._read("ledger", LEDGER_SCHEMA)
+        return rows.groupBy("log_hash", "batch_id").agg(state).select("log_hash", "batch_id", "s.*")
 
     def ledger(self) -> DataFrame:
         """Latest state of each log."""
-        rows = self._read("ledger", LEDGER_SCHEMA)
-        state = F.max_by(F.struct("log_ym", "status", "batch_id", "path", "at"), "at").alias("s")
-        return rows.groupBy("log_hash").agg(state).select("log_hash", "s.*")
+        values = ("log_ym", "status", "stored", "batch_id", "path", "at")
+        order = F.struct(F.col("status") == MERGED, "at")
+        state = F.max_by(F.struct(*values), order).alias("s")
+        return self.attempts().groupBy("log_hash").agg(state).select("log_hash", "s.*")
+
+    def hidden(self) -> DataFrame:
+        """Keys of rows that are on disk and must not be read: few, whatever the size of the store."""
+        states = self.attempts() if self.layout == PER_BATCH else self.ledger()
+        return states.where(F.col("stored") & (F.col("status") != MERGED)).select(*self.row_keys(), "log_ym", "path")
+
+    def row_keys(self) -> list[str]:
+        """What tells one write of a log from another."""
+        return ["log_hash", "batch_id"] if self.layout == PER_BATCH else ["log_hash"]
 
     def active_logs(self) -> DataFrame:
         """Logs that are merged now."""
-        return self.ledger().where(F.col("status") == MERGED)
+        return self.attempts().where(F.col("status") == MERGED)
 
     def is_empty(self) -> bool:
         """Whether nothing was ever merged here."""
@@ -155,87 +191,170 @@ class LogStore:
 
     def partition_columns(self) -> list[str]:
         """Folder levels of a table."""
-        return [self.month, "log_hash"]
+        return [self.month, self.layout]
 
     def generation_path(self, table: str, gen: int) -> str:
         """Folder of one generation."""
         return f"{self.root}/tables/{table}/gen={gen}"
 
-    def read_generation(self, table: str, schema: TableSchema, extra: tuple[str, ...] = ()) -> DataFrame:
+    def read_generation(self, table: str, schema: TableSchema) -> DataFrame:
         """Rows of one generation, finished logs or not."""
         path = self.generation_path(table, schema.gen)
-        fields = ", ".join(f"`{c}` {t}" for c, t in schema.columns.items() if c != "log_hash")
-        parts = f"{self.month} string, log_hash bigint"
-        more = "".join(f", {e}" for e in extra)
-        full = f"{fields}{more}, {parts}" if fields else parts
+        fields = [f"`{c}` {t}" for c, t in schema.columns.items() if c != "log_hash"]
+        keys = {"log_hash": "bigint", self.month: "string", self.layout: "bigint" if self.layout == PER_LOG else "string"}
+        full = T._parse_datatype_string(", ".join([*fields, *[f"{c} {t}" for c, t in keys.items()]]))
         if not files.exists(self.spark, path):
             return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(T._parse_datatype_string(full)).parquet(path)
+        return self.spark.read.schema(full).parquet(path)
 
-    def table(self, name: str) -> DataFrame:
-        """Rows of one table from finished logs, over all schema generations."""
+    def table(self, name: str, *log_hashes: int) -> DataFrame:
+        """Rows of one table from merged logs, over all schema generations.
+
+        Naming logs prunes to the folders they are in (F11).
+        """
         generations = self.schemas().get(name)
         if not generations:
             raise ValueError(f"no such table: {name}")
         final = {c: t for c, t in generations[-1].columns.items() if c != "log_hash"}
-        parts = [_as(self.read_generation(name, g), final, [self.month, "log_hash"]) for g in generations]
-        rows = reduce(DataFrame.unionByName, parts)
-        hidden = self.ledger().where(F.col("status").isin(*HIDDEN)).select("log_hash")
-        if hidden.isEmpty():
-            return rows
-        return lookup_join(rows, hidden, ["log_hash"], "left_anti")
-
-    def write_log_partitions(self, rows: DataFrame, table: str, gen: int) -> None:
-        """Write rows to the partitions of their logs, in place of what was there.
-
-        The rebalance splits a log that holds much of the data over many tasks
-        and joins small ones, so file sizes follow the data and not its skew.
+        keys = [self.month, *self.row_keys()]
+        rows = reduce(DataFrame.unionByName, [_as(self.read_generation(name, g), final, keys) for g in generations])
+        if log_hashes:
+            rows = rows.where(self._folders_of(log_hashes))
+        hidden = self.hidden().select(*self.row_keys())
+        if not hidden.isEmpty():
+            rows = lookup_join(rows, hidden, self.row_keys(), "left_anti")
+        return rows.drop("batch_id")
+
+    def _folders_of(self, log_hashes: tuple[int, ...]) -> Column:
+        wanted = F.col("log_hash").isin(*log_hashes)
+        found = self.active_logs().where(wanted).select("log_ym", "batch_id").distinct().collect()
+        if self.layout == PER_BATCH:
+            wanted = wanted & F.col("batch_id").isin(*[row.batch_id for row in found])
+        if self.month == BY_LOG_MONTH:
+            wanted = wanted & F.col("log_ym").isin(*[row.log_ym for row in found])
+        return wanted
+
+    def write_rows(self, rows: DataFrame, table: str, gen: int, chunk: str) -> None:
+        """Write rows of one merge attempt.
+
+        In the batch layout nothing is shuffled: rows come from staging file by
+        file and are only sorted inside each task, so that a filter on log or
+        time skips row groups. In the log layout rows are spread by log and
+        ``chunk``, which numbers bounded runs of rows, so a log that holds much
+        of the data is many tasks.
         """
-        order = [*self.partition_columns(), *(["time"] if "time" in rows.columns else [])]
+        if self.layout == PER_LOG:
+            rows = rows.repartition(*self.partition_columns(), chunk).drop("batch_id")
+        order = [*self.partition_columns(), "log_hash", *(["time"] if "time" in rows.columns else [])]
         (
-            rows.hint("rebalance", *self.partition_columns())
-            .sortWithinPartitions(*order)
+            rows.drop(chunk)
+            .sortWithinPartitions(*dict.fromkeys(order))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*self.partition_columns())
             .parquet(self.generation_path(table, gen))
         )
 
-    def remove_log_partitions(self, logs: DataFrame) -> int:
-        """Delete the folders of ``logs(log_hash, log_ym)`` in every table (M5–M7).
+    # Removal ------------------------------------------------------------
 
-        Folder names hold month and log, so this never reads rows. Logs are
-        walked with one partition of the list in the driver at a time.
+    def _roots(self) -> list[tuple[str, TableSchema, str]]:
+        every = [(t, g, self.generation_path(t, g.gen)) for t, gens in self.schemas().items() for g in gens]
+        return [entry for entry in every if files.exists(self.spark, entry[2])]
+
+    def _months(self, root: str) -> list[str]:
+        return [c for c in files.children(self.spark, root) if c.startswith(f"{self.month}=")]
+
+    def remove_log_folders(self, logs: DataFrame) -> int:
+        """Delete the folders of ``logs(log_hash, log_ym)`` in every table, in the log layout (M5–M7).
+
+        Folder names hold month and log, so this never reads rows. The list of
+        logs comes to the driver one partition at a time.
         """
-        roots = [self.generation_path(t, g.gen) for t, gens in self.schemas().items() for g in gens]
-        roots = [r for r in roots if files.exists(self.spark, r)]
-        months = {r: [c for c in files.children(self.spark, r) if c.startswith(f"{self.month}=")] for r in roots}
+        roots = [root for _, _, root in self._roots()]
+        months = {root: self._months(root) for root in roots} if self.month == BY_ROW_MONTH else {}
         removed, waiting = 0, []
         for log in logs.select("log_hash", "log_ym").toLocalIterator():
             for root in roots:
-                own = [f"log_ym={log.log_ym}"] if self.month == BY_LOG_MONTH else months[root]
-                waiting += [f"{root}/{month}/log_hash={log.log_hash}" for month in own]
+                for month in months.get(root, [f"log_ym={log.log_ym}"]):
+                    waiting.append(f"{root}/{month}/log_hash={log.log_hash}")
             if len(waiting) >= 10_000:
                 removed += files.delete_all(self.spark, waiting)
                 waiting = []
         return removed + files.delete_all(self.spark, waiting)
 
-    def stored_objects(self) -> DataFrame:
-        """One row per data file: table, log and size, from listings alone."""
-        path = f"{self.root}/tables"
-        if not files.exists(self.spark, path):
-            return self.spark.createDataFrame([], "table string, log_hash bigint, size bigint")
-        listed = (
-            self.spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .load(path)
-        )
-        return listed.select(
-            F.regexp_extract("path", r"/tables/([^/]+)/gen=", 1).alias("table"),
-            F.regexp_extract("path", r"/log_hash=(-?\d+)/", 1).cast("bigint").alias("log_hash"),
-            F.col("length").alias("size"),
-        )
+    def forget(self, logs: DataFrame) -> None:
+        """Take merged ``logs(log_hash, log_ym, path, attempt)`` out of every table (M5)."""
+        self.record((logs, UNMERGED, True, None))
+        if self.layout == PER_LOG:
+            self.remove_log_folders(logs)
+            self.record((logs, UNMERGED, False, None))
+
+    def purge(self) -> int:
+        """Give back the space of rows that are no longer read; the number of attempts cleaned.
+
+        In the batch layout the merged logs of an attempt are written anew
+        under a new name. One ledger write then switches from the old name to
+        the new, and the old folders go. A crash at any point leaves either
+        name readable, never both or none.
+        """
+        if self.layout == PER_LOG:
+            # The list is read again for the ledger write, which does not change it until it ends.
+            gone = self.ledger().where(F.col("stored") & (F.col("status") != MERGED))
+            self.remove_log_folders(gone)
+            self.record((gone.withColumnRenamed("batch_id", "attempt"), UNMERGED, False, None))
+            return 0
+        names = [row.batch_id for row in self.hidden().select("batch_id").distinct().collect()]
+        for name in names:
+            self._purge_attempt(name)
+        return len(names)
+
+    def _purge_attempt(self, name: str) -> None:
+        # The ledger is append only, so these frames keep the state of now.
+        states = self.attempts().where(F.col("batch_id") == name)
+        kept = states.where(F.col("status") == MERGED)
+        if not kept.isEmpty():
+            fresh = f"{name.split('~')[0]}~{uuid.uuid4().hex[:8]}"
+            self.record((kept, PENDING, True, fresh))
+            for table, schema, _ in self._roots():
+                rows = self.read_generation(table, schema).where(F.col("batch_id") == name)
+                rows = lookup_join(rows, kept.select("log_hash"), ["log_hash"], "left_semi")
+                self.write_rows(rows.withColumn("batch_id", F.lit(fresh)), table, schema.gen, "_chunk")
+            self.record((kept, MERGED, True, fresh), (kept, UNMERGED, True, name))
+        old = [f"{root}/{month}/batch_id={name}" for _, _, root in self._roots() for month in self._months(root)]
+        files.delete_all(self.spark, old)
+        self.record((states, UNMERGED, False, name))
+
+    # Sizes --------------------------------------------------------------
+
+    def log_sizes(self) -> DataFrame:
+        """Stored bytes per log.
+
+        In the log layout sizes come from file listings alone. In the batch
+        layout a file's size is shared out by rows, from its log column alone.
+        """
+        if self.layout == PER_LOG:
+            listed = (
+                self.spark.read.format("binaryFile")
+                .option("recursiveFileLookup", "true")
+                .option("pathGlobFilter", "*.parquet")
+                .load(f"{self.root}/tables")
+            )
+            log_hash = F.regexp_extract("path", r"/log_hash=(-?\d+)/", 1).cast("bigint")
+            return total_size(listed.select(log_hash.alias("log_hash"), "length"), F.col("length"))
+        parts = [
+            self.read_generation(table, schema)
+            .select("log_hash", "batch_id", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+            .groupBy("log_hash", "batch_id", "file", "size")
+            .agg(F.count(F.lit(1)).alias("n"))
+            for table, schema, _ in self._roots()
+        ]
+        if not parts:
+            return self.spark.createDataFrame([], "log_hash bigint, size_bytes bigint")
+        counts = reduce(DataFrame.unionByName, parts)
+        totals = counts.groupBy("file").agg(F.sum("n").alias("total"))
+        shared = counts.join(totals, "file").withColumn("share", F.col("size") * F.col("n") / F.col("total"))
+        kept = shared.join(self.active_logs().select("log_hash", "batch_id"), ["log_hash", "batch_id"], "left_semi")
+        return total_size(kept, F.col("share")).withColumn("size_bytes", F.round("size_bytes").cast("bigint"))
 
     def register(self) -> None:
         """Make every table a temporary view named ``<namespace>_<table>`` for SQL use."""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from logtrail.functions import cleaning, geometry, identity
 from logtrail.operators import aggregates, evolution, filters, joins
 from logtrail.plans import derived_logs, merge, views
+from logtrail.plans import store as stores
 from logtrail.session import configure, scratch_path
 from logtrail.sources import typed_rows
 from logtrail.sources.typed_rows import TableColumns
@@ -888,13 +889,29 @@ def merge_report(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(derived_logs.UNMERGED_SQL)
 def unmerge_logs(spark: SparkSession, folder: str) -> DataFrame:
-    """Merged logs, every other one removed again, one of those merged anew (M5, M8)."""
-    store = derived_logs.merged_store(configure(spark), read(spark, folder, "events"))
-    return derived_logs.after_unmerge(store, read(spark, folder, "events"))
+    """Merged logs, every other one removed again, some of those merged anew (M5, M8)."""
+    events = read(spark, folder, "events")
+    return derived_logs.after_unmerge(derived_logs.merged_store(configure(spark), events), events)
+
+
+@query(derived_logs.UNMERGED_SQL)
+def unmerge_and_purge(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, after the space of the removed logs was given back (M5, M8)."""
+    events = read(spark, folder, "events")
+    return derived_logs.after_unmerge(derived_logs.merged_store(configure(spark), events), events, purge=True)
+
+
+@query(derived_logs.UNMERGED_SQL)
+def unmerge_log_folders(spark: SparkSession, folder: str) -> DataFrame:
+    """The same where each log has its own folder, so that removing one drops it (M5, M7)."""
+    events = read(spark, folder, "events")
+    store = derived_logs.merged_store(configure(spark), events, layout=stores.PER_LOG)
+    return derived_logs.after_unmerge(store, events)
 
 
 @query(derived_logs.ROW_MONTH_SQL)
 def merge_by_row_month(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per month folder when merged by row time (L2)."""
-    store = derived_logs.merged_store(configure(spark), read(spark, folder, "events"), by_row_month=True)
+    events = read(spark, folder, "events")
+    store = derived_logs.merged_store(configure(spark), events, month=stores.BY_ROW_MONTH)
     return derived_logs.rows_per_month(store)

@@ -55,8 +55,7 @@ def latest_imei(log_info: DataFrame) -> DataFrame:
 
 def log_sizes(store: LogStore) -> DataFrame:
     """Stored bytes per merged log; null once it is unmerged."""
-    sizes = aggregates.total_size(store.stored_objects(), F.col("size"))
-    return store.ledger().select("log_hash", "status").join(sizes, "log_hash", "left")
+    return store.ledger().select("log_hash", "status").join(store.log_sizes(), "log_hash", "left")
 
 
 def slowest_operations(store: LogStore) -> DataFrame:

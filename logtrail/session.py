@@ -17,7 +17,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split hot keys even where a later step could have reused the shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
 

@@ -20,8 +20,11 @@ import io
 import json
 import sqlite3
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
+from json.encoder import encode_basestring as _escaped
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -102,11 +105,10 @@ def _file_batches(
             image = archive.read(fixed.LOG_DB_MEMBER)
         db = sqlite3.connect(":memory:")
         db.deserialize(image)
-        db.text_factory = lambda raw: raw.decode("utf-8", "replace")
         names = [r[0] for r in db.execute("select name from sqlite_master where type = 'table' order by rowid")]
-    except (zipfile.BadZipFile, KeyError, sqlite3.Error, NotImplementedError, RuntimeError, OSError) as failure:
-        error, names, db = f"{type(failure).__name__}: {failure}", [], None
-    yield _batch(path, FILE_ROWS, [(0, False, None, {"error": error})])
+    except (zipfile.BadZipFile, KeyError, sqlite3.Error, NotImplementedError, RuntimeError, OSError, zlib.error) as failure:
+        error, names, db = _named(failure), [], None
+    yield _notes(path, FILE_ROWS, [{"error": error}])
     for name in names:
         if keeps(name) and not name.startswith("sqlite_"):
             yield from _table_batches(db, path, name, location_only)
@@ -125,70 +127,92 @@ def _table_batches(db: sqlite3.Connection, path: str, table: str, location_only:
             if name != fixed.LEGACY_COLUMN and not (drop_geometry and name == fixed.GEOMETRY_COLUMN)
         ]
         columns = [name for name, _ in kept]
-        yield _batch(
-            path,
-            COLUMN_ROWS,
-            [
-                (i, False, None, {"table": table, "ordinal": str(i), "column": name, "declared": kind})
-                for i, (name, kind) in enumerate(kept)
-            ],
-        )
+        described = [
+            {"table": table, "ordinal": str(i), "column": name, "declared": kind} for i, (name, kind) in enumerate(kept)
+        ]
+        yield _notes(path, COLUMN_ROWS, described)
         time_at = columns.index("time") if "time" in columns else None
-        cursor = db.execute(f"select {', '.join(map(_quoted, columns))} from {_quoted(table)}")
-        while True:
-            rows, failure = _fetch(cursor)
-            if rows:
-                texts = [[_text(v) for v in row] for row in rows]
-                entries = [
-                    (done + i, time_at is not None, None if time_at is None else t[time_at], dict(zip(columns, t, strict=True)))
-                    for i, t in enumerate(texts)
-                ]
-                yield _batch(path, table, entries)
-                done += len(rows)
-            if failure is not None:
-                raise failure
-            if len(rows) < BATCH_ROWS:
-                break
+        labels = [json.dumps(name, ensure_ascii=False) + ":" for name in columns]
+        for rows in _row_batches(db, f"select {', '.join(map(_quoted, columns))} from {_quoted(table)}"):
+            times = None if time_at is None else [_time_text(row[time_at]) for row in rows]
+            yield _batch(path, table, done, times, [_object(labels, row) for row in rows])
+            done += len(rows)
     except sqlite3.Error as failure:
-        error = f"{type(failure).__name__}: {failure}"
-    yield _batch(path, SUMMARY_ROWS, [(0, False, None, {"table": table, "rows": str(done), "error": error})])
+        error = _named(failure)
+    yield _notes(path, SUMMARY_ROWS, [{"table": table, "rows": str(done), "error": error}])
 
 
-def _fetch(cursor: sqlite3.Cursor) -> tuple[list[tuple], sqlite3.Error | None]:
-    """Up to ``BATCH_ROWS`` rows, and the error that ended the read, if any."""
-    rows: list[tuple] = []
+def _row_batches(db: sqlite3.Connection, sql: str) -> Iterator[list[tuple]]:
+    """Rows in batches. After an error the rest is read row by row, up to the bad place."""
+    done = 0
+    db.text_factory = str
     try:
-        for row in cursor:
-            rows.append(row)
+        cursor = db.execute(sql)
+        while rows := cursor.fetchmany(BATCH_ROWS):
+            yield rows
+            done += len(rows)
+        return
+    except sqlite3.Error:
+        db.text_factory = lambda raw: raw.decode("utf-8", "replace")
+    rows, error = [], None
+    try:
+        for number, row in enumerate(db.execute(sql)):
+            if number >= done:
+                rows.append(row)
             if len(rows) == BATCH_ROWS:
-                break
+                yield rows
+                rows = []
     except sqlite3.Error as failure:
-        return rows, failure
-    return rows, None
+        error = failure
+    if rows:
+        yield rows
+    if error is not None:
+        raise error
+
+
+def _object(labels: list[str], row: tuple) -> str:
+    """A row as a JSON object of texts; null cells are left out."""
+    cells = [
+        label
+        + (
+            _escaped(value)
+            if type(value) is str
+            else f'"{value.hex().upper()}"'
+            if type(value) is bytes
+            else f'"{value!r}"'
+        )
+        for label, value in zip(labels, row, strict=True)
+        if value is not None
+    ]
+    return "{" + ",".join(cells) + "}"
 
 
-def _text(value: object) -> str | None:
-    if value is None or type(value) is str:
-        return value
-    if type(value) is bytes:
-        return value.hex().upper()
-    return repr(value)
+def _time_text(value: object) -> str | None:
+    return value if value is None or type(value) is str else str(value)
 
 
 def _quoted(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
-def _batch(path: str, table: str, entries: list[tuple]) -> pa.RecordBatch:
-    count = len(entries)
-    numbers = [e[0] for e in entries]
+def _named(failure: Exception) -> str:
+    return f"{type(failure).__name__}: {failure}"
+
+
+def _notes(path: str, kind: str, entries: list[dict[str, str | None]]) -> pa.RecordBatch:
+    return _batch(path, kind, 0, None, [json.dumps(e, ensure_ascii=False) for e in entries])
+
+
+def _batch(path: str, table: str, first: int, times: list[str | None] | None, cells: list[str]) -> pa.RecordBatch:
+    count = len(cells)
+    numbers = np.arange(first, first + count)
     arrays = [
-        pa.array([path] * count, pa.string()),
-        pa.array([n // CHUNK_ROWS for n in numbers], pa.int32()),
-        pa.array(numbers, pa.int64()),
-        pa.array([e[1] for e in entries], pa.bool_()),
-        pa.array([e[2] for e in entries], pa.string()),
-        pa.array([json.dumps(e[3], ensure_ascii=False) for e in entries], pa.string()),
-        pa.array([table] * count, pa.string()),
+        pa.repeat(pa.scalar(path, pa.string()), count),
+        pa.array((numbers // CHUNK_ROWS).astype(np.int32)),
+        pa.array(numbers),
+        pa.repeat(pa.scalar(times is not None), count),
+        pa.nulls(count, pa.string()) if times is None else pa.array(times, pa.string()),
+        pa.array(cells, pa.string()),
+        pa.repeat(pa.scalar(table, pa.string()), count),
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=ARROW_SCHEMA)
