@@ -64,7 +64,6 @@ POINT_BLOB_HEADER = "0001E6100000"
 POINT_CLASS = "01000000"
 POINT_CLASS_AT = 39
 POINT_X_AT = 43
-POINT_Y_AT = 51
 EWKB_POINT_PREFIX = "0101000020E6100000"
 EWKB_POINT_LENGTH = 25
 MSSQL_POINT_PREFIX = "E6100000010C"

@@ -7,7 +7,7 @@ the expected layout keeps its bytes and has no coordinates.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logtrail import fixed_values as fixed
@@ -52,11 +52,14 @@ def ewkb_to_mssql(wkb: Column) -> Column:
     return F.when(is_ewkb_point(wkb), F.concat(head, F.substring(wkb, 10, 16))).otherwise(wkb)
 
 
-def double_at(blob: Column, offset: int) -> Column:
-    """Little-endian IEEE-754 double that starts at a zero-based byte offset."""
-    text = F.hex(F.substring(blob, offset + 1, 8))
-    swapped = F.concat(*[F.substring(text, 15 - 2 * i, 2) for i in range(8)])
-    bits = F.conv(swapped, 16, -10).cast("bigint")
+def _bits(text: Column, offset: int) -> Column:
+    """Eight little-endian bytes in hex text as a signed 64-bit number."""
+    pairs = [F.substring(text, 2 * (offset + 7 - i) + 1, 2) for i in range(8)]
+    return F.conv(F.concat(*pairs), 16, -10).cast("bigint")
+
+
+def _double(bits: Column) -> Column:
+    """IEEE-754 double with the given bits; every step is exact."""
     exponent = F.shiftrightunsigned(bits, 52).bitwiseAND(F.lit(2047).cast("bigint"))
     fraction = bits.bitwiseAND(F.lit((1 << 52) - 1).cast("bigint")).cast("double") / F.lit(float(1 << 52))
     sign = F.when(bits < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
@@ -64,15 +67,22 @@ def double_at(blob: Column, offset: int) -> Column:
         F.when((exponent == 2047) & (fraction > 0), F.lit(float("nan")))
         .when(exponent == 2047, sign * F.lit(float("inf")))
         .when(exponent == 0, sign * fraction * F.pow(F.lit(2.0), F.lit(-1022.0)))
-        .otherwise(sign * (fraction + 1.0) * F.pow(F.lit(2.0), (exponent - 1023).cast("double")))
+        .when(bits.isNotNull(), sign * (fraction + 1.0) * F.pow(F.lit(2.0), (exponent - 1023).cast("double")))
     )
 
 
-def longitude(blob: Column) -> Column:
-    """X of a point blob, null for anything else."""
-    return F.when(is_point(blob), double_at(blob, fixed.POINT_X_AT))
+def with_doubles(df: DataFrame, blob: Column, first: int, names: list[str]) -> DataFrame:
+    """Add little-endian doubles that follow each other from a zero-based byte offset.
+
+    The steps are separate columns, so each one is computed once per row.
+    """
+    text = F.hex(F.substring(blob, first + 1, 8 * len(names)))
+    bits = {f"_bits_{n}": _bits(F.col("_hex"), 8 * i) for i, n in enumerate(names)}
+    doubles = {n: _double(F.col(f"_bits_{n}")) for n in names}
+    return df.withColumn("_hex", text).withColumns(bits).withColumns(doubles).drop("_hex", *bits)
 
 
-def latitude(blob: Column) -> Column:
-    """Y of a point blob, null for anything else."""
-    return F.when(is_point(blob), double_at(blob, fixed.POINT_Y_AT))
+def with_coordinates(df: DataFrame, blob: str, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """Add X and Y of a point blob column, null for anything else."""
+    point = F.when(is_point(F.col(blob)), F.col(blob))
+    return with_doubles(df, point, fixed.POINT_X_AT, [lon, lat])

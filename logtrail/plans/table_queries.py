@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,18 +39,22 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(sql: str | None) -> Callable:
-    """Register a query under the name of its function."""
+    """Register a query under the name of its function; it gets a configured session."""
 
     def register(run: Callable[[SparkSession, str], DataFrame]) -> Callable:
-        QUERIES[run.__name__] = Query(run, sql)
-        return run
+        @wraps(run)
+        def configured(spark: SparkSession, folder: str) -> DataFrame:
+            return run(configure(spark), folder)
+
+        QUERIES[run.__name__] = Query(configured, sql)
+        return configured
 
     return register
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the tables."""
-    return configure(spark).read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def time_text(time: str | Column) -> Column:
@@ -577,21 +582,19 @@ def _line_points(spark: SparkSession, folder: str) -> DataFrame:
 )
 def geo_lonlat(spark: SparkSession, folder: str) -> DataFrame:
     """Coordinates of point blobs, none for other blobs."""
-    geom = F.col("geom")
-    return _line_points(spark, folder).select(
-        "l_orderkey", "l_linenumber", geometry.longitude(geom).alias("lon"), geometry.latitude(geom).alias("lat")
-    )
+    return geometry.with_coordinates(_line_points(spark, folder), "geom").drop("geom")
 
 
 def _encoded(spark: SparkSession, folder: str, encoded: Column, prefix_bytes: int) -> DataFrame:
     rows = _line_points(spark, folder).select("l_orderkey", "l_linenumber", encoded.alias("g"))
-    return rows.select(
+    point = F.when(F.length("g") < 59, F.col("g"))
+    return geometry.with_doubles(rows, point, prefix_bytes, ["x", "y"]).select(
         "l_orderkey",
         "l_linenumber",
         F.length("g").cast("bigint").alias("bytes"),
         F.hex(F.substring("g", 1, prefix_bytes)).alias("prefix"),
-        F.when(F.length("g") < 59, geometry.double_at(F.col("g"), prefix_bytes)).alias("x"),
-        F.when(F.length("g") < 59, geometry.double_at(F.col("g"), prefix_bytes + 8)).alias("y"),
+        "x",
+        "y",
     )
 
 
@@ -867,7 +870,7 @@ def log_inventory(spark: SparkSession, folder: str) -> DataFrame:
 )
 def stream_equals_batch(spark: SparkSession, folder: str) -> DataFrame:
     """The time clamp over a file stream, read back."""
-    logs, out = order_logs(spark, folder), scratch_path(configure(spark), "stream")
+    logs, out = order_logs(spark, folder), scratch_path(spark, "stream")
     stream = stream_tables.stream_table(spark, f"{folder}/lineitem.parquet")
     kept = stream_tables.clamp_stream(stream, logs, out, _as_lines)
     return kept.select("log_hash", "line", "kpi")
@@ -876,14 +879,14 @@ def stream_equals_batch(spark: SparkSession, folder: str) -> DataFrame:
 @query(derived_logs.MERGED_SQL)
 def merge_logs(spark: SparkSession, folder: str) -> DataFrame:
     """Log files made from events, merged, and read back with positions."""
-    store = derived_logs.merged_store(configure(spark), read(spark, folder, "events"))
+    store = derived_logs.merged_store(spark, read(spark, folder, "events"))
     return derived_logs.read_back(store)
 
 
 @query(derived_logs.REPORT_SQL)
 def merge_report(spark: SparkSession, folder: str) -> DataFrame:
     """Outcome, month folder and stored size of each merged log."""
-    store = derived_logs.merged_store(configure(spark), read(spark, folder, "events"))
+    store = derived_logs.merged_store(spark, read(spark, folder, "events"))
     return derived_logs.report(store)
 
 
@@ -891,21 +894,21 @@ def merge_report(spark: SparkSession, folder: str) -> DataFrame:
 def unmerge_logs(spark: SparkSession, folder: str) -> DataFrame:
     """Merged logs, every other one removed again, some of those merged anew (M5, M8)."""
     events = read(spark, folder, "events")
-    return derived_logs.after_unmerge(derived_logs.merged_store(configure(spark), events), events)
+    return derived_logs.after_unmerge(derived_logs.merged_store(spark, events), events)
 
 
 @query(derived_logs.UNMERGED_SQL)
 def unmerge_and_purge(spark: SparkSession, folder: str) -> DataFrame:
     """The same, after the space of the removed logs was given back (M5, M8)."""
     events = read(spark, folder, "events")
-    return derived_logs.after_unmerge(derived_logs.merged_store(configure(spark), events), events, purge=True)
+    return derived_logs.after_unmerge(derived_logs.merged_store(spark, events), events, purge=True)
 
 
 @query(derived_logs.UNMERGED_SQL)
 def unmerge_log_folders(spark: SparkSession, folder: str) -> DataFrame:
     """The same where each log has its own folder, so that removing one drops it (M5, M7)."""
     events = read(spark, folder, "events")
-    store = derived_logs.merged_store(configure(spark), events, layout=stores.PER_LOG)
+    store = derived_logs.merged_store(spark, events, layout=stores.PER_LOG)
     return derived_logs.after_unmerge(store, events)
 
 
@@ -913,5 +916,5 @@ def unmerge_log_folders(spark: SparkSession, folder: str) -> DataFrame:
 def merge_by_row_month(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per month folder when merged by row time (L2)."""
     events = read(spark, folder, "events")
-    store = derived_logs.merged_store(configure(spark), events, month=stores.BY_ROW_MONTH)
+    store = derived_logs.merged_store(spark, events, month=stores.BY_ROW_MONTH)
     return derived_logs.rows_per_month(store)

@@ -42,7 +42,8 @@ class TableColumns:
                 continue
             columns[name] = self.source_type(name)
             if name == fixed.GEOMETRY_COLUMN and columns[name] == "binary":
-                columns.update({c: "double" for c in ("lat", "lon") if c not in self.declared})
+                if not {"lat", "lon"} & set(self.declared):
+                    columns.update({"lat": "double", "lon": "double"})
         if self._adds_direction():
             columns["direction"] = "int"
         return columns
@@ -72,6 +73,10 @@ def type_columns(
     """
     if columns.table == fixed.SIGNALLING_TABLE and "symbol" not in rows.columns:
         raise ValueError("signalling rows need a symbol column")
+    placed = fixed.GEOMETRY_COLUMN in rows.columns and not {"lat", "lon"} & set(columns.declared)
+    if placed:
+        rows = rows.withColumn("_geom", F.unhex(F.col(fixed.GEOMETRY_COLUMN)))
+        rows = geometry.with_coordinates(rows, "_geom", "_lon", "_lat")
     have = dict(rows.dtypes)
     cells: dict[str, Column] = {}
     lost: list[Column] = []
@@ -79,8 +84,8 @@ def type_columns(
         text = F.col(f"`{name}`") if name in have else None
         if name == "direction" and columns.table == fixed.SIGNALLING_TABLE:
             cells[name] = cleaning.direction(F.col("symbol"))
-        elif name in ("lat", "lon") and name not in columns.declared and text is None:
-            cells[name] = _coordinate(rows, name)
+        elif name in ("lat", "lon") and placed:
+            cells[name] = F.col(f"_{name}")
         elif text is None:
             cells[name] = F.lit(None).cast(kind)
         elif have[name] != "string":
@@ -109,9 +114,3 @@ def _cell(columns: TableColumns, name: str, kind: str, text: Column, strip_band:
         return cleaning.to_time(cleaning.not_a_time_to_null(clean)), clean
     return clean.try_cast(kind), clean
 
-
-def _coordinate(rows: DataFrame, name: str) -> Column:
-    if fixed.GEOMETRY_COLUMN not in rows.columns:
-        return F.lit(None).cast("double")
-    blob = F.unhex(F.col(fixed.GEOMETRY_COLUMN))
-    return geometry.latitude(blob) if name == "lat" else geometry.longitude(blob)
