@@ -52,23 +52,21 @@ def ewkb_to_mssql(wkb: Column) -> Column:
     return F.when(is_ewkb_point(wkb), F.concat(head, F.substring(wkb, 10, 16))).otherwise(wkb)
 
 
-def _bits(text: Column, offset: int) -> Column:
-    """Eight little-endian bytes in hex text as a signed 64-bit number."""
-    pairs = [F.substring(text, 2 * (offset + 7 - i) + 1, 2) for i in range(8)]
-    return F.conv(F.concat(*pairs), 16, -10).cast("bigint")
+def _bits(text: str, offset: int) -> str:
+    """SQL: eight little-endian bytes in hex text as a signed 64-bit number."""
+    pairs = ", ".join(f"substring({text}, {2 * (offset + 7 - i) + 1}, 2)" for i in range(8))
+    return f"cast(conv(concat({pairs}), 16, -10) as bigint)"
 
 
-def _double(bits: Column) -> Column:
-    """IEEE-754 double with the given bits; every step is exact."""
-    exponent = F.shiftrightunsigned(bits, 52).bitwiseAND(F.lit(2047).cast("bigint"))
-    fraction = bits.bitwiseAND(F.lit((1 << 52) - 1).cast("bigint")).cast("double") / F.lit(float(1 << 52))
-    sign = F.when(bits < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    return (
-        F.when((exponent == 2047) & (fraction > 0), F.lit(float("nan")))
-        .when(exponent == 2047, sign * F.lit(float("inf")))
-        .when(exponent == 0, sign * fraction * F.pow(F.lit(2.0), F.lit(-1022.0)))
-        .when(bits.isNotNull(), sign * (fraction + 1.0) * F.pow(F.lit(2.0), (exponent - 1023).cast("double")))
-    )
+def _double(bits: str) -> str:
+    """SQL: the IEEE-754 double with the given bits; every step is exact."""
+    exponent = f"(shiftrightunsigned({bits}, 52) & 2047L)"
+    fraction = f"(cast({bits} & 4503599627370495L as double) / 4503599627370496D)"
+    sign = f"if({bits} < 0, -1D, 1D)"
+    return f"""case when {exponent} = 2047 and {fraction} > 0 then double('NaN')
+                    when {exponent} = 2047 then {sign} * double('Infinity')
+                    when {exponent} = 0 then {sign} * {fraction} * power(2D, -1022D)
+                    else {sign} * ({fraction} + 1D) * power(2D, cast({exponent} - 1023 as double)) end"""
 
 
 def with_doubles(df: DataFrame, blob: Column, first: int, names: list[str]) -> DataFrame:
@@ -77,8 +75,8 @@ def with_doubles(df: DataFrame, blob: Column, first: int, names: list[str]) -> D
     The steps are separate columns, so each one is computed once per row.
     """
     text = F.hex(F.substring(blob, first + 1, 8 * len(names)))
-    bits = {f"_bits_{n}": _bits(F.col("_hex"), 8 * i) for i, n in enumerate(names)}
-    doubles = {n: _double(F.col(f"_bits_{n}")) for n in names}
+    bits = {f"_bits_{n}": F.expr(_bits("_hex", 8 * i)) for i, n in enumerate(names)}
+    doubles = {n: F.expr(f"case when _bits_{n} is not null then {_double(f'_bits_{n}')} end") for n in names}
     return df.withColumn("_hex", text).withColumns(bits).withColumns(doubles).drop("_hex", *bits)
 
 

@@ -67,15 +67,17 @@ def schema_difference(source: DataFrame, target: DataFrame, keys: list[str]) ->
     )
 
 
+def first_files(files: DataFrame, key: str = "log_hash", order: str = "path") -> DataFrame:
+    """The first file of each log, by a pre-aggregated minimum (M2)."""
+    return files.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias(order))
+
+
 def first_file_wins(files: DataFrame, key: str = "log_hash", order: str = "path") -> DataFrame:
-    """Files with ``is_first``: the first one per log (M2).
+    """Files with ``is_first``: true for the first one of each log (M2).
 
-    The first file is found by a pre-aggregated minimum and marked by an equal
-    join on log and file, so many copies of one log never meet in one task.
-    Files without a log are left unmarked.
+    Files are marked by a join on their own unique name, so many copies of one
+    log never meet in one task. Files without a log are not marked.
     """
-    first = files.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias(order))
-    marked = files.join(first.withColumn("is_first", F.lit(True)), [key, order], "left")
+    first = first_files(files, key, order).select(order, F.lit(True).alias("is_first"))
+    marked = files.join(first, order, "left")
     return marked.withColumn("is_first", F.coalesce("is_first", F.lit(False)))
-
-

@@ -105,29 +105,36 @@ def of_table(rows: DataFrame, table: str) -> DataFrame:
 
 
 def read_identity(rows: DataFrame, add_imei: bool = False) -> DataFrame:
-    """One row per file: identity, time range, version and what is wrong with it.
+    """One row per file: identity, time range, version, size and what is wrong with it.
 
+    One scan of a few small tables and one pre-aggregated shuffle on the file.
     The decoder numbers rows, so the first row of ``logs`` (G7) is row 0.
     """
-    opened = of_table(rows, log_files.FILE_ROWS).select("path", F.get_json_object("cells", "$.error").alias("error"))
-    cells = of_table(rows, fixed.LOGS_TABLE).where(F.col("row_no") == 0)
-    logs = cells.select("path", F.from_json("cells", LOG_CELLS).alias("c")).select("path", "c.*")
-    last = (
-        of_table(rows, fixed.HEARTBEAT_TABLE)
+    kinds = (log_files.FILE_ROWS, log_files.SUMMARY_ROWS, fixed.LOGS_TABLE, fixed.HEARTBEAT_TABLE)
+    kind, cells = F.col("table_name"), F.col("cells")
+    is_log = (kind == fixed.LOGS_TABLE) & (F.col("row_no") == 0)
+    found = (
+        rows.where(kind.isin(*kinds))
         .groupBy("path")
-        .agg(F.max(cleaning.to_time(F.col("time_text"))).alias("last_heartbeat"))
+        .agg(
+            F.max(F.when(kind == log_files.FILE_ROWS, F.get_json_object(cells, "$.error"))).alias("error"),
+            F.max(F.when(kind == log_files.SUMMARY_ROWS, F.get_json_object(cells, "$.rows").cast("bigint"))).alias("rows"),
+            F.max(F.when(kind == fixed.HEARTBEAT_TABLE, cleaning.to_time(F.col("time_text")))).alias("last_heartbeat"),
+            F.max(F.when(is_log, cells)).alias("log"),
+        )
+        .withColumn("log", F.from_json("log", LOG_CELLS))
     )
-    found = opened.join(logs, "path", "left").join(last, "path", "left")
-    offset = F.col("log_timezone_offset").try_cast("bigint")
-    log_hash = F.col("log_hash").try_cast("bigint")
+    offset = F.col("log.log_timezone_offset").try_cast("bigint")
+    log_hash = F.col("log.log_hash").try_cast("bigint")
     result = found.select(
         "path",
         "error",
+        "rows",
         log_hash.alias("log_hash"),
         identity.log_month(log_hash, offset).alias("log_ym"),
-        cleaning.to_time(F.col("log_start_time")).alias("start"),
-        F.coalesce(cleaning.to_time(F.col("log_end_time")), F.col("last_heartbeat")).alias("end"),
-        identity.app_version(F.col("log_app_version")).alias("app_version"),
+        cleaning.to_time(F.col("log.log_start_time")).alias("start"),
+        F.coalesce(cleaning.to_time(F.col("log.log_end_time")), F.col("last_heartbeat")).alias("end"),
+        identity.app_version(F.col("log.log_app_version")).alias("app_version"),
     )
     if add_imei:
         result = result.join(_imei_per_file(rows), "path", "left")
@@ -163,25 +170,19 @@ def outcome(present: Column, target_exists: Column, unmerge: bool) -> Column:
 def decide(files: DataFrame, active: DataFrame, target_exists: bool, fail_fast: bool = False) -> DataFrame:
     """Every file with its ``status``.
 
-    Only the first good file of a log is looked up in the ledger, so copies of
-    one log do not pile up on its key.
+    Only the first good file of a log is looked up in the ledger, and the
+    verdict comes back by file name: copies of one log never pile up on its key.
     """
-    usable = F.when(F.col("problem").isNull(), F.col("log_hash"))
-    marked = joins.first_file_wins(files.withColumn("_key", usable), "_key")
-    # Repeats of a log get no key here, which keeps them spread by their path.
-    probe = marked.withColumn("_probe", F.when(F.col("is_first"), F.col("_key")))
-    first = probe.where(F.col("_probe").isNotNull())
-    known = active.select(F.col("log_hash").alias("_probe"), F.lit(True).alias("_present"))
-    looked_up = first.join(known, "_probe", "left")
-    rest = probe.where(F.col("_probe").isNull())
-    both = looked_up.unionByName(rest, allowMissingColumns=True)
-    good = outcome(F.coalesce("_present", F.lit(False)), F.lit(target_exists), unmerge=False)
+    first = joins.first_files(files.where(F.col("problem").isNull()))
+    known = active.select("log_hash", F.lit(True).alias("_present"))
+    looked_up = first.join(known, "log_hash", "left")
+    verdict = looked_up.select("path", F.coalesce("_present", F.lit(False)).alias("_present"))
     status = (
         F.when(F.col("problem").isNotNull(), F.col("problem"))
-        .when(~F.col("is_first"), ALREADY_MERGED)
-        .otherwise(good)
+        .when(F.col("_present").isNull(), ALREADY_MERGED)
+        .otherwise(outcome(F.col("_present"), F.lit(target_exists), unmerge=False))
     )
-    decided = both.withColumn("status", status).drop("_key", "_probe", "_present", "is_first")
+    decided = files.join(verdict, "path", "left").withColumn("status", status).drop("_present")
     if not fail_fast:
         return decided
     stop = decided.where(F.col("status") != MERGED).agg(F.min("path")).first()[0]
@@ -220,12 +221,11 @@ def table_summaries(rows: DataFrame) -> DataFrame:
     return found.select("path", "c.table", F.col("c.rows").cast("bigint").alias("rows"), "c.error")
 
 
-def chunks_of(accepted: DataFrame, summaries: DataFrame) -> DataFrame:
-    """Accepted files, one row per chunk their largest table can have."""
-    size = summaries.groupBy("path").agg(F.max("rows").alias("_rows"))
-    last = F.floor(F.coalesce("_rows", F.lit(0)) / log_files.CHUNK_ROWS).cast("int")
+def chunks_of(accepted: DataFrame) -> DataFrame:
+    """Accepted files, one row per chunk that their largest table can have."""
+    last = F.floor(F.coalesce("rows", F.lit(0)) / log_files.CHUNK_ROWS).cast("int")
     chunks = F.explode(F.sequence(F.lit(0), last)).alias("chunk")
-    return accepted.join(size, "path", "left").select(*accepted.columns, chunks)
+    return accepted.select(*[c for c in accepted.columns if c not in ("status", "problem", "error", "rows")], chunks)
 
 
 def typed_facts(
@@ -332,8 +332,12 @@ def merge(
         read_identity(rows, options.add_imei), store.active_logs(), not store.is_empty(), options.fail_fast
     )
     decided = _written(store, decided, f"{folder}/files")
+    decided_at = time.monotonic()
     accepted = decided.where(F.col("status") == MERGED)
-    metrics = [(batch_id, "*", "decode", staged_at - begun, None)]
+    metrics = [
+        (batch_id, "*", "decode", staged_at - begun, None),
+        (batch_id, "*", "decide", decided_at - staged_at, None),
+    ]
     failed = None
     if not accepted.isEmpty():
         failed = _import_logs(store, rows, accepted, options, batch_id, folder, metrics)
@@ -343,8 +347,10 @@ def merge(
             "status", F.when(F.col("_bad_table").isNotNull(), FAILED).otherwise(F.col("status"))
         )
     metrics.append((batch_id, "*", "merge", time.monotonic() - begun, None))
-    store.append("metrics", store.spark.createDataFrame(metrics, stores.METRICS_SCHEMA).coalesce(1))
-    store.append("dispositions", _report(decided, batch_id))
+    timed = store.spark.createDataFrame(metrics, stores.METRICS_SCHEMA).coalesce(1)
+    _side_by_side(
+        lambda: store.append("metrics", timed), lambda: store.append("dispositions", _report(decided, batch_id))
+    )
     report = store.dispositions().where(F.col("batch_id") == batch_id)
     _move_inputs(store, report, options)
     if not options.keep_staging:
@@ -375,10 +381,10 @@ def _import_logs(
     attempt = f"{batch_id}-{uuid.uuid4().hex[:8]}"
     if store.layout == stores.PER_LOG:
         store.remove_log_folders(accepted.select("log_hash").join(store.hidden(), "log_hash"))
-    store.record((accepted, stores.PENDING, True, attempt))
-
+    columns, _ = _side_by_side(
+        lambda: source_columns(rows, accepted), lambda: store.record((accepted, stores.PENDING, True, attempt))
+    )
     summaries = table_summaries(rows)
-    columns = source_columns(rows, accepted)
     tables = {t: c for t, c in columns.items() if options.tables.keeps(t)}
     _check_tables(tables)
     if options.skip_empty_tables:
@@ -386,19 +392,24 @@ def _import_logs(
         tables = {t: c for t, c in tables.items() if t in {row.table for row in filled}}
     if not options.keep_tables_without_time:
         tables = {t: c for t, c in tables.items() if t == fixed.LOGS_TABLE or _has_time(c, options)}
-    _record_events(store, summaries, columns, accepted, options, batch_id)
-
-    schemas = store.evolve({t: {"log_hash": "bigint", **_stored_columns(c, options)} for t, c in tables.items()})
-    chunks = _written(store, chunks_of(accepted.drop("status", "problem", "error"), summaries), f"{folder}/chunks")
+    schemas, grown = store.evolve({t: {"log_hash": "bigint", **_stored_columns(c, options)} for t, c in tables.items()})
+    chunks = chunks_of(accepted)
 
     failed: DataFrame | None = None
     with ThreadPoolExecutor(options.parallel_tables) as pool:
-        jobs = {t: pool.submit(_write_table, store, rows, chunks, c, schemas[t], options, attempt) for t, c in tables.items()}
+        jobs = {
+            t: pool.submit(_write_table, store, rows, chunks, c, schemas[t], options, attempt) for t, c in tables.items()
+        }
+        reports = [pool.submit(_record_events, store, summaries, columns, accepted, options, batch_id)]
+        if grown is not None:
+            reports.append(pool.submit(store.append, "schemas", grown))
         for table, job in jobs.items():
             seconds, count, bad = job.result()
             metrics.append((batch_id, table, "write", seconds, count))
             if bad is not None:
                 failed = _note_bad_cells(store, table, bad, failed, options, batch_id)
+        for report in reports:
+            report.result()
     if failed is None:
         store.record((accepted, stores.MERGED, True, attempt))
         return None
@@ -412,6 +423,12 @@ def _import_logs(
     return failed
 
 
+def _side_by_side(*actions: Callable) -> list:
+    """Results of independent small jobs that run at the same time."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        return [job.result() for job in [pool.submit(action) for action in actions]]
+
+
 def _has_time(columns: TableColumns, options: MergeOptions) -> bool:
     return "time" in columns.declared or options.preprocess is not None
 

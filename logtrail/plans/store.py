@@ -167,8 +167,11 @@ class LogStore:
             for table, gens in found.items()
         }
 
-    def evolve(self, incoming: dict[str, dict[str, str]]) -> dict[str, TableSchema]:
-        """Grow the stored schemas so that ``incoming`` tables fit (M3)."""
+    def evolve(self, incoming: dict[str, dict[str, str]]) -> tuple[dict[str, TableSchema], DataFrame | None]:
+        """Schemas grown so that ``incoming`` tables fit, and the catalog rows to add (M3).
+
+        The rows go to :meth:`append` before the first log that needs them is published.
+        """
         stored, rows, result = self.schemas(), [], {}
         for table, columns in incoming.items():
             current = stored[table][-1] if table in stored else TableSchema(0, {})
@@ -179,9 +182,7 @@ class LogStore:
             known = {} if widened else current.columns
             rows += [(table, gen, i, c, t) for i, (c, t) in enumerate(target.items()) if c not in known]
             result[table] = TableSchema(gen, target)
-        if rows:
-            self.append("schemas", self.spark.createDataFrame(rows, SCHEMAS_SCHEMA).coalesce(1))
-        return result
+        return result, self.spark.createDataFrame(rows, SCHEMAS_SCHEMA).coalesce(1) if rows else None
 
     # Tables -------------------------------------------------------------
 

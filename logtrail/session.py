@@ -20,6 +20,9 @@ RUNTIME_CONF = {
 }
 
 
+# Collecting a stack trace for every column expression takes longer than planning the query.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 _shipped_to: set[str] = set()
 
 
@@ -54,7 +57,7 @@ def build_session(app_name: str = "logtrail", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **STATIC_CONF, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
