@@ -21,8 +21,12 @@ NUMBER_PREFIX = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
 
 
 def to_time(text: Column) -> Column:
-    """Text to timestamp, null when it is not one."""
-    return text.try_cast("timestamp_ntz")
+    """Text to timestamp, null when it is not one.
+
+    Years have four digits. Other texts are left out before the cast, as a
+    failing cast is slow.
+    """
+    return F.when(F.substring(text, 5, 1) == "-", text).try_cast("timestamp_ntz")
 
 
 def to_time_ms(text: Column) -> Column:
@@ -36,22 +40,28 @@ def first_characters(text: Column, count: int = fixed.BSIC_CHARACTERS) -> Column
 
 
 def lenient_integer(text: Column) -> Column:
-    """Leading integer of a text, 0 without one, null only for null."""
-    digits = F.regexp_extract(text, INTEGER_PREFIX, 1)
-    overflow = F.when(digits.startswith("-"), F.lit(LONG_MIN)).otherwise(F.lit(LONG_MAX))
-    return (
-        F.when(text.isNull(), F.lit(None).cast("bigint"))
-        .when(digits == "", F.lit(0).cast("bigint"))
-        .otherwise(F.coalesce(digits.try_cast("bigint"), overflow))
+    """Leading integer of a text, 0 without one, null only for null.
+
+    Numbers beyond 64 bits stop at the limits. A failing cast costs far more
+    than a pattern, so only digits are cast.
+    """
+    digits = F.nullif(F.regexp_extract(text, INTEGER_PREFIX, 1), F.lit(""))
+    beyond = (
+        F.when(text.rlike(r"^\s*-[0-9]"), F.lit(LONG_MIN))
+        .when(text.rlike(r"^\s*\+?[0-9]"), F.lit(LONG_MAX))
+        .otherwise(F.lit(0).cast("bigint"))
     )
+    short = F.when(F.length(digits) <= 18, digits).try_cast("bigint")
+    limits = [F.lit(limit).cast("decimal(38,0)") for limit in (LONG_MIN, LONG_MAX)]
+    wide = F.when(F.length(digits) > 18, digits).try_cast("decimal(38,0)")
+    long = F.when(wide.isNotNull(), F.least(F.greatest(wide, limits[0]), limits[1]).cast("bigint"))
+    return F.when(text.isNotNull(), F.coalesce(short, long, beyond))
 
 
 def lenient_double(text: Column) -> Column:
     """Leading number of a text, 0 without one, null only for null."""
-    number = F.regexp_extract(text, NUMBER_PREFIX, 1)
-    return F.when(text.isNull(), F.lit(None).cast("double")).otherwise(
-        F.coalesce(number.try_cast("double"), F.lit(0.0))
-    )
+    number = F.nullif(F.regexp_extract(text, NUMBER_PREFIX, 1), F.lit(""))
+    return F.when(text.isNotNull(), F.coalesce(number.try_cast("double"), F.lit(0.0)))
 
 
 def empty_to_null(text: Column) -> Column:

@@ -28,7 +28,7 @@ from logtrail import fixed_values as fixed
 from logtrail.functions import cleaning, identity
 from logtrail.operators import aggregates, filters, joins
 from logtrail.operators.evolution import conform
-from logtrail.plans import files as folders
+from logtrail import files as folders
 from logtrail.plans import store as stores
 from logtrail.plans.store import LogStore
 from logtrail.sources import log_files, typed_rows

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from logtrail.functions.types import widen
 from logtrail.operators.aggregates import total_size
 from logtrail.operators.joins import lookup_join
-from logtrail.plans import files
+from logtrail import files
 from logtrail.session import configure
 
 LEDGER_SCHEMA = "log_hash bigint, log_ym string, status string, stored boolean, batch_id string, path string, at bigint"

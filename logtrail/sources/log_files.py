@@ -27,8 +27,10 @@ from json.encoder import encode_basestring as _escaped
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logtrail import fixed_values as fixed
+from logtrail import files
 from logtrail.operators.filters import TableFilter
 
 CHUNK_ROWS = 250_000
@@ -54,34 +56,46 @@ ARROW_SCHEMA = pa.schema(
 )
 
 
-def read_log_files(spark: SparkSession, path: str, pattern: str | None = fixed.LOG_FILE_GLOB) -> DataFrame:
-    """Files under a folder, nested ones too, as ``(path, content)``.
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if not files.is_file(spark, path):
+        reader = reader.option("pathGlobFilter", fixed.LOG_FILE_GLOB)
+    return reader.load(path)
+
+
+def read_log_files(spark: SparkSession, path: str) -> DataFrame:
+    """A log file, or all log files under a folder, as ``(path, content)``.
 
-    ``pattern=None`` takes every file, for a path that names one file.
+    A file too large for one row comes without content, and a merge reports it
+    as unreadable.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).where(f"length <= {FILE_SIZE_LIMIT}").select("path", "content")
+    listed = _listed(spark, path)
+    small = listed.where(f"length <= {FILE_SIZE_LIMIT}").select("path", "content")
+    large = listed.where(f"length > {FILE_SIZE_LIMIT}").select("path", F.lit(None).cast("binary").alias("content"))
+    return small.unionByName(large)
 
 
-def oversized_files(spark: SparkSession, path: str, pattern: str | None = fixed.LOG_FILE_GLOB) -> DataFrame:
-    """Paths of files too large for one row; their content is not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).where(f"length > {FILE_SIZE_LIMIT}").select("path")
+def schema_statements(log_files: DataFrame) -> DataFrame:
+    """``(path, ddl)``: one line per table of each file, for fingerprints."""
+    rows = decode(log_files, TableFilter(), names_only=True).where(F.col("table_name") == COLUMN_ROWS)
+    cells = F.from_json("cells", "table string, ordinal string, column string, declared string").alias("c")
+    columns = rows.select("path", cells).select("path", "c.table", "c.ordinal", "c.column", "c.declared")
+    entry = F.struct(F.col("ordinal").cast("int"), F.concat_ws(" ", "column", "declared").alias("text"))
+    tables = columns.groupBy("path", "table").agg(F.sort_array(F.collect_list(entry)).alias("all"))
+    return tables.select("path", F.concat_ws(",", F.col("table"), F.col("all.text")).alias("ddl"))
 
 
 def decode(
-    files: DataFrame,
+    log_files: DataFrame,
     tables: TableFilter | None = None,
     location_geometry_only: bool = False,
     also: tuple[str, ...] = (),
+    names_only: bool = False,
 ) -> DataFrame:
-    """All rows of all kept tables of ``files(path, content)``.
+    """All rows of all kept tables of ``log_files(path, content)``.
 
-    ``also`` names tables that are read whatever the filter says.
+    ``also`` names tables that are read whatever the filter says. With
+    ``names_only`` the columns of the tables come, and no rows.
     """
     tables = tables or TableFilter()
 
@@ -91,16 +105,18 @@ def decode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1), strict=True):
-                yield from _file_batches(path.as_py(), content.as_py(), keeps, location_geometry_only)
+                yield from _file_batches(path.as_py(), content.as_py(), keeps, location_geometry_only, names_only)
 
-    return files.select("path", "content").mapInArrow(run, DECODED_SCHEMA)
+    return log_files.select("path", "content").mapInArrow(run, DECODED_SCHEMA)
 
 
 def _file_batches(
-    path: str, content: bytes, keeps: Callable[[str], bool], location_only: bool
+    path: str, content: bytes | None, keeps: Callable[[str], bool], location_only: bool, names_only: bool = False
 ) -> Iterator[pa.RecordBatch]:
     error = None
     try:
+        if content is None:
+            raise OSError(f"larger than {FILE_SIZE_LIMIT} bytes")
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             image = archive.read(fixed.LOG_DB_MEMBER)
         db = sqlite3.connect(":memory:")
@@ -111,12 +127,14 @@ def _file_batches(
     yield _notes(path, FILE_ROWS, [{"error": error}])
     for name in names:
         if keeps(name) and not name.startswith("sqlite_"):
-            yield from _table_batches(db, path, name, location_only)
+            yield from _table_batches(db, path, name, location_only, names_only)
     if db is not None:
         db.close()
 
 
-def _table_batches(db: sqlite3.Connection, path: str, table: str, location_only: bool) -> Iterator[pa.RecordBatch]:
+def _table_batches(
+    db: sqlite3.Connection, path: str, table: str, location_only: bool, names_only: bool
+) -> Iterator[pa.RecordBatch]:
     done, error = 0, None
     try:
         declared = [(r[1], r[2]) for r in db.execute(f"pragma table_info({_quoted(table)})")]
@@ -131,6 +149,8 @@ def _table_batches(db: sqlite3.Connection, path: str, table: str, location_only:
             {"table": table, "ordinal": str(i), "column": name, "declared": kind} for i, (name, kind) in enumerate(kept)
         ]
         yield _notes(path, COLUMN_ROWS, described)
+        if names_only:
+            return
         time_at = columns.index("time") if "time" in columns else None
         labels = [json.dumps(name, ensure_ascii=False) + ":" for name in columns]
         for rows in _row_batches(db, f"select {', '.join(map(_quoted, columns))} from {_quoted(table)}"):

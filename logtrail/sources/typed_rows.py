@@ -79,7 +79,7 @@ def type_columns(
         rows = geometry.with_coordinates(rows, "_geom", "_lon", "_lat")
     have = dict(rows.dtypes)
     cells: dict[str, Column] = {}
-    lost: list[Column] = []
+    sources: dict[str, Column] = {}
     for name, kind in target.items():
         text = F.col(f"`{name}`") if name in have else None
         if name == "direction" and columns.table == fixed.SIGNALLING_TABLE:
@@ -93,9 +93,16 @@ def type_columns(
         else:
             cells[name], clean = _cell(columns, name, kind, text, strip_band)
             if kind in CHECKED_TYPES:
-                lost.append((clean.isNotNull() & cells[name].isNull()).cast("int"))
+                sources[name] = clean
+    # Two steps, so that a cell is cast once for its value and its check.
+    typed = rows.select(
+        *keep,
+        *[c.alias(n) for n, c in cells.items()],
+        *[c.isNotNull().alias(f"_had_{n}") for n, c in sources.items()],
+    )
+    lost = [(F.col(f"`_had_{n}`") & F.col(f"`{n}`").isNull()).cast("int") for n in sources]
     total = reduce(lambda a, b: a + b, lost) if lost else F.lit(0)
-    return rows.select(*keep, *[c.alias(n) for n, c in cells.items()], total.alias(CAST_ERRORS))
+    return typed.select(*keep, *[F.col(f"`{n}`") for n in cells], total.alias(CAST_ERRORS))
 
 
 def _cell(columns: TableColumns, name: str, kind: str, text: Column, strip_band: bool) -> tuple[Column, Column]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from logtrail.operators.filters import clamp_to_log
-from logtrail.plans import files
+from logtrail import files
 
 
 def stream_table(spark: SparkSession, path: str) -> DataFrame:
