@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 from pyspark.sql import SparkSession
 
-DELETE_THREADS = 16
+THREADS = 16
+WINDOW = 1_000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -42,7 +45,7 @@ def delete(spark: SparkSession, path: str) -> bool:
 
 def delete_all(spark: SparkSession, paths: list[str]) -> int:
     """Remove many folders side by side; the number that were there."""
-    with ThreadPoolExecutor(DELETE_THREADS) as pool:
+    with ThreadPoolExecutor(THREADS) as pool:
         return sum(pool.map(lambda path: delete(spark, path), paths))
 
 
@@ -55,3 +58,11 @@ def move_into(spark: SparkSession, path: str, folder: str) -> str:
     if not fs.rename(jpath, target):
         raise OSError(f"could not move {path} to {folder}")
     return str(target)
+
+
+def move_all(spark: SparkSession, paths: Iterable[str], folder: str) -> None:
+    """Move files into a folder, many side by side; the list is taken a window at a time."""
+    waiting: Iterator[str] = iter(paths)
+    with ThreadPoolExecutor(THREADS) as pool:
+        while window := list(islice(waiting, WINDOW)):
+            list(pool.map(lambda path: move_into(spark, path, folder), window))

@@ -45,6 +45,9 @@ LOG_CELLS = (
 )
 IMEI_COLUMN = "imei_id"
 OPEN_NAMES = ("log_hash", "cells")
+# The counted size up to which the chunk list is broadcast: some 100 MB. A longer
+# list is shuffled with the facts, on keys that hold a bounded number of rows.
+BROADCAST_CHUNKS = 400_000
 
 
 class MergeFailed(RuntimeError):
@@ -221,10 +224,13 @@ def table_summaries(rows: DataFrame) -> DataFrame:
     return found.select("path", "c.table", F.col("c.rows").cast("bigint").alias("rows"), "c.error")
 
 
+def _chunk_count() -> Column:
+    return F.floor(F.coalesce("rows", F.lit(0)) / log_files.CHUNK_ROWS).cast("int") + 1
+
+
 def chunks_of(accepted: DataFrame) -> DataFrame:
     """Accepted files, one row per chunk that their largest table can have."""
-    last = F.floor(F.coalesce("rows", F.lit(0)) / log_files.CHUNK_ROWS).cast("int")
-    chunks = F.explode(F.sequence(F.lit(0), last)).alias("chunk")
+    chunks = F.explode(F.sequence(F.lit(0), _chunk_count() - 1)).alias("chunk")
     return accepted.select(*[c for c in accepted.columns if c not in ("status", "problem", "error", "rows")], chunks)
 
 
@@ -339,8 +345,12 @@ def merge(
         (batch_id, "*", "decide", decided_at - staged_at, None),
     ]
     failed = None
-    if not accepted.isEmpty():
-        failed = _import_logs(store, rows, accepted, options, batch_id, folder, metrics)
+    chunk_rows = accepted.agg(F.sum(_chunk_count())).first()[0]
+    if chunk_rows:
+        chunks = chunks_of(accepted)
+        if chunk_rows <= BROADCAST_CHUNKS:
+            chunks = F.broadcast(chunks)
+        failed = _import_logs(store, rows, accepted, chunks, options, batch_id, folder, metrics)
     if failed is not None:
         reason = failed.groupBy("path").agg(F.min("table").alias("_bad_table"))
         decided = decided.join(reason, "path", "left").withColumn(
@@ -372,6 +382,7 @@ def _import_logs(
     store: LogStore,
     rows: DataFrame,
     accepted: DataFrame,
+    chunks: DataFrame,
     options: MergeOptions,
     batch_id: str,
     folder: str,
@@ -393,8 +404,6 @@ def _import_logs(
     if not options.keep_tables_without_time:
         tables = {t: c for t, c in tables.items() if t == fixed.LOGS_TABLE or _has_time(c, options)}
     schemas, grown = store.evolve({t: {"log_hash": "bigint", **_stored_columns(c, options)} for t, c in tables.items()})
-    chunks = chunks_of(accepted)
-
     failed: DataFrame | None = None
     with ThreadPoolExecutor(options.parallel_tables) as pool:
         jobs = {
@@ -493,13 +502,14 @@ def _report(decided: DataFrame, batch_id: str) -> DataFrame:
 
 def _move_inputs(store: LogStore, report: DataFrame, options: MergeOptions) -> None:
     """Move finished and failed inputs out of the inbox (M11), a list partition at a time."""
-    targets = ((options.move_imported_to, True), (options.move_failed_to, False))
-    for folder, imported in targets:
+    done = F.col("status") == MERGED
+    for folder, chosen in (
+        (options.move_imported_to, done),
+        (options.move_failed_to, ~done & (F.col("status") != NOT_ATTEMPTED)),
+    ):
         if folder:
-            done = F.col("status") == MERGED
-            chosen = done if imported else ~done & (F.col("status") != NOT_ATTEMPTED)
-            for row in report.where(chosen).select("path").toLocalIterator():
-                folders.move_into(store.spark, row.path, folder)
+            paths = (row.path for row in report.where(chosen).select("path").toLocalIterator())
+            folders.move_all(store.spark, paths, folder)
 
 
 def unmerge(store: LogStore, logs: DataFrame, batch_id: str | None = None) -> DataFrame:

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -48,6 +49,8 @@ PENDING, MERGED, UNMERGED, FAILED = "pending", "merged", "unmerged", "failed"
 BY_LOG_MONTH, BY_ROW_MONTH = "log_ym", "row_ym"
 PER_BATCH, PER_LOG = "batch_id", "log_hash"
 
+TABLES_AT_ONCE = 8
+
 
 @dataclass(frozen=True)
 class TableSchema:
@@ -316,10 +319,15 @@ class LogStore:
         if not kept.isEmpty():
             fresh = f"{name.split('~')[0]}~{uuid.uuid4().hex[:8]}"
             self.record((kept, PENDING, True, fresh))
-            for table, schema, _ in self._roots():
+
+            def rewrite(root: tuple[str, TableSchema, str]) -> None:
+                table, schema, _ = root
                 rows = self.read_generation(table, schema).where(F.col("batch_id") == name)
                 rows = lookup_join(rows, kept.select("log_hash"), ["log_hash"], "left_semi")
                 self.write_rows(rows.withColumn("batch_id", F.lit(fresh)), table, schema.gen, "_chunk")
+
+            with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+                list(pool.map(rewrite, self._roots()))
             self.record((kept, MERGED, True, fresh), (kept, UNMERGED, True, name))
         old = [f"{root}/{month}/batch_id={name}" for _, _, root in self._roots() for month in self._months(root)]
         files.delete_all(self.spark, old)
