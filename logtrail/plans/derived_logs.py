@@ -1,7 +1,8 @@
 """Log files made from an events table, to run whole merges on given data.
 
-One file per (device, block of event ids), so a file holds a bounded number of
-rows however the events are spread over users.
+One file per device, or several for a device with many events, so a file holds
+a bounded number of rows however the events are spread over users, and the
+number of files grows with the events.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 from logtrail import fixed_values as fixed
 from logtrail.operators.evolution import merge_by_name
+from logtrail.operators.joins import lookup_join
 from logtrail.plans import store as stores
 from logtrail.plans import views
 from logtrail.plans.merge import merge, unmerge
@@ -27,7 +29,7 @@ from logtrail.plans.store import LogStore
 from logtrail.session import scratch_path
 
 USERS_PER_DEVICE = 10
-EVENTS_PER_BLOCK = 100_000
+EVENTS_PER_FILE = 100_000
 FIRST_START = datetime(2024, 1, 1)
 TIME_FORMAT = "%Y-%m-%d %H:%M:%S.%f"
 
@@ -52,10 +54,11 @@ def _point(lon: float, lat: float) -> bytes:
 def log_files_from(events: DataFrame) -> DataFrame:
     """Events as ``(path, content)`` of log files."""
     device = F.floor(F.col("user_id") / USERS_PER_DEVICE).alias("device")
-    block = F.floor(F.col("event_id") / EVENTS_PER_BLOCK).alias("block")
-    return (
-        events.select("*", device, block).groupBy("device", "block").applyInPandas(_pack, "path string, content binary")
-    )
+    placed = events.select("*", device)
+    blocks = F.ceil(F.count(F.lit(1)) / EVENTS_PER_FILE).alias("blocks")
+    split = lookup_join(placed, placed.groupBy("device").agg(blocks), ["device"])
+    split = split.withColumn("block", F.pmod("event_id", "blocks")).drop("blocks")
+    return split.groupBy("device", "block").applyInPandas(_pack, "path string, content binary")
 
 
 def _pack(rows: pd.DataFrame) -> pd.DataFrame:
@@ -187,7 +190,8 @@ def rows_per_month(store: LogStore) -> DataFrame:
     return rows.groupBy("table_name", store.month).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-_ROWS = """with e as (select *, user_id // 10 as device, event_id // 100000 as block from events),
+_ROWS = """with d as (select *, user_id // 10 as device from events),
+  e as (select *, event_id % ceil(count(*) over (partition by device) / 100000)::bigint as block from d),
   s as (select *, to_days(((device % 4) * 10)::integer) as shift from e),
   l as (select *, timestamp '2024-01-01' + shift + to_seconds(block) as start, ts + shift as t from s),
   k as (select *, device * 4294967296 + epoch(start)::bigint as log_hash,

@@ -127,3 +127,14 @@ def existing_columns(spark: SparkSession, name: str, target: JdbcTarget) -> list
     """Columns of a table that is there (S8); no rows are read."""
     reader = spark.read.format("jdbc").option("url", target.url).option("dbtable", target.table(name))
     return reader.options(**target.properties).load().columns
+
+
+def load_table(rows: DataFrame, name: str, target: JdbcTarget, exists: bool) -> None:
+    """Append to a table after adding the columns it lacks; a first append makes it (M3)."""
+    if exists and name != fixed.COLUMNAR_ONLY_TABLE:
+        spark = rows.sparkSession
+        ready = prepare(rows, target.dialect)
+        statement = add_columns_statement(ready, existing_columns(spark, name, target), name, target)
+        if statement:
+            execute(spark, target, statement)
+    append(rows, name, target)

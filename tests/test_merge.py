@@ -86,6 +86,12 @@ def test_tables_and_rows(merged):
     assert {r.log_hash for r in store.table("wifi_scanned").collect()} == {H1}
 
 
+def test_tables_are_open_to_sql(spark, merged):
+    store, _ = merged
+    store.register()
+    assert spark.sql(f"select count(*) as n from all_logs_signalling where log_hash = {H1}").first().n == 5
+
+
 def test_clamp_keeps_both_bounds(merged):
     store, _ = merged
     infos = {r.info for r in store.table("signalling", H1).collect()}
