@@ -16,6 +16,7 @@ from logtrail import fixed_values as fixed
 
 LONG_MIN = -(2**63)
 LONG_MAX = 2**63 - 1
+FITTING_INTEGER = r"^\s*[+-]?0*[0-9]{1,18}(?![0-9])"
 INTEGER_PREFIX = r"^\s*([+-]?[0-9]+)"
 NUMBER_PREFIX = r"^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
 
@@ -43,25 +44,24 @@ def lenient_integer(text: Column) -> Column:
     """Leading integer of a text, 0 without one, null only for null.
 
     Numbers beyond 64 bits stop at the limits. A failing cast costs far more
-    than a pattern, so only digits are cast.
+    than a pattern, so the common case casts only what is known to fit.
     """
-    digits = F.nullif(F.regexp_extract(text, INTEGER_PREFIX, 1), F.lit(""))
-    beyond = (
-        F.when(text.rlike(r"^\s*-[0-9]"), F.lit(LONG_MIN))
-        .when(text.rlike(r"^\s*\+?[0-9]"), F.lit(LONG_MAX))
-        .otherwise(F.lit(0).cast("bigint"))
-    )
-    short = F.when(F.length(digits) <= 18, digits).try_cast("bigint")
+    fitting = F.nullif(F.regexp_extract(text, FITTING_INTEGER, 0), F.lit("")).try_cast("bigint")
     limits = [F.lit(limit).cast("decimal(38,0)") for limit in (LONG_MIN, LONG_MAX)]
-    wide = F.when(F.length(digits) > 18, digits).try_cast("decimal(38,0)")
-    long = F.when(wide.isNotNull(), F.least(F.greatest(wide, limits[0]), limits[1]).cast("bigint"))
-    return F.when(text.isNotNull(), F.coalesce(short, long, beyond))
+    wide = F.regexp_extract(text, INTEGER_PREFIX, 1).try_cast("decimal(38,0)")
+    rest = (
+        F.when(~text.rlike(INTEGER_PREFIX), F.lit(0).cast("bigint"))
+        .when(wide.isNotNull(), F.least(F.greatest(wide, limits[0]), limits[1]).cast("bigint"))
+        .when(text.rlike(r"^\s*-"), F.lit(LONG_MIN))
+        .when(text.isNotNull(), F.lit(LONG_MAX))
+    )
+    return F.coalesce(fitting, rest)
 
 
 def lenient_double(text: Column) -> Column:
     """Leading number of a text, 0 without one, null only for null."""
-    number = F.nullif(F.regexp_extract(text, NUMBER_PREFIX, 1), F.lit(""))
-    return F.when(text.isNotNull(), F.coalesce(number.try_cast("double"), F.lit(0.0)))
+    number = F.nullif(F.regexp_extract(text, NUMBER_PREFIX, 1), F.lit("")).try_cast("double")
+    return F.coalesce(number, F.when(text.isNotNull(), F.lit(0.0)))
 
 
 def empty_to_null(text: Column) -> Column:

@@ -63,13 +63,12 @@ def version_gate(table: Column, version: Column) -> Column:
     return ~((table == fixed.VERSION_GATED_TABLE) & (version < fixed.VERSION_GATE))
 
 
-def within_log(time: Column, start: Column, end: Column, hours: int = fixed.CLAMP_MARGIN_HOURS) -> Column:
-    """Time inside the log's range and margin; bounds are whole seconds and inclusive."""
-    zero, margin = F.lit(0), F.lit(hours)
-    span = F.make_dt_interval(zero, margin, zero, F.lit(0).cast("decimal(18,6)"))
-    low = F.date_trunc("SECOND", start).cast("timestamp_ntz") - span
-    high = F.date_trunc("SECOND", end).cast("timestamp_ntz") + span
-    return (time >= low) & (time <= high)
+def log_bounds(start: Column, end: Column, hours: int = fixed.CLAMP_MARGIN_HOURS) -> tuple[Column, Column]:
+    """Earliest and latest time of a log's rows; both are whole seconds and inclusive."""
+    zero = F.lit(0)
+    span = F.make_dt_interval(zero, F.lit(hours), zero, zero.cast("decimal(18,6)"))
+    low, high = (F.date_trunc("SECOND", c).cast("timestamp_ntz") for c in (start, end))
+    return low - span, high + span
 
 
 def clamp_to_log(
@@ -87,9 +86,10 @@ def clamp_to_log(
 
     ``carry`` names columns of the log to keep, so one join serves both needs.
     """
-    bounds = logs.select(key, F.col(start).alias("_start"), F.col(end).alias("_end"), *carry)
+    low, high = log_bounds(F.col(start), F.col(end), hours)
+    bounds = logs.select(key, low.alias("_low"), high.alias("_high"), *carry)
     joined = lookup_join(facts.where(F.col(time).isNotNull()), bounds, [key], "inner")
-    return joined.where(within_log(F.col(time), F.col("_start"), F.col("_end"), hours)).drop("_start", "_end")
+    return joined.where(F.col(time).between(F.col("_low"), F.col("_high"))).drop("_low", "_high")
 
 
 def only_location_geometry(df: DataFrame, table: str) -> DataFrame:

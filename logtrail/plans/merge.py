@@ -228,10 +228,12 @@ def _chunk_count() -> Column:
     return F.floor(F.coalesce("rows", F.lit(0)) / log_files.CHUNK_ROWS).cast("int") + 1
 
 
-def chunks_of(accepted: DataFrame) -> DataFrame:
-    """Accepted files, one row per chunk that their largest table can have."""
+def chunks_of(accepted: DataFrame, hours: int) -> DataFrame:
+    """Accepted files with their time bounds, one row per chunk that their largest table can have."""
     chunks = F.explode(F.sequence(F.lit(0), _chunk_count() - 1)).alias("chunk")
-    return accepted.select(*[c for c in accepted.columns if c not in ("status", "problem", "error", "rows")], chunks)
+    low, high = filters.log_bounds(F.col("start"), F.col("end"), hours)
+    kept = [c for c in accepted.columns if c not in ("status", "problem", "error", "rows", "end")]
+    return accepted.select(*kept, low.alias("low"), high.alias("high"), chunks)
 
 
 def typed_facts(
@@ -268,7 +270,7 @@ def typed_facts(
 
 
 def _kept(time_column: Column, options: MergeOptions) -> Column:
-    inside = filters.within_log(time_column, F.col("_start"), F.col("_end"), options.margin_hours)
+    inside = time_column.between(F.col("_low"), F.col("_high"))
     if options.keep_tables_without_time:
         return ~F.col("_has_time") | inside
     return F.col("_has_time") & inside
@@ -347,7 +349,7 @@ def merge(
     failed = None
     chunk_rows = accepted.agg(F.sum(_chunk_count())).first()[0]
     if chunk_rows:
-        chunks = chunks_of(accepted)
+        chunks = chunks_of(accepted, options.margin_hours)
         if chunk_rows <= BROADCAST_CHUNKS:
             chunks = F.broadcast(chunks)
         failed = _import_logs(store, rows, accepted, chunks, options, batch_id, folder, metrics)
@@ -515,12 +517,18 @@ def _move_inputs(store: LogStore, report: DataFrame, options: MergeOptions) -> N
 def unmerge(store: LogStore, logs: DataFrame, batch_id: str | None = None) -> DataFrame:
     """Remove logs from every table (M5–M7); outcome per requested ``log_hash``.
 
-    ``logs`` has ``log_hash``, or ``path`` and ``content`` of log files.
+    ``logs`` has ``log_hash``, or ``path`` and ``content`` of log files; files
+    that do not tell their log are reported too.
     """
     batch_id = batch_id or uuid.uuid4().hex
+    folder = f"{store.root}/staging/{batch_id}"
+    unknown = None
     if "content" in logs.columns:
         only_logs = filters.TableFilter(only=(fixed.LOGS_TABLE,))
-        logs = read_identity(log_files.decode(logs, only_logs)).where(F.col("log_hash").isNotNull())
+        heads = _written(store, read_identity(log_files.decode(logs, only_logs)), f"{folder}/heads")
+        no_identity = F.coalesce("log_hash", F.lit(0)) == 0
+        unknown = _report(heads.where(no_identity).withColumn("status", identity_problem()), batch_id)
+        logs = heads.where(~no_identity)
     wanted = logs.select("log_hash").distinct()
     exists = not store.is_empty()
     known = store.active_logs().select(
@@ -528,7 +536,6 @@ def unmerge(store: LogStore, logs: DataFrame, batch_id: str | None = None) -> Da
     )
     status = outcome(F.col("log_ym").isNotNull(), F.lit(exists), unmerge=True)
     decided = wanted.join(known, "log_hash", "left").withColumn("status", status)
-    folder = f"{store.root}/staging/{batch_id}"
     decided = _written(store, decided, f"{folder}/files")
     gone = decided.where(F.col("status") == UNMERGED).withColumnRenamed("merged_from", "path")
     if not gone.isEmpty():
@@ -540,6 +547,6 @@ def unmerge(store: LogStore, logs: DataFrame, batch_id: str | None = None) -> Da
         F.lit(None).cast("string").alias("reason"),
         F.lit(batch_id).alias("batch_id"),
     )
-    store.append("dispositions", report)
+    store.append("dispositions", report if unknown is None else report.unionByName(unknown))
     folders.delete(store.spark, folder)
     return store.dispositions().where(F.col("batch_id") == batch_id)
