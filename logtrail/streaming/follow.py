@@ -9,6 +9,7 @@ and not a watermark, so no streaming state grows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logtrail import fixed_values as fixed
@@ -20,17 +21,29 @@ from logtrail.sources.log_files import FILE_SIZE_LIMIT
 def stream_log_files(
     store: LogStore, folder: str, files_per_batch: int = 1000, archive_to: str | None = None
 ) -> DataFrame:
-    """New log files under a folder as a stream of ``(path, content)``."""
-    reader = (
-        store.spark.readStream.format("binaryFile")
-        .option("pathGlobFilter", fixed.LOG_FILE_GLOB)
-        .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", str(files_per_batch))
-    )
+    """New log files under a folder as a stream of ``(path, content)``.
+
+    A file too large for one row comes without content, and its merge reports
+    it as unreadable. With ``archive_to`` such files are archived unread.
+    """
+
+    def listed() -> DataFrame:
+        reader = (
+            store.spark.readStream.format("binaryFile")
+            .option("pathGlobFilter", fixed.LOG_FILE_GLOB)
+            .option("recursiveFileLookup", "true")
+            .option("maxFilesPerTrigger", str(files_per_batch))
+        )
+        if archive_to:
+            reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_to)
+        schema = "path string, modificationTime timestamp, length bigint, content binary"
+        return reader.schema(schema).load(folder)
+
+    small = listed().where(f"length <= {FILE_SIZE_LIMIT}").select("path", "content")
     if archive_to:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_to)
-    schema = "path string, modificationTime timestamp, length bigint, content binary"
-    return reader.schema(schema).load(folder).where(f"length <= {FILE_SIZE_LIMIT}").select("path", "content")
+        return small
+    large = listed().where(f"length > {FILE_SIZE_LIMIT}").select("path", F.lit(None).cast("binary").alias("content"))
+    return small.unionByName(large)
 
 
 def follow(

@@ -13,6 +13,7 @@ from logtrail.plans import store as stores
 from logtrail.plans import views
 from logtrail.plans.merge import MergeFailed, MergeOptions, merge, plan_merge, unmerge
 from logtrail.plans.store import LogStore
+from logtrail.sources import log_files
 from logtrail.sources.log_files import read_log_files, schema_statements
 
 H1, H2, H3 = sl.log_hash(71732800), sl.log_hash(5), sl.log_hash(9)
@@ -268,6 +269,13 @@ def test_options(spark, tmp_path):
     assert [p.name for p in inbox.glob("*.azm")] == ["c.azm"]
 
 
+def test_files_too_large_for_one_row_are_reported(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(log_files, "FILE_SIZE_LIMIT", 10)
+    sl.write_log(tmp_path / "in", "a.azm", small(H1))
+    outcomes, _ = plan_merge(LogStore(spark, str(tmp_path / "store")), read_log_files(spark, str(tmp_path / "in")))
+    assert [(r.status, "larger than" in r.reason) for r in outcomes.collect()] == [("unreadable", True)]
+
+
 def test_decision_matrix(spark):
     cases = spark.createDataFrame([(p, e) for p in (True, False) for e in (True, False)], "present boolean, target boolean")
     rows = cases.select(
