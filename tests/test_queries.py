@@ -13,7 +13,7 @@ def db():
     return oracle.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query_matches_sql(spark, db, name):
     df = entry.queries()[name](spark, FOLDER)
     assert oracle.compare(df, db, entry.oracle_sql()[name]) is None
