@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from logtrail.llm.byte_text import slices
 from logtrail.session import configure
@@ -238,7 +238,7 @@ def encoder(path: str, pattern: str) -> Encoder:
 def encode(documents: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """All columns, and the token ids of ``text`` as an array of int."""
     configure(documents.sparkSession)
-    schema = documents.drop(ids).schema.add(ids, ArrayType(IntegerType()))
+    schema = StructType([*documents.drop(ids).schema.fields, StructField(ids, ArrayType(IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = encoder(path, pattern)
@@ -252,7 +252,7 @@ def encode(documents: DataFrame, path: str, pattern: str, text: str = "text", id
 def decode(tokens: DataFrame, path: str, pattern: str, ids: str = "token_ids", data: str = "decoded") -> DataFrame:
     """All columns, and the bytes that the ids stand for."""
     configure(tokens.sparkSession)
-    schema = tokens.drop(data).schema.add(data, "binary")
+    schema = StructType([*tokens.drop(data).schema.fields, StructField(data, BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = encoder(path, pattern)

@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from logtrail.llm.byte_text import slices
 from logtrail.session import configure
@@ -256,7 +257,7 @@ def pseudonymise_column(documents: DataFrame, key: bytes, text: str = "text", ba
     """All columns, ``text`` with pseudonyms, and ``pii_count``; a column of that name is replaced."""
     configure(documents.sparkSession)
     rows = documents.drop("pii_count")
-    schema = rows.schema.add("pii_count", "integer")
+    schema = StructType([*rows.schema.fields, StructField("pii_count", IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _, _ in slices(batches, text):
