@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logtrail.llm import byte_bpe, pseudonyms, url_model, warc_bundles
+from logtrail.llm import bit_sliced, byte_bpe, pseudonyms, toxicity, url_model, warc_bundles
 from logtrail.llm import sql_checks as sql
 from logtrail.session import configure, scratch_path
 
@@ -75,3 +76,23 @@ def op8_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     place = scratch_path(spark, "warc")
     warc_bundles.write_bundles(read(spark, folder, "pages"), place)
     return warc_bundles.read_records(spark, place).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query(sql.TOP_K)
+def op7_bit_sliced_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best rows by inner product for every fiftieth vector."""
+    rows = read(spark, folder, "embeddings").where(F.col("vec_id").isNotNull() & bit_sliced.usable(F.col("embedding")))
+    vectors = rows.select(F.col("vec_id").alias("id"), bit_sliced.quantised(F.col("embedding")).alias("numbers"))
+    # Of rows that share an id, the smallest vector asks.
+    queries = vectors.where(F.col("id") % 50 == 0).groupBy("id").agg(F.min("numbers").alias("numbers"))
+    return bit_sliced.top_k(vectors, queries, 5)
+
+
+@query()
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learnt from labelled documents outside the held-out third."""
+    documents, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    held_out = toxicity.fold(3, 1)
+    model = toxicity.train(documents, labels, held_out)
+    scored = toxicity.score(documents.select("doc_id", "text"), model, into="score")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))

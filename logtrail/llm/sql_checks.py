@@ -73,3 +73,13 @@ select page_id, payload_bytes::bigint payload_bytes,
   case when coalesce(page_id <> final, final is not null) then final end refers_to
 from digests join latest using (hex)
 """
+
+TOP_K = """
+with usable as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) x from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id query_id, c.vec_id, list_dot_product(q.x, c.x)::bigint score from usable q join usable c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int rank, vec_id, score from scored
+qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5
+"""

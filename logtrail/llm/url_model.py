@@ -80,7 +80,8 @@ def matching_rule(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -
 
 
 def _slot(codes: list[Column], kind: int) -> Column:
-    total = F.lit(kind * 4099).cast("bigint")
+    # Bound to a column, so that a run of no characters is still a key to join on.
+    total = F.lit(kind * 4099) + F.col("_n") * 0
     for code in codes:
         total = (total * 1009 + code) % SLOTS
     return total
@@ -92,7 +93,7 @@ def _positions(urls: DataFrame) -> DataFrame:
     at = urls.select("*", F.length(F.concat("_host", "_path")).alias("_n"), chars.alias("_chars"))
     at = at.select("*", F.explode(F.sequence(F.lit(0), F.col("_n"))).alias("_i"))
     codes = [F.ascii(F.get(F.col("_chars"), F.col("_i") + k)).cast("bigint") for k in range(RUN)]
-    at = at.select("_row", "_verdict", "_n", *(c.alias(f"_c{k}") for k, c in enumerate(codes)))
+    at = at.select("_row", "_verdict", F.col("_n").cast("bigint").alias("_n"), *(c.alias(f"_c{k}") for k, c in enumerate(codes)))
     code = [F.col(f"_c{k}") for k in range(RUN)]
     return at.select(
         "_row",
