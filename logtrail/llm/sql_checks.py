@@ -83,3 +83,22 @@ scored as (
 select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int rank, vec_id, score from scored
 qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5
 """
+
+JACCARD = """
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') w
+  from documents),
+sets as materialized (
+  select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) s
+  from words),
+classes as materialized (select min(doc_id) doc_id, s from (select doc_id, list_sort(s) s from sets) group by s),
+grams as materialized (select doc_id, len(s) n, unnest(s) g from classes),
+links as materialized (
+  select a.doc_id a, b.doc_id b from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id and 10 * a.n >= 9 * b.n and 10 * b.n >= 9 * a.n
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach as (select doc_id a, doc_id b from classes where len(s) > 0 union select reach.a, links.b from reach join links on reach.b = links.a),
+roots as (select a doc_id, min(b) component_id from reach group by a)
+select sets.doc_id, len(sets.s)::bigint n_shingles, coalesce(roots.component_id, sets.doc_id) component_id
+from sets left join classes on list_sort(sets.s) = classes.s left join roots on roots.doc_id = classes.doc_id
+"""
