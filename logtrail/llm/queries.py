@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtrail.llm import bit_sliced, byte_bpe, jaccard_rtree, pseudonyms, toxicity, url_model, warc_bundles
+from logtrail.llm import bit_sliced, byte_bpe, decontaminate, jaccard_rtree, pseudonyms, toxicity, url_model, warc_bundles
 from logtrail.llm import sql_checks as sql
 from logtrail.session import configure, scratch_path
 
@@ -102,3 +102,9 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op9_jaccard_rtree(spark: SparkSession, folder: str) -> DataFrame:
     """Component of every document under a Jaccard similarity of 0.9 of three-word shingles."""
     return jaccard_rtree.near_duplicates(read(spark, folder, "documents"), 3, 90).drop("text_key")
+
+
+@query()
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items in documents, with the edits of the best alignment."""
+    return decontaminate.matches(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
