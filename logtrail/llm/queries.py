@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtrail.llm import bit_sliced, byte_bpe, decontaminate, jaccard_rtree, pseudonyms, toxicity, url_model, warc_bundles
+from logtrail.llm import bit_sliced, byte_bpe, decontaminate, jaccard_rtree, pseudonyms, repeats, toxicity, url_model, warc_bundles
 from logtrail.llm import sql_checks as sql
 from logtrail.session import configure, scratch_path
 
@@ -108,3 +108,9 @@ def op9_jaccard_rtree(spark: SparkSession, folder: str) -> DataFrame:
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items in documents, with the edits of the best alignment."""
     return decontaminate.matches(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query()
+def op3_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the strings of 400 bytes that occur again."""
+    return repeats.without_repeats(read(spark, folder, "documents"), 400)
