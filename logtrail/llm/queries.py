@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtrail.llm import bit_sliced, byte_bpe, decontaminate, jaccard_rtree, pseudonyms, repeats, toxicity, url_model, warc_bundles
+from logtrail.llm import bit_sliced, byte_bpe, decontaminate, jaccard_rtree, pseudonyms, quality_votes, repeats, toxicity, url_model, warc_bundles
 from logtrail.llm import sql_checks as sql
 from logtrail.session import configure, scratch_path
 
@@ -114,3 +114,13 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op3_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the strings of 400 bytes that occur again."""
     return repeats.without_repeats(read(spark, folder, "documents"), 400)
+
+
+@query()
+def op5_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learnt from labelled documents outside the held-out fifth."""
+    documents, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    held_out = toxicity.fold(5, 0)
+    voters = quality_votes.train(documents, labels, held_out)
+    scored = quality_votes.score(documents.select("doc_id", "text"), voters, into="score")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality_votes.THRESHOLD).cast("int").alias("predicted"))

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from logtrail.llm.byte_text import hash_words, lower_ascii, slices, word_spans
 from logtrail.session import configure
@@ -338,17 +339,17 @@ def _with_curve(model: Model, texts: list[tuple[str, int]]) -> Model:
     return Model(model.weights, model.bias, best[1], best[2])
 
 
-def training_sample(documents: DataFrame, labels: DataFrame, label: str, held_out) -> list[tuple[str, int]]:
-    """At most TRAIN_TEXTS texts of each kind, chosen by a hash of their number."""
+def training_sample(documents: DataFrame, labels: DataFrame, label: str, held_out, texts: int = TRAIN_TEXTS, chars: int = TRAIN_CHARS) -> list[tuple[str, int]]:
+    """At most ``texts`` texts of each kind, chosen by a hash of their number."""
     known = labels.where(~held_out).where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("_label"))
     chosen = None
     for kind in (0, 1):
-        some = known.where(F.col("_label") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_TEXTS)
+        some = known.where(F.col("_label") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(texts)
         chosen = some if chosen is None else chosen.unionByName(some)
-    rows = documents.select("doc_id", "text").where(F.length("text") <= TRAIN_CHARS)
-    # At most 2 * TRAIN_TEXTS rows of two numbers: a bounded broadcast.
+    rows = documents.select("doc_id", "text").where(F.length("text") <= chars)
+    # At most 2 * texts rows of two numbers: a bounded broadcast.
     joined = rows.join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id").select("doc_id", "text", "_label")
-    found = joined.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * TRAIN_TEXTS).collect()
+    found = joined.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * texts).collect()
     return [(r["text"], r["_label"]) for r in found]
 
 
@@ -365,8 +366,6 @@ def train(documents: DataFrame, labels: DataFrame, held_out=None) -> Model:
 
 def score(documents: DataFrame, model: Model, text: str = "text", into: str = "toxicity") -> DataFrame:
     """All columns, and the score of ``text``; a column of that name is replaced."""
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
     rows = documents.drop(into)
     sent = documents.sparkSession.sparkContext.broadcast(model)  # one table of 32**4 weights, whatever the data
 
