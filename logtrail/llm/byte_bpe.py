@@ -17,6 +17,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -93,7 +94,7 @@ class Encoder:
                     merged.append(rank)
         self._pairs = PairTable(*(np.array(x, np.int64) for x in (left, right, merged)))
         self._whole = {token: (rank,) for token, rank in ranks.items()}
-        self._known: dict[str, tuple[str, int, bytes]] = {}
+        self._known: dict[str, tuple[str, int, bytes, tuple[int, ...]]] = {}
 
     def merge_rows(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Token ids of each piece; the pieces should be of similar length."""
@@ -194,14 +195,14 @@ class Encoder:
             self._remember(word, ids.tolist())
 
     def _remember(self, word: str, ids) -> None:
-        self._known[word] = (" ".join(map(str, ids)), len(ids), self.decode(ids))
+        self._known[word] = (" ".join(map(str, ids)), len(ids), self.decode(ids), tuple(ids))
 
     def decode(self, ids) -> bytes:
         """The bytes of token ids."""
         tokens = self._tokens
         return b"".join([tokens[i] for i in ids])
 
-    def _ready(self, texts: list[str]) -> Iterator[list[tuple[str, int, bytes]]]:
+    def _ready(self, texts: list[str]) -> Iterator[list[tuple[str, int, bytes, tuple[int, ...]]]]:
         """What is remembered of the pieces of each text; new pieces of all texts are encoded together."""
         split = [self._pattern.findall(text) for text in texts]
         known = self._known
@@ -215,7 +216,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Token ids of each text, special tokens' strings as ordinary text."""
-        return [[int(i) for ids, _, _ in parts for i in ids.split()] for parts in self._ready(texts)]
+        return [list(chain.from_iterable([p[3] for p in parts])) for parts in self._ready(texts)]
 
     def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """Number of tokens, SHA-256 of the ids as decimals with one space between, SHA-256 of the decoded bytes."""
@@ -256,7 +257,7 @@ def decode(tokens: DataFrame, path: str, pattern: str, ids: str = "token_ids", d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = encoder(path, pattern)
-        for rows in batches:
+        for rows in (batch.slice(begin, 256) for batch in batches for begin in range(0, batch.num_rows, 256)):
             found = [use.decode(i or []) for i in rows.column(rows.schema.get_field_index(ids)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, pa.binary())], [*rows.schema.names, data])
 

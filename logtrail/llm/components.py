@@ -15,6 +15,13 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.parquet(place)
 
 
+def fresh_name(rows: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the rows do not have."""
+    while name in rows.columns:
+        name = f"_{name}"
+    return name
+
+
 def components(pairs: DataFrame) -> DataFrame:
     """``node, component`` (the smallest number reachable) of every number in the two columns of ``pairs``.
 

@@ -8,10 +8,11 @@ their points lie within D of each other. Two uses are made of that:
 * Routing. If the groups are cut into more than D blocks, one block is the
   same in both. Documents of like size (size classes with a ratio of 1.5, the
   upper tenth of a class goes with the next class as well) therefore meet
-  under the key of at least one block. Documents that share a block of three
-  n-grams or more form a family, found as connected components. Blocks of less are
-  too common to join by; documents that meet under such a key, and not in a
-  family, are compared under that key.
+  under the key of at least one block. Documents that share a block of a few
+  n-grams form a family, found as connected components. Blocks of less are
+  too common for that; documents that meet under such a key, and not in a
+  family, are compared under that key by their points alone, and the few pairs
+  that are left on their sets.
 * R-tree. The members of a family or key are the points of a tree whose first
   level is size (only neighbouring size bands can link), whose second level
   are leaves of at most about ``LEAF`` points, and whose third level are boxes
@@ -40,13 +41,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtrail.llm.byte_text import hash_words, lower_ascii, mix, ngram_hashes, slices, word_spans
-from logtrail.llm.components import components, stored
+from logtrail.llm.components import components, fresh_name, stored
+from logtrail.llm.key_filter import bitmap, may_hold
 from logtrail.session import configure
 
 #: Coordinates of a point, points of a leaf and of a box.
 GROUPS, LEAF, BOX = 64, 128, 8
-#: Blocks of fewer n-grams are weak keys.
-STRONG = 3
+def strong_from(percent: int) -> int:
+    """N-grams of a block below which its key is weak; lower similarity makes more and smaller blocks."""
+    return 3 if percent >= 88 else 2
+
+
 
 
 def ngram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,6 +82,12 @@ def set_ids(grams: np.ndarray, of: np.ndarray, rows: int) -> np.ndarray:
     return mix(total + size * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
+def points_of(grams: np.ndarray, of: np.ndarray, rows: int) -> np.ndarray:
+    """Counts of n-grams per group, a row per set."""
+    group = (grams % np.uint64(GROUPS)).astype(np.int64)
+    return np.bincount(of * GROUPS + group, minlength=rows * GROUPS).reshape(rows, GROUPS).astype(np.int32)
+
+
 class SizeClasses:
     """Classes of sizes, and how many blocks the groups are cut into for each."""
 
@@ -113,7 +124,7 @@ def block_keys(grams: np.ndarray, of: np.ndarray, size: np.ndarray, classes: Siz
         doc = np.repeat(np.arange(len(size)), np.where(used, blocks, 0))
         number = np.arange(base[-1]) - base[doc]
         key = mix(total + mix(scheme[doc].astype(np.uint64) << np.uint64(40) | number.astype(np.uint64)) + count.astype(np.uint64))
-        yield doc, key.view(np.int64), count < STRONG
+        yield doc, key.view(np.int64), count < strong_from(classes.percent)
 
 
 def _lists(doc: np.ndarray, values: np.ndarray, rows: int) -> pa.Array:
@@ -122,7 +133,7 @@ def _lists(doc: np.ndarray, values: np.ndarray, rows: int) -> pa.Array:
 
 
 def described(documents: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, key of the text, size and number of its set, strong and weak block keys."""
+    """doc_id, key of the text, size and number of its set, strong and weak block keys, and its point."""
     classes = SizeClasses(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,10 +146,11 @@ def described(documents: DataFrame, n: int, percent: int) -> DataFrame:
             doc, key, weak = (part[order] for part in found)
             ids = pa.array(set_ids(grams, of, rows), mask=size == 0)
             keys = [_lists(doc[chosen], key[chosen], rows) for chosen in (~weak, weak)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64()), ids, *keys], ["doc_id", "text_key", "size", "set_id", "strong", "weak"])
+            point = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * GROUPS), pa.array(points_of(grams, of, rows).ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64()), ids, *keys, point], ["doc_id", "text_key", "size", "set_id", "strong", "weak", "point"])
 
     source = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return source.mapInArrow(run, "doc_id bigint, text_key bigint, size bigint, set_id bigint, strong array<bigint>, weak array<bigint>")
+    return source.mapInArrow(run, "doc_id bigint, text_key bigint, size bigint, set_id bigint, strong array<bigint>, weak array<bigint>, point array<int>")
 
 
 def sets_of(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -153,7 +165,14 @@ def sets_of(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
             rows = pa.RecordBatch.from_arrays([batch.column(0), _lists(of, grams.view(np.int64), batch.num_rows)], ["set_id", "grams"])
             yield rows.filter(right)
 
-    joined = documents.select(F.xxhash64("text").alias("text_key"), "text").join(wanted, "text_key").select("set_id", "text")
+    bits = bitmap(wanted.select("text_key"))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(bits.value, np.asarray(batch.column(0)))))
+
+    texts = documents.select(F.xxhash64("text").alias("text_key"), "text").mapInArrow(some, "text_key bigint, text string")
+    joined = texts.join(wanted, "text_key").select("set_id", "text")
     return joined.mapInArrow(run, "set_id bigint, grams array<bigint>")
 
 
@@ -164,10 +183,38 @@ def _boxes(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.maximum.reduceat(points[order], first, 0) if len(points) else points
 
 
-def linked_pairs(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
-    """Links between two leaves (or within one) that connect all that is linked; sets are sorted arrays."""
-    same = right is None
-    sets = left if same else left + right
+def close_points(points: np.ndarray, cut: int | None, percent: int) -> Iterator[tuple[int, int]]:
+    """Pairs of points (within all, or across ``cut``) whose summed minima reach the overlap that a link needs."""
+    size = points.sum(1)
+    a, b = (points, points) if cut is None else (points[:cut], points[cut:])
+    if not len(a) or not len(b):
+        return
+    order_a, top_a = _boxes(a)
+    order_b, top_b = (order_a, top_a) if cut is None else _boxes(b)
+    size_a, size_b = (size, size) if cut is None else (size[:cut], size[cut:])
+    least_a = np.minimum.reduceat(size_a[order_a], np.arange(0, len(a), BOX))
+    least_b = np.minimum.reduceat(size_b[order_b], np.arange(0, len(b), BOX))
+    of_box = np.arange(len(b)) // BOX
+    for i in range(len(top_a)):
+        # A link needs an overlap of p * (x + y) / (100 + p) at least; a box's smallest sizes give the least of that.
+        bound = np.minimum(top_a[i], top_b).sum(1)
+        boxes = (100 + percent) * bound >= percent * (least_a[i] + least_b)
+        if cut is None:
+            boxes[:i] = False
+        columns = order_b[boxes[of_box]]
+        if not len(columns):
+            continue
+        rows = order_a[i * BOX : (i + 1) * BOX]
+        overlap = np.minimum(a[rows][:, None, :], b[columns][None, :, :]).sum(2)
+        close = (100 + percent) * overlap >= percent * (size_a[rows][:, None] + size_b[columns][None, :])
+        for r, c in zip(*np.nonzero(close), strict=True):
+            x, y = int(rows[r]), int(columns[c]) + (cut or 0)
+            if x != y:
+                yield x, y
+
+
+def linked_pairs(sets: list[np.ndarray], cut: int | None, percent: int) -> list[tuple[int, int]]:
+    """Links within some sets (sorted arrays), or across ``cut``, that connect all that is linked."""
     parent = list(range(len(sets)))
 
     def root(x: int) -> int:
@@ -176,34 +223,11 @@ def linked_pairs(left: list[np.ndarray], right: list[np.ndarray] | None, percent
             x = parent[x]
         return x
 
-    points = np.zeros((len(sets), GROUPS), np.int32)
-    for k, grams in enumerate(sets):
-        points[k] = np.bincount((grams.view(np.uint64) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
-    size = points.sum(1)
-    cut = len(left)
-    a, b = (points, points) if same else (points[:cut], points[cut:])
-    order_a, top_a = _boxes(a)
-    order_b, top_b = (order_a, top_a) if same else _boxes(b)
-    size_a, size_b = size[:cut], size if same else size[cut:]
-    least_a = np.minimum.reduceat(size_a[order_a], np.arange(0, len(a), BOX)) if len(a) else size_a
-    least_b = np.minimum.reduceat(size_b[order_b], np.arange(0, len(b), BOX)) if len(b) else size_b
+    of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    points = points_of(np.concatenate(sets).view(np.uint64), of, len(sets))
     out: list[tuple[int, int]] = []
-    for i in range(len(top_a)):
-        # A link needs an overlap of at least p * (x + y) / (100 + p); a box's smallest sizes give the least of that.
-        bound = np.minimum(top_a[i], top_b).sum(1)
-        boxes = np.flatnonzero((100 + percent) * bound >= percent * (least_a[i] + least_b))
-        if same:
-            boxes = boxes[boxes >= i]
-        if not len(boxes):
-            continue
-        rows = order_a[i * BOX : (i + 1) * BOX]
-        columns = order_b[(boxes[:, None] * BOX + np.arange(BOX)).ravel()[: None]] if len(b) % BOX == 0 else order_b[np.concatenate([np.arange(k * BOX, min(k * BOX + BOX, len(b))) for k in boxes])]
-        overlap = np.minimum(a[rows][:, None, :], b[columns][None, :, :]).sum(2)
-        ok = (100 + percent) * overlap >= percent * (size_a[rows][:, None] + size_b[columns][None, :])
-        for r, c in zip(*np.nonzero(ok), strict=True):
-            x, y = int(rows[r]), int(columns[c]) + (0 if same else cut)
-            if x == y or root(x) == root(y):
-                continue
+    for x, y in close_points(points, cut, percent):
+        if root(x) != root(y):
             shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
             if 100 * shared >= percent * (len(sets[x]) + len(sets[y]) - shared):
                 parent[root(y)] = root(x)
@@ -211,70 +235,153 @@ def linked_pairs(left: list[np.ndarray], right: list[np.ndarray] | None, percent
     return out
 
 
-def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (``a, b``) within groups: ``members`` has ``grp, set_id``; at least what connects all that is linked."""
-    rows = members.join(sets, "set_id").withColumn("band", F.floor(F.log(F.size("grams").cast("double")) / F.log(F.lit(100.0 / percent))))
-    rows = stored(rows, "members")
+def dealt_leaves(members: DataFrame, size, percent: int) -> DataFrame:
+    """Every member (with ``grp``, ``set_id``) once per pair of leaves it belongs to: l1, l2, r1, r2, is_left."""
+    # Sizes of linked sets lie in the same or in neighbouring bands.
+    rows = stored(members.withColumn("band", F.floor(F.log(size.cast("double")) / F.log(F.lit(100.0 / percent)))), "members")
     # Sizes lie in some hundred bands at most, so the map of a group is small.
     leaves = rows.groupBy("grp", "band").agg(F.ceil(F.count("*") / F.lit(LEAF)).cast("int").alias("leaves"))
     leaves = stored(leaves.groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("band", "leaves"))).alias("leaves")), "leaves")
     dealt = rows.join(leaves, "grp")
-    leaf = F.pmod(F.xxhash64("set_id"), F.try_element_at("leaves", F.col("band")))
+    own = F.struct("band", F.pmod(F.xxhash64("set_id"), F.try_element_at("leaves", F.col("band"))).alias("slot"))
     partners = F.flatten(
         F.transform(
             F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1),
             lambda band: F.transform(
-                F.sequence(F.lit(0), F.coalesce(F.try_element_at(F.col("leaves"), band), F.lit(0)) - 1),
+                F.sequence(F.lit(0), F.coalesce(F.try_element_at(F.col("leaves"), band), F.lit(0))),
                 lambda slot: F.struct(band.alias("band"), slot.cast("bigint").alias("slot")),
             ),
         )
     )
-    # sequence(0, -1) counts down: slots below 0 do not exist.
-    partners = F.filter(partners, lambda p: (p["slot"] >= 0) & (p["slot"] < F.coalesce(F.try_element_at(F.col("leaves"), p["band"]), F.lit(0))))
-    dealt = dealt.select("grp", "set_id", "grams", F.struct("band", leaf.alias("slot")).alias("own"), F.explode(partners).alias("other"))
-    dealt = dealt.select("grp", F.least("own", "other").alias("l"), F.greatest("own", "other").alias("r"), (F.col("own") <= F.col("other")).alias("is_left"), "set_id", "grams")
-    dealt = dealt.select("grp", F.col("l.band").alias("l1"), F.col("l.slot").alias("l2"), F.col("r.band").alias("r1"), F.col("r.slot").alias("r2"), "is_left", "set_id", "grams")
+    # The sequences go one too far, so that they are never empty.
+    partners = F.filter(partners, lambda p: p["slot"] < F.coalesce(F.try_element_at(F.col("leaves"), p["band"]), F.lit(0)))
+    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(partners))
+    pair = {"l1": F.least("own", "other")["band"], "l2": F.least("own", "other")["slot"], "r1": F.greatest("own", "other")["band"], "r2": F.greatest("own", "other")["slot"]}
+    return dealt.withColumns(pair | {"is_left": F.col("own") <= F.col("other")}).drop("own", "other", "band", "leaves")
+
+
+_PAIR = ("grp", "l1", "l2", "r1", "r2")
+
+
+def _arranged(table: pa.Table) -> tuple[pa.Table, int | None]:
+    """The left leaf's rows, then the right one's, and where these begin; None for a leaf with itself."""
+    if table.column("l1")[0] == table.column("r1")[0] and table.column("l2")[0] == table.column("r2")[0]:
+        return table, None
+    left = np.asarray(table.column("is_left"))
+    return table.take(pa.array(np.concatenate([np.flatnonzero(left), np.flatnonzero(~left)]))), int(left.sum())
+
+
+def _pairs(ids: np.ndarray, found: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"a": pa.array([ids[x] for x, _ in found], pa.int64()), "b": pa.array([ids[y] for _, y in found], pa.int64())})
+
+
+def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (``a, b``) within families: ``members`` has ``grp, set_id``; at least what connects all that is linked."""
 
     def join(table: pa.Table) -> pa.Table:
-        left = np.asarray(table.column("is_left"))
-        ids = np.asarray(table.column("set_id"))
+        table, cut = _arranged(table)
         grams = table.column("grams").combine_chunks()
         values, offsets = np.asarray(grams.flatten()), np.concatenate([[0], np.cumsum(np.asarray(grams.value_lengths()))])
-        within = table.column("l1")[0] == table.column("r1")[0] and table.column("l2")[0] == table.column("r2")[0]
-        order = np.arange(len(ids)) if within else np.concatenate([np.flatnonzero(left), np.flatnonzero(~left)])
-        sets = [values[offsets[k] : offsets[k + 1]] for k in order]
-        cut = int(left.sum())
-        pairs = linked_pairs(sets, None, percent) if within else linked_pairs(sets[:cut], sets[cut:], percent)
-        ids = ids[order]
-        return pa.table({"a": pa.array([ids[x] for x, _ in pairs], pa.int64()), "b": pa.array([ids[y] for _, y in pairs], pa.int64())})
+        found = linked_pairs([values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], cut, percent)
+        return _pairs(np.asarray(table.column("set_id")), found)
 
-    return dealt.groupBy("grp", "l1", "l2", "r1", "r2").applyInArrow(join, "a bigint, b bigint")
+    dealt = dealt_leaves(members.join(sets, "set_id"), F.size("grams"), percent)
+    return dealt.groupBy(*_PAIR).applyInArrow(join, "a bigint, b bigint")
 
 
-def near_duplicates(documents: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, text_key, n_shingles and component_id of every row of ``documents``."""
+def close_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs that the points leave, across families: ``members`` has ``grp, set_id, family, size, point``."""
+
+    def join(table: pa.Table) -> pa.Table:
+        table, cut = _arranged(table)
+        points = np.asarray(table.column("point").combine_chunks().flatten()).reshape(-1, GROUPS)
+        family = np.asarray(table.column("family"))
+        found = [(x, y) for x, y in close_points(points, cut, percent) if family[x] != family[y]]
+        return _pairs(np.asarray(table.column("set_id")), found)
+
+    dealt = dealt_leaves(members, F.col("size"), percent)
+    return dealt.groupBy(*_PAIR).applyInArrow(join, "a bigint, b bigint").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole sets are similar enough."""
+    left, right = (sets.select(F.col("set_id").alias(c), F.col("grams").alias(f"_{c}")) for c in ("a", "b"))
+    both = pairs.join(left, "a").join(right, "b").withColumn("_shared", F.size(F.array_intersect("_a", "_b")))
+    return both.where(100 * F.col("_shared") >= percent * (F.size("_a") + F.size("_b") - F.col("_shared"))).select("a", "b")
+
+
+def classes(documents: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, text_key, size and class of every row; the class is null without n-grams."""
     configure(documents.sparkSession)
     rows = stored(described(documents, n, percent), "described")
-    keys = rows.where("set_id is not null").select("set_id", F.explode("strong").alias("key"), F.lit(False).alias("weak"))
-    keys = keys.unionByName(rows.where("set_id is not null").select("set_id", F.explode("weak").alias("key"), F.lit(True).alias("weak")))
-    shared = stored(keys.groupBy("key").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("_last")).where("pivot <> _last").drop("_last"), "keys")
-    met = stored(keys.join(shared, "key").select("key", "weak", "set_id", "pivot"), "met")
-    families = stored(components(met.where("not weak").select("set_id", "pivot").distinct()), "families")
-    weak = met.where("weak").select("key", "set_id").distinct()
-    weak = weak.join(families.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("family", F.coalesce("component", "set_id")).drop("component")
+    some = rows.where("set_id is not null")
+    keys = some.select("set_id", F.explode("strong").alias("key"), F.lit(False).alias("weak"))
+    keys = keys.unionByName(some.select("set_id", F.explode("weak").alias("key"), F.lit(True).alias("weak")))
+    shared = keys.groupBy("key").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("_last")).where("pivot <> _last").drop("_last")
+    shared = stored(shared, "keys")
+    met = stored(_meeting(some, bitmap(shared.select("key"))).join(shared, "key").select("key", "weak", "set_id", "pivot"), "met")
+    families = stored(components(met.where("not weak").select("set_id", "pivot").distinct()), "families").withColumnRenamed("node", "set_id").withColumnRenamed("component", "family")
+    weak = met.where("weak").select("key", "set_id").distinct().join(families, "set_id", "left").withColumn("family", F.coalesce("family", "set_id"))
     weak = stored(weak, "weak")
     across = stored(weak.groupBy("key").agg(F.min("family").alias("_f"), F.max("family").alias("_l")).where("_f <> _l").select("key"), "across")
-    grouped = families.select(F.col("component").alias("grp"), F.col("node").alias("set_id"))
-    grouped = stored(grouped.unionByName(weak.join(across, "key").select(F.col("key").alias("grp"), "set_id")), "grouped")
-    wanted = grouped.select("set_id").distinct()
-    text_of = rows.groupBy("set_id").agg(F.min("text_key").alias("text_key"))
-    wanted = stored(text_of.join(wanted, "set_id"), "wanted")
+    one = stored(some.groupBy("set_id").agg(F.min("text_key").alias("text_key"), F.min("size").alias("size"), F.min("point").alias("point")), "nodes")
+    loose = weak.join(across, "key").withColumnRenamed("key", "grp").join(one.select("set_id", "size", "point"), "set_id")
+    pairs = stored(close_pairs(loose, percent), "pairs")
+    wanted = families.select("set_id").unionByName(pairs.select(F.col("a").alias("set_id"))).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
+    wanted = stored(one.select("set_id", "text_key").join(wanted, "set_id"), "wanted")
     sets = stored(sets_of(documents, wanted, n).dropDuplicates(["set_id"]), "sets")
-    found = stored(links(grouped, sets, percent), "links")
-    labels = stored(components(found), "labels")
-    slim = rows.select("doc_id", "text_key", "size", "set_id")
-    slim = slim.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-    slim = stored(slim.withColumn("_class", F.coalesce("component", "set_id")).drop("component"), "classes")
-    first = stored(slim.where("_class is not null").groupBy("_class").agg(F.min("doc_id").alias("component_id")), "firsts")
-    out = slim.join(first, "_class", "left")
-    return out.select("doc_id", "text_key", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    found = links(families.withColumnRenamed("family", "grp"), sets, percent).unionByName(verified(pairs, sets, percent))
+    labels = stored(components(stored(found, "links")), "labels").withColumnRenamed("node", "set_id")
+    slim = rows.select("doc_id", "text_key", "size", "set_id").join(labels, "set_id", "left")
+    return stored(slim.withColumn("class", F.coalesce("component", "set_id")).drop("component", "set_id"), "classes")
+
+
+def _meeting(rows: DataFrame, bits) -> DataFrame:
+    """key, weak, set_id of the block keys that may be shared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = np.asarray(batch.column(0))
+            for column, weak in ((1, False), (2, True)):
+                lists = batch.column(column)
+                keys, owner = np.asarray(lists.flatten()), np.repeat(ids, np.asarray(lists.value_lengths()))
+                held = may_hold(bits.value, keys)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[held]), pa.array(np.full(int(held.sum()), weak)), pa.array(owner[held])], ["key", "weak", "set_id"])
+
+    return rows.select("set_id", "strong", "weak").mapInArrow(run, "key bigint, weak boolean, set_id bigint")
+
+
+def near_duplicates(documents: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest doc_id of the class) of every row of ``documents``."""
+    rows = classes(documents, n, percent)
+    first = stored(rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("component_id")), "firsts")
+    return rows.join(first, "class", "left").select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(documents: DataFrame, n: int, percent: int) -> DataFrame:
+    """The documents, of each class the one with the smallest doc_id (nulls last), once; those without n-grams all stay."""
+    rows = classes(documents, n, percent).where("class is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("_n"), "doc_id", "text_key")
+    first = stored(rows.groupBy("class").agg(F.min(order).alias("first")), "firsts")
+    told = rows.join(first, "class").select("doc_id", "text_key", (order == F.col("first")).alias("stays"))
+    told = told.groupBy("doc_id", "text_key").agg(F.bool_or("stays").alias("stays"), F.count("*").alias("n")).where("n > 1 or not stays")
+    told = stored(told.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_text"), "stays"), "told")
+    key = fresh_name(documents, "text_key")
+    keyed = documents.withColumn(key, F.xxhash64("text"))
+    bits = bitmap(told.select("_text"))
+
+    def chosen(held: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keys = np.asarray(batch.column(batch.num_columns - 1))
+                yield batch.filter(pa.array(may_hold(bits.value, keys) == held))
+
+        return keyed.mapInArrow(run, keyed.schema)
+
+    # Only texts that some row loses are shuffled; the rest stays where it is.
+    stays = fresh_name(keyed, "stays")
+    match = chosen(True).join(told.withColumnRenamed("stays", stays), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col(key) == F.col("_text")), "left").drop("_doc", "_text")
+    match = stored(match, "matched")
+    alone = match.where(F.col(stays).isNull()).drop(stays)
+    once = match.where(F.col(stays)).drop(stays).dropDuplicates(["doc_id", key])
+    return chosen(False).unionByName(alone).unionByName(once).drop(key)

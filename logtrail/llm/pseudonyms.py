@@ -253,11 +253,11 @@ def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, list[t
     return "".join([*out, text[at:]]), [(name, begin, end) for begin, end, name, _ in taken]
 
 
-def pseudonymise_column(documents: DataFrame, key: bytes, text: str = "text", back: bool = False) -> DataFrame:
-    """All columns, ``text`` with pseudonyms, and ``pii_count``; a column of that name is replaced."""
+def pseudonymise_column(documents: DataFrame, key: bytes, text: str = "text", back: bool = False, into: str = "pii_count") -> DataFrame:
+    """All columns, ``text`` with pseudonyms, and the number of values; a column of that name is replaced."""
     configure(documents.sparkSession)
-    rows = documents.drop("pii_count")
-    schema = StructType([*rows.schema.fields, StructField("pii_count", IntegerType())])
+    rows = documents.drop(into)
+    schema = StructType([*rows.schema.fields, StructField(into, IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _, _ in slices(batches, text):
@@ -266,6 +266,6 @@ def pseudonymise_column(documents: DataFrame, key: bytes, text: str = "text", ba
             columns = list(batch.columns)
             columns[at] = pa.array([t for t, _ in done], batch.schema.field(at).type)
             counts = pa.array([len(found) for _, found in done], pa.int32())
-            yield pa.RecordBatch.from_arrays([*columns, counts], [*batch.schema.names, "pii_count"])
+            yield pa.RecordBatch.from_arrays([*columns, counts], [*batch.schema.names, into])
 
     return rows.mapInArrow(run, schema)

@@ -101,7 +101,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query(sql.JACCARD)
 def op9_jaccard_rtree(spark: SparkSession, folder: str) -> DataFrame:
     """Component of every document under a Jaccard similarity of 0.9 of three-word shingles."""
-    return jaccard_rtree.near_duplicates(read(spark, folder, "documents"), 3, 90).drop("text_key")
+    return jaccard_rtree.near_duplicates(read(spark, folder, "documents"), 3, 90)
 
 
 @query()
@@ -124,3 +124,11 @@ def op5_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     voters = quality_votes.train(documents, labels, held_out)
     scored = quality_votes.score(documents.select("doc_id", "text"), voters, into="score")
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality_votes.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query()
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents through all stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
