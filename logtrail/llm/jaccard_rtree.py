@@ -33,6 +33,7 @@ one component); rows with a null doc_id take part, and count for no smallest id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,30 +90,50 @@ def points_of(grams: np.ndarray, of: np.ndarray, rows: int) -> np.ndarray:
 
 
 class SizeClasses:
-    """Classes of sizes, and how many blocks the groups are cut into for each."""
+    """Classes of sizes, and how many blocks the groups are cut into for each.
+
+    With D blocks spoilt at most and w blocks more than D + 1, more than w
+    blocks are the same in both documents. So one that has at most w weak
+    blocks shares a strong one with every partner; only documents with more
+    need their weak keys. The spare w covers most documents of a class.
+    """
 
     def __init__(self, percent: int):
-        self.percent = percent
+        self.percent, self.strong = percent, strong_from(percent)
         bounds = [1]
         while bounds[-1] < 1 << 40:
             bounds.append(max(bounds[-1] + 1, bounds[-1] * 3 // 2))
         self._bounds = np.array(bounds, np.int64)
         # Both sizes are below the next class's bound: D <= 2 * (bound - 1) * (100 - p) / (100 + p).
-        self._blocks = np.append(2 * (self._bounds[1:] - 1) * (100 - percent) // (100 + percent) + 1, 1)
-
-    def schemes(self, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Class of each size, then the next class for those that may link upwards (-1 for the others)."""
+        spoilt = 2 * (self._bounds[1:] - 1) * (100 - percent) // (100 + percent)
+        spare = [self._spare(int(d), (low * high) ** 0.5) for d, low, high in zip(spoilt, bounds[:-1], bounds[1:], strict=True)]
+        self._spare_of = np.append(np.array(spare, np.int64), 0)
+        self._blocks = np.append(np.where(spoilt > 0, spoilt + 1 + self._spare_of[:-1], 1), 1)
+
+    def _spare(self, spoilt: int, size: float) -> int:
+        """Least w that covers the expected weak blocks of a set of that size and some more; bounded."""
+        step = max(1, spoilt // 64)
+        for w in range(0, spoilt // 2 + 1, step):
+            blocks = spoilt + 1 + w
+            mean = size / blocks
+            weak = blocks * sum(math.exp(-mean) * mean**k / math.factorial(k) for k in range(self.strong))
+            if w >= weak + 2 * math.sqrt(weak):
+                return w
+        return spoilt // 3
+
+    def schemes(self, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Class of each size with its blocks and spare, then the same of the next class for those that may link upwards (-1 for the others)."""
         own = np.searchsorted(self._bounds, size, "right") - 1
-        yield own, self._blocks[own]
+        yield own, self._blocks[own], self._spare_of[own]
         up = np.where(100 * size >= self.percent * self._bounds[own + 1], own + 1, -1)
-        yield up, self._blocks[up]
+        yield up, self._blocks[up], self._spare_of[up]
 
 
 def block_keys(grams: np.ndarray, of: np.ndarray, size: np.ndarray, classes: SizeClasses) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Text number, key, and whether it is weak, of every block of every set."""
+    """Text number, key, and whether it is weak, of the blocks of every set that can be needed."""
     spread = mix(grams ^ np.uint64(0x2545F4914F6CDD1D))
     content = mix(grams + np.uint64(0x1B873593CC9E2D51))
-    for scheme, blocks in classes.schemes(size):
+    for scheme, blocks, spare in classes.schemes(size):
         # One block for all: only equal sets link, and those are one already.
         used = (scheme >= 0) & (blocks > 1)
         base = np.concatenate([[0], np.cumsum(np.where(used, blocks, 0))])
@@ -124,7 +145,9 @@ def block_keys(grams: np.ndarray, of: np.ndarray, size: np.ndarray, classes: Siz
         doc = np.repeat(np.arange(len(size)), np.where(used, blocks, 0))
         number = np.arange(base[-1]) - base[doc]
         key = mix(total + mix(scheme[doc].astype(np.uint64) << np.uint64(40) | number.astype(np.uint64)) + count.astype(np.uint64))
-        yield doc, key.view(np.int64), count < strong_from(classes.percent)
+        weak = count < classes.strong
+        needed = ~weak | (np.bincount(doc[weak], minlength=len(size)) > spare)[doc]
+        yield doc[needed], key[needed].view(np.int64), weak[needed]
 
 
 def _lists(doc: np.ndarray, values: np.ndarray, rows: int) -> pa.Array:
