@@ -8,6 +8,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtrail.operators.aggregates import run_summary, schema_drift, schema_fingerprints
@@ -69,12 +70,22 @@ def options_from(args: argparse.Namespace) -> merging.MergeOptions:
         preprocess=load_preprocess(args.call_preprocess_func_in_module_before_import),
         move_imported_to=args.move_imported_azm_files_to_folder,
         move_failed_to=args.move_failed_import_azm_files_to_folder,
+        input_root=args.azm_file,
     )
 
 
+def put_out(rows: DataFrame) -> None:
+    """Print all rows, a partition at a time, as tab-separated text."""
+    print(*rows.columns, sep="\t")
+    for row in rows.toLocalIterator():
+        print(*row, sep="\t")
+
+
 def main(argv: list[str] | None = None) -> int:
     """Run; 0 when every file came through, else 1."""
     args = parser().parse_args(argv)
+    if args.daemon_mode_rerun_on_folder_after_seconds is not None and (args.dry or args.unmerge):
+        parser().error("the daemon mode merges: it takes neither --dry nor --unmerge")
     spark = build_session()
     layout = stores.PER_LOG if args.folder_per_log else stores.PER_BATCH
     month = stores.BY_ROW_MONTH if args.partition_by_row_month else stores.BY_LOG_MONTH
@@ -87,20 +98,20 @@ def main(argv: list[str] | None = None) -> int:
     inputs = log_files.read_log_files(spark, args.azm_file)
     if args.get_schema_shasum_and_exit:
         prints = schema_fingerprints(log_files.schema_statements(inputs), "path")
-        prints.show(truncate=False)
-        schema_drift(prints).show(truncate=False)
+        put_out(prints)
+        put_out(schema_drift(prints))
         return 0
     if args.dry:
         outcomes, counts = merging.plan_merge(store, inputs, options_from(args))
-        outcomes.show(truncate=False)
-        counts.groupBy("table").agg(F.sum("rows").alias("rows")).orderBy("table").show(1000, truncate=False)
+        put_out(outcomes)
+        put_out(counts.groupBy("table").agg(F.sum("rows").alias("rows")).orderBy("table"))
         return 0
     report = merging.unmerge(store, inputs) if args.unmerge else merging.merge(store, inputs, options_from(args))
     if args.purge:
         store.purge()
-    run_summary(report).show(truncate=False)
+    put_out(run_summary(report))
     if not args.unmerge:
-        views.slowest_operations(store).show(truncate=False)
+        put_out(views.slowest_operations(store))
     return 0 if report.where(~F.col("status").isin(*GOOD)).isEmpty() else 1
 
 

@@ -49,20 +49,48 @@ def delete_all(spark: SparkSession, paths: list[str]) -> int:
         return sum(pool.map(lambda path: delete(spark, path), paths))
 
 
-def move_into(spark: SparkSession, path: str, folder: str) -> str:
-    """Move a file into a folder, in place of one of that name."""
-    fs, jpath = _fs(spark, path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(folder, jpath.getName())
-    fs.mkdirs(target.getParent())
-    fs.delete(target, False)
-    if not fs.rename(jpath, target):
-        raise OSError(f"could not move {path} to {folder}")
-    return str(target)
+def is_mounted(spark: SparkSession, path: str) -> bool:
+    """Whether a path is one that workers open like their own files."""
+    fs, _ = _fs(spark, path)
+    return fs.getUri().getScheme() == "file"
+
+
+def _below(spark: SparkSession, path: str, root: str | None) -> str:
+    """A path relative to a root; the whole path where it is not below it."""
+    plain = spark._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()
+    if root:
+        top = spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/") + "/"
+        if plain.startswith(top):
+            return plain[len(top) :]
+        if plain == top.rstrip("/"):
+            return plain.rsplit("/", 1)[-1]
+    return plain.lstrip("/")
 
 
-def move_all(spark: SparkSession, paths: Iterable[str], folder: str) -> None:
+def move_into(spark: SparkSession, path: str, folder: str, root: str | None = None) -> str | None:
+    """Move a file into a folder, at its place below ``root``; None when it is gone already.
+
+    A file that is there is never replaced: the new one gets a number.
+    """
+    fs, jpath = _fs(spark, path)
+    name = _below(spark, path, root)
+    for number in range(1, 1_000_000):
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder, name if number == 1 else f"{name}.{number}")
+        if not fs.exists(jpath):
+            return None
+        if fs.exists(target):
+            continue
+        fs.mkdirs(target.getParent())
+        if fs.rename(jpath, target):
+            return str(target)
+        if fs.exists(jpath) and not fs.exists(target):
+            break
+    raise OSError(f"could not move {path} to {folder}")
+
+
+def move_all(spark: SparkSession, paths: Iterable[str], folder: str, root: str | None = None) -> None:
     """Move files into a folder, many side by side; the list is taken a window at a time."""
     waiting: Iterator[str] = iter(paths)
     with ThreadPoolExecutor(THREADS) as pool:
         while window := list(islice(waiting, WINDOW)):
-            list(pool.map(lambda path: move_into(spark, path, folder), window))
+            list(pool.map(lambda path: move_into(spark, path, folder, root), window))

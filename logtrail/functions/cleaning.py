@@ -27,7 +27,8 @@ def to_time(text: Column) -> Column:
     Years have four digits. Other texts are left out before the cast, as a
     failing cast is slow.
     """
-    return F.when(F.substring(text, 5, 1) == "-", text).try_cast("timestamp_ntz")
+    plain = F.trim(text)
+    return F.when(F.substring(plain, 5, 1) == "-", plain).try_cast("timestamp_ntz")
 
 
 def to_time_ms(text: Column) -> Column:

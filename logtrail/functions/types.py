@@ -59,6 +59,9 @@ def widen(left: str, right: str) -> str:
     """Smallest type that holds both; text when nothing else does."""
     if left == right:
         return left
+    if {left, right} == {"bigint", "double"}:
+        # Neither holds all of the other: numbers beyond 2**53, and fractions.
+        return "string"
     if left in WIDENING_ORDER and right in WIDENING_ORDER:
         return max(left, right, key=WIDENING_ORDER.index)
     return "string"

@@ -40,14 +40,10 @@ NOT_PRESENT, EMPTY_TARGET, FAILED = "not_present", "empty_target", "failed"
 UNREADABLE, INVALID_IDENTITY = "unreadable", "invalid_identity"
 NO_START_TIME, NO_END_TIME, NOT_ATTEMPTED = "no_start_time", "no_end_time", "not_attempted"
 
-LOG_CELLS = (
-    "log_hash string, log_start_time string, log_end_time string, log_timezone_offset string, log_app_version string"
-)
 IMEI_COLUMN = "imei_id"
 OPEN_NAMES = ("log_hash", "cells")
-# The counted size up to which the chunk list is broadcast: some 100 MB. A longer
-# list is shuffled with the facts, on keys that hold a bounded number of rows.
-BROADCAST_CHUNKS = 400_000
+# Columns that the store adds itself; a source that has one of them fails.
+RESERVED = (stores.BY_LOG_MONTH, stores.BY_ROW_MONTH, "batch_id")
 
 
 class MergeFailed(RuntimeError):
@@ -60,7 +56,8 @@ class MergeOptions:
 
     ``preprocess(df, table)`` gets the rows of one table as text columns, with
     all columns that start with ``_``, which it has to keep, and ``log_hash``.
-    It gives back the rows to import (U1).
+    It gives back the rows to import, with columns of its own where it adds
+    some (U1). Inputs that are moved keep their place below ``input_root``.
     """
 
     tables: filters.TableFilter = field(default_factory=filters.TableFilter)
@@ -75,6 +72,7 @@ class MergeOptions:
     fail_fast: bool = False
     move_imported_to: str | None = None
     move_failed_to: str | None = None
+    input_root: str | None = None
     parallel_tables: int = 8
     keep_staging: bool = False
 
@@ -113,42 +111,54 @@ def read_identity(rows: DataFrame, add_imei: bool = False) -> DataFrame:
     One scan of a few small tables and one pre-aggregated shuffle on the file.
     The decoder numbers rows, so the first row of ``logs`` (G7) is row 0.
     """
-    kinds = (log_files.FILE_ROWS, log_files.SUMMARY_ROWS, fixed.LOGS_TABLE, fixed.HEARTBEAT_TABLE)
+    kinds = (log_files.FILE_ROWS, log_files.SUMMARY_ROWS, log_files.COLUMN_ROWS, fixed.LOGS_TABLE, fixed.HEARTBEAT_TABLE)
     kind, cells = F.col("table_name"), F.col("cells")
     is_log = (kind == fixed.LOGS_TABLE) & (F.col("row_no") == 0)
     found = (
         rows.where(kind.isin(*kinds))
         .groupBy("path")
         .agg(
-            F.max(F.when(kind == log_files.FILE_ROWS, F.get_json_object(cells, "$.error"))).alias("error"),
-            F.max(F.when(kind == log_files.SUMMARY_ROWS, F.get_json_object(cells, "$.rows").cast("bigint"))).alias("rows"),
+            F.max(F.when(kind == log_files.FILE_ROWS, log_files.cell("error"))).alias("error"),
+            F.max(F.when(kind == log_files.SUMMARY_ROWS, log_files.cell("rows").cast("bigint"))).alias("rows"),
             F.max(F.when(kind == fixed.HEARTBEAT_TABLE, cleaning.to_time(F.col("time_text")))).alias("last_heartbeat"),
-            F.max(F.when(is_log, cells)).alias("log"),
+            F.max(F.when(_unfit(), F.concat(log_files.cell("table"), F.lit(": "), log_files.cell("column")))).alias("unfit"),
+            F.any_value(F.when(is_log, cells), F.lit(True)).alias("log"),
         )
-        .withColumn("log", F.from_json("log", LOG_CELLS))
     )
-    offset = F.col("log.log_timezone_offset").try_cast("bigint")
-    log_hash = F.col("log.log_hash").try_cast("bigint")
+    offset = log_files.cell("log_timezone_offset", "log").try_cast("bigint")
+    log_hash = log_files.cell("log_hash", "log").try_cast("bigint")
     result = found.select(
         "path",
-        "error",
+        F.coalesce("error", F.concat(F.lit("reserved column name in "), "unfit")).alias("error"),
         "rows",
         log_hash.alias("log_hash"),
         identity.log_month(log_hash, offset).alias("log_ym"),
-        cleaning.to_time(F.col("log.log_start_time")).alias("start"),
-        F.coalesce(cleaning.to_time(F.col("log.log_end_time")), F.col("last_heartbeat")).alias("end"),
-        identity.app_version(F.col("log.log_app_version")).alias("app_version"),
+        cleaning.to_time(log_files.cell("log_start_time", "log")).alias("start"),
+        F.coalesce(cleaning.to_time(log_files.cell("log_end_time", "log")), F.col("last_heartbeat")).alias("end"),
+        identity.app_version(log_files.cell("log_app_version", "log")).alias("app_version"),
     )
     if add_imei:
         result = result.join(_imei_per_file(rows), "path", "left")
+    lacking = _without_symbol(rows).withColumn("_lacks", F.lit("signalling: no symbol column"))
+    result = result.join(lacking, "path", "left").withColumn("error", F.coalesce("error", "_lacks")).drop("_lacks")
     return result.withColumn("problem", identity_problem())
 
 
+def _unfit() -> Column:
+    """Whether a catalog row names a column that only the store may have."""
+    return (F.col("table_name") == log_files.COLUMN_ROWS) & log_files.cell("column").isin(*RESERVED)
+
+
+def _without_symbol(rows: DataFrame) -> DataFrame:
+    """Files whose signalling table lacks the column that tells the direction."""
+    found = of_table(rows, log_files.COLUMN_ROWS).where(log_files.cell("table") == fixed.SIGNALLING_TABLE)
+    has = F.max((log_files.cell("column") == "symbol").cast("int"))
+    return found.groupBy("path").agg(has.alias("_symbol")).where(F.col("_symbol") == 0).drop("_symbol")
+
+
 def _imei_per_file(rows: DataFrame) -> DataFrame:
-    info = of_table(rows, fixed.LOG_INFO_TABLE).select(
-        "path", "row_no", F.from_json("cells", "IMEI string, seqid string").alias("c")
-    )
-    flat = info.select("path", "row_no", "c.IMEI", F.col("c.seqid").try_cast("bigint").alias("seqid"))
+    info = of_table(rows, fixed.LOG_INFO_TABLE)
+    flat = info.select("path", "row_no", log_files.cell("IMEI").alias("IMEI"), log_files.cell("seqid").try_cast("bigint").alias("seqid"))
     return aggregates.latest_nonempty(flat, "IMEI", ["seqid", "row_no"], "path").withColumnRenamed("IMEI", IMEI_COLUMN)
 
 
@@ -202,13 +212,13 @@ def source_columns(rows: DataFrame, accepted: DataFrame) -> dict[str, TableColum
 
     What comes back is one row per distinct (table, column, declared type).
     """
-    cells = "table string, ordinal string, column string, declared string"
+    names = ("table", "column", "declared", "ordinal")
     catalog = (
         of_table(rows, log_files.COLUMN_ROWS)
         .join(accepted.select("path"), "path", "left_semi")
-        .select(F.from_json("cells", cells).alias("c"))
-        .groupBy("c.table", "c.column", "c.declared")
-        .agg(F.min(F.col("c.ordinal").cast("int")).alias("ordinal"))
+        .select(*[log_files.cell(n).alias(n) for n in names])
+        .groupBy("table", "column", "declared")
+        .agg(F.min(F.col("ordinal").cast("int")).alias("ordinal"))
         .orderBy("table", "ordinal", "column", "declared")
     )
     tables: dict[str, TableColumns] = {}
@@ -219,9 +229,8 @@ def source_columns(rows: DataFrame, accepted: DataFrame) -> dict[str, TableColum
 
 def table_summaries(rows: DataFrame) -> DataFrame:
     """Rows read per file and table, and read errors."""
-    cells = F.from_json("cells", "table string, rows string, error string").alias("c")
-    found = of_table(rows, log_files.SUMMARY_ROWS).select("path", cells)
-    return found.select("path", "c.table", F.col("c.rows").cast("bigint").alias("rows"), "c.error")
+    cells = [log_files.cell(n) for n in ("table", "rows", "error")]
+    return of_table(rows, log_files.SUMMARY_ROWS).select("path", cells[0].alias("table"), cells[1].cast("bigint").alias("rows"), cells[2].alias("error"))
 
 
 def _chunk_count() -> Column:
@@ -245,22 +254,21 @@ def typed_facts(
     # Own columns get a leading underscore, away from the columns of the source.
     facts = joined.select("log_hash", "cells", *[F.col(c).alias(f"_{c}") for c in joined.columns if c not in OPEN_NAMES])
     clamped = table != fixed.LOGS_TABLE
-    if not clamped:
-        facts = facts.where(F.col("_row_no") == 0)
-    elif options.preprocess is None:
+    if clamped and options.preprocess is None:
         facts = facts.where(_kept(cleaning.to_time(F.col("_time_text")), options))
     facts = facts.where(filters.version_gate(F.lit(table), F.col("_app_version")))
     text = typed_rows.parse_cells(facts, columns)
     if options.preprocess is not None:
         text = text.transform(options.preprocess, table)
-        time_now = F.col("time") if "time" in text.columns else F.lit(None).cast("string")
+        if clamped and "time" in text.columns:
+            # The hook may have made the time: then the row has one, whatever the source had.
+            text = text.withColumn("_has_time", F.lit(True))
         if clamped:
-            text = text.where(_kept(time_now.try_cast("timestamp_ntz"), options))
+            text = text.where(_kept(_time_of(text), options))
     if options.add_imei and IMEI_COLUMN not in columns.declared:
         text = text.withColumn(IMEI_COLUMN, F.col(f"_{IMEI_COLUMN}"))
     if month == stores.BY_ROW_MONTH:
-        time_now = F.col("time") if "time" in text.columns else F.lit(None).cast("string")
-        when = F.coalesce(cleaning.to_time(time_now), F.col("_start"))
+        when = F.coalesce(_time_of(text), F.col("_start"))
         text = text.withColumn("_month", identity.month_of(when))
     else:
         text = text.withColumnRenamed("_log_ym", "_month")
@@ -269,6 +277,24 @@ def typed_facts(
     return typed.withColumnRenamed("_month", month)
 
 
+def _time_of(text: DataFrame) -> Column:
+    """The time of rows of text columns; a hook may have given it another type."""
+    kind = dict(text.dtypes).get("time")
+    if kind is None:
+        return F.lit(None).cast("timestamp_ntz")
+    return cleaning.to_time(F.col("time")) if kind == "string" else F.col("time").cast("timestamp_ntz")
+
+
+def _with_hook_columns(columns: TableColumns, rows: DataFrame, options: MergeOptions) -> TableColumns:
+    """The columns of a table, and those that the hook adds, by their names and types."""
+    empty = of_table(rows, columns.table).where(F.lit(False)).drop("table_name")
+    own = {c: F.lit(None) for c in ("_low", "_high", "_start", "_log_ym", "_app_version", f"_{IMEI_COLUMN}")}
+    empty = empty.select(F.lit(0).cast("bigint").alias("log_hash"), "cells", *[F.col(c).alias(f"_{c}") for c in empty.columns if c != "cells"])
+    made = typed_rows.parse_cells(empty.withColumns(own), columns).transform(options.preprocess, columns.table)
+    added = {c: [kind] for c, kind in made.dtypes if not c.startswith("_") and c != "log_hash" and c not in columns.declared}
+    return TableColumns(columns.table, {**columns.declared, **added})
+
+
 def _kept(time_column: Column, options: MergeOptions) -> Column:
     inside = time_column.between(F.col("_low"), F.col("_high"))
     if options.keep_tables_without_time:
@@ -310,8 +336,10 @@ def _observed(seen: Observation) -> dict:
     """Observed values; none when the rows turned out empty and were planned away."""
     try:
         return seen.get
-    except Py4JJavaError:
-        return {}
+    except Py4JJavaError as failure:
+        if "NoSuchElement" in str(failure.java_exception) or "Observation" in str(failure.java_exception):
+            return {}
+        raise
 
 
 # Whole operations -------------------------------------------------------
@@ -346,18 +374,17 @@ def merge(
         (batch_id, "*", "decode", staged_at - begun, None),
         (batch_id, "*", "decide", decided_at - staged_at, None),
     ]
-    failed = None
-    chunk_rows = accepted.agg(F.sum(_chunk_count())).first()[0]
-    if chunk_rows:
+    turn = 0
+    while not accepted.isEmpty():
         chunks = chunks_of(accepted, options.margin_hours)
-        if chunk_rows <= BROADCAST_CHUNKS:
-            chunks = F.broadcast(chunks)
-        failed = _import_logs(store, rows, accepted, chunks, options, batch_id, folder, metrics)
-    if failed is not None:
-        reason = failed.groupBy("path").agg(F.min("table").alias("_bad_table"))
-        decided = decided.join(reason, "path", "left").withColumn(
-            "status", F.when(F.col("_bad_table").isNotNull(), FAILED).otherwise(F.col("status"))
-        )
+        failed = _import_logs(store, rows, accepted, chunks, options, batch_id, f"{folder}/turn-{turn}", metrics)
+        if failed is None:
+            break
+        turn += 1
+        decided = _written(store, _after_failures(decided, accepted, failed, options), f"{folder}/files-{turn}")
+        # Another copy of a log whose file failed has its turn now.
+        accepted = decided.where(F.col("_next"))
+        decided = decided.drop("_next")
     metrics.append((batch_id, "*", "merge", time.monotonic() - begun, None))
     timed = store.spark.createDataFrame(metrics, stores.METRICS_SCHEMA).coalesce(1)
     _side_by_side(
@@ -375,6 +402,25 @@ def merge(
     return report
 
 
+def _after_failures(decided: DataFrame, accepted: DataFrame, failed: DataFrame, options: MergeOptions) -> DataFrame:
+    """Statuses after some files of a turn failed; ``_next``: files to import now, the first other copy of each failed log."""
+    reason = failed.groupBy("path").agg(F.min("table").alias("_new_table"))
+    tried = accepted.select("path", F.lit(True).alias("_tried"))
+    now = decided.join(tried, "path", "left").join(reason, "path", "left")
+    bad = F.col("_new_table").isNotNull()
+    before = F.col("_bad_table") if "_bad_table" in decided.columns else F.lit(None).cast("string")
+    now = now.withColumn("_bad_table", F.coalesce("_new_table", before)).withColumn("status", F.when(bad, FAILED).when(F.col("_tried"), MERGED).otherwise(F.col("status")))
+    if options.fail_fast:
+        stop = now.where(bad).agg(F.min("path")).first()[0]
+        now = now.withColumn("status", F.when(F.col("path") > stop, NOT_ATTEMPTED).otherwise(F.col("status")))
+        return now.drop("_tried", "_new_table").withColumn("_next", F.lit(False))
+    lost = now.where(bad).select("log_hash").distinct()
+    waiting = now.where((F.col("status") == ALREADY_MERGED) & F.col("problem").isNull()).join(lost, "log_hash", "left_semi")
+    first = waiting.groupBy("log_hash").agg(F.min("path").alias("path")).select("path", F.lit(True).alias("_next"))
+    now = now.drop("_tried", "_new_table").join(first, "path", "left").withColumn("_next", F.coalesce("_next", F.lit(False)))
+    return now.withColumn("status", F.when(F.col("_next"), MERGED).otherwise(F.col("status")))
+
+
 def _written(store: LogStore, df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return store.spark.read.schema(df.schema).parquet(path)
@@ -399,7 +445,8 @@ def _import_logs(
     )
     summaries = table_summaries(rows)
     tables = {t: c for t, c in columns.items() if options.tables.keeps(t)}
-    _check_tables(tables)
+    if options.preprocess is not None:
+        tables = {t: _with_hook_columns(c, rows, options) for t, c in tables.items()}
     if options.skip_empty_tables:
         filled = summaries.where(F.col("rows") > 0).select("table").distinct().collect()
         tables = {t: c for t, c in tables.items() if t in {row.table for row in filled}}
@@ -425,8 +472,13 @@ def _import_logs(
         store.record((accepted, stores.MERGED, True, attempt))
         return None
     failed = _written(store, failed, f"{folder}/failed")
-    good = accepted.join(failed.select("path").distinct(), "path", "left_anti")
-    broken = accepted.join(failed.select("path").distinct(), "path", "left_semi")
+    bad = failed.select("path").distinct()
+    if options.fail_fast:
+        # Files after the first bad one are not attempted: what was written of them stays hidden.
+        stop = failed.agg(F.min("path")).first()[0]
+        bad = bad.unionByName(accepted.where(F.col("path") > stop).select("path")).distinct()
+    good = accepted.join(bad, "path", "left_anti")
+    broken = accepted.join(bad, "path", "left_semi")
     if store.layout == stores.PER_LOG:
         store.remove_log_folders(broken)
     on_disk = store.layout == stores.PER_BATCH
@@ -441,13 +493,7 @@ def _side_by_side(*actions: Callable) -> list:
 
 
 def _has_time(columns: TableColumns, options: MergeOptions) -> bool:
-    return "time" in columns.declared or options.preprocess is not None
-
-
-def _check_tables(tables: dict[str, TableColumns]) -> None:
-    signalling = tables.get(fixed.SIGNALLING_TABLE)
-    if signalling is not None and "symbol" not in signalling.declared:
-        raise ValueError("signalling rows need a symbol column")
+    return "time" in columns.declared
 
 
 def _note_bad_cells(
@@ -511,7 +557,7 @@ def _move_inputs(store: LogStore, report: DataFrame, options: MergeOptions) -> N
     ):
         if folder:
             paths = (row.path for row in report.where(chosen).select("path").toLocalIterator())
-            folders.move_all(store.spark, paths, folder)
+            folders.move_all(store.spark, paths, folder, options.input_root)
 
 
 def unmerge(store: LogStore, logs: DataFrame, batch_id: str | None = None) -> DataFrame:

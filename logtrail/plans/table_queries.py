@@ -519,8 +519,9 @@ def _event_cells(spark: SparkSession, folder: str) -> DataFrame:
         "level": F.when(kind == "click", "n/a").otherwise(amount),
         "note": F.when(kind == "view", "").otherwise(F.concat(F.lit("a,\n\""), kind)),
     }
-    struct = F.struct(*[c.alias(n) for n, c in cells.items()])
-    return read(spark, folder, "events").select("event_id", F.to_json(struct).alias("cells"))
+    pairs = F.array(*[F.struct(F.lit(n).alias("key"), c.cast("string").alias("value")) for n, c in cells.items()])
+    filled = F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
+    return read(spark, folder, "events").select("event_id", filled.alias("cells"))
 
 
 _TYPED_SQL = f"""select event_id, strftime(ts, {SQL_TIME}) as time,

@@ -71,6 +71,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
+    if not configured and not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
     if not configured:
         configured = tempfile.mkdtemp(prefix="logtrail-")
         spark.sparkContext.setCheckpointDir(configured)

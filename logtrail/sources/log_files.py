@@ -3,12 +3,13 @@
 ``decode`` opens each file once in a Python task and gives one flat row shape
 for all tables; everything after it is column expressions. A row is
 
-* a table row: ``cells`` holds its values as a JSON object of texts, blobs as
-  hex, and ``time_text`` repeats the ``time`` cell so that it can be filtered
+* a table row: ``cells`` maps column names to texts, blobs as hex, without
+  nulls, and ``time_text`` repeats the ``time`` cell so that it can be filtered
   on without reading the rest;
 * ``#column``: one column of one table (schema catalog);
 * ``#summary``: rows read from one table, and the error that cut it short;
-* ``#file``: one per file, with the error that made it unreadable.
+* ``#file``: one per file, with the error that made it unreadable;
+* ``#schema``: one per statement of its schema, where only names are read.
 
 ``chunk`` numbers runs of ``CHUNK_ROWS`` rows of one table of one file. It
 bounds how many rows share a key of (file, chunk).
@@ -17,16 +18,19 @@ bounds how many rows share a key of (file, chunk).
 from __future__ import annotations
 
 import io
-import json
+import shutil
 import sqlite3
+import tempfile
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
-from json.encoder import encode_basestring as _escaped
+from contextlib import closing
+from pathlib import Path
+from urllib.parse import quote, unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtrail import fixed_values as fixed
@@ -34,15 +38,17 @@ from logtrail import files
 from logtrail.operators.filters import TableFilter
 
 CHUNK_ROWS = 250_000
-BATCH_ROWS = 5_000
-# One binary value per file: larger files cannot be read as one row.
-FILE_SIZE_LIMIT = 2_000_000_000
+# A batch of rows ends at either; rows are fetched a few at a time, as cells may be large.
+BATCH_ROWS, BATCH_BYTES, FETCH_ROWS = 5_000, 16 << 20, 100
+# Where tasks cannot open a path themselves, a file comes as one value, which has this limit.
+VALUE_LIMIT = 2_000_000_000
 
 COLUMN_ROWS = "#column"
 SUMMARY_ROWS = "#summary"
 FILE_ROWS = "#file"
+SCHEMA_ROWS = "#schema"
 
-DECODED_SCHEMA = "path string, chunk int, row_no bigint, has_time boolean, time_text string, cells string, table_name string"
+DECODED_SCHEMA = "path string, chunk int, row_no bigint, has_time boolean, time_text string, cells map<string,string>, table_name string"
 ARROW_SCHEMA = pa.schema(
     [
         ("path", pa.string()),
@@ -50,7 +56,7 @@ ARROW_SCHEMA = pa.schema(
         ("row_no", pa.int64()),
         ("has_time", pa.bool_()),
         ("time_text", pa.string()),
-        ("cells", pa.string()),
+        ("cells", pa.map_(pa.string(), pa.string())),
         ("table_name", pa.string()),
     ]
 )
@@ -66,23 +72,34 @@ def _listed(spark: SparkSession, path: str) -> DataFrame:
 def read_log_files(spark: SparkSession, path: str) -> DataFrame:
     """A log file, or all log files under a folder, as ``(path, content)``.
 
-    A file too large for one row comes without content, and a merge reports it
-    as unreadable.
+    Paths that workers mount come without content: a task opens the file
+    itself, of whatever size. From other stores the content comes along; a
+    file larger than one value comes without it, and a merge reports it.
     """
-    listed = _listed(spark, path)
-    small = listed.where(f"length <= {FILE_SIZE_LIMIT}").select("path", "content")
-    large = listed.where(f"length > {FILE_SIZE_LIMIT}").select("path", F.lit(None).cast("binary").alias("content"))
-    return small.unionByName(large)
+    return with_content(_listed(spark, path), files.is_mounted(spark, path))
+
+
+def with_content(listed: DataFrame, mounted: bool) -> DataFrame:
+    """``(path, content)`` of listed files."""
+    none = F.lit(None).cast("binary").alias("content")
+    if mounted:
+        return listed.select("path", none)
+    small = listed.where(f"length <= {VALUE_LIMIT}").select("path", "content")
+    return small.unionByName(listed.where(f"length > {VALUE_LIMIT}").select("path", none))
 
 
 def schema_statements(log_files: DataFrame) -> DataFrame:
-    """``(path, ddl)``: one line per table of each file, for fingerprints."""
-    rows = decode(log_files, TableFilter(), names_only=True).where(F.col("table_name") == COLUMN_ROWS)
-    cells = F.from_json("cells", "table string, ordinal string, column string, declared string").alias("c")
-    columns = rows.select("path", cells).select("path", "c.table", "c.ordinal", "c.column", "c.declared")
-    entry = F.struct(F.col("ordinal").cast("int"), F.concat_ws(" ", "column", "declared").alias("text"))
-    tables = columns.groupBy("path", "table").agg(F.sort_array(F.collect_list(entry)).alias("all"))
-    return tables.select("path", F.concat_ws(",", F.col("table"), F.col("all.text")).alias("ddl"))
+    """``(path, ddl)``: every statement of each file's schema, for fingerprints.
+
+    Tables, views, indexes and triggers, with constraints, whatever is filtered on import.
+    """
+    rows = decode(log_files, TableFilter(), names_only=True).where(F.col("table_name") == SCHEMA_ROWS)
+    return rows.select("path", cell("sql").alias("ddl"))
+
+
+def cell(name: str, cells: str = "cells") -> Column:
+    """A cell of decoded rows by column name."""
+    return F.try_element_at(F.col(cells), F.lit(name))
 
 
 def decode(
@@ -115,21 +132,39 @@ def _file_batches(
 ) -> Iterator[pa.RecordBatch]:
     error = None
     try:
-        if content is None:
-            raise OSError(f"larger than {FILE_SIZE_LIMIT} bytes")
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            image = archive.read(fixed.LOG_DB_MEMBER)
-        db = sqlite3.connect(":memory:")
-        db.deserialize(image)
-        names = [r[0] for r in db.execute("select name from sqlite_master where type = 'table' order by rowid")]
-    except (zipfile.BadZipFile, KeyError, sqlite3.Error, NotImplementedError, RuntimeError, OSError, zlib.error) as failure:
-        error, names, db = _named(failure), [], None
-    yield _notes(path, FILE_ROWS, [{"error": error}])
-    for name in names:
-        if keeps(name) and not name.startswith("sqlite_"):
-            yield from _table_batches(db, path, name, location_only, names_only)
-    if db is not None:
-        db.close()
+        source = _local_file(path) if content is None else io.BytesIO(content)
+        folder = tempfile.TemporaryDirectory(prefix="log-")
+    except OSError as failure:
+        yield _notes(path, FILE_ROWS, [{"error": _named(failure)}])
+        return
+    # The database is unpacked to this task's own disk and read from there: its size is no matter of memory.
+    with folder, closing(source):
+        db = None
+        try:
+            unpacked = Path(folder.name, "log.db")
+            with zipfile.ZipFile(source) as archive, archive.open(fixed.LOG_DB_MEMBER) as member, unpacked.open("wb") as target:
+                shutil.copyfileobj(member, target, 1 << 20)
+            db = sqlite3.connect(f"file:{quote(str(unpacked))}?mode=ro&immutable=1", uri=True)
+            names = [r[0] for r in db.execute("select name from sqlite_master where type = 'table' order by rowid")]
+        except (zipfile.BadZipFile, KeyError, sqlite3.Error, NotImplementedError, RuntimeError, OSError, zlib.error) as failure:
+            error, names = _named(failure), []
+        yield _notes(path, FILE_ROWS, [{"error": error}])
+        if names_only and names:
+            statements = db.execute("select sql from sqlite_master where sql is not null order by type, name")
+            yield _notes(path, SCHEMA_ROWS, [{"sql": r[0]} for r in statements])
+        for name in names:
+            if keeps(name) and not name.startswith("sqlite_"):
+                yield from _table_batches(db, path, name, location_only, names_only)
+        if db is not None:
+            db.close()
+
+
+def _local_file(path: str):
+    """A mounted file, opened."""
+    url = urlparse(path)
+    if url.scheme not in ("", "file"):
+        raise OSError(f"larger than {VALUE_LIMIT} bytes, and not on a path that workers can open")
+    return open(unquote(url.path) if url.scheme else path, "rb")
 
 
 def _table_batches(
@@ -152,10 +187,9 @@ def _table_batches(
         if names_only:
             return
         time_at = columns.index("time") if "time" in columns else None
-        labels = [json.dumps(name, ensure_ascii=False) + ":" for name in columns]
         for rows in _row_batches(db, f"select {', '.join(map(_quoted, columns))} from {_quoted(table)}"):
             times = None if time_at is None else [_time_text(row[time_at]) for row in rows]
-            yield _batch(path, table, done, times, [_object(labels, row) for row in rows])
+            yield _batch(path, table, done, times, [list(zip(columns, row, strict=True)) for row in rows])
             done += len(rows)
     except sqlite3.Error as failure:
         error = _named(failure)
@@ -167,21 +201,28 @@ def _row_batches(db: sqlite3.Connection, sql: str) -> Iterator[list[tuple]]:
     done = 0
     db.text_factory = str
     try:
-        cursor = db.execute(sql)
-        while rows := cursor.fetchmany(BATCH_ROWS):
+        cursor, rows, size = db.execute(sql), [], 0
+        while more := cursor.fetchmany(FETCH_ROWS):
+            rows += more
+            size += _size(more)
+            if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
+                yield rows
+                done += len(rows)
+                rows, size = [], 0
+        if rows:
             yield rows
-            done += len(rows)
         return
     except sqlite3.Error:
         db.text_factory = lambda raw: raw.decode("utf-8", "replace")
-    rows, error = [], None
+    rows, size, error = [], 0, None
     try:
         for number, row in enumerate(db.execute(sql)):
             if number >= done:
                 rows.append(row)
-            if len(rows) == BATCH_ROWS:
+                size += _size([row])
+            if len(rows) == BATCH_ROWS or size >= BATCH_BYTES:
                 yield rows
-                rows = []
+                rows, size = [], 0
     except sqlite3.Error as failure:
         error = failure
     if rows:
@@ -190,21 +231,13 @@ def _row_batches(db: sqlite3.Connection, sql: str) -> Iterator[list[tuple]]:
         raise error
 
 
-def _object(labels: list[str], row: tuple) -> str:
-    """A row as a JSON object of texts; null cells are left out."""
-    cells = [
-        label
-        + (
-            _escaped(value)
-            if type(value) is str
-            else f'"{value.hex().upper()}"'
-            if type(value) is bytes
-            else f'"{value!r}"'
-        )
-        for label, value in zip(labels, row, strict=True)
-        if value is not None
-    ]
-    return "{" + ",".join(cells) + "}"
+def _size(rows: list[tuple]) -> int:
+    return sum(len(value) for row in rows for value in row if type(value) in (str, bytes))
+
+
+def _text(value: object) -> str:
+    """A cell as text, blobs as hex."""
+    return value if type(value) is str else value.hex().upper() if type(value) is bytes else repr(value)
 
 
 def _time_text(value: object) -> str | None:
@@ -220,10 +253,10 @@ def _named(failure: Exception) -> str:
 
 
 def _notes(path: str, kind: str, entries: list[dict[str, str | None]]) -> pa.RecordBatch:
-    return _batch(path, kind, 0, None, [json.dumps(e, ensure_ascii=False) for e in entries])
+    return _batch(path, kind, 0, None, [list(e.items()) for e in entries])
 
 
-def _batch(path: str, table: str, first: int, times: list[str | None] | None, cells: list[str]) -> pa.RecordBatch:
+def _batch(path: str, table: str, first: int, times: list[str | None] | None, cells: list[list[tuple]]) -> pa.RecordBatch:
     count = len(cells)
     numbers = np.arange(first, first + count)
     arrays = [
@@ -232,7 +265,7 @@ def _batch(path: str, table: str, first: int, times: list[str | None] | None, ce
         pa.array(numbers),
         pa.repeat(pa.scalar(times is not None), count),
         pa.nulls(count, pa.string()) if times is None else pa.array(times, pa.string()),
-        pa.array(cells, pa.string()),
+        pa.array([[(name, _text(value)) for name, value in row if value is not None] for row in cells], pa.map_(pa.string(), pa.string())),
         pa.repeat(pa.scalar(table, pa.string()), count),
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=ARROW_SCHEMA)

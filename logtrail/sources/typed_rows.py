@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from logtrail import fixed_values as fixed
 from logtrail.functions import cleaning, geometry
@@ -58,10 +57,8 @@ def parse_cells(rows: DataFrame, columns: TableColumns, cells: str = "cells") ->
     The log identity comes from the log and not from the cells.
     """
     names = [c for c in columns.declared if c != "log_hash"]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
     others = [c for c in rows.columns if c != cells]
-    parsed = rows.select(*others, F.from_json(cells, schema).alias("_c"))
-    return parsed.select(*others, *[F.col("_c").getField(c).alias(c) for c in names])
+    return rows.select(*others, *[F.try_element_at(F.col(cells), F.lit(c)).alias(c) for c in names])
 
 
 def type_columns(

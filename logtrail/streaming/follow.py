@@ -8,14 +8,18 @@ and not a watermark, so no streaming state grows.
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logtrail import fixed_values as fixed
+from logtrail.files import is_mounted
 from logtrail.plans.merge import MergeOptions, merge
 from logtrail.plans.store import LogStore
-from logtrail.sources.log_files import FILE_SIZE_LIMIT
+from logtrail.sources.log_files import VALUE_LIMIT, with_content
 
 
 def stream_log_files(
@@ -23,8 +27,9 @@ def stream_log_files(
 ) -> DataFrame:
     """New log files under a folder as a stream of ``(path, content)``.
 
-    A file too large for one row comes without content, and its merge reports
-    it as unreadable. With ``archive_to`` such files are archived unread.
+    Content as in ``read_log_files``. From a store that workers do not mount, a
+    file that does not fit one value stops a stream that archives its inputs,
+    rather than being archived unread; else its merge reports it.
     """
 
     def listed() -> DataFrame:
@@ -39,10 +44,12 @@ def stream_log_files(
         schema = "path string, modificationTime timestamp, length bigint, content binary"
         return reader.schema(schema).load(folder)
 
-    small = listed().where(f"length <= {FILE_SIZE_LIMIT}").select("path", "content")
+    if is_mounted(store.spark, folder):
+        return with_content(listed(), mounted=True)
     if archive_to:
-        return small
-    large = listed().where(f"length > {FILE_SIZE_LIMIT}").select("path", F.lit(None).cast("binary").alias("content"))
+        return listed().select("path", "content")
+    small = listed().where(f"length <= {VALUE_LIMIT}").select("path", "content")
+    large = listed().where(f"length > {VALUE_LIMIT}").select("path", F.lit(None).cast("binary").alias("content"))
     return small.unionByName(large)
 
 
@@ -59,8 +66,11 @@ def follow(
     if every_seconds is not None and every_seconds <= 0:
         raise ValueError("every_seconds must be positive")
     stream = stream_log_files(store, folder, files_per_batch, archive_to)
+    options = options or MergeOptions()
+    if options.input_root is None:
+        options = replace(options, input_root=folder)
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, number: merge(store, batch, options, batch_id=f"stream-{number}")
+        lambda batch, number: merge(store, batch, options, batch_id=f"stream-{number}-{uuid.uuid4().hex[:8]}")
     )
     if every_seconds is None:
         return writer.trigger(availableNow=True).start()
