@@ -418,12 +418,12 @@ def _lenient_double_sql(name: str) -> str:
 @query(
     LENIENT_SQL
     + "select o_orderkey, "
-    + ", ".join(_lenient_double_sql(n) for n in ("leading", "none", "mixed", "absent"))
+    + ", ".join(_lenient_double_sql(n) for n in ("leading", "none", "mixed", "absent", "large"))
     + " from t"
 )
 def lenient_double(spark: SparkSession, folder: str) -> DataFrame:
     """Leading number of a text, else 0."""
-    texts = {f"{n}_value": cleaning.lenient_double(c) for n, c in _lenient_texts().items() if n != "large"}
+    texts = {f"{n}_value": cleaning.lenient_double(c) for n, c in _lenient_texts().items()}
     return read(spark, folder, "orders").select("o_orderkey", *[c.alias(n) for n, c in texts.items()])
 
 
@@ -729,18 +729,19 @@ def first_row_per_file(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """select o_orderkey as log_hash, o_totalprice as kpi, o_orderpriority as priority, null as status from orders
+    """select o_orderkey as log_hash, o_totalprice::varchar as kpi, o_orderpriority as priority, null as status from orders
        where o_orderstatus = 'F'
-       union all select o_orderkey, o_custkey::double, null, o_orderstatus from orders where o_orderstatus <> 'F'"""
+       union all select o_orderkey, (o_custkey + 9007199254740993)::varchar, null, o_orderstatus from orders
+       where o_orderstatus <> 'F'"""
 )
 def merge_evolve(spark: SparkSession, folder: str) -> DataFrame:
-    """Logs with differing columns and types in one table (M3, M4)."""
+    """Logs with differing columns and types in one table, numbers beyond 2**53 too (M3, M4)."""
     orders = read(spark, folder, "orders").withColumnRenamed("o_orderkey", "log_hash")
     older = orders.where(F.col("o_orderstatus") == "F").select(
         "log_hash", F.col("o_totalprice").alias("kpi"), F.col("o_orderpriority").alias("priority")
     )
     newer = orders.where(F.col("o_orderstatus") != "F").select(
-        "log_hash", F.col("o_custkey").alias("kpi"), F.col("o_orderstatus").alias("status")
+        "log_hash", (F.col("o_custkey") + 9007199254740993).alias("kpi"), F.col("o_orderstatus").alias("status")
     )
     return evolution.merge_by_name(older, newer)
 
