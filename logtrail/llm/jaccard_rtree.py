@@ -22,7 +22,9 @@ their points lie within D of each other. Two uses are made of that:
   so a family that holds a third of all documents is spread over many tasks.
 
 Pairs that survive are verified on their whole sets, unless they are connected
-already. Documents with equal sets are one point from the start.
+already. Documents with equal sets are one point from the start. Before all that, a
+document is left out if too few of its n-grams with the least hashes occur
+anywhere else: any partner would share more of them.
 
 Null and empty texts, and texts without words, have no n-grams, link with
 nothing and are their own component. Texts with fewer than n words have the
@@ -38,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,13 +96,16 @@ class SizeClasses:
     """Classes of sizes, and how many blocks the groups are cut into for each.
 
     With D blocks spoilt at most and w blocks more than D + 1, more than w
-    blocks are the same in both documents. So one that has at most w weak
-    blocks shares a strong one with every partner; only documents with more
-    need their weak keys. The spare w covers most documents of a class.
+    blocks are the same in both documents. So one that has at most w blocks of
+    fewer than ``spent`` n-grams shares a fuller one with every partner; only
+    documents with more of them need their keys. The spare w covers most
+    documents of a class.
     """
 
     def __init__(self, percent: int):
         self.percent, self.strong = percent, strong_from(percent)
+        # Blocks that are spared: all weak ones, or the empty ones where sparing all would take too many blocks.
+        self.spent = self.strong if percent >= 88 else 1
         bounds = [1]
         while bounds[-1] < 1 << 40:
             bounds.append(max(bounds[-1] + 1, bounds[-1] * 3 // 2))
@@ -116,14 +122,14 @@ class SizeClasses:
         for w in range(0, spoilt // 2 + 1, step):
             blocks = spoilt + 1 + w
             mean = size / blocks
-            weak = blocks * sum(math.exp(-mean) * mean**k / math.factorial(k) for k in range(self.strong))
+            weak = blocks * sum(math.exp(-mean) * mean**k / math.factorial(k) for k in range(self.spent))
             if w >= weak + 2 * math.sqrt(weak):
                 return w
         return spoilt // 3
 
     def schemes(self, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Class of each size with its blocks and spare, then the same of the next class for those that may link upwards (-1 for the others)."""
-        own = np.searchsorted(self._bounds, size, "right") - 1
+        own = np.maximum(np.searchsorted(self._bounds, size, "right") - 1, 0)
         yield own, self._blocks[own], self._spare_of[own]
         up = np.where(100 * size >= self.percent * self._bounds[own + 1], own + 1, -1)
         yield up, self._blocks[up], self._spare_of[up]
@@ -146,7 +152,8 @@ def block_keys(grams: np.ndarray, of: np.ndarray, size: np.ndarray, classes: Siz
         number = np.arange(base[-1]) - base[doc]
         key = mix(total + mix(scheme[doc].astype(np.uint64) << np.uint64(40) | number.astype(np.uint64)) + count.astype(np.uint64))
         weak = count < classes.strong
-        needed = ~weak | (np.bincount(doc[weak], minlength=len(size)) > spare)[doc]
+        spent = count < classes.spent
+        needed = ~spent | (np.bincount(doc[spent], minlength=len(size)) > spare)[doc]
         yield doc[needed], key[needed].view(np.int64), weak[needed]
 
 
@@ -155,8 +162,36 @@ def _lists(doc: np.ndarray, values: np.ndarray, rows: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(rows + 1)).astype(np.int32)), pa.array(values))
 
 
-def described(documents: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, key of the text, size and number of its set, strong and weak block keys, and its point."""
+def probes_of(grams: np.ndarray, of: np.ndarray, size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the n-grams with the least hashes of each set, and how many of them a partner shares at least.
+
+    A partner lacks (100 - p) percent of the n-grams at most, so it has all
+    but so many of any others that are chosen; about a third more are.
+    """
+    lacking = (100 - percent) * size // 100
+    number = np.minimum(lacking + np.maximum(1, -(-lacking * 3 // 10)), size)
+    order = np.lexsort((mix(grams ^ np.uint64(0x5BF03635F0935AD1)), of))
+    rank = np.arange(len(grams)) - (np.cumsum(size) - size)[of]
+    return order[rank < number[of]], number - lacking
+
+
+def probed(documents: DataFrame, n: int, percent: int) -> DataFrame:
+    """The probes of all sets, a row each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in slices(batches):
+            grams, of = ngram_sets(data, offsets, n)
+            places, _ = probes_of(grams, of, np.bincount(of, minlength=batch.num_rows), percent)
+            yield pa.RecordBatch.from_arrays([pa.array(mix(grams[places]).view(np.int64))], ["probe"])
+
+    return documents.select("text").mapInArrow(run, "probe bigint")
+
+
+def described(documents: DataFrame, n: int, percent: int, shared: Broadcast) -> DataFrame:
+    """doc_id, key of the text, size and number of its set, its point, and strong and weak block keys.
+
+    Sets of which too few probes are ``shared`` (a bitmap) have no partner, and so no keys.
+    """
     classes = SizeClasses(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +199,11 @@ def described(documents: DataFrame, n: int, percent: int) -> DataFrame:
             rows = batch.num_rows
             grams, of = ngram_sets(data, offsets, n)
             size = np.bincount(of, minlength=rows)
-            found = [np.concatenate(part) for part in zip(*block_keys(grams, of, size, classes), strict=True)]
+            places, least = probes_of(grams, of, size, percent)
+            held = may_hold(shared.value, mix(grams[places]).view(np.int64))
+            live = np.bincount(of[places][held], minlength=rows) >= least
+            chosen = live[of]
+            found = [np.concatenate(part) for part in zip(*block_keys(grams[chosen], of[chosen], np.where(live, size, 0), classes), strict=True)]
             order = np.argsort(found[0], kind="stable")
             doc, key, weak = (part[order] for part in found)
             ids = pa.array(set_ids(grams, of, rows), mask=size == 0)
@@ -336,7 +375,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def classes(documents: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, text_key, size and class of every row; the class is null without n-grams."""
     configure(documents.sparkSession)
-    rows = stored(described(documents, n, percent), "described")
+    counts = probed(documents, n, percent).groupBy("probe").agg(F.count("*").alias("n")).where("n > 1").select("probe")
+    rows = stored(described(documents, n, percent, bitmap(counts)), "described")
     some = rows.where("set_id is not null")
     keys = some.select("set_id", F.explode("strong").alias("key"), F.lit(False).alias("weak"))
     keys = keys.unionByName(some.select("set_id", F.explode("weak").alias("key"), F.lit(True).alias("weak")))

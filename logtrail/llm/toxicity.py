@@ -222,22 +222,25 @@ def telling_parts(toxic: Counter[str], clean: Counter[str], least: int, sizes: t
     explains: words that hold an earlier part no longer count for it.
     """
 
-    def parts(word: str) -> set[str]:
-        return {word[i : i + n] for n in sizes for i in range(len(word) - n + 1)}
-
-    in_toxic: Counter[str] = Counter()
-    for word, n in toxic.items():
-        for part in parts(word):
-            in_toxic[part] += n
-    in_clean: Counter[str] = Counter()
-    for word, n in clean.items():
-        for part in parts(word):
-            if part in in_toxic:
+    def parts(word: str, n: int) -> set[str]:
+        return {word[i : i + n] for i in range(len(word) - n + 1)}
+
+    found: set[str] = set()
+    for size in sizes:  # one size at a time, for memory
+        in_toxic: Counter[str] = Counter()
+        for word, n in toxic.items():
+            for part in parts(word, size):
+                in_toxic[part] += n
+        often = {p: n for p, n in in_toxic.items() if n >= least}
+        del in_toxic
+        in_clean = dict.fromkeys(often, 0)
+        for word, n in clean.items():
+            for part in parts(word, size) & often.keys():
                 in_clean[part] += n
-    found = {p for p, n in in_toxic.items() if n >= least and in_clean[p] * 100 <= n}
+        found |= {p for p, n in often.items() if in_clean[p] * 100 <= n}
     holders: dict[str, set[str]] = {}
     for word in toxic:
-        for part in parts(word) & found:
+        for part in {p for size in sizes for p in parts(word, size)} & found:
             holders.setdefault(part, set()).add(word)
     chosen: list[str] = []
     while holders:
