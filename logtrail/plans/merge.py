@@ -337,7 +337,8 @@ def _observed(seen: Observation) -> dict:
     try:
         return seen.get
     except Py4JJavaError as failure:
-        if "NoSuchElement" in str(failure.java_exception) or "Observation" in str(failure.java_exception):
+        # An observation of nothing has no row to convert; any other fault is one.
+        if "AssertionError" in str(failure.java_exception) and "toPyRow" in str(failure):
             return {}
         raise
 
