@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one numpy pass takes at most, unless one text alone is longer.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -40,8 +40,9 @@ from logtrail.llm.key_filter import bitmap, may_hold
 from logtrail.llm.suffix_sort import common_prefixes, suffix_array
 from logtrail.session import configure
 
-#: Bytes of an anchor, of a shard, of the pieces of a group that goes to a shard; windows of a cut of a larger group.
-ANCHOR, SHARD, GROUP, STEP = 64, 1 << 20, 128 << 10, 16
+#: Bytes of an anchor (longer than common lines, so that these make no groups), of a shard, and of the pieces of a
+#: group that goes to a shard; windows of a cut of a larger group; bytes of text in one step.
+ANCHOR, SHARD, GROUP, STEP, TEXT = 128, 512 << 10, 128 << 10, 16, 512 << 10
 
 _ROWS = "text_id binary, anchor bigint, digest binary, begin int, size int"
 
@@ -90,7 +91,7 @@ def pieces(documents: DataFrame, length: int) -> DataFrame:
     """A row per piece of every text: text, anchor's hash, digest of content and anchor's place, first byte and size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in slices(batches):
+        for batch, data, offsets in slices(batches, limit=TEXT):
             doc, begin, size, at = anchors(data, offsets, length)
             view = memoryview(np.ascontiguousarray(data))
             digest = [_digest(a - b, view[b : b + s]) for b, s, a in zip(begin.tolist(), size.tolist(), at.tolist(), strict=True)]
