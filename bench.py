@@ -90,7 +90,10 @@ def merge_steps(spark, folder: str) -> tuple[dict[str, float], dict[str, float]]
     derived_logs.log_files_from(events).write.parquet(packed)
     files = spark.read.parquet(packed)
     store = LogStore(spark, scratch_path(spark, "bench-store"))
-    steps = {"step_merge": timed(lambda: merge(store, files))}
+    single = LogStore(spark, scratch_path(spark, "bench-single"))
+    first = files.orderBy("path").limit(1)
+    steps = {"step_merge_one_log": timed(lambda: merge(single, first))}
+    steps["step_merge"] = timed(lambda: merge(store, files))
     logs = store.active_logs().count()
     rows = store.metrics().where("operation = 'write'").agg({"rows": "sum"}).first()[0]
     kpi, location = store.table("kpi"), store.table("location")
