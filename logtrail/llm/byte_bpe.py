@@ -23,13 +23,13 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
 
 from logtrail.llm.byte_text import slices
 from logtrail.session import configure
 
 #: Pieces whose ids a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 #: Cells of one matrix.
 CELLS = 1 << 20
 
@@ -264,6 +264,24 @@ def decode(tokens: DataFrame, path: str, pattern: str, ids: str = "token_ids", d
     return tokens.drop(data).mapInArrow(run, schema)
 
 
+def encode_checked(documents: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "token_ids", check: str = "decoded_sha256") -> DataFrame:
+    """All columns but ``text``, its token ids, and the SHA-256 of what they decode to; encoded and decoded in one step."""
+    configure(documents.sparkSession)
+    others = documents.drop(text, ids, check)
+    schema = StructType([*others.schema.fields, StructField(ids, ArrayType(IntegerType())), StructField(check, StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use = encoder(path, pattern)
+        for rows, _, _ in slices(batches, text):
+            at = rows.schema.get_field_index(text)
+            found = use.encode([t or "" for t in rows.column(at).to_pylist()])
+            sums = [hashlib.sha256(use.decode(i)).hexdigest() for i in found]
+            kept = [k for k in range(rows.num_columns) if k != at]
+            yield pa.RecordBatch.from_arrays([*(rows.column(k) for k in kept), pa.array(found, pa.list_(pa.int32())), pa.array(sums)], [*(rows.schema.names[k] for k in kept), ids, check])
+
+    return documents.drop(ids, check).mapInArrow(run, schema)
+
+
 def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text, encoded and decoded again."""
     configure(documents.sparkSession)

@@ -11,8 +11,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of the bitmap (8 MB), a power of two.
-BITS = 1 << 26
+#: Bits of the bitmap (4 MB), a power of two.
+BITS = 1 << 25
 
 
 def bitmap(keys: DataFrame) -> Broadcast:

@@ -258,13 +258,13 @@ def telling_parts(toxic: Counter[str], clean: Counter[str], least: int, sizes: t
 
 def fit(texts: list[tuple[str, int]], seed: int = 7) -> Model:
     """Train on (text, label) pairs; a null or other label must not be among them."""
-    words = [(tokens(t), label) for t, label in texts]
-    if len({label for _, label in words}) < 2:
+    if len({label for _, label in texts}) < 2:
         return _flat()
-    clean_words = Counter(w for found, label in words if label == 0 for w in set(found))
+    clean_words = Counter(w for text, label in texts if label == 0 for w in set(tokens(text)))
     # A word of toxic texts counts once per word before it: copies of one text add nothing.
-    pairs = {pair for found, label in words if label == 1 for pair in pairwise(["", *found]) if pair[1] not in clean_words}
+    pairs = {pair for text, label in texts if label == 1 for pair in pairwise(["", *tokens(text)]) if pair[1] not in clean_words}
     toxic_words = Counter(w for _, w in pairs)
+    del pairs
     parts = telling_parts(toxic_words, clean_words, max(3, len(texts) // 250))
     if not parts:
         return _flat()

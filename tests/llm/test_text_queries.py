@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import duckdb
@@ -41,6 +42,10 @@ def test_pipeline_stages_take_effect(spark):
     last = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
     assert 0 < last.count() <= before
     assert "text" not in last.columns and "token_ids" in last.columns
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for row in last.collect():
+        assert row["decoded_sha256"] == hashlib.sha256((texts[row["doc_id"]] or "").encode()).hexdigest()
+        assert row["n_tokens"] == len(row["token_ids"])
 
 
 def test_pipeline_drops_toxic_documents(spark):
