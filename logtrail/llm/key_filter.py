@@ -7,12 +7,15 @@ through. A join that follows decides.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bits of the bitmap (4 MB), a power of two.
 BITS = 1 << 25
+#: Words of 64 bits that are put into one row.
+RUN = 1 << 12
 
 
 def bitmap(keys: DataFrame) -> Broadcast:
@@ -20,11 +23,20 @@ def bitmap(keys: DataFrame) -> Broadcast:
     key = F.col(keys.columns[0])
     place = F.pmod(F.shiftright(key, 6), F.lit(BITS // 64)).alias("place")
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(key, F.lit(64)).cast("int")).alias("bit")
-    # At most BITS / 64 rows, however many keys there are.
-    words = keys.select(place, bit).groupBy("place").agg(F.bit_or("bit").alias("bit")).toPandas()
-    out = np.zeros(BITS // 64, np.int64)
-    out[words["place"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64)
-    return keys.sparkSession.sparkContext.broadcast(out.view(np.uint64))
+    words = keys.select(place, bit).groupBy("place").agg(F.bit_or("bit").alias("bit"))
+
+    def pack(table: pa.Table) -> pa.Table:
+        place = np.asarray(table.column("place"))
+        run = np.zeros(RUN, np.int64)
+        run[place % RUN] = np.asarray(table.column("bit"))
+        return pa.table({"run": pa.array([int(place[0]) // RUN], pa.int64()), "bits": pa.array([run.tobytes()], pa.binary())})
+
+    # At most BITS / 64 / RUN rows of 8 * RUN bytes come to the driver, however many keys there are.
+    packed = words.withColumn("run", F.floor(F.col("place") / RUN)).groupBy("run").applyInArrow(pack, "run bigint, bits binary")
+    out = np.zeros((BITS // 64 // RUN, RUN), np.int64)
+    for row in packed.collect():
+        out[row["run"]] = np.frombuffer(row["bits"], np.int64)
+    return keys.sparkSession.sparkContext.broadcast(out.ravel().view(np.uint64))
 
 
 def may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:

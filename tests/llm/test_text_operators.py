@@ -29,6 +29,7 @@ from logtrail.llm import (
     warc_bundles,
 )
 from logtrail.llm.components import components
+from logtrail.llm.key_filter import bitmap, may_hold
 
 DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 ODD_TEXTS = [None, "", " \n\t ", "a", "one two", "é" * 300, "x" * 5000, "a b " * 2000, "same words here again", "same words here again"]
@@ -399,6 +400,15 @@ def test_one_of_each_of_odd_rows(spark):
     assert jaccard_rtree.one_of_each(docs.limit(0), 3, 90).count() == 0
 
 
+def test_bitmap_holds_its_keys_and_few_others(spark):
+    rng = np.random.default_rng(9)
+    keys, others = rng.integers(-(2**63), 2**63 - 1, 2000), rng.integers(-(2**63), 2**63 - 1, 2000)
+    bits = bitmap(spark.createDataFrame([(int(k),) for k in keys] * 2, "key bigint"))
+    assert may_hold(bits.value, keys).all()
+    assert may_hold(bits.value, others).sum() < 20
+    assert not may_hold(bitmap(spark.createDataFrame([], "key bigint")).value, others).any()
+
+
 def test_components_of_a_path_and_a_star(spark):
     pairs = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 50)] + [(7, 7)]
     found = components(spark.createDataFrame(pairs, "x bigint, y bigint"))
