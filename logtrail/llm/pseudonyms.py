@@ -3,7 +3,8 @@
 Patterns find candidates; numbers and dates must also be valid (check digits,
 ranges, the calendar). A valid value is a number in the range of its format,
 and a keyed Feistel network permutes that range; results outside the range
-are permuted again (cycle walking). So a card stays a valid card, a date a
+are permuted again (cycle walking). Where a candidate fails, because it has
+taken in a neighbour, the whole groups of characters within it are tried. So a card stays a valid card, a date a
 valid date, an address an address, equal values stay equal across documents,
 and the key's owner can go back. Letters keep their case.
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -227,6 +228,43 @@ KINDS: tuple[tuple[str, str, Callable[[str, bytes, bool], str | None]], ...] = (
 #: Every value has a digit or an @, but for keys of letters alone.
 _HINT = re.compile(r"[0-9@]|A[KS]IA|(?:passw|pwd|token|secret|api)", re.ASCII)
 _FIND = [(name, re.compile(pattern, re.ASCII), change) for name, pattern, change in KINDS]
+#: Values of these kinds may stand beside other groups of the same characters: all groups from a failed candidate on.
+_RUNS = {name: re.compile(run, re.ASCII) for name, run in (("iban", r"[A-Z0-9]+(?: [A-Z0-9]+)*"), ("card", r"\d+(?:[ -]\d+)*"), ("phone", r"\+?[\d(][\d .()-]*\d"))}
+_GROUP = re.compile(r"[+(]*[A-Z0-9]+", re.ASCII)
+#: Characters of the longest value of these kinds, and the usual ways to write a card, tried first.
+_LONGEST = 48
+_USUAL = re.compile(r"\d{13,19}|\d{4}(?:([ -])\d{4}(?:\1\d{4}){2}(?:\1\d{1,3})?|([ -])\d{6}\2\d{4,5})", re.ASCII)
+
+
+def _inside(
+    text: str, first: int, last: int, name: str, pattern: re.Pattern, change: Callable[[str, bytes, bool], str | None], key: bytes, back: bool, free: Callable[[int, int], bool]
+) -> list[tuple[int, int, str, str]]:
+    """Valid values of whole groups within a run whose first candidate is not valid."""
+    groups = [m.span() for m in _GROUP.finditer(text, first, last)]
+    spans = []
+    for g, (begin, _) in enumerate(groups):
+        for _, end in groups[g:]:
+            if end - begin > _LONGEST:
+                break
+            if pattern.fullmatch(text[begin:end]) and free(begin, end):
+                spans.append((begin, end))
+    spans.sort(key=lambda s: (name == "card" and not _USUAL.fullmatch(text[s[0] : s[1]]), s[0], -s[1]))
+    found: list[tuple[int, int, str, str]] = []
+    failed: list[tuple[int, int]] = []
+    for begin, end in spans:
+        at = bisect_left(found, (end,))
+        if at and found[at - 1][1] > begin:
+            continue
+        new = change(text[begin:end], key, back)
+        if new is None:
+            insort(failed, (begin, end))
+            continue
+        # The new value must be found at the same place on the way back, so whatever failed before must fail beside it, too.
+        near = [(b, e) for b, e in failed[bisect_left(failed, (begin - _LONGEST,)) : bisect_left(failed, (end,))] if e > begin]
+        while any(change(text[b : max(b, begin)] + new[max(b - begin, 0) : max(e - begin, 0)] + text[min(end, e) : e], key, back) is not None for b, e in near):
+            new = change(new, key, back)
+        insort(found, (begin, end, name, new))
+    return found
 
 
 def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
@@ -237,14 +275,22 @@ def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, list[t
     for name, pattern, change in _FIND:
         begins = [t[0] for t in taken]
         more = []
-        for found in pattern.finditer(text):
-            begin, end = found.span()
+
+        def free(begin: int, end: int, begins=begins, taken=taken) -> bool:
             at = bisect_left(begins, end)
-            if at and taken[at - 1][1] > begin:
-                continue
-            new = change(found.group(), key, back)
-            if new is not None:
+            return not at or taken[at - 1][1] <= begin
+
+        run, found = _RUNS.get(name), pattern.search(text)
+        while found:
+            begin, end = found.span()
+            new = change(found.group(), key, back) if free(begin, end) else None
+            # A card in unusual groups may be part of a usual one and a neighbour, so its whole run is looked at.
+            if new is not None and (name != "card" or _USUAL.fullmatch(found.group())):
                 more.append((begin, end, name, new))
+            elif run:
+                end = max(end, run.match(text, begin).end())
+                more += _inside(text, begin, end, name, pattern, change, key, back, free)
+            found = pattern.search(text, end)
         taken = sorted(taken + more) if more else taken
     out, at = [], 0
     for begin, end, _, new in taken:

@@ -8,6 +8,7 @@ import datetime
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -301,6 +302,38 @@ def test_invalid_values_stay(spark):
     assert [r["text"] for r in rows][: len(ODD_TEXTS)] == ODD_TEXTS
 
 
+@pytest.mark.parametrize(
+    ("value", "whole"),
+    [
+        ("4111 1111 1111 1111", "{} 123"),
+        ("4111111111111111", "pay {} 12 now"),
+        ("4111 1111 1111 1111", "12 {}"),
+        ("4111 1111 1111 1111", "12 34 {} 55 66"),
+        ("4111-1111-1111-1111", "12-{} 5"),
+        ("4111 1111 1111 1111", "{} 123-45-6789"),
+        ("BE68 5390 0754 7034", "{} EUR"),
+        ("AT61 1904 3002 3457 3201", "{} BIC"),
+        ("AT61 1904 3002 3457 3201", "{} BIC BE68 AND 12"),
+        ("+1 415 555 2671", "{} 2024 1235 13"),
+    ],
+)
+def test_values_beside_short_groups_are_found_and_come_back(value, whole):
+    for number in range(30):
+        key = b"%d" % number
+        text = whole.format(value)
+        new, found = pseudonyms.pseudonymise(text, key)
+        begin = text.index(value)
+        assert any(b <= begin + value.startswith("+") and e >= begin + len(value) for _, b, e in found), found
+        assert value not in new
+        assert pseudonyms.pseudonymise(new, key, back=True)[0] == text
+
+
+def test_long_runs_of_numbers_take_linear_time():
+    begin = time.monotonic()
+    pseudonyms.pseudonymise("1 " * 20_000, b"k")
+    assert time.monotonic() - begin < 20
+
+
 # Top k
 
 
