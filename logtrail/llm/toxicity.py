@@ -3,14 +3,16 @@
 Two words are alike when they share subsequences of four symbols; each
 occurrence weighs less the more symbols lie between. So an insult with
 inserted characters, dropped ones or another ending stays close to the plain
-one. Landmark words (Nystroem's method) turn the kernel into a finite space,
+one. As symbols inserted between all letters leave little of a word's kernel, a
+word is also read without its digits and as its every second symbol, and its
+worst reading counts. Landmark words (Nystroem's method) turn the kernel into a finite space,
 in which a linear machine is trained on the words of labelled sentences. As
 the machine is linear in the kernel, its landmarks fold into one weight per
 subsequence of symbols, a table of fixed size, and a word is scored by its own
 subsequences. A text is as toxic as its two worst words, mapped to 0..1 by a logistic
 curve fitted on labelled texts.
 
-Runs of three or more single letters between blanks count as one word too, so
+Runs of three or more single letters between any blanks count as one word too, so
 spelled-out insults are seen. Null and empty texts get the score of a text
 without words, which is low. Labels that are null, or of texts that are not
 there, are left out; without toxic and clean labels every score is 0. The
@@ -37,8 +39,8 @@ from logtrail.session import configure
 
 #: Labelled texts of each kind used for training at most, and the longest of them in characters.
 TRAIN_TEXTS, TRAIN_CHARS = 3000, 20_000
-#: Weight per skipped symbol, and symbols from the first to the last of a subsequence.
-DECAY, REACH = 0.6, 6
+#: Weight per skipped symbol, and symbols from the first to the last of a subsequence: one may stand between any two.
+DECAY, REACH = 0.6, 8
 #: Added to the squared length of a word, so that words of few subsequences say less.
 SHORT = 1.0
 LANDMARKS, STEPS, ROUNDS = 400, 30, 4
@@ -61,17 +63,41 @@ _LETTER = (_SYMBOL > 0) & (_SYMBOL < 27)
 
 
 def spelled(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans of runs of three or more single letters with one blank between."""
+    """Spans of runs of three or more single letters with blanks between."""
     single = (ends - starts == 1) & _LETTER[data[starts]] if len(starts) else np.zeros(0, bool)
     linked = np.zeros(len(starts) + 1, bool)
     if len(starts) > 1:
-        linked[1:-1] = single[1:] & single[:-1] & (starts[1:] - ends[:-1] == 1) & (doc[1:] == doc[:-1])
+        linked[1:-1] = single[1:] & single[:-1] & (doc[1:] == doc[:-1])
     first = np.flatnonzero(single & ~linked[:-1])
     last = np.flatnonzero(single & ~linked[1:])
     long = last - first >= 2
     return starts[first[long]], ends[last[long]], doc[first[long]]
 
 
+def thinned(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What is left of words without inserted symbols: bytes, starts and ends, and the word of each.
+
+    Words of letters and digits lose the digits; words of seven symbols or more are also read as their every
+    second symbol, from the first and from the second one.
+    """
+    length = ends - starts
+    before = np.concatenate([[0], np.cumsum(length)])
+    source = np.repeat(starts - before[:-1], length) + np.arange(before[-1])
+    word = np.repeat(np.arange(len(starts)), length)
+    kept = _SYMBOL[data[source]] > 0
+    source, word = source[kept], word[kept]
+    symbols = np.bincount(word, minlength=len(starts))
+    rank = np.arange(len(word)) - np.repeat(np.cumsum(symbols) - symbols, symbols)
+    digit = _SYMBOL[data[source]] == 27
+    digits = np.bincount(word[digit], minlength=len(starts))
+    mixed = (digits > 0) & (symbols - digits >= 4)
+    readings = [mixed[word] & ~digit, *((symbols[word] >= 7) & (rank % 2 == phase) for phase in (0, 1))]
+    size = np.concatenate([np.bincount(word[chosen], minlength=len(starts)) for chosen in readings])
+    used = np.flatnonzero(size)
+    to = np.cumsum(size[used])
+    return data[np.concatenate([source[chosen] for chosen in readings])], to - size[used], to, used % max(len(starts), 1)
+
+
 def subsequences(symbols: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """Code and whether it counts, per position and choice of offsets, with the weight; ``ends``: of the word at each position."""
     n = len(symbols)
@@ -131,7 +157,11 @@ class Model:
         best = np.full((2, len(offsets) - 1), FLOOR)
         if len(starts):
             _, first, inverse = np.unique(hash_words(data, starts, ends), return_index=True, return_inverse=True)
-            margin = np.minimum(self.words(data, starts[first], ends[first]), 1.0)[inverse]
+            margin = self.words(data, starts[first], ends[first])
+            less, begin, end, word = thinned(data, starts[first], ends[first])
+            if len(word):
+                np.maximum.at(margin, word, self.words(less, begin, end))
+            margin = np.minimum(margin, 1.0)[inverse]
             some = np.flatnonzero(margin > FLOOR)
             some = some[np.lexsort((margin[some], doc[some]))]
             doc, margin = doc[some], margin[some]

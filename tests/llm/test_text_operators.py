@@ -240,6 +240,25 @@ def test_toxicity_tolerates_gaps(insults):
         assert score(f"{plain} {insult} {plain}") >= toxicity.THRESHOLD
 
 
+def test_toxicity_tolerates_symbols_between_all_letters(insults):
+    texts, words = insults
+    model = toxicity.fit(texts[:300])
+
+    def score(text):
+        return model.scores(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))[0]
+
+    plain = " ".join(words[:30])
+    for insult in ("moron", "stupid"):
+        for between in ("x", "q", "1", "  ", " \t "):
+            assert score(f"{plain} {between.join(insult)} {plain}") >= toxicity.THRESHOLD, between.join(insult)
+        assert score(f"{plain} z{'z'.join(insult)}z {plain}") >= toxicity.THRESHOLD
+        assert score(f"{plain} {''.join(c + str(k) for k, c in enumerate(insult))} {plain}") >= toxicity.THRESHOLD
+        assert score(f"{plain} {insult[:2]}12{insult[2:4]}345{insult[4:]} {plain}") >= toxicity.THRESHOLD
+    for word in words[:30]:
+        for between in ("x", "1", " "):
+            assert score(f"{plain} {between.join(word)} {plain}") < toxicity.THRESHOLD
+
+
 def test_toxicity_of_odd_rows(spark, insults):
     model = toxicity.fit(insults[0][:300])
     docs = documents(spark, ODD_TEXTS, extra=True)
