@@ -9,6 +9,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -119,6 +120,22 @@ def test_passages_are_found_with_edits_and_clean_texts_stay(spark):
 # Repeats
 
 
+def test_a_very_long_item_takes_little_memory_and_is_found():
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(900)]
+    long = " ".join(rng.choice(words) for _ in range(8_000))
+    short = [" ".join(rng.choice(words) for _ in range(12)) for _ in range(300)]
+    tracemalloc.start()
+    items = decontaminate.Items.of(list(enumerate([long, *short])))
+    texts = [f"before {long[:20_000]}XX{long[20_001:]} after", short[7], "nothing of these"]
+    raw = [t.encode() for t in texts]
+    found = decontaminate.find(items, np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {f[:2] for f in found} >= {(0, 0), (1, 8)} and all(f[0] != 2 for f in found)
+    assert peak < 100_000_000
+
+
 def test_suffix_arrays_and_prefixes_match_sorting():
     rng = np.random.default_rng(0)
     for trial in range(150):
