@@ -167,7 +167,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     place = scratch_path(spark, "url-counts")
     count_runs(labelled.where(~held)).write.parquet(place)
     counts = spark.read.parquet(place)
-    kept_out = labelled.where(held).withColumn("_row", F.struct("page_id", "_host", "_path", "_verdict"))
+    kept_out = labelled.where(held).withColumn("_row", F.struct("page_id", "_host", "_path", "_verdict", F.monotonically_increasing_id().alias("_no")))
     scored = score(kept_out, counts).select("ratio", F.col("_row._verdict").alias("_verdict"))
     threshold = calibrate(scored)
     rows = urls.withColumn("_row", F.struct("page_id", "_host", "_path", "_rule", "_verdict", F.monotonically_increasing_id().alias("_no")))

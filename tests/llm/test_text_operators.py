@@ -78,6 +78,18 @@ def test_language_models_tell_kinds_of_urls_apart(spark):
     assert (verdict[900], verdict[901]) == ("allow", "block")
 
 
+def test_repeated_urls_count_as_often_as_they_occur_in_calibration(spark, monkeypatch):
+    rows = [(k, f"http://a{k}.{'org/' if k % 2 else 'com/de/'}x{k}") for k in range(40)]
+    seen = []
+    monkeypatch.setattr(url_model, "calibrate", lambda scored: seen.append(sorted((r["_verdict"], round(r["ratio"], 9)) for r in scored.collect())) or 0.0)
+    schema = "page_id bigint, url string"
+    url_model.judge(spark.createDataFrame(rows, schema))
+    held = [r for r in rows if r[0] % url_model.FOLDS == url_model.CALIBRATION]
+    url_model.judge(spark.createDataFrame(rows + held * 2, schema))
+    assert len(seen[0]) == len(held)
+    assert seen[1] == sorted(seen[0] * 3)
+
+
 # Benchmark passages
 
 
