@@ -84,6 +84,11 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def word_bytes(data: np.ndarray) -> np.ndarray:
+    """The bytes of all words, one after the other."""
+    return data[~_SPACE[data]]
+
+
 class PrefixHash:
     """64-bit hashes of any spans of some bytes in constant time each."""
 

@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtrail.llm import bit_sliced, byte_bpe, decontaminate, jaccard_rtree, pseudonyms, quality_votes, repeats, toxicity, url_model, warc_bundles
+from logtrail.llm import bit_sliced, byte_bpe, decontaminate, jaccard_rtree, periodic_runs, pseudonyms, quality_votes, repeats, toxicity, url_model, warc_bundles
 from logtrail.llm import sql_checks as sql
 from logtrail.session import configure, scratch_path
 
@@ -126,6 +126,43 @@ def op5_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality_votes.THRESHOLD).cast("int").alias("predicted"))
 
 
+def with_periodic_tails(documents: DataFrame) -> DataFrame:
+    """``doc_id, text``; of documents whose number's checksum ends in 0, the words from a place on repeat a stretch of them.
+
+    Without a doc_id, or without words, a text stays as it is.
+    """
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    hit = documents.select("doc_id", "text", F.floor(code / 10).alias("g"), F.when(code % 10 == 0, words).alias("words"))
+    sized = hit.select("*", F.nullif(F.size("words"), F.lit(0)).alias("n")).select("*", (F.col("g") % F.col("n")).cast("int").alias("a"))
+    stretch = sized.select("*", (F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)) + 1).cast("int").alias("p"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times))
+    made = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), F.col("n") - F.col("a"))), " ")
+    return stretch.select("doc_id", F.coalesce(F.when(F.col("n").isNotNull(), made), "text").alias("text"))
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The longest run of every document, digests of all its runs and of its text without what they repeat."""
+    found = periodic_runs.collapse(with_periodic_tails(read(spark, folder, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    best = found.select("doc_id", "runs", longest.alias("longest"), listed.alias("listed"), "collapsed")
+    length, period = F.col("longest.length"), -F.col("longest.period")
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("bigint").alias("exponent_milli"),
+        F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 @query()
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Documents through all stages of the corpus pipeline."""
