@@ -73,10 +73,10 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte, end and text number of every run of bytes other than space and 0x09-0x0D."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = ~_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, end and text number of every run of bytes marked in ``inside``: other than space and 0x09-0x0D."""
     word = np.zeros(len(data) + 2, bool)
-    word[1:-1] = ~_SPACE[data]
+    word[1:-1] = inside[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     starts = np.flatnonzero(word[1:] & (~word[:-1] | edge))
@@ -84,9 +84,17 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-def word_bytes(data: np.ndarray) -> np.ndarray:
+def word_bytes(data: np.ndarray, inside: np.ndarray = ~_SPACE) -> np.ndarray:
     """The bytes of all words, one after the other."""
-    return data[~_SPACE[data]]
+    return data[inside[data]]
+
+
+def numbered_words(body: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A number for each word of ``body``, the same for equal words only, and the words by number."""
+    where = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
+    column = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(where), pa.py_buffer(body)])
+    coded = column.dictionary_encode()
+    return np.asarray(coded.indices).astype(np.int64), coded.dictionary
 
 
 class PrefixHash:

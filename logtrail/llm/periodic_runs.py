@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtrail.llm.byte_text import slices, word_bytes, word_spans
+from logtrail.llm.byte_text import numbered_words, slices, word_bytes, word_spans
 
 #: Periods, and words, that a run has at least.
 EXPONENT, LEAST = 4, 6
@@ -79,7 +79,7 @@ def _slice(data: np.ndarray, offsets: np.ndarray, exponent: int, least: int) ->
     starts, ends, doc = word_spans(data, offsets)
     lengths = ends - starts
     rows, body = len(offsets) - 1, word_bytes(data)
-    word = _words(body, lengths)
+    word, _ = numbered_words(body, lengths)
     begin, length, period = find_runs(word, doc, exponent, least)
     # Where a text's words and runs begin.
     first = np.searchsorted(doc, np.arange(rows + 1))
@@ -93,13 +93,6 @@ def _slice(data: np.ndarray, offsets: np.ndarray, exponent: int, least: int) ->
     return found, _joined(body[np.repeat(stays, lengths)], lengths[stays], np.searchsorted(doc[stays], np.arange(rows + 1)))
 
 
-def _words(body: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """A number for each word, the same for equal words only; ``body`` holds the words without gaps."""
-    where = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
-    column = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(where), pa.py_buffer(body)])
-    return np.asarray(column.dictionary_encode().indices).astype(np.int64)
-
-
 def _joined(body: np.ndarray, lengths: np.ndarray, first: np.ndarray) -> pa.Array:
     """Words joined by one space, per text; ``first`` numbers the first word of each text."""
     ends = np.concatenate(([0], np.cumsum(lengths + 1)))

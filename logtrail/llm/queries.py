@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtrail.llm import bit_sliced, byte_bpe, decontaminate, jaccard_rtree, periodic_runs, pseudonyms, quality_votes, repeats, toxicity, url_model, warc_bundles
+from logtrail.llm import bit_sliced, byte_bpe, decontaminate, divergence, jaccard_rtree, periodic_runs, pseudonyms, quality_votes, repeats, toxicity, url_model, warc_bundles
 from logtrail.llm import sql_checks as sql
 from logtrail.session import configure, scratch_path
 
@@ -126,6 +126,12 @@ def op5_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality_votes.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query(sql.DIVERGENCE)
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How far sources of a language lie apart, and the terms that each has more of than its language."""
+    return divergence.audit(read(spark, folder, "documents"))
+
+
 def with_periodic_tails(documents: DataFrame) -> DataFrame:
     """``doc_id, text``; of documents whose number's checksum ends in 0, the words from a place on repeat a stretch of them.
 

@@ -102,3 +102,30 @@ roots as (select a doc_id, min(b) component_id from reach group by a)
 select sets.doc_id, len(sets.s)::bigint n_shingles, coalesce(roots.component_id, sets.doc_id) component_id
 from sets left join classes on list_sort(sets.s) = classes.s left join roots on roots.doc_id = classes.doc_id
 """
+
+DIVERGENCE = """
+with docs as (select row_number() over () id, coalesce(text, '') text, coalesce(lang, '') lang, coalesce(source, '') source from documents),
+words as (
+  select id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) term
+  from docs),
+kept as materialized (select lang, term, count(*)::hugeint n from words group by lang, term having count(distinct id) >= 3),
+langs as (select lang, count(*)::hugeint v, sum(n) n from kept group by lang),
+counts as materialized (select lang, source, term, count(*)::hugeint n from words semi join kept using (lang, term) group by all),
+sizes as (select lang, source, sum(n) n from counts group by all),
+groups as materialized (
+  select d.lang, d.source, coalesce(l.v, 0) v, coalesce(s.n, 0) n from (select distinct lang, source from docs) d
+  left join langs l on l.lang = d.lang left join sizes s on s.lang = d.lang and s.source = d.source),
+parts as materialized (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) n, 1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (g.n + g.v) p
+  from groups g join kept k on k.lang = g.lang left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+of_lang as (select k.lang, k.term, 1 + (1000000000 * (k.n + 1)) // (l.n + l.v) q from kept k join langs l on l.lang = k.lang),
+values as (
+  select a.lang, a.source, 'pair' part, b.source item, sum((a.p - b.p) * (a.p - b.p) // b.p) value
+  from parts a join parts b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by a.lang, a.source, b.source
+  union all
+  select a.lang, a.source, 'pair', b.source, 0 from groups a join groups b on a.lang = b.lang and a.source <> b.source where a.v = 0
+  union all
+  select p.lang, p.source, 'term', p.term, (p.p - o.q) * (p.p - o.q) // o.q from parts p join of_lang o on o.lang = p.lang and o.term = p.term where p.n > 0 and p.p > o.q),
+ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) rank from values)
+select lang, source, part, item, value::bigint "value", rank::int rank from ranked where part = 'pair' or rank <= 200
+"""
