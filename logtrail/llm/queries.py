@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtrail.llm import bit_sliced, byte_bpe, decontaminate, divergence, jaccard_rtree, periodic_runs, pseudonyms, quality_votes, repeats, toxicity, url_model, warc_bundles
+from logtrail.llm import bit_sliced, byte_bpe, decontaminate, divergence, jaccard_rtree, periodic_runs, pseudonyms, quality_votes, repeats, token_shards, toxicity, url_model, warc_bundles
 from logtrail.llm import sql_checks as sql
 from logtrail.session import configure, scratch_path
 
@@ -126,6 +126,23 @@ def op5_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality_votes.THRESHOLD).cast("int").alias("predicted"))
 
 
+def word_bpe_file() -> str:
+    """The public tokenizer with word ends."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op11_token_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids written to binary shards and read back by its key: place, number and checksum."""
+    documents, place = read(spark, folder, "documents"), scratch_path(spark, "token-shards")
+    token_shards.write(documents, place, word_bpe_file())
+    found = token_shards.read(spark, place, documents.select("doc_id"), unkeyed=True)
+    n_tokens = (F.octet_length("ids") / 4).cast("bigint")
+    return found.select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 @query(sql.DIVERGENCE)
 def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     """How far sources of a language lie apart, and the terms that each has more of than its language."""
