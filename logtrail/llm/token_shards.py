@@ -21,9 +21,10 @@ are not there mostly fail the fingerprint, and always the key in the shard.
 Every file has a name of its own per attempt of a task, and only files named in
 the tables count, so a lost executor costs tasks and leaves nothing false.
 
-Texts are cut at white space, and each distinct word is encoded once by the
-tokenizers library. That gives the ids of whole texts for tokenizers whose
-pieces hold no white space; others are refused.
+Texts are cut at white space, and each distinct word that a worker does not
+remember is encoded by the tokenizers library. That gives the ids of whole texts
+for tokenizers that make small letters of capital ones and whose pieces hold no
+white space and no letters beside signs; others are refused.
 
 * null texts count as empty: such a document is its end id;
 * null keys are not in the index: ``read(…, unkeyed=True)`` gives their documents;
@@ -38,7 +39,7 @@ import os
 import re
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,9 @@ BUCKET_KEYS = 500_000
 #: Bits per key of a level of the hash.
 LOOSE = 2
 #: Words whose ids a worker remembers.
-WORDS = 400_000
+WORDS = 600_000
+#: Texts that are encoded at once.
+TEXTS = 100
 #: Words that are looked up at once; bytes of ids, and documents, that are read at once.
 STEP, READ_BYTES, READ_DOCS = 100_000, 8 << 20, 4096
 #: Keys of one bucket from which on its file is read whole.
@@ -66,6 +69,10 @@ _MAGIC = b"IDSHARD1"
 _SHARD_TAIL = "<QQQ8s"
 _INDEX_TAIL = "<QQQQ8s"
 _ODD_SPACES = re.compile("[\x1c-\x1f]")
+#: A sign that stands between words while they are encoded; words that hold it are encoded by themselves.
+_MARK = "\x01"
+#: A letter or digit, then signs; an apostrophe may begin a piece with the letters behind it.
+_SIGNS_LAST = re.compile(r"(.*[^\W_])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
 
 CATALOG = "shard bigint, file string, key bigint, first bigint, count bigint, ids bigint"
 SHARDS = "shard bigint, file string, docs bigint, unkeyed bigint, ids bigint, base bigint"
@@ -87,6 +94,9 @@ class WordEncoder:
         if whole != [i for part in parts for i in part]:
             raise ValueError("the tokenizer has pieces that hold white space")
         self.dtype = "<u2" if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+        if self._ids(["AB.x"]) != self._ids(["ab.x"]):
+            raise ValueError("the tokenizer tells capital letters apart")
+        (self._mark,) = self._ids([_MARK])[0]
         self._known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -94,19 +104,54 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text."""
-        words = re.split("[ \t-\r]+", text) if _ODD_SPACES.search(text) else text.split()
-        known, parts = self._known, []
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, new words of all texts encoded together."""
+        words = [re.split("[ \t-\r]+", text) if _ODD_SPACES.search(text) else text.split() for text in texts]
+        known = self._known
+        if sum(map(len, words)) <= STEP:
+            self._learn({w for some in words for w in some if w not in known}, (w for some in words for w in some))
+            return [b"".join(map(known.__getitem__, some)) for some in words]
+        return [self._encode_long(some) for some in words]
+
+    def _encode_long(self, words: list[str]) -> bytes:
+        parts: list[bytes] = []
         for at in range(0, len(words), STEP):
             some = words[at : at + STEP]
-            new = [w for w in dict.fromkeys(some) if w not in known]
-            if new and len(known) + len(new) > WORDS:
-                known.clear()
-                new = list(dict.fromkeys(some))
-            if new:
-                known.update((w, np.array(ids, self.dtype).tobytes()) for w, ids in zip(new, self._ids(new), strict=True))
-            parts += map(known.__getitem__, some)
+            self._learn({w for w in some if w not in self._known}, some)
+            parts += map(self._known.__getitem__, some)
         return b"".join(parts)
 
+    def _learn(self, new: set[str], needed: Iterable[str] = ()) -> None:
+        """Remember the ids of words; where there would be too many, only these and the ``needed`` ones."""
+        known = self._known
+        if len(known) + len(new) > WORDS:
+            kept = {w: known[w] for w in needed if w in known}
+            known.clear()
+            known.update(kept)
+        pieces = {w: _pieces(w) for w in new}
+        fresh = {p for some in pieces.values() for p in some if p not in known}
+        marked = [p for p in fresh if _MARK in p]
+        known.update((p, np.array(ids, self.dtype).tobytes()) for p, ids in zip(marked, self._ids(marked), strict=True))
+        plain = [p for p in fresh if _MARK not in p]
+        # Words between marks, as one text: the library then works on it in one go.
+        ids = np.array(self._ids([f" {_MARK} ".join(["", *plain])])[0], self.dtype)
+        payload, width = ids.tobytes(), ids.itemsize
+        ends = [*(np.flatnonzero(ids == self._mark) * width).tolist(), len(payload)]
+        known.update((p, payload[a + width : b]) for p, a, b in zip(plain, ends[:-1], ends[1:], strict=True))
+        known.update((w, b"".join([known[p] for p in some])) for w, some in pieces.items() if len(some) > 1 or some[0] != w)
+
+
+def _pieces(word: str) -> tuple[str, ...]:
+    """Parts of a word that the tokenizer takes apart in any case: ASCII signs at its end; small letters where it is all ASCII."""
+    if "<|" in word:
+        return (word,)
+    if word.isascii():
+        word = word.lower()
+    parted = _SIGNS_LAST.fullmatch(word)
+    return (word,) if parted is None else parted.groups()
+
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -250,12 +295,12 @@ def write(docs: DataFrame, place: str, tokenizer: str, end_id: int = 1, key: str
         end = np.array([end_id], encoder.dtype).tobytes()
         part, number, shard = TaskContext.get().partitionId(), 0, None
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                for k, t in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+            for at in range(0, batch.num_rows, TEXTS):
+                some = batch.slice(at, TEXTS)
+                for k, ids in zip(some.column(0).to_pylist(), encoder.encode_all(some.column(1).to_pylist()), strict=True):
                     if shard is None:
                         shard = _Shard(place, (part << 20) + number, encoder.dtype)
-                    shard.add(k, encoder.encode(t) + end)
+                    shard.add(k, ids + end)
                     if shard.full():
                         yield shard.close()
                         shard, number = None, number + 1
