@@ -32,6 +32,10 @@ WHOLE_RUNS = (
     "unmerge_and_purge",
     "unmerge_log_folders",
     "merge_by_row_month",
+    "folder_scan_merge",
+    "blob_and_text_cells",
+    "merge_outcomes",
+    "merge_preview",
 )
 
 

@@ -44,6 +44,8 @@ CLAMP_MARGIN_HOURS = 48
 # Columns.
 GEOMETRY_COLUMN = "geom"
 LEGACY_COLUMN = "time_ms"
+# Columns that rules and joins go by.
+KNOWN_COLUMNS = ("time", "time_ms", "log_hash", "geom", "symbol", "posid", "seqid", "netid", "modem_time", "direction", "lat", "lon")
 UPLINK_SYMBOL = "send"
 BSIC_CHARACTERS = 5
 BAND_PREFIX_CHARACTERS = 3

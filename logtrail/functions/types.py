@@ -28,10 +28,26 @@ DECLARED_TYPES = {
     "geometry": "binary",
 }
 
+# Types where text that does not parse is an error and not just a null.
+CHECKED_TYPES = ("smallint", "int", "bigint", "double", "decimal(20,0)")
+
 # From narrow to wide; a type can be widened to any one after it.
 WIDENING_ORDER = ("smallint", "int", "bigint", "double", "string")
 
 
+def quoted(name: str) -> str:
+    """A column name for use in an expression, whatever signs it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(names: list[str], like: str) -> str:
+    """A name like ``like`` that is none of ``names``, case aside."""
+    taken = {name.lower() for name in names}
+    while like.lower() in taken:
+        like = f"_{like}"
+    return like
+
+
 def is_datetime_column(column: str) -> bool:
     """Whether a column holds times, by its name."""
     return column.endswith("time") and not column.endswith(fixed.NOT_DATETIME_SUFFIXES)

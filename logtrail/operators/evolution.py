@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtrail.functions.types import widen
+from logtrail.functions.types import quoted, widen
 
 
 def merge_by_name(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def merge_by_name(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def _cast(df: DataFrame, target: dict[str, str]) -> DataFrame:
     types = dict(df.dtypes)
-    changed = {c: F.col(f"`{c}`").cast(t) for c, t in target.items() if types[c] != t}
+    changed = {c: F.col(quoted(c)).cast(t) for c, t in target.items() if types[c] != t}
     return df.withColumns(changed) if changed else df
 
 
@@ -28,5 +28,5 @@ def conform(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Exactly the given columns and types, null where absent (M4)."""
     present = set(df.columns)
     return df.select(
-        *[(F.col(f"`{c}`") if c in present else F.lit(None)).cast(t).alias(c) for c, t in columns.items()]
+        *[(F.col(quoted(c)) if c in present else F.lit(None)).cast(t).alias(c) for c, t in columns.items()]
     )

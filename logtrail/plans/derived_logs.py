@@ -11,6 +11,7 @@ import io
 import sqlite3
 import struct
 import zipfile
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -51,14 +52,14 @@ def _point(lon: float, lat: float) -> bytes:
     return head + b"\x7c" + bytes.fromhex(fixed.POINT_CLASS) + xy + b"\xfe"
 
 
-def log_files_from(events: DataFrame) -> DataFrame:
-    """Events as ``(path, content)`` of log files."""
+def log_files_from(events: DataFrame, pack: Callable[[pd.DataFrame], pd.DataFrame] | None = None) -> DataFrame:
+    """Events as ``(path, content)`` of log files; ``pack`` makes the files of a device's block of events."""
     device = F.floor(F.col("user_id") / USERS_PER_DEVICE).alias("device")
     placed = events.select("*", device)
     blocks = F.ceil(F.count(F.lit(1)) / EVENTS_PER_FILE).alias("blocks")
     split = lookup_join(placed, placed.groupBy("device").agg(blocks), ["device"])
     split = split.withColumn("block", F.pmod("event_id", "blocks")).drop("blocks")
-    return split.groupBy("device", "block").applyInPandas(_pack, "path string, content binary")
+    return split.groupBy("device", "block").applyInPandas(pack or _pack, "path string, content binary")
 
 
 def _pack(rows: pd.DataFrame) -> pd.DataFrame:
@@ -125,11 +126,11 @@ def _pack(rows: pd.DataFrame) -> pd.DataFrame:
         "wifi_scanned": (common, [(t, 0, e.event_id, log_hash) for t, e in events]),
         "spatial_ref_sys": ('"srid" INT', [(4326,)]),
     }
-    content = _archive(tables)
+    content = archive(tables)
     return pd.DataFrame({"path": [f"derived/{device:06d}/{block:06d}.azm"], "content": [content]})
 
 
-def _archive(tables: dict[str, tuple[str, list[tuple]]]) -> bytes:
+def archive(tables: dict[str, tuple[str, list[tuple]]]) -> bytes:
     db = sqlite3.connect(":memory:")
     for name, (columns, rows) in tables.items():
         db.execute(f'create table "{name}" ({columns})')

@@ -4,9 +4,12 @@ A merge runs in four steps, each ending in a table on the shared file system,
 so a lost executor costs tasks and not the batch:
 
 1. decode every file once into staging, one folder per source table;
-2. decide per file what happens to it;
-3. per source table: type, clamp and write the rows of accepted logs;
-4. publish the logs by one ledger append.
+2. decide per file what happens to it. All files that could be merged, copies of
+   one log too, are checked for bad cells at once, in one scan of the rows that
+   decoding left in doubt; then the first good file of each log is taken;
+3. per source table: type, clamp and write the rows of accepted logs. Types and
+   columns of the store follow from accepted files alone;
+4. publish the logs, and with them their schema changes, by one ledger append.
 
 Facts are joined with the accepted files by (file, chunk). A chunk holds a
 bounded number of rows, so one huge log is many keys.
@@ -19,6 +22,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
@@ -26,13 +30,15 @@ from pyspark.sql import functions as F
 
 from logtrail import fixed_values as fixed
 from logtrail.functions import cleaning, identity
+from logtrail.functions.types import unused
 from logtrail.operators import aggregates, filters, joins
 from logtrail.operators.evolution import conform
 from logtrail import files as folders
 from logtrail.plans import store as stores
 from logtrail.plans.store import LogStore
+from logtrail.session import scratch_path
 from logtrail.sources import log_files, typed_rows
-from logtrail.sources.typed_rows import CAST_ERRORS, TableColumns
+from logtrail.sources.typed_rows import TableColumns
 
 # Outcomes of a file.
 MERGED, ALREADY_MERGED, UNMERGED = "merged", "already_merged", "unmerged"
@@ -41,7 +47,8 @@ UNREADABLE, INVALID_IDENTITY = "unreadable", "invalid_identity"
 NO_START_TIME, NO_END_TIME, NOT_ATTEMPTED = "no_start_time", "no_end_time", "not_attempted"
 
 IMEI_COLUMN = "imei_id"
-OPEN_NAMES = ("log_hash", "cells")
+# What rows carry of their file, in one struct column beside the source's.
+OWN = "_own"
 # Columns that the store adds itself; a source that has one of them fails.
 RESERVED = (stores.BY_LOG_MONTH, stores.BY_ROW_MONTH, "batch_id")
 
@@ -54,10 +61,11 @@ class MergeFailed(RuntimeError):
 class MergeOptions:
     """What to import and how.
 
-    ``preprocess(df, table)`` gets the rows of one table as text columns, with
-    all columns that start with ``_``, which it has to keep, and ``log_hash``.
-    It gives back the rows to import, with columns of its own where it adds
-    some (U1). Inputs that are moved keep their place below ``input_root``.
+    ``preprocess(df, table)`` gets the rows of one table as text columns, blob
+    columns as bytes, with ``log_hash`` and a struct column ``_own`` (with more
+    underscores where the source has one), both of which it has to keep. It
+    gives back the rows to import, with columns of its own where it adds some
+    (U1). Inputs that are moved keep their place below ``input_root``.
     """
 
     tables: filters.TableFilter = field(default_factory=filters.TableFilter)
@@ -87,12 +95,11 @@ def _decoded(files: DataFrame, options: MergeOptions) -> DataFrame:
     return log_files.decode(files, options.tables, options.location_geometry_only, also)
 
 
-def stage(store: LogStore, files: DataFrame, options: MergeOptions, batch_id: str) -> DataFrame:
+def stage(store: LogStore, files: DataFrame, options: MergeOptions, path: str) -> DataFrame:
     """Decode files into a written staging table, one folder per source table.
 
     Every decode task writes its own files: the decoded rows are not shuffled.
     """
-    path = f"{store.root}/staging/{batch_id}/rows"
     _decoded(files, options).write.mode("overwrite").partitionBy("table_name").parquet(path)
     return store.spark.read.schema(log_files.DECODED_SCHEMA).parquet(path)
 
@@ -112,7 +119,7 @@ def read_identity(rows: DataFrame, add_imei: bool = False) -> DataFrame:
     The decoder numbers rows, so the first row of ``logs`` (G7) is row 0.
     """
     kinds = (log_files.FILE_ROWS, log_files.SUMMARY_ROWS, log_files.COLUMN_ROWS, fixed.LOGS_TABLE, fixed.HEARTBEAT_TABLE)
-    kind, cells = F.col("table_name"), F.col("cells")
+    kind, note = F.col("table_name"), F.col("note")
     is_log = (kind == fixed.LOGS_TABLE) & (F.col("row_no") == 0)
     found = (
         rows.where(kind.isin(*kinds))
@@ -122,7 +129,7 @@ def read_identity(rows: DataFrame, add_imei: bool = False) -> DataFrame:
             F.max(F.when(kind == log_files.SUMMARY_ROWS, log_files.cell("rows").cast("bigint"))).alias("rows"),
             F.max(F.when(kind == fixed.HEARTBEAT_TABLE, cleaning.to_time(F.col("time_text")))).alias("last_heartbeat"),
             F.max(F.when(_unfit(), F.concat(log_files.cell("table"), F.lit(": "), log_files.cell("column")))).alias("unfit"),
-            F.any_value(F.when(is_log, cells), F.lit(True)).alias("log"),
+            F.any_value(F.when(is_log, note), F.lit(True)).alias("log"),
         )
     )
     offset = log_files.cell("log_timezone_offset", "log").try_cast("bigint")
@@ -158,7 +165,7 @@ def _without_symbol(rows: DataFrame) -> DataFrame:
 
 def _imei_per_file(rows: DataFrame) -> DataFrame:
     info = of_table(rows, fixed.LOG_INFO_TABLE)
-    flat = info.select("path", "row_no", log_files.cell("IMEI").alias("IMEI"), log_files.cell("seqid").try_cast("bigint").alias("seqid"))
+    flat = info.select("path", "row_no", log_files.cell("imei").alias("IMEI"), log_files.cell("seqid").try_cast("bigint").alias("seqid"))
     return aggregates.latest_nonempty(flat, "IMEI", ["seqid", "row_no"], "path").withColumnRenamed("IMEI", IMEI_COLUMN)
 
 
@@ -210,27 +217,29 @@ def decide(files: DataFrame, active: DataFrame, target_exists: bool, fail_fast:
 def source_columns(rows: DataFrame, accepted: DataFrame) -> dict[str, TableColumns]:
     """Columns of all tables of the accepted files.
 
-    What comes back is one row per distinct (table, column, declared type).
+    What comes back is one row per column of each distinct table layout, not per file.
     """
-    names = ("table", "column", "declared", "ordinal")
+    names = ("table", "layout", "column", "declared", "ordinal")
     catalog = (
         of_table(rows, log_files.COLUMN_ROWS)
         .join(accepted.select("path"), "path", "left_semi")
         .select(*[log_files.cell(n).alias(n) for n in names])
-        .groupBy("table", "column", "declared")
-        .agg(F.min(F.col("ordinal").cast("int")).alias("ordinal"))
-        .orderBy("table", "ordinal", "column", "declared")
+        .distinct()
     )
-    tables: dict[str, TableColumns] = {}
+    layouts: dict[tuple[str, str], list[tuple[int, str, str]]] = {}
     for row in catalog.collect():
-        tables.setdefault(row.table, TableColumns(row.table)).declared.setdefault(row.column, []).append(row.declared)
+        layouts.setdefault((row.table, row.layout), []).append((int(row.ordinal), row.column, row.declared))
+    tables: dict[str, TableColumns] = {}
+    # Columns that most files have come first, whatever the order of files.
+    for (table, layout), listed in sorted(layouts.items(), key=lambda item: (item[0][0], len(item[1]), item[1])):
+        tables.setdefault(table, TableColumns(table)).add_layout(layout, [(c, d) for _, c, d in sorted(listed)])
     return tables
 
 
 def table_summaries(rows: DataFrame) -> DataFrame:
-    """Rows read per file and table, and read errors."""
-    cells = [log_files.cell(n) for n in ("table", "rows", "error")]
-    return of_table(rows, log_files.SUMMARY_ROWS).select("path", cells[0].alias("table"), cells[1].cast("bigint").alias("rows"), cells[2].alias("error"))
+    """Rows read per file and table, rows in doubt, odd storage classes and read errors."""
+    cells = {n: log_files.cell(n) for n in ("table", "rows", "doubt", "odd", "error")}
+    return of_table(rows, log_files.SUMMARY_ROWS).select("path", *[(c.cast("bigint") if n in ("rows", "doubt") else c).alias(n) for n, c in cells.items()])
 
 
 def _chunk_count() -> Column:
@@ -245,36 +254,54 @@ def chunks_of(accepted: DataFrame, hours: int) -> DataFrame:
     return accepted.select(*kept, low.alias("low"), high.alias("high"), chunks)
 
 
-def typed_facts(
-    rows: DataFrame, chunks: DataFrame, columns: TableColumns, target: dict[str, str], options: MergeOptions, month: str
-) -> DataFrame:
-    """Rows of one table, clean and typed, with log, month and lost-cell count."""
+def facts(rows: DataFrame, chunks: DataFrame, columns: TableColumns, options: MergeOptions) -> tuple[DataFrame, str]:
+    """Rows of one table that are imported, source columns as text, and the name of the struct with all else."""
     table = columns.table
-    joined = of_table(rows, table).drop("table_name").join(chunks, ["path", "chunk"], "inner")
-    # Own columns get a leading underscore, away from the columns of the source.
-    facts = joined.select("log_hash", "cells", *[F.col(c).alias(f"_{c}") for c in joined.columns if c not in OPEN_NAMES])
+    joined = of_table(rows, table).drop("table_name", "note", "doubt").join(chunks, ["path", "chunk"], "inner")
     clamped = table != fixed.LOGS_TABLE
     if clamped and options.preprocess is None:
-        facts = facts.where(_kept(cleaning.to_time(F.col("_time_text")), options))
-    facts = facts.where(filters.version_gate(F.lit(table), F.col("_app_version")))
-    text = typed_rows.parse_cells(facts, columns)
+        joined = joined.where(_kept(cleaning.to_time(F.col("time_text")), F.struct("has_time", "low", "high"), options))
+    joined = joined.where(filters.version_gate(F.lit(table), F.col("app_version")))
+    own = unused(list(columns.declared), OWN)
+    carried = [c for c in joined.columns if c not in ("log_hash", "cells")]
+    text = typed_rows.parse_cells(joined.select("log_hash", F.struct(*carried).alias(own), "cells", "layout"), columns)
     if options.preprocess is not None:
         text = text.transform(options.preprocess, table)
-        if clamped and "time" in text.columns:
-            # The hook may have made the time: then the row has one, whatever the source had.
-            text = text.withColumn("_has_time", F.lit(True))
         if clamped:
-            text = text.where(_kept(_time_of(text), options))
+            kept = F.col(own)
+            if "time" in text.columns:
+                # The hook may have made the time: then the row has one, whatever the source had.
+                kept = kept.withField("has_time", F.lit(True))
+            text = text.where(_kept(_time_of(text), kept, options))
+    return text, own
+
+
+def typed_facts(
+    rows: DataFrame, chunks: DataFrame, columns: TableColumns, target: dict[str, str], options: MergeOptions, month: str
+) -> tuple[DataFrame, str]:
+    """Rows of one table, clean and typed, with log and month, and the name of their chunk column."""
+    text, own = facts(rows, chunks, columns, options)
     if options.add_imei and IMEI_COLUMN not in columns.declared:
-        text = text.withColumn(IMEI_COLUMN, F.col(f"_{IMEI_COLUMN}"))
+        text = text.withColumn(IMEI_COLUMN, F.col(own)[IMEI_COLUMN])
+    when = F.col(own)["log_ym"]
     if month == stores.BY_ROW_MONTH:
-        when = F.coalesce(_time_of(text), F.col("_start"))
-        text = text.withColumn("_month", identity.month_of(when))
-    else:
-        text = text.withColumnRenamed("_log_ym", "_month")
-    keep = ["_path", "log_hash", "_month", "_chunk"]
-    typed = typed_rows.type_columns(text, columns, target, keep, options.strip_band)
-    return typed.withColumnRenamed("_month", month)
+        when = identity.month_of(F.coalesce(_time_of(text), F.col(own)["start"]))
+    kept = text.withColumn(own, F.struct(when.alias("month"), F.col(own)["chunk"].alias("chunk")))
+    typed = typed_rows.type_columns(kept, columns, target, ["log_hash", own], options.strip_band, errors=None)
+    chunk = unused(typed.columns, "_chunk")
+    return typed.withColumns({month: F.col(own)["month"], chunk: F.col(own)["chunk"]}).drop(own), chunk
+
+
+def bad_cells(rows: DataFrame, chunks: DataFrame, tables: dict[str, TableColumns], options: MergeOptions) -> DataFrame:
+    """``(path, table)`` of files with cells that do not parse as the type that the file declares."""
+    # A hook may make any cell bad; else a look at the rows in doubt tells.
+    doubtful = rows if options.preprocess is not None else rows.where("doubt")
+    parts = []
+    for table, columns in tables.items():
+        text, own = facts(doubtful, chunks, columns, options)
+        lost = typed_rows.lost_cells(text, columns, F.col(own)["layout"], options.strip_band)
+        parts.append(text.where(lost > 0).select(F.col(own)["path"].alias("path"), F.lit(table).alias("table")))
+    return reduce(DataFrame.unionByName, parts).distinct()
 
 
 def _time_of(text: DataFrame) -> Column:
@@ -285,21 +312,19 @@ def _time_of(text: DataFrame) -> Column:
     return cleaning.to_time(F.col("time")) if kind == "string" else F.col("time").cast("timestamp_ntz")
 
 
-def _with_hook_columns(columns: TableColumns, rows: DataFrame, options: MergeOptions) -> TableColumns:
+def _with_hook_columns(columns: TableColumns, rows: DataFrame, chunks: DataFrame, options: MergeOptions) -> TableColumns:
     """The columns of a table, and those that the hook adds, by their names and types."""
-    empty = of_table(rows, columns.table).where(F.lit(False)).drop("table_name")
-    own = {c: F.lit(None) for c in ("_low", "_high", "_start", "_log_ym", "_app_version", f"_{IMEI_COLUMN}")}
-    empty = empty.select(F.lit(0).cast("bigint").alias("log_hash"), "cells", *[F.col(c).alias(f"_{c}") for c in empty.columns if c != "cells"])
-    made = typed_rows.parse_cells(empty.withColumns(own), columns).transform(options.preprocess, columns.table)
-    added = {c: [kind] for c, kind in made.dtypes if not c.startswith("_") and c != "log_hash" and c not in columns.declared}
-    return TableColumns(columns.table, {**columns.declared, **added})
+    made, own = facts(rows, chunks, columns, replace(options, keep_tables_without_time=True))
+    known = {"log_hash", own, *columns.declared}
+    added = {c: [kind] for c, kind in made.dtypes if c not in known}
+    return replace(columns, declared={**columns.declared, **added})
 
 
-def _kept(time_column: Column, options: MergeOptions) -> Column:
-    inside = time_column.between(F.col("_low"), F.col("_high"))
+def _kept(time_column: Column, own: Column, options: MergeOptions) -> Column:
+    inside = time_column.between(own["low"], own["high"])
     if options.keep_tables_without_time:
-        return ~F.col("_has_time") | inside
-    return F.col("_has_time") & inside
+        return ~own["has_time"] | inside
+    return own["has_time"] & inside
 
 
 def _stored_columns(columns: TableColumns, options: MergeOptions) -> dict[str, str]:
@@ -317,19 +342,17 @@ def _write_table(
     schema: stores.TableSchema,
     options: MergeOptions,
     attempt: str,
-) -> tuple[float, int, DataFrame | None]:
-    """Write one table; seconds, rows and, if cells were lost, the files that lost some."""
+) -> tuple[float, int]:
+    """Write one table; seconds and rows."""
     begun = time.monotonic()
     target = {c: schema.columns[c] for c in _stored_columns(columns, options)}
-    typed = typed_facts(rows, chunks, columns, target, options, store.month)
+    typed, chunk = typed_facts(rows, chunks, columns, target, options, store.month)
     seen = Observation()
-    counted = typed.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(CAST_ERRORS).alias("lost"))
+    counted = typed.observe(seen, F.count(F.lit(1)).alias("rows"))
     stored = {c: t for c, t in schema.columns.items() if c != "log_hash"}
-    final = conform(counted, {**stored, store.month: "string", "log_hash": "bigint", "_chunk": "int"})
-    store.write_rows(final.withColumn("batch_id", F.lit(attempt)), columns.table, schema.gen, "_chunk")
-    counts = _observed(seen)
-    bad = typed.where(F.col(CAST_ERRORS) > 0).select(F.col("_path").alias("path")).distinct() if counts.get("lost") else None
-    return time.monotonic() - begun, counts.get("rows") or 0, bad
+    final = conform(counted, {**stored, store.month: "string", "log_hash": "bigint", chunk: "int"})
+    store.write_rows(final.withColumn("batch_id", F.lit(attempt)), columns.table, schema.gen, chunk)
+    return time.monotonic() - begun, _observed(seen).get("rows") or 0
 
 
 def _observed(seen: Observation) -> dict:
@@ -347,12 +370,26 @@ def _observed(seen: Observation) -> dict:
 
 
 def plan_merge(store: LogStore, files: DataFrame, options: MergeOptions | None = None) -> tuple[DataFrame, DataFrame]:
-    """What a merge would do (M12): outcome per file, rows per file and table. Writes nothing."""
+    """What a merge would do (M12): outcome per file, and the rows per file and table that it would write.
+
+    Decides and counts as a merge does, from one decoding, and leaves the store as it is. Staging goes to the
+    shared scratch folder.
+    """
     options = options or MergeOptions()
-    only_logs = replace(options.tables, only=(fixed.LOGS_TABLE,))
-    heads = read_identity(log_files.decode(files, only_logs, also=(fixed.HEARTBEAT_TABLE,)))
-    decided = decide(heads, store.active_logs(), not store.is_empty(), options.fail_fast)
-    counts = table_summaries(log_files.decode(files, options.tables)).select("path", "table", "rows")
+    scratch = scratch_path(store.spark, "preview")
+    rows = stage(store, files, options, f"{scratch}/rows")
+    decided, _ = _decide_all(store, rows, options, scratch)
+    accepted = decided.where(F.col("status") == MERGED)
+    chunks = chunks_of(accepted, options.margin_hours)
+    tables = _imported(source_columns(rows, accepted), table_summaries(rows), chunks, rows, options)
+    parts = []
+    for table, columns in tables.items():
+        kept, own = facts(rows, chunks, columns, options)
+        counted = kept.groupBy(F.col(own)["path"].alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+        parts.append(counted.select("path", F.lit(table).alias("table"), "rows"))
+    counts = reduce(DataFrame.unionByName, parts) if parts else store.spark.createDataFrame([], "path string, table string, rows bigint")
+    counts = _written(store, counts, f"{scratch}/counts")
+    folders.delete(store.spark, f"{scratch}/rows")
     return _report(decided, "preview"), counts
 
 
@@ -362,30 +399,25 @@ def merge(
     """Import the logs in ``files(path, content)``; gives the outcome per file."""
     options, batch_id = options or MergeOptions(), batch_id or uuid.uuid4().hex
     begun = time.monotonic()
-    rows = stage(store, files, options, batch_id)
-    staged_at = time.monotonic()
     folder = f"{store.root}/staging/{batch_id}"
-    decided = decide(
-        read_identity(rows, options.add_imei), store.active_logs(), not store.is_empty(), options.fail_fast
-    )
-    decided = _written(store, decided, f"{folder}/files")
+    rows = stage(store, files, options, f"{folder}/rows")
+    staged_at = time.monotonic()
+    decided, lost = _decide_all(store, rows, options, folder)
     decided_at = time.monotonic()
     accepted = decided.where(F.col("status") == MERGED)
     metrics = [
         (batch_id, "*", "decode", staged_at - begun, None),
         (batch_id, "*", "decide", decided_at - staged_at, None),
     ]
-    turn = 0
-    while not accepted.isEmpty():
-        chunks = chunks_of(accepted, options.margin_hours)
-        failed = _import_logs(store, rows, accepted, chunks, options, batch_id, f"{folder}/turn-{turn}", metrics)
-        if failed is None:
-            break
-        turn += 1
-        decided = _written(store, _after_failures(decided, accepted, failed, options), f"{folder}/files-{turn}")
-        # Another copy of a log whose file failed has its turn now.
-        accepted = decided.where(F.col("_next"))
-        decided = decided.drop("_next")
+    if not accepted.isEmpty():
+        _import_logs(store, rows, accepted, options, batch_id, metrics)
+    if lost is not None:
+        tried = decided.where(F.col("status").isin(MERGED, FAILED)).select("path")
+        _append_events(store, lost.join(tried, "path", "left_semi"), "bad_cells", F.lit(None), batch_id)
+        failed = decided.where(F.col("status") == FAILED)
+        if not failed.isEmpty():
+            # Nothing of these is on disk.
+            store.record((failed, stores.FAILED, False, batch_id))
     metrics.append((batch_id, "*", "merge", time.monotonic() - begun, None))
     timed = store.spark.createDataFrame(metrics, stores.METRICS_SCHEMA).coalesce(1)
     _side_by_side(
@@ -403,23 +435,60 @@ def merge(
     return report
 
 
-def _after_failures(decided: DataFrame, accepted: DataFrame, failed: DataFrame, options: MergeOptions) -> DataFrame:
-    """Statuses after some files of a turn failed; ``_next``: files to import now, the first other copy of each failed log."""
-    reason = failed.groupBy("path").agg(F.min("table").alias("_new_table"))
-    tried = accepted.select("path", F.lit(True).alias("_tried"))
-    now = decided.join(tried, "path", "left").join(reason, "path", "left")
-    bad = F.col("_new_table").isNotNull()
-    before = F.col("_bad_table") if "_bad_table" in decided.columns else F.lit(None).cast("string")
-    now = now.withColumn("_bad_table", F.coalesce("_new_table", before)).withColumn("status", F.when(bad, FAILED).when(F.col("_tried"), MERGED).otherwise(F.col("status")))
+def _decide_all(store: LogStore, rows: DataFrame, options: MergeOptions, folder: str) -> tuple[DataFrame, DataFrame | None]:
+    """Every staged file with its status, written; and ``(path, table)`` of all bad cells, if there are any."""
+    decided = decide(
+        read_identity(rows, options.add_imei), store.active_logs(), not store.is_empty(), options.fail_fast
+    )
+    decided = _written(store, decided, f"{folder}/files")
+    candidates = _candidates(decided)
+    summaries = table_summaries(rows)
+    in_doubt = summaries.where(F.col("doubt") > 0) if options.preprocess is None else summaries
+    names = [r.table for r in in_doubt.join(candidates.select("path"), "path", "left_semi").select("table").distinct().collect()]
+    if not names:
+        return decided, None
+    chunks = chunks_of(candidates, options.margin_hours)
+    columns = {t: c for t, c in source_columns(rows, candidates).items() if t in names}
+    tables = _imported(columns, summaries, chunks, rows, options)
+    if not tables:
+        return decided, None
+    lost = _written(store, bad_cells(rows, chunks, tables, options), f"{folder}/lost")
+    if lost.isEmpty():
+        return decided, None
+    failing = lost.where(~F.col("table").isin(*fixed.TOLERATED_TABLES)) if options.bad_cells_fail_log else lost.limit(0)
+    return _written(store, _after_check(decided, candidates, failing, options), f"{folder}/checked"), lost
+
+
+def _candidates(decided: DataFrame) -> DataFrame:
+    """Files that can be merged: the first of each new log, and its copies, which come in where the first is bad."""
+    merging = decided.where(F.col("status") == MERGED)
+    copies = decided.where((F.col("status") == ALREADY_MERGED) & F.col("problem").isNull())
+    return merging.unionByName(copies.join(merging.select("log_hash"), "log_hash", "left_semi").select(*decided.columns))
+
+
+def _after_check(decided: DataFrame, candidates: DataFrame, failing: DataFrame, options: MergeOptions) -> DataFrame:
+    """Statuses when some files have bad cells: the first good file of each log is merged, files before it failed.
+
+    ``_bad_table`` names a table with bad cells of each failed file.
+    """
+    bad = failing.groupBy("path").agg(F.min("table").alias("_bad_table"))
+    good = candidates.join(bad, "path", "left_anti").groupBy("log_hash").agg(F.min("path").alias("_first"))
+    # Few rows: one per log that can be merged, and one per bad file.
+    logs = candidates.select("log_hash").distinct().join(good, "log_hash", "left").withColumn("_candidate", F.lit(True))
+    is_candidate = F.col("_candidate").isNotNull() & F.col("problem").isNull()
+    before = F.col("_first").isNull() | (F.col("path") < F.col("_first"))
+    status = (
+        F.when(~is_candidate, F.col("status"))
+        .when(F.col("path") == F.col("_first"), MERGED)
+        .when(F.col("_bad_table").isNotNull() & before, FAILED)
+        .otherwise(F.when(F.col("status") == NOT_ATTEMPTED, NOT_ATTEMPTED).otherwise(ALREADY_MERGED))
+    )
+    now = decided.join(logs, "log_hash", "left").join(bad, "path", "left").withColumn("status", status)
+    now = now.withColumn("_bad_table", F.when(F.col("status") == FAILED, F.col("_bad_table"))).drop("_first", "_candidate")
     if options.fail_fast:
-        stop = now.where(bad).agg(F.min("path")).first()[0]
+        stop = now.where(F.col("status") == FAILED).agg(F.min("path")).first()[0]
         now = now.withColumn("status", F.when(F.col("path") > stop, NOT_ATTEMPTED).otherwise(F.col("status")))
-        return now.drop("_tried", "_new_table").withColumn("_next", F.lit(False))
-    lost = now.where(bad).select("log_hash").distinct()
-    waiting = now.where((F.col("status") == ALREADY_MERGED) & F.col("problem").isNull()).join(lost, "log_hash", "left_semi")
-    first = waiting.groupBy("log_hash").agg(F.min("path").alias("path")).select("path", F.lit(True).alias("_next"))
-    now = now.drop("_tried", "_new_table").join(first, "path", "left").withColumn("_next", F.coalesce("_next", F.lit(False)))
-    return now.withColumn("status", F.when(F.col("_next"), MERGED).otherwise(F.col("status")))
+    return now.select(*decided.columns, "_bad_table")
 
 
 def _written(store: LogStore, df: DataFrame, path: str) -> DataFrame:
@@ -427,17 +496,25 @@ def _written(store: LogStore, df: DataFrame, path: str) -> DataFrame:
     return store.spark.read.schema(df.schema).parquet(path)
 
 
+def _imported(
+    columns: dict[str, TableColumns], summaries: DataFrame, chunks: DataFrame, rows: DataFrame, options: MergeOptions
+) -> dict[str, TableColumns]:
+    """The tables that are imported, with the columns that a hook adds."""
+    tables = {t: c for t, c in columns.items() if options.tables.keeps(t)}
+    if options.preprocess is not None:
+        tables = {t: _with_hook_columns(c, rows, chunks, options) for t, c in tables.items()}
+    if options.skip_empty_tables:
+        filled = {row.table for row in summaries.where(F.col("rows") > 0).select("table").distinct().collect()}
+        tables = {t: c for t, c in tables.items() if t in filled}
+    if not options.keep_tables_without_time:
+        tables = {t: c for t, c in tables.items() if t == fixed.LOGS_TABLE or "time" in c.declared}
+    return tables
+
+
 def _import_logs(
-    store: LogStore,
-    rows: DataFrame,
-    accepted: DataFrame,
-    chunks: DataFrame,
-    options: MergeOptions,
-    batch_id: str,
-    folder: str,
-    metrics: list[tuple],
-) -> DataFrame | None:
-    """Steps 3 and 4; gives ``(path, table)`` of logs that failed, if any did."""
+    store: LogStore, rows: DataFrame, accepted: DataFrame, options: MergeOptions, batch_id: str, metrics: list[tuple]
+) -> None:
+    """Steps 3 and 4 for files that are known to be good."""
     attempt = f"{batch_id}-{uuid.uuid4().hex[:8]}"
     if store.layout == stores.PER_LOG:
         store.remove_log_folders(accepted.select("log_hash").join(store.hidden(), "log_hash"))
@@ -445,46 +522,25 @@ def _import_logs(
         lambda: source_columns(rows, accepted), lambda: store.record((accepted, stores.PENDING, True, attempt))
     )
     summaries = table_summaries(rows)
-    tables = {t: c for t, c in columns.items() if options.tables.keeps(t)}
-    if options.preprocess is not None:
-        tables = {t: _with_hook_columns(c, rows, options) for t, c in tables.items()}
-    if options.skip_empty_tables:
-        filled = summaries.where(F.col("rows") > 0).select("table").distinct().collect()
-        tables = {t: c for t, c in tables.items() if t in {row.table for row in filled}}
-    if not options.keep_tables_without_time:
-        tables = {t: c for t, c in tables.items() if t == fixed.LOGS_TABLE or _has_time(c, options)}
-    schemas, grown = store.evolve({t: {"log_hash": "bigint", **_stored_columns(c, options)} for t, c in tables.items()})
-    failed: DataFrame | None = None
+    chunks = chunks_of(accepted, options.margin_hours)
+    tables = _imported(columns, summaries, chunks, rows, options)
+    stored = store.schemas()
+    tables = {t: c.spelled(list(stored[t][-1].columns)) if t in stored else c for t, c in tables.items()}
+    schemas, grown = store.evolve({t: {"log_hash": "bigint", **_stored_columns(c, options)} for t, c in tables.items()}, attempt)
     with ThreadPoolExecutor(options.parallel_tables) as pool:
         jobs = {
             t: pool.submit(_write_table, store, rows, chunks, c, schemas[t], options, attempt) for t, c in tables.items()
         }
-        reports = [pool.submit(_record_events, store, summaries, columns, accepted, options, batch_id)]
+        reports = [pool.submit(_record_events, store, summaries, columns, accepted, batch_id)]
         if grown is not None:
             reports.append(pool.submit(store.append, "schemas", grown))
         for table, job in jobs.items():
-            seconds, count, bad = job.result()
+            seconds, count = job.result()
             metrics.append((batch_id, table, "write", seconds, count))
-            if bad is not None:
-                failed = _note_bad_cells(store, table, bad, failed, options, batch_id)
         for report in reports:
             report.result()
-    if failed is None:
-        store.record((accepted, stores.MERGED, True, attempt))
-        return None
-    failed = _written(store, failed, f"{folder}/failed")
-    bad = failed.select("path").distinct()
-    if options.fail_fast:
-        # Files after the first bad one are not attempted: what was written of them stays hidden.
-        stop = failed.agg(F.min("path")).first()[0]
-        bad = bad.unionByName(accepted.where(F.col("path") > stop).select("path")).distinct()
-    good = accepted.join(bad, "path", "left_anti")
-    broken = accepted.join(bad, "path", "left_semi")
-    if store.layout == stores.PER_LOG:
-        store.remove_log_folders(broken)
-    on_disk = store.layout == stores.PER_BATCH
-    store.record((good, stores.MERGED, True, attempt), (broken, stores.FAILED, on_disk, attempt))
-    return failed
+    # Rows and schema changes of the attempt count from here on.
+    store.record((accepted, stores.MERGED, True, attempt))
 
 
 def _side_by_side(*actions: Callable) -> list:
@@ -493,53 +549,26 @@ def _side_by_side(*actions: Callable) -> list:
         return [job.result() for job in [pool.submit(action) for action in actions]]
 
 
-def _has_time(columns: TableColumns, options: MergeOptions) -> bool:
-    return "time" in columns.declared
-
-
-def _note_bad_cells(
-    store: LogStore, table: str, bad: DataFrame, failed: DataFrame | None, options: MergeOptions, batch_id: str
-) -> DataFrame | None:
-    """Bad cells are an event; outside tolerated tables they also fail the log."""
-    tagged = bad.select("path", F.lit(table).alias("table"))
-    store.append(
-        "ingest_events",
-        tagged.select(
-            F.lit(batch_id).alias("batch_id"),
-            "path",
-            "table",
-            F.lit("bad_cells").alias("event"),
-            F.lit(None).cast("string").alias("detail"),
-        ),
-    )
-    if table in fixed.TOLERATED_TABLES or not options.bad_cells_fail_log:
-        return failed
-    return tagged if failed is None else failed.unionByName(tagged)
+def _append_events(store: LogStore, rows: DataFrame, event: str, detail: Column, batch_id: str) -> None:
+    """Events of files and tables, ``rows(path, table)``."""
+    found = rows.select(F.lit(batch_id).alias("batch_id"), "path", "table", F.lit(event).alias("event"), detail.cast("string").alias("detail"))
+    store.append("ingest_events", found)
 
 
 def _record_events(
-    store: LogStore,
-    summaries: DataFrame,
-    columns: dict[str, TableColumns],
-    accepted: DataFrame,
-    options: MergeOptions,
-    batch_id: str,
+    store: LogStore, summaries: DataFrame, columns: dict[str, TableColumns], accepted: DataFrame, batch_id: str
 ) -> None:
-    """Warnings of a batch: cut-short reads, tables without time, old app versions."""
+    """Warnings of a batch: cut-short reads, odd storage classes, tables without time, old app versions."""
     timeless = [t for t, c in columns.items() if t != fixed.LOGS_TABLE and "time" not in c.declared]
-    partial = summaries.where(F.col("error").isNotNull()).select(
-        "path", "table", F.lit("partial_read").alias("event"), F.col("error").alias("detail")
-    )
-    skipped = summaries.where(F.col("table").isin(*timeless)).select(
-        "path", "table", F.lit("no_time_column").alias("event"), F.lit(None).cast("string").alias("detail")
-    )
-    old = accepted.where(F.col("app_version") < fixed.OLDEST_SUPPORTED_VERSION).select(
-        "path",
-        F.lit(fixed.LOGS_TABLE).alias("table"),
-        F.lit("old_app_version").alias("event"),
-        F.col("app_version").cast("string").alias("detail"),
-    )
-    events = partial.unionByName(skipped).unionByName(old)
+    parts = [
+        summaries.where(F.col("error").isNotNull()).select("path", "table", F.lit("partial_read").alias("event"), F.col("error").alias("detail")),
+        summaries.where(F.col("odd").isNotNull()).select("path", "table", F.lit("storage_class").alias("event"), F.col("odd").alias("detail")),
+        summaries.where(F.col("table").isin(*timeless)).select("path", "table", F.lit("no_time_column").alias("event"), F.lit(None).cast("string").alias("detail")),
+        accepted.where(F.col("app_version") < fixed.OLDEST_SUPPORTED_VERSION).select(
+            "path", F.lit(fixed.LOGS_TABLE).alias("table"), F.lit("old_app_version").alias("event"), F.col("app_version").cast("string").alias("detail")
+        ),
+    ]
+    events = reduce(DataFrame.unionByName, parts)
     store.append("ingest_events", events.select(F.lit(batch_id).alias("batch_id"), "*"))
 
 

@@ -30,14 +30,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logtrail.functions.types import widen
+from logtrail.functions.types import quoted, widen
 from logtrail.operators.aggregates import total_size
 from logtrail.operators.joins import lookup_join
 from logtrail import files
 from logtrail.session import configure
 
 LEDGER_SCHEMA = "log_hash bigint, log_ym string, status string, stored boolean, batch_id string, path string, at bigint"
-SCHEMAS_SCHEMA = "table_name string, gen int, ordinal int, column string, type string"
+SCHEMAS_SCHEMA = "table_name string, gen int, ordinal int, column string, type string, attempt string"
 DISPOSITION_SCHEMA = "path string, log_hash bigint, status string, reason string, batch_id string"
 METRICS_SCHEMA = "batch_id string, table string, operation string, duration double, rows bigint"
 EVENTS_SCHEMA = "batch_id string, path string, table string, event string, detail string"
@@ -161,29 +161,43 @@ class LogStore:
 
         This is catalog metadata: one row per column, not per log.
         """
+        return self._schemas()[0]
+
+    def _schemas(self) -> tuple[dict[str, list[TableSchema]], dict[str, dict[int, dict[str, str]]]]:
+        """Generations of published attempts, oldest first; and types of columns by name in small letters per generation, published or not.
+
+        An attempt is published once a log of it was merged: what a merge that broke off has added does not count.
+        """
+        published = self._read("ledger", LEDGER_SCHEMA).where(F.col("status") == MERGED).select(F.col("batch_id").alias("attempt")).distinct()
+        rows = self._read("schemas", SCHEMAS_SCHEMA).join(published.withColumn("counts", F.lit(True)), "attempt", "left")
+        counts = F.col("attempt").isNull() | F.col("counts").isNotNull()
         found: dict[str, dict[int, dict[str, str]]] = {}
-        rows = self._read("schemas", SCHEMAS_SCHEMA).orderBy("table_name", "gen", "ordinal").collect()
-        for row in rows:
-            found.setdefault(row.table_name, {}).setdefault(row.gen, {})[row.column] = row.type
-        return {
-            table: [TableSchema(gen, columns) for gen, columns in sorted(gens.items())]
-            for table, gens in found.items()
-        }
-
-    def evolve(self, incoming: dict[str, dict[str, str]]) -> tuple[dict[str, TableSchema], DataFrame | None]:
+        every: dict[str, dict[int, dict[str, str]]] = {}
+        for row in rows.withColumn("counts", counts).orderBy("table_name", "gen", "ordinal").collect():
+            every.setdefault(row.table_name, {}).setdefault(row.gen, {}).setdefault(row.column.lower(), row.type)
+            if row.counts:
+                found.setdefault(row.table_name, {}).setdefault(row.gen, {})[row.column] = row.type
+        generations = {t: [TableSchema(gen, columns) for gen, columns in sorted(gens.items())] for t, gens in found.items()}
+        return generations, every
+
+    def evolve(self, incoming: dict[str, dict[str, str]], attempt: str) -> tuple[dict[str, TableSchema], DataFrame | None]:
         """Schemas grown so that ``incoming`` tables fit, and the catalog rows to add (M3).
 
-        The rows go to :meth:`append` before the first log that needs them is published.
+        The rows go to :meth:`append` before the first log that needs them is
+        published, and count from then on. Files of one generation never have
+        two types of a column, not even those of attempts that broke off.
         """
-        stored, rows, result = self.schemas(), [], {}
+        (stored, every), rows, result = self._schemas(), [], {}
         for table, columns in incoming.items():
+            gens = every.get(table, {})
             current = stored[table][-1] if table in stored else TableSchema(0, {})
             target = {c: widen(t, columns.get(c, t)) for c, t in current.columns.items()}
             target.update({c: t for c, t in columns.items() if c not in target})
-            widened = any(target[c] != t for c, t in current.columns.items())
-            gen = current.gen + 1 if widened else current.gen
-            known = {} if widened else current.columns
-            rows += [(table, gen, i, c, t) for i, (c, t) in enumerate(target.items()) if c not in known]
+            on_disk = gens.get(current.gen, {})
+            clash = any(on_disk.get(c.lower(), t) != t for c, t in target.items())
+            gen = max(gens) + 1 if clash else current.gen
+            known = {} if clash else current.columns
+            rows += [(table, gen, i, c, t, attempt) for i, (c, t) in enumerate(target.items()) if c not in known]
             result[table] = TableSchema(gen, target)
         return result, self.spark.createDataFrame(rows, SCHEMAS_SCHEMA).coalesce(1) if rows else None
 
@@ -204,7 +218,7 @@ class LogStore:
     def read_generation(self, table: str, schema: TableSchema) -> DataFrame:
         """Rows of one generation, finished logs or not."""
         path = self.generation_path(table, schema.gen)
-        fields = [f"`{c}` {t}" for c, t in schema.columns.items() if c != "log_hash"]
+        fields = [f"{quoted(c)} {t}" for c, t in schema.columns.items() if c != "log_hash"]
         keys = {"log_hash": "bigint", self.month: "string", self.layout: "bigint" if self.layout == PER_LOG else "string"}
         full = T._parse_datatype_string(", ".join([*fields, *[f"{c} {t}" for c, t in keys.items()]]))
         if not files.exists(self.spark, path):
@@ -238,7 +252,7 @@ class LogStore:
             wanted = wanted & F.col("log_ym").isin(*[row.log_ym for row in found])
         return wanted
 
-    def write_rows(self, rows: DataFrame, table: str, gen: int, chunk: str) -> None:
+    def write_rows(self, rows: DataFrame, table: str, gen: int, chunk: str | None = None) -> None:
         """Write rows of one merge attempt.
 
         In the batch layout nothing is shuffled: rows come from staging file by
@@ -248,10 +262,10 @@ class LogStore:
         of the data is many tasks.
         """
         if self.layout == PER_LOG:
-            rows = rows.repartition(*self.partition_columns(), chunk).drop("batch_id")
+            rows = rows.repartition(*self.partition_columns(), *([chunk] if chunk else [])).drop("batch_id")
         order = [*self.partition_columns(), "log_hash", *(["time"] if "time" in rows.columns else [])]
         (
-            rows.drop(chunk)
+            (rows.drop(chunk) if chunk else rows)
             .sortWithinPartitions(*dict.fromkeys(order))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -324,7 +338,7 @@ class LogStore:
                 table, schema, _ = root
                 rows = self.read_generation(table, schema).where(F.col("batch_id") == name)
                 rows = lookup_join(rows, kept.select("log_hash"), ["log_hash"], "left_semi")
-                self.write_rows(rows.withColumn("batch_id", F.lit(fresh)), table, schema.gen, "_chunk")
+                self.write_rows(rows.withColumn("batch_id", F.lit(fresh)), table, schema.gen)
 
             with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
                 list(pool.map(rewrite, self._roots()))
@@ -374,6 +388,6 @@ class LogStore:
 def _as(df: DataFrame, columns: dict[str, str], keys: list[str]) -> DataFrame:
     have = dict(df.dtypes)
     values = [
-        (F.col(f"`{c}`").cast(t) if c in have else F.lit(None).cast(t)).alias(c) for c, t in columns.items()
+        (F.col(quoted(c)).cast(t) if c in have else F.lit(None).cast(t)).alias(c) for c, t in columns.items()
     ]
     return df.select(*keys, *values)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from logtrail.functions import cleaning, geometry, identity
 from logtrail.operators import aggregates, evolution, filters, joins
-from logtrail.plans import derived_logs, merge, views
+from logtrail.plans import derived_cases, derived_logs, merge, views
 from logtrail.plans import store as stores
 from logtrail.session import configure, scratch_path
 from logtrail.sources import typed_rows
@@ -519,9 +519,14 @@ def _event_cells(spark: SparkSession, folder: str) -> DataFrame:
         "level": F.when(kind == "click", "n/a").otherwise(amount),
         "note": F.when(kind == "view", "").otherwise(F.concat(F.lit("a,\n\""), kind)),
     }
-    pairs = F.array(*[F.struct(F.lit(n).alias("key"), c.cast("string").alias("value")) for n, c in cells.items()])
-    filled = F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
-    return read(spark, folder, "events").select("event_id", filled.alias("cells"))
+    bytes_of = F.array(*[cells[n].cast("string").cast("binary") for n in _CELLS])
+    return read(spark, folder, "events").select("event_id", bytes_of.alias("cells"), F.lit("events").alias("layout"))
+
+
+def _event_columns() -> TableColumns:
+    columns = TableColumns("kpi")
+    columns.add_layout("events", list(_CELLS.items()))
+    return columns
 
 
 _TYPED_SQL = f"""select event_id, strftime(ts, {SQL_TIME}) as time,
@@ -550,7 +555,7 @@ def _type_events(rows: DataFrame, columns: TableColumns) -> DataFrame:
 @query(_TYPED_SQL)
 def typed_columns(spark: SparkSession, folder: str) -> DataFrame:
     """Text cells to typed columns by name and declared type."""
-    columns = TableColumns("kpi", {c: [d] for c, d in _CELLS.items()})
+    columns = _event_columns()
     return _type_events(typed_rows.parse_cells(_event_cells(spark, folder), columns), columns)
 
 
@@ -562,7 +567,7 @@ def preprocess_hook(spark: SparkSession, folder: str) -> DataFrame:
         even = F.col("earfcn").try_cast("bigint") % 2 == 0
         return rows.where(even).withColumn("note", F.concat(F.lit("X"), F.nullif("note", F.lit(""))))
 
-    columns = TableColumns("kpi", {c: [d] for c, d in _CELLS.items()})
+    columns = _event_columns()
     text = typed_rows.parse_cells(_event_cells(spark, folder), columns).transform(keep_even, "kpi")
     return _type_events(text, columns)
 
@@ -920,3 +925,27 @@ def merge_by_row_month(spark: SparkSession, folder: str) -> DataFrame:
     events = read(spark, folder, "events")
     store = derived_logs.merged_store(spark, events, month=stores.BY_ROW_MONTH)
     return derived_logs.rows_per_month(store)
+
+
+@query(derived_logs.MERGED_SQL)
+def folder_scan_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """The same logs from files in nested folders, among files of other names."""
+    return derived_logs.read_back(derived_cases.merged_folder(spark, read(spark, folder, "events")))
+
+
+@query(derived_cases.CELLS_SQL)
+def blob_and_text_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells of any storage class in columns of any type, name, case and order."""
+    return derived_cases.merged_cells(spark, read(spark, folder, "events"))
+
+
+@query(derived_cases.OUTCOMES_SQL)
+def merge_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """Copies, bad cells, no identity, no end time and unreadable files: outcome, rows and columns."""
+    return derived_cases.outcomes(spark, read(spark, folder, "events"))
+
+
+@query(derived_cases.PREVIEW_SQL)
+def merge_preview(spark: SparkSession, folder: str) -> DataFrame:
+    """What a merge would do and write, before it does."""
+    return derived_cases.previewed(spark, read(spark, folder, "events"))

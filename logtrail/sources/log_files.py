@@ -3,28 +3,40 @@
 ``decode`` opens each file once in a Python task and gives one flat row shape
 for all tables; everything after it is column expressions. A row is
 
-* a table row: ``cells`` maps column names to texts, blobs as hex, without
-  nulls, and ``time_text`` repeats the ``time`` cell so that it can be filtered
-  on without reading the rest;
-* ``#column``: one column of one table (schema catalog);
-* ``#summary``: rows read from one table, and the error that cut it short;
+* a table row: ``cells`` holds the bytes of each cell by position, texts as
+  UTF-8, blobs as they are, numbers as text. ``layout`` names the columns and
+  declared types of the row's table in its file. ``time_text`` repeats the time
+  so that it can be filtered on without reading the rest, and ``doubt`` tells
+  whether a cell of a number column was stored as anything but a plain number;
+* ``#column``: one column of one table of one file, with its layout;
+* ``#summary``: rows read from one table, how many are in doubt, which columns
+  hold blobs or texts against their type, and the error that cut it short;
 * ``#file``: one per file, with the error that made it unreadable;
 * ``#schema``: one per statement of its schema, where only names are read.
 
+Rows other than those of tables have a ``note``, a map of names to texts; rows
+of ``NAMED_TABLES`` have one of their cells, too. Column names that the rules
+know are given in small letters, as SQLite does not tell cases apart.
+
 ``chunk`` numbers runs of ``CHUNK_ROWS`` rows of one table of one file. It
 bounds how many rows share a key of (file, chunk).
 """
 
 from __future__ import annotations
 
+import hashlib
 import io
+import json
+import re
 import shutil
 import sqlite3
 import tempfile
 import zipfile
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from contextlib import closing
+from itertools import chain, islice
 from pathlib import Path
 from urllib.parse import quote, unquote, urlparse
 
@@ -35,11 +47,13 @@ from pyspark.sql import functions as F
 
 from logtrail import fixed_values as fixed
 from logtrail import files
+from logtrail.functions import cleaning
+from logtrail.functions.types import CHECKED_TYPES, spark_type
 from logtrail.operators.filters import TableFilter
 
 CHUNK_ROWS = 250_000
-# A batch of rows ends at either; rows are fetched a few at a time, as cells may be large.
-BATCH_ROWS, BATCH_BYTES, FETCH_ROWS = 5_000, 16 << 20, 100
+# A batch of rows ends at either; a row is fetched only when the ones before it leave room.
+BATCH_ROWS, BATCH_BYTES = 5_000, 16 << 20
 # Where tasks cannot open a path themselves, a file comes as one value, which has this limit.
 VALUE_LIMIT = 2_000_000_000
 
@@ -48,7 +62,13 @@ SUMMARY_ROWS = "#summary"
 FILE_ROWS = "#file"
 SCHEMA_ROWS = "#schema"
 
-DECODED_SCHEMA = "path string, chunk int, row_no bigint, has_time boolean, time_text string, cells map<string,string>, table_name string"
+# Tables whose rows also come by column name.
+NAMED_TABLES = (fixed.LOGS_TABLE, fixed.LOG_INFO_TABLE)
+
+DECODED_SCHEMA = (
+    "path string, chunk int, row_no bigint, has_time boolean, time_text string, doubt boolean, layout string, "
+    "cells array<binary>, note map<string,string>, table_name string"
+)
 ARROW_SCHEMA = pa.schema(
     [
         ("path", pa.string()),
@@ -56,11 +76,21 @@ ARROW_SCHEMA = pa.schema(
         ("row_no", pa.int64()),
         ("has_time", pa.bool_()),
         ("time_text", pa.string()),
-        ("cells", pa.map_(pa.string(), pa.string())),
+        ("doubt", pa.bool_()),
+        ("layout", pa.string()),
+        ("cells", pa.list_(pa.binary())),
+        ("note", pa.map_(pa.string(), pa.string())),
         ("table_name", pa.string()),
     ]
 )
 
+# Storage classes of SQLite, as numbers.
+NONE, INTEGER, REAL, TEXT, BLOB = range(5)
+_CLASSES = {type(None): NONE, int: INTEGER, float: REAL, str: TEXT, bytes: BLOB}
+# Texts in number columns that are beyond doubt; an empty one counts as no value.
+_PLAIN = {"bigint": re.compile(r"-?[0-9]{1,18}|"), "double": re.compile(r"-?[0-9]{1,300}(\.[0-9]{1,300})?|")}
+_LENIENT = re.compile(r"\s*[+-]?[0-9]{0,17}(?![0-9]).*", re.DOTALL)
+
 
 def _listed(spark: SparkSession, path: str) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -97,9 +127,19 @@ def schema_statements(log_files: DataFrame) -> DataFrame:
     return rows.select("path", cell("sql").alias("ddl"))
 
 
-def cell(name: str, cells: str = "cells") -> Column:
-    """A cell of decoded rows by column name."""
-    return F.try_element_at(F.col(cells), F.lit(name))
+def cell(name: str, note: str = "note") -> Column:
+    """An entry of the note of decoded rows."""
+    return F.try_element_at(F.col(note), F.lit(name))
+
+
+def canonical(column: str) -> str:
+    """The name of a column: in small letters where the rules know it."""
+    return column.lower() if column.lower() in fixed.KNOWN_COLUMNS else column
+
+
+def layout_of(columns: list[tuple[str, str]]) -> str:
+    """A short name for (column, declared type) in order, the same in all files."""
+    return hashlib.blake2b(json.dumps(columns).encode(), digest_size=12).hexdigest()
 
 
 def decode(
@@ -170,73 +210,103 @@ def _local_file(path: str):
 def _table_batches(
     db: sqlite3.Connection, path: str, table: str, location_only: bool, names_only: bool
 ) -> Iterator[pa.RecordBatch]:
-    done, error = 0, None
+    done, error, doubtful = 0, None, 0
+    odd: Counter[str] = Counter()
     try:
         declared = [(r[1], r[2]) for r in db.execute(f"pragma table_info({_quoted(table)})")]
         drop_geometry = location_only and table != fixed.LOCATION_TABLE
-        kept = [
-            (name, kind)
-            for name, kind in declared
-            if name != fixed.LEGACY_COLUMN and not (drop_geometry and name == fixed.GEOMETRY_COLUMN)
-        ]
-        columns = [name for name, _ in kept]
+        found = [(name, canonical(name), kind) for name, kind in declared]
+        found = [c for c in found if c[1] != fixed.LEGACY_COLUMN and not (drop_geometry and c[1] == fixed.GEOMETRY_COLUMN)]
+        columns = [(name, kind) for _, name, kind in found]
+        layout = layout_of(columns)
         described = [
-            {"table": table, "ordinal": str(i), "column": name, "declared": kind} for i, (name, kind) in enumerate(kept)
+            {"table": table, "ordinal": str(i), "column": name, "declared": kind, "layout": layout}
+            for i, (name, kind) in enumerate(columns)
         ]
         yield _notes(path, COLUMN_ROWS, described)
         if names_only:
             return
-        time_at = columns.index("time") if "time" in columns else None
-        for rows in _row_batches(db, f"select {', '.join(map(_quoted, columns))} from {_quoted(table)}"):
+        names = [name for name, _ in columns]
+        time_at = names.index("time") if "time" in names else None
+        checks = _Checks(table, columns)
+        for rows in _row_batches(db, f"select {', '.join(_quoted(c[0]) for c in found)} from {_quoted(table)}"):
+            flat = list(chain.from_iterable(rows))
+            classes = np.frombuffer(bytes(map(_CLASSES.__getitem__, map(type, flat))), np.uint8).reshape(len(rows), len(columns))
+            doubt = checks.doubt(rows, classes)
+            checks.count_odd(classes, odd)
+            doubtful += int(doubt.sum())
             times = None if time_at is None else [_time_text(row[time_at]) for row in rows]
-            yield _batch(path, table, done, times, [list(zip(columns, row, strict=True)) for row in rows])
+            named = [list(zip(map(str.lower, names), row, strict=True)) for row in rows] if table in NAMED_TABLES else None
+            yield _batch(path, table, done, len(rows), times, named, doubt, layout, flat)
             done += len(rows)
     except sqlite3.Error as failure:
         error = _named(failure)
-    yield _notes(path, SUMMARY_ROWS, [{"table": table, "rows": str(done), "error": error}])
+    strange = ", ".join(f"{n} {what}" for what, n in sorted(odd.items())) or None
+    yield _notes(path, SUMMARY_ROWS, [{"table": table, "rows": str(done), "error": error, "doubt": str(doubtful), "odd": strange}])
+
+
+class _Checks:
+    """What the storage classes of a table's columns should be."""
+
+    def __init__(self, table: str, columns: list[tuple[str, str]]):
+        self._names = [name for name, _ in columns]
+        self._types = [spark_type(kind, name, table) for name, kind in columns]
+        self._patterns = [_PLAIN.get(t) for t in self._types]
+        for i, (name, kind) in enumerate(columns):
+            rule = cleaning.rule_for(table, name, kind)
+            if rule is not None and rule.name in ("cell_file_id", "lenient_int"):
+                self._patterns[i] = _LENIENT
+
+    def doubt(self, rows: list[tuple], classes: np.ndarray) -> np.ndarray:
+        """Rows with a cell of a number column that is no plain number: a cast may lose it."""
+        out = np.zeros(len(rows), bool)
+        for i, kind in enumerate(self._types):
+            if kind not in CHECKED_TYPES or self._names[i] == "log_hash":
+                continue
+            of_column, pattern = classes[:, i], self._patterns[i]
+            if pattern is None:
+                out |= of_column != NONE
+                continue
+            out |= (of_column == BLOB) | ((of_column == REAL) & (kind != "double"))
+            for row in np.flatnonzero(of_column == TEXT):
+                if not pattern.fullmatch(rows[row][i]):
+                    out[row] = True
+        return out
+
+    def count_odd(self, classes: np.ndarray, odd: Counter[str]) -> None:
+        """Count texts in blob columns and blobs in all others."""
+        for i, kind in enumerate(self._types):
+            wrong = int((classes[:, i] == (TEXT if kind == "binary" else BLOB)).sum())
+            if wrong:
+                odd[f"{'texts' if kind == 'binary' else 'blobs'} in {self._names[i]}"] += wrong
 
 
 def _row_batches(db: sqlite3.Connection, sql: str) -> Iterator[list[tuple]]:
-    """Rows in batches. After an error the rest is read row by row, up to the bad place."""
+    """Rows in batches. After an error the rest is read again with a forgiving decoder, up to the bad place."""
     done = 0
-    db.text_factory = str
-    try:
-        cursor, rows, size = db.execute(sql), [], 0
-        while more := cursor.fetchmany(FETCH_ROWS):
-            rows += more
-            size += _size(more)
-            if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
-                yield rows
-                done += len(rows)
-                rows, size = [], 0
-        if rows:
-            yield rows
-        return
-    except sqlite3.Error:
-        db.text_factory = lambda raw: raw.decode("utf-8", "replace")
-    rows, size, error = [], 0, None
-    try:
-        for number, row in enumerate(db.execute(sql)):
-            if number >= done:
+    for decoder in (str, lambda raw: raw.decode("utf-8", "replace")):
+        db.text_factory = decoder
+        rows, size, error = [], 0, None
+        try:
+            for row in islice(db.execute(sql), done, None):
                 rows.append(row)
-                size += _size([row])
-            if len(rows) == BATCH_ROWS or size >= BATCH_BYTES:
+                size += sum(len(value) for value in row if type(value) in (str, bytes))
+                if len(rows) == BATCH_ROWS or size >= BATCH_BYTES:
+                    yield rows
+                    done += len(rows)
+                    rows, size = [], 0
+        except sqlite3.Error as failure:
+            error = failure
+        if error is None or decoder is not str:
+            if rows:
                 yield rows
-                rows, size = [], 0
-    except sqlite3.Error as failure:
-        error = failure
-    if rows:
-        yield rows
-    if error is not None:
-        raise error
-
-
-def _size(rows: list[tuple]) -> int:
-    return sum(len(value) for row in rows for value in row if type(value) in (str, bytes))
+            if error is not None:
+                raise error
+            return
 
 
 def _text(value: object) -> str:
-    """A cell as text, blobs as hex."""
+    """An entry of a note as text, blobs as hex."""
     return value if type(value) is str else value.hex().upper() if type(value) is bytes else repr(value)
 
 
@@ -253,19 +323,40 @@ def _named(failure: Exception) -> str:
 
 
 def _notes(path: str, kind: str, entries: list[dict[str, str | None]]) -> pa.RecordBatch:
-    return _batch(path, kind, 0, None, [list(e.items()) for e in entries])
-
-
-def _batch(path: str, table: str, first: int, times: list[str | None] | None, cells: list[list[tuple]]) -> pa.RecordBatch:
-    count = len(cells)
+    return _batch(path, kind, 0, len(entries), None, [list(e.items()) for e in entries])
+
+
+def _batch(
+    path: str,
+    table: str,
+    first: int,
+    count: int,
+    times: list[str | None] | None,
+    notes: list[list[tuple]] | None,
+    doubt: np.ndarray | None = None,
+    layout: str | None = None,
+    flat: list | None = None,
+) -> pa.RecordBatch:
     numbers = np.arange(first, first + count)
+    if flat is None:
+        cells = pa.nulls(count, pa.list_(pa.binary()))
+    else:
+        # Texts are taken as their UTF-8 bytes.
+        values = pa.array([v if type(v) in (str, bytes, type(None)) else repr(v) for v in flat], pa.binary())
+        cells = pa.ListArray.from_arrays(pa.array(np.linspace(0, len(flat), count + 1).astype(np.int32)), values)
+    if notes is not None:
+        notes = [[(name, _text(value)) for name, value in row if value is not None] for row in notes]
+    map_type = pa.map_(pa.string(), pa.string())
     arrays = [
         pa.repeat(pa.scalar(path, pa.string()), count),
         pa.array((numbers // CHUNK_ROWS).astype(np.int32)),
         pa.array(numbers),
         pa.repeat(pa.scalar(times is not None), count),
         pa.nulls(count, pa.string()) if times is None else pa.array(times, pa.string()),
-        pa.array([[(name, _text(value)) for name, value in row if value is not None] for row in cells], pa.map_(pa.string(), pa.string())),
+        pa.nulls(count, pa.bool_()) if doubt is None else pa.array(doubt),
+        pa.repeat(pa.scalar(layout, pa.string()), count),
+        cells,
+        pa.nulls(count, map_type) if notes is None else pa.array(notes, map_type),
         pa.repeat(pa.scalar(table, pa.string()), count),
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=ARROW_SCHEMA)

@@ -170,7 +170,8 @@ def test_life_cycle(spark, tmp_path, layout):
     assert set(by_hash(unmerge(store, one)).values()) == {"empty_target"}
     outcomes, counts = plan_merge(store, both)
     assert set(by_hash(outcomes).values()) == {"merged"}
-    assert counts.where("table = 'signalling'").agg(F.sum("rows")).first()[0] == 16
+    # What the merge below writes: rows outside the log's time range are not counted.
+    assert counts.where("table = 'signalling'").agg(F.sum("rows")).first()[0] == 10
     assert store.is_empty() and store.table_names() == []
     assert by_hash(merge(store, both)) == {H1: "merged", H2: "merged"}
     assert LogStore(spark, str(tmp_path / "store"), layout=layout).table_names() == []
@@ -213,7 +214,8 @@ def test_bad_cells_fail_the_log_unless_tolerated(spark, tmp_path):
     store = LogStore(spark, str(tmp_path / "store"))
     report = merge(store, read_log_files(spark, str(tmp_path / "in")))
     assert statuses(report) == {"bad.azm": "failed", "fine.azm": "merged"}
-    assert store.table("kpi").count() == 0 and store.table("nr_handover_stats").first().v is None
+    # A table that only failed logs have is not made.
+    assert set(store.table_names()) == {"logs", "nr_handover_stats"} and store.table("nr_handover_stats").first().v is None
     assert {(r.event, r.table) for r in store.ingest_events().collect()} == {("bad_cells", "kpi"), ("bad_cells", "nr_handover_stats")}
 
 
@@ -231,7 +233,7 @@ def test_crash_before_publish_leaves_nothing_visible(spark, tmp_path, monkeypatc
     with pytest.raises(RuntimeError, match="gone"):
         merge(store, read_log_files(spark, path))
     monkeypatch.undo()
-    assert store.table("signalling").count() == 0
+    assert store.table_names() == []
     assert by_hash(merge(store, read_log_files(spark, path))) == {H1: "merged"}
     assert store.table("signalling").count() == 5
     store.purge()
@@ -295,6 +297,99 @@ def test_a_good_copy_follows_a_failed_one(spark, tmp_path):
     assert [r.log_hash for r in store.active_logs().collect()] == [H1]
 
 
+def test_many_bad_copies_cost_one_scan_and_change_no_schema(spark, tmp_path):
+    inbox = tmp_path / "in"
+    bad = sl.logs_table(H1), ('"time" DATETIME,"n" Double,"z" INT', [("2018-03-10 07:01:00.000", "oops", 1)])
+    good = sl.logs_table(H1), ('"time" DATETIME,"n" INT', [("2018-03-10 07:01:00.000", 7)])
+    for i in range(12):
+        sl.write_log(inbox, f"{i:02d}.azm", dict(zip(("logs", "kpi"), bad, strict=True)))
+    sl.write_log(inbox, "50.azm", dict(zip(("logs", "kpi"), good, strict=True)))
+    sl.write_log(inbox, "60.azm", dict(zip(("logs", "kpi"), bad, strict=True)))
+    sl.write_log(inbox, "other.azm", {"logs": sl.logs_table(H2), "kpi": bad[1]})
+    store = LogStore(spark, str(tmp_path / "store"))
+    preview, counts = plan_merge(store, read_log_files(spark, str(inbox)))
+    want = {f"{i:02d}.azm": "failed" for i in range(12)} | {"50.azm": "merged", "60.azm": "already_merged", "other.azm": "failed"}
+    assert statuses(preview) == want and {(r.table, r["rows"]) for r in counts.collect()} == {("logs", 1), ("kpi", 1)}
+    report = merge(store, read_log_files(spark, str(inbox)))
+    assert statuses(report) == want
+    assert {r.reason for r in report.where("status = 'failed'").collect()} == {"bad cells in kpi"}
+    # Each table was written once, and nothing of the failed files is in the schema.
+    written = store.metrics().where("operation = 'write'").groupBy("table").count().collect()
+    assert {(r.table, r["count"]) for r in written} == {("logs", 1), ("kpi", 1)}
+    assert store.schemas()["kpi"][-1].columns == {"log_hash": "bigint", "time": "timestamp_ntz", "n": "bigint"}
+    assert len(store.schemas()["kpi"]) == 1 and [r.n for r in store.table("kpi").collect()] == [7]
+    events = store.ingest_events().where("event = 'bad_cells'").collect()
+    assert {r.path.rsplit("/", 1)[-1] for r in events} == {*[f"{i:02d}.azm" for i in range(12)], "other.azm"}
+
+
+def test_a_merge_that_broke_off_changes_no_schema(spark, tmp_path, monkeypatch):
+    def log(h, columns, row):
+        return {"logs": sl.logs_table(h), "kpi": (f'"time" DATETIME,{columns}', [("2018-03-10 07:01:00", *row)])}
+
+    store = LogStore(spark, str(tmp_path / "store"))
+    merge(store, read_log_files(spark, sl.write_log(tmp_path / "in", "0.azm", log(H1, '"a" INT', (1,)))))
+    real = LogStore.record
+
+    def crash(self, *changes):
+        if changes[0][1] == stores.MERGED:
+            raise RuntimeError("gone")
+        real(self, *changes)
+
+    monkeypatch.setattr(LogStore, "record", crash)
+    broken = sl.write_log(tmp_path / "in", "1.azm", log(H2, '"a" TEXT,"z" TEXT', ("x", "y")))
+    with pytest.raises(RuntimeError, match="gone"):
+        merge(store, read_log_files(spark, broken))
+    with pytest.raises(RuntimeError, match="gone"):
+        merge(store, read_log_files(spark, sl.write_log(tmp_path / "in", "2.azm", log(H3, '"a" INT,"w" TEXT', (2, "y")))))
+    monkeypatch.undo()
+    assert store.schemas()["kpi"][-1].columns == {"log_hash": "bigint", "time": "timestamp_ntz", "a": "bigint"}
+    # The same names with other types, beside files that were left on disk.
+    merge(store, read_log_files(spark, sl.write_log(tmp_path / "in", "3.azm", log(H2, '"a" INT,"w" Double', (5, 2.5)))))
+    assert {(r.a, r.w) for r in store.table("kpi").collect()} == {(1, None), (5, 2.5)}
+    store.purge()
+    assert {(r.a, r.w) for r in store.table("kpi").collect()} == {(1, None), (5, 2.5)}
+
+
+def test_any_column_name_and_storage_class(spark, tmp_path):
+    columns = '"Time" DATETIME,"_path" TEXT,"n" INT,"_had_n" INT,"a`b" TEXT,"a.b c" REAL,"_own" TEXT,"value_0" TEXT,"_chunk" INT,"b" BLOB,"t" TEXT'
+    rows = [
+        ("2018-03-10 07:01:00.000", "p", 1, 2, "q", 0.5, "o", "v", 9, "C0FFEE", b"\xff\x00raw"),
+        ("2018-03-10 07:02:00.000", None, None, None, None, None, None, None, None, b"\x00\x01", "é"),
+        ("2018-03-10 07:03:00.000", None, None, None, None, None, None, None, None, b"", b"plain"),
+    ]
+    sl.write_log(tmp_path / "in", "a.azm", small(H1) | {"odd": (columns, rows)})
+    # Another file spells and orders the columns in its own way.
+    sl.write_log(tmp_path / "in", "b.azm", small(H2) | {"odd": ('"T" TEXT,"N" INT,"time" DATETIME', [("other", 5, "2018-03-10 07:04:00.000")])})
+    store = LogStore(spark, str(tmp_path / "store"), month=stores.BY_ROW_MONTH)
+    assert statuses(merge(store, read_log_files(spark, str(tmp_path / "in")))) == {"a.azm": "merged", "b.azm": "merged"}
+    table = store.table("odd")
+    assert len(table.columns) == len({c.lower() for c in table.columns})
+    named = {c.lower(): F.col(f"`{c.replace('`', '``')}`") for c in table.columns}
+    names = ("_path", "n", "_had_n", "a`b", "a.b c", "_own", "value_0", "_chunk")
+    parts = [*[named[c].alias(f"c{i}") for i, c in enumerate(names)], named["b"].alias("b"), named["t"].cast("binary").alias("t"), "time"]
+    got = {r.time.minute: r for r in table.select(*parts).collect()}
+    assert tuple(got[1])[:8] == ("p", 1, 2, "q", 0.5, "o", "v", 9)
+    assert [got[i].b and bytes(got[i].b) for i in (1, 2, 3, 4)] == [b"C0FFEE", b"\x00\x01", None, None]
+    assert [bytes(got[i].t) for i in (1, 2, 3, 4)] == [b"\xff\x00raw", "é".encode(), b"plain", b"other"] and got[4].c1 == 5
+    events = [r.detail for r in store.ingest_events().where("event = 'storage_class'").collect()]
+    assert events == ["1 texts in b, 2 blobs in t"] or events == ["2 blobs in t, 1 texts in b"]
+    one = store.active_logs().where(F.col("log_hash") == H2).select("log_hash")
+    unmerge(store, one)
+    store.purge()
+    assert store.table("odd").count() == 3 and "_chunk" in store.table("odd").columns
+
+
+def test_rows_are_fetched_while_there_is_room(monkeypatch):
+    import sqlite3
+
+    monkeypatch.setattr(log_files, "BATCH_BYTES", 1000)
+    db = sqlite3.connect(":memory:")
+    db.execute("create table t (x)")
+    db.executemany("insert into t values (?)", [("y" * n,) for n in (10, 10, 5000, 10, 990, 10)])
+    sizes = [[len(r[0]) for r in batch] for batch in log_files._row_batches(db, "select x from t")]
+    assert sizes == [[10, 10, 5000], [10, 990], [10]]
+
+
 def test_fail_fast_stops_at_bad_cells(spark, tmp_path):
     inbox = tmp_path / "in"
     sl.write_log(inbox, "a.azm", small(H1))
