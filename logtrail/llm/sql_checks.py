@@ -53,7 +53,8 @@ sums as (
   select bin, (sum(allow) over (order by bin rows between current row and unbounded following))::double / sum(allow) over ()
     + coalesce(sum(block) over (order by bin rows between unbounded preceding and 1 preceding), 0)::double / sum(block) over () good
   from bins),
-best as (select coalesce((select bin / {url_model.STEP}.0 from sums order by round(good, 9) desc nulls last, bin limit 1), 0.0) threshold)
+gaps as (select bin, good, coalesce(lag(bin) over (order by bin) + 1, bin) lower_edge from sums),
+best as (select coalesce((select (lower_edge + bin) / 2.0 / {url_model.STEP} from gaps where good is not null order by round(good, 9) desc, bin limit 1), 0.0) threshold)
 select page_id, host, path, rule, coalesce(ruled, case when ratio >= threshold then 'allow' else 'block' end) verdict
 from ruled join scored using (no), best
 """

@@ -136,7 +136,11 @@ def score(urls: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def calibrate(scored: DataFrame) -> float:
-    """Threshold with the best balanced accuracy; the lowest of equal ones; 0 without both kinds."""
+    """Threshold with the best balanced accuracy; 0 without both kinds.
+
+    All thresholds between two ratios that occur do equally well: the middle of
+    that gap is taken, in the lowest of gaps that are equally good.
+    """
     histogram = scored.groupBy(F.floor(F.col("ratio") * STEP).alias("bin")).agg(
         F.count(F.when(F.col("_verdict") == "allow", 1)).alias("allow"),
         F.count(F.when(F.col("_verdict") == "block", 1)).alias("block"),
@@ -144,13 +148,15 @@ def calibrate(scored: DataFrame) -> float:
     # A mean log ratio lies within +-(log 256 + log of all counts): a few thousand bins at most.
     histogram = histogram.orderBy("bin").collect()
     allow, block = sum(b["allow"] for b in histogram), sum(b["block"] for b in histogram)
-    best, threshold, kept, gone = -1.0, 0.0, allow, 0
+    best, threshold, kept, gone, before = -1.0, 0.0, allow, 0, None
     if not allow or not block:
         return 0.0
     for b in histogram:
         if kept / allow + gone / block > best + 1e-9:
-            best, threshold = kept / allow + gone / block, b["bin"] / STEP
-        kept, gone = kept - b["allow"], gone + b["block"]
+            # From the upper edge of the bin before, if there is one, to the lower edge of this one.
+            lower = b["bin"] if before is None else before + 1
+            best, threshold = kept / allow + gone / block, (lower + b["bin"]) / 2.0 / STEP
+        kept, gone, before = kept - b["allow"], gone + b["block"], b["bin"]
     return threshold
 
 
