@@ -88,11 +88,17 @@ class MergeOptions:
 # Step 1: staging --------------------------------------------------------
 
 
+def _spread(files: DataFrame) -> DataFrame:
+    """Files over at least as many tasks as can run at once; where there are as many, nothing moves."""
+    at_once = files.sparkSession.sparkContext.defaultParallelism
+    return files.repartition(at_once, "path") if files.rdd.getNumPartitions() < at_once else files
+
+
 def _decoded(files: DataFrame, options: MergeOptions) -> DataFrame:
     also = (fixed.LOGS_TABLE, fixed.HEARTBEAT_TABLE)
     if options.add_imei:
         also += (fixed.LOG_INFO_TABLE,)
-    return log_files.decode(files, options.tables, options.location_geometry_only, also)
+    return log_files.decode(_spread(files), options.tables, options.location_geometry_only, also)
 
 
 def stage(store: LogStore, files: DataFrame, options: MergeOptions, path: str) -> DataFrame:
@@ -127,6 +133,7 @@ def read_identity(rows: DataFrame, add_imei: bool = False) -> DataFrame:
         .agg(
             F.max(F.when(kind == log_files.FILE_ROWS, log_files.cell("error"))).alias("error"),
             F.max(F.when(kind == log_files.SUMMARY_ROWS, log_files.cell("rows").cast("bigint"))).alias("rows"),
+            F.max(F.when(kind == log_files.SUMMARY_ROWS, log_files.cell("doubt").cast("bigint"))).alias("doubt"),
             F.max(F.when(kind == fixed.HEARTBEAT_TABLE, cleaning.to_time(F.col("time_text")))).alias("last_heartbeat"),
             F.max(F.when(_unfit(), F.concat(log_files.cell("table"), F.lit(": "), log_files.cell("column")))).alias("unfit"),
             F.any_value(F.when(is_log, note), F.lit(True)).alias("log"),
@@ -138,6 +145,7 @@ def read_identity(rows: DataFrame, add_imei: bool = False) -> DataFrame:
         "path",
         F.coalesce("error", F.concat(F.lit("reserved column name in "), "unfit")).alias("error"),
         "rows",
+        "doubt",
         log_hash.alias("log_hash"),
         identity.log_month(log_hash, offset).alias("log_ym"),
         cleaning.to_time(log_files.cell("log_start_time", "log")).alias("start"),
@@ -250,7 +258,7 @@ def chunks_of(accepted: DataFrame, hours: int) -> DataFrame:
     """Accepted files with their time bounds, one row per chunk that their largest table can have."""
     chunks = F.explode(F.sequence(F.lit(0), _chunk_count() - 1)).alias("chunk")
     low, high = filters.log_bounds(F.col("start"), F.col("end"), hours)
-    kept = [c for c in accepted.columns if c not in ("status", "problem", "error", "rows", "end")]
+    kept = [c for c in accepted.columns if c not in ("status", "problem", "error", "rows", "doubt", "end")]
     return accepted.select(*kept, low.alias("low"), high.alias("high"), chunks)
 
 
@@ -441,6 +449,8 @@ def _decide_all(store: LogStore, rows: DataFrame, options: MergeOptions, folder:
         read_identity(rows, options.add_imei), store.active_logs(), not store.is_empty(), options.fail_fast
     )
     decided = _written(store, decided, f"{folder}/files")
+    if options.preprocess is None and decided.where(F.col("status").isin(MERGED, ALREADY_MERGED) & (F.col("doubt") > 0)).isEmpty():
+        return decided, None
     candidates = _candidates(decided)
     summaries = table_summaries(rows)
     in_doubt = summaries.where(F.col("doubt") > 0) if options.preprocess is None else summaries
@@ -518,15 +528,17 @@ def _import_logs(
     attempt = f"{batch_id}-{uuid.uuid4().hex[:8]}"
     if store.layout == stores.PER_LOG:
         store.remove_log_folders(accepted.select("log_hash").join(store.hidden(), "log_hash"))
-    columns, _ = _side_by_side(
-        lambda: source_columns(rows, accepted), lambda: store.record((accepted, stores.PENDING, True, attempt))
+    columns, _, (stored, every) = _side_by_side(
+        lambda: source_columns(rows, accepted),
+        lambda: store.record((accepted, stores.PENDING, True, attempt)),
+        store.all_schemas,
     )
     summaries = table_summaries(rows)
     chunks = chunks_of(accepted, options.margin_hours)
     tables = _imported(columns, summaries, chunks, rows, options)
-    stored = store.schemas()
     tables = {t: c.spelled(list(stored[t][-1].columns)) if t in stored else c for t, c in tables.items()}
-    schemas, grown = store.evolve({t: {"log_hash": "bigint", **_stored_columns(c, options)} for t, c in tables.items()}, attempt)
+    incoming = {t: {"log_hash": "bigint", **_stored_columns(c, options)} for t, c in tables.items()}
+    schemas, grown = store.evolve(incoming, attempt, stored, every)
     with ThreadPoolExecutor(options.parallel_tables) as pool:
         jobs = {
             t: pool.submit(_write_table, store, rows, chunks, c, schemas[t], options, attempt) for t, c in tables.items()

@@ -161,9 +161,9 @@ class LogStore:
 
         This is catalog metadata: one row per column, not per log.
         """
-        return self._schemas()[0]
+        return self.all_schemas()[0]
 
-    def _schemas(self) -> tuple[dict[str, list[TableSchema]], dict[str, dict[int, dict[str, str]]]]:
+    def all_schemas(self) -> tuple[dict[str, list[TableSchema]], dict[str, dict[int, dict[str, str]]]]:
         """Generations of published attempts, oldest first; and types of columns by name in small letters per generation, published or not.
 
         An attempt is published once a log of it was merged: what a merge that broke off has added does not count.
@@ -180,14 +180,20 @@ class LogStore:
         generations = {t: [TableSchema(gen, columns) for gen, columns in sorted(gens.items())] for t, gens in found.items()}
         return generations, every
 
-    def evolve(self, incoming: dict[str, dict[str, str]], attempt: str) -> tuple[dict[str, TableSchema], DataFrame | None]:
-        """Schemas grown so that ``incoming`` tables fit, and the catalog rows to add (M3).
+    def evolve(
+        self,
+        incoming: dict[str, dict[str, str]],
+        attempt: str,
+        stored: dict[str, list[TableSchema]],
+        every: dict[str, dict[int, dict[str, str]]],
+    ) -> tuple[dict[str, TableSchema], DataFrame | None]:
+        """Schemas grown from :meth:`all_schemas` so that ``incoming`` tables fit, and the catalog rows to add (M3).
 
         The rows go to :meth:`append` before the first log that needs them is
         published, and count from then on. Files of one generation never have
         two types of a column, not even those of attempts that broke off.
         """
-        (stored, every), rows, result = self._schemas(), [], {}
+        rows, result = [], {}
         for table, columns in incoming.items():
             gens = every.get(table, {})
             current = stored[table][-1] if table in stored else TableSchema(0, {})
