@@ -37,6 +37,20 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(jpath))
 
 
+def written_at(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names directly under a folder with the time of their last change, in milliseconds."""
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
+        return {}
+    return {status.getPath().getName(): status.getModificationTime() for status in fs.listStatus(jpath)}
+
+
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of some paths that are there, looked up side by side."""
+    with ThreadPoolExecutor(THREADS) as pool:
+        return [path for path, there in zip(paths, pool.map(lambda path: exists(spark, path), paths), strict=True) if there]
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Remove a folder; False when it was not there."""
     fs, jpath = _fs(spark, path)

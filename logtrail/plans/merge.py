@@ -431,6 +431,7 @@ def merge(
     _side_by_side(
         lambda: store.append("metrics", timed), lambda: store.append("dispositions", _report(decided, batch_id))
     )
+    store.compact_ledger()
     report = store.dispositions().where(F.col("batch_id") == batch_id)
     _move_inputs(store, report, options)
     if not options.keep_staging:

@@ -10,9 +10,11 @@ A store is a folder in any Hadoop file system:
   up to some 100,000 logs.
 * ``schemas`` – columns of each table. Columns are only ever added. A column
   that has to become wider starts a new ``gen``; reads cast older ones.
-* ``ledger`` – what happened to each log, append only. It is written *before*
-  a log's rows (``pending``) and *after* them (``merged``). Reads leave out
-  rows of attempts that are not finished, so a half-written log is never seen.
+* ``ledger`` – what happened to each log, one file per change. It is written
+  *before* a log's rows (``pending``) and *after* them (``merged``). Reads leave
+  out rows of attempts that are not finished, so a half-written log is never
+  seen. After ``LEDGER_CHANGES`` changes the state so far is written to
+  ``ledger-base``; a read folds the newest base and the changes since.
 * ``dispositions``, ``metrics``, ``ingest_events`` – reports per batch.
 
 One writer at a time.
@@ -36,7 +38,7 @@ from logtrail.operators.joins import lookup_join
 from logtrail import files
 from logtrail.session import configure
 
-LEDGER_SCHEMA = "log_hash bigint, log_ym string, status string, stored boolean, batch_id string, path string, at bigint"
+LEDGER_SCHEMA = "log_hash bigint, log_ym string, status string, stored boolean, batch_id string, path string, at bigint, published boolean"
 SCHEMAS_SCHEMA = "table_name string, gen int, ordinal int, column string, type string, attempt string"
 DISPOSITION_SCHEMA = "path string, log_hash bigint, status string, reason string, batch_id string"
 METRICS_SCHEMA = "batch_id string, table string, operation string, duration double, rows bigint"
@@ -50,6 +52,8 @@ BY_LOG_MONTH, BY_ROW_MONTH = "log_ym", "row_ym"
 PER_BATCH, PER_LOG = "batch_id", "log_hash"
 
 TABLES_AT_ONCE = 8
+# Files of single changes after which the ledger gets a new base.
+LEDGER_CHANGES = 100
 
 
 @dataclass(frozen=True)
@@ -106,17 +110,50 @@ class LogStore:
                 (F.col("attempt") if batch_id is None else F.lit(batch_id)).alias("batch_id"),
                 "path",
                 F.lit(at).alias("at"),
+                F.lit(status == MERGED).alias("published"),
             )
             for logs, status, stored, batch_id in changes
         ]
-        self.append("ledger", reduce(DataFrame.unionByName, states))
+        # One file: all of it is there, or nothing.
+        self.append("ledger", reduce(DataFrame.unionByName, states).coalesce(1))
+
+    def _bases(self) -> list[str]:
+        """Finished bases of the ledger, oldest first; named by the time they were begun, in milliseconds."""
+        root = f"{self.root}/ledger-base"
+        return [n for n in files.children(self.spark, root) if files.exists(self.spark, f"{root}/{n}/_SUCCESS")]
+
+    def _ledger(self) -> DataFrame:
+        """The newest base and all changes; some of these may be in the base already, which folds to the same."""
+        changes, bases = self._read("ledger", LEDGER_SCHEMA), self._bases()
+        if not bases:
+            return changes
+        return changes.unionByName(self.spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.root}/ledger-base/{bases[-1]}"))
+
+    def compact_ledger(self, at_least: int = LEDGER_CHANGES) -> bool:
+        """Write a new base when there are many files of changes since the last one; whether it did.
+
+        Files of changes go once the base before this one holds them, so
+        frames made a while ago can still be read.
+        """
+        root, bases = f"{self.root}/ledger-base", self._bases()
+        changes = {n: at for n, at in files.written_at(self.spark, f"{self.root}/ledger").items() if n.endswith(".parquet")}
+        last = int(bases[-1]) if bases else -1
+        if sum(at > last for at in changes.values()) < at_least:
+            return False
+        # A second early: clocks of the store and of this machine may differ a little.
+        begun = int(time.time() * 1000) - 1000
+        columns = [field.name for field in T._parse_datatype_string(LEDGER_SCHEMA).fields]
+        self.attempts().select(*columns).write.parquet(f"{root}/{max(begun, last + 1):020d}")
+        old = [f"{self.root}/ledger/{n}" for n, at in changes.items() if at <= last]
+        files.delete_all(self.spark, [*old, *[f"{root}/{n}" for n in bases[:-1]]])
+        return True
 
     def attempts(self) -> DataFrame:
         """Latest state of each log per merge attempt."""
         values = ("log_ym", "status", "stored", "path", "at")
         state = F.max_by(F.struct(*values), "at").alias("s")
-        rows = self._read("ledger", LEDGER_SCHEMA)
-        return rows.groupBy("log_hash", "batch_id").agg(state).select("log_hash", "batch_id", "s.*")
+        folded = self._ledger().groupBy("log_hash", "batch_id").agg(state, F.max("published").alias("published"))
+        return folded.select("log_hash", "batch_id", "s.*", "published")
 
     def ledger(self) -> DataFrame:
         """Latest state of each log."""
@@ -140,7 +177,7 @@ class LogStore:
 
     def is_empty(self) -> bool:
         """Whether nothing was ever merged here."""
-        return not files.exists(self.spark, f"{self.root}/ledger")
+        return not files.exists(self.spark, f"{self.root}/ledger") and not self._bases()
 
     def dispositions(self) -> DataFrame:
         """Outcome of every file."""
@@ -168,7 +205,7 @@ class LogStore:
 
         An attempt is published once a log of it was merged: what a merge that broke off has added does not count.
         """
-        published = self._read("ledger", LEDGER_SCHEMA).where(F.col("status") == MERGED).select(F.col("batch_id").alias("attempt")).distinct()
+        published = self._ledger().where(F.col("published")).select(F.col("batch_id").alias("attempt")).distinct()
         rows = self._read("schemas", SCHEMAS_SCHEMA).join(published.withColumn("counts", F.lit(True)), "attempt", "left")
         counts = F.col("attempt").isNull() | F.col("counts").isNotNull()
         found: dict[str, dict[int, dict[str, str]]] = {}
@@ -221,15 +258,24 @@ class LogStore:
         """Folder of one generation."""
         return f"{self.root}/tables/{table}/gen={gen}"
 
-    def read_generation(self, table: str, schema: TableSchema) -> DataFrame:
-        """Rows of one generation, finished logs or not."""
+    def read_generation(self, table: str, schema: TableSchema, paths: list[str] | None = None) -> DataFrame:
+        """Rows of one generation, or of some of its folders, finished logs or not."""
         path = self.generation_path(table, schema.gen)
         fields = [f"{quoted(c)} {t}" for c, t in schema.columns.items() if c != "log_hash"]
         keys = {"log_hash": "bigint", self.month: "string", self.layout: "bigint" if self.layout == PER_LOG else "string"}
         full = T._parse_datatype_string(", ".join([*fields, *[f"{c} {t}" for c, t in keys.items()]]))
-        if not files.exists(self.spark, path):
+        if paths is None and files.exists(self.spark, path):
+            return self.spark.read.schema(full).parquet(path)
+        if not paths:
             return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(full).parquet(path)
+        return self.spark.read.schema(full).option("basePath", path).parquet(*paths)
+
+    def _folders(self, table: str, gen: int, logs: list) -> list[str]:
+        """Folders of a generation that hold rows of ``logs(log_ym, log_hash, batch_id)``: named, and not found by listing."""
+        root = self.generation_path(table, gen)
+        months = self._months(root) if self.month == BY_ROW_MONTH else None
+        named = {f"{root}/{m}/{self.layout}={row[self.layout]}" for row in logs for m in months or [f"log_ym={row.log_ym}"]}
+        return files.existing(self.spark, sorted(named))
 
     def table(self, name: str, *log_hashes: int) -> DataFrame:
         """Rows of one table from merged logs, over all schema generations.
@@ -241,23 +287,18 @@ class LogStore:
             raise ValueError(f"no such table: {name}")
         final = {c: t for c, t in generations[-1].columns.items() if c != "log_hash"}
         keys = [self.month, *self.row_keys()]
-        rows = reduce(DataFrame.unionByName, [_as(self.read_generation(name, g), final, keys) for g in generations])
+        parts = {g.gen: None for g in generations}
         if log_hashes:
-            rows = rows.where(self._folders_of(log_hashes))
+            found = self.active_logs().where(F.col("log_hash").isin(*log_hashes)).select("log_hash", "log_ym", "batch_id").distinct().collect()
+            parts = {g.gen: self._folders(name, g.gen, found) for g in generations}
+        rows = reduce(DataFrame.unionByName, [_as(self.read_generation(name, g, parts[g.gen]), final, keys) for g in generations])
+        if log_hashes:
+            rows = rows.where(F.col("log_hash").isin(*log_hashes))
         hidden = self.hidden().select(*self.row_keys())
         if not hidden.isEmpty():
             rows = lookup_join(rows, hidden, self.row_keys(), "left_anti")
         return rows.drop("batch_id")
 
-    def _folders_of(self, log_hashes: tuple[int, ...]) -> Column:
-        wanted = F.col("log_hash").isin(*log_hashes)
-        found = self.active_logs().where(wanted).select("log_ym", "batch_id").distinct().collect()
-        if self.layout == PER_BATCH:
-            wanted = wanted & F.col("batch_id").isin(*[row.batch_id for row in found])
-        if self.month == BY_LOG_MONTH:
-            wanted = wanted & F.col("log_ym").isin(*[row.log_ym for row in found])
-        return wanted
-
     def write_rows(self, rows: DataFrame, table: str, gen: int, chunk: str | None = None) -> None:
         """Write rows of one merge attempt.
 
@@ -316,42 +357,58 @@ class LogStore:
     def purge(self) -> int:
         """Give back the space of rows that are no longer read; the number of attempts cleaned.
 
-        In the batch layout the merged logs of an attempt are written anew
-        under a new name. One ledger write then switches from the old name to
-        the new, and the old folders go. A crash at any point leaves either
-        name readable, never both or none.
+        In the batch layout all attempts that have such rows are cleaned at
+        once: each table is read once, and the rows of their merged logs are
+        written under one new name. One ledger write then switches from the
+        old names to the new one, and the old folders go. A crash at any point
+        leaves either name readable, never both or none; a later purge removes
+        what is left over.
         """
         if self.layout == PER_LOG:
             # The list is read again for the ledger write, which does not change it until it ends.
             gone = self.ledger().where(F.col("stored") & (F.col("status") != MERGED))
             self.remove_log_folders(gone)
             self.record((gone.withColumnRenamed("batch_id", "attempt"), UNMERGED, False, None))
+            self.compact_ledger()
             return 0
-        names = [row.batch_id for row in self.hidden().select("batch_id").distinct().collect()]
-        for name in names:
-            self._purge_attempt(name)
-        return len(names)
-
-    def _purge_attempt(self, name: str) -> None:
-        # The ledger is append only, so these frames keep the state of now.
-        states = self.attempts().where(F.col("batch_id") == name)
-        kept = states.where(F.col("status") == MERGED)
-        if not kept.isEmpty():
-            fresh = f"{name.split('~')[0]}~{uuid.uuid4().hex[:8]}"
-            self.record((kept, PENDING, True, fresh))
-
-            def rewrite(root: tuple[str, TableSchema, str]) -> None:
-                table, schema, _ = root
-                rows = self.read_generation(table, schema).where(F.col("batch_id") == name)
-                rows = lookup_join(rows, kept.select("log_hash"), ["log_hash"], "left_semi")
+        scratch = f"{self.root}/staging/purge-{uuid.uuid4().hex}"
+        affected = self.hidden().select("batch_id").distinct()
+        # The ledger changes below: the state of now is written.
+        self.attempts().join(affected, "batch_id", "left_semi").write.parquet(scratch)
+        states = self.spark.read.parquet(scratch)
+        # One row per attempt and month, not per log.
+        named = states.select("log_ym", "batch_id", (F.col("status") == MERGED).alias("kept")).groupBy("log_ym", "batch_id").agg(F.max("kept").alias("kept")).collect()
+        if named:
+            self._rewrite(states.where(F.col("status") == MERGED), [row for row in named if row.kept])
+            old = [path for _, schema, root in self._roots() for path in self._folders_at(root, named)]
+            files.delete_all(self.spark, old)
+            self.record((states.withColumnRenamed("batch_id", "attempt"), UNMERGED, False, None))
+        files.delete(self.spark, scratch)
+        self.compact_ledger()
+        return len({row.batch_id for row in named})
+
+    def _folders_at(self, root: str, named: list) -> list[str]:
+        months = self._months(root) if self.month == BY_ROW_MONTH else None
+        return sorted({f"{root}/{m}/batch_id={row.batch_id}" for row in named for m in months or [f"log_ym={row.log_ym}"]})
+
+    def _rewrite(self, kept: DataFrame, named: list) -> None:
+        """Write the rows of merged logs of some attempts as one attempt, and switch to it."""
+        if not named:
+            return
+        fresh = f"purge~{uuid.uuid4().hex}"
+        self.record((kept, PENDING, True, fresh))
+        logs = kept.select("log_hash", "batch_id")
+
+        def rewrite(root: tuple[str, TableSchema, str]) -> None:
+            table, schema, _ = root
+            paths = self._folders(table, schema.gen, named)
+            if paths:
+                rows = lookup_join(self.read_generation(table, schema, paths), logs, ["log_hash", "batch_id"], "left_semi")
                 self.write_rows(rows.withColumn("batch_id", F.lit(fresh)), table, schema.gen)
 
-            with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
-                list(pool.map(rewrite, self._roots()))
-            self.record((kept, MERGED, True, fresh), (kept, UNMERGED, True, name))
-        old = [f"{root}/{month}/batch_id={name}" for _, _, root in self._roots() for month in self._months(root)]
-        files.delete_all(self.spark, old)
-        self.record((states, UNMERGED, False, name))
+        with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+            list(pool.map(rewrite, self._roots()))
+        self.record((kept, MERGED, True, fresh), (kept.withColumnRenamed("batch_id", "attempt"), UNMERGED, True, None))
 
     # Sizes --------------------------------------------------------------
 
