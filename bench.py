@@ -36,6 +36,8 @@ WHOLE_RUNS = (
     "blob_and_text_cells",
     "merge_outcomes",
     "merge_preview",
+    "follow_equals_merge",
+    "catalog_changes",
 )
 
 

@@ -11,11 +11,13 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logtrail.operators.aggregates import schema_drift, schema_fingerprints
 from logtrail.plans.derived_logs import _ROWS, FIRST_START, TIME_FORMAT, archive, log_files_from
-from logtrail.plans.merge import merge, plan_merge
+from logtrail.plans.merge import MergeOptions, catalog_difference, merge, plan_merge
 from logtrail.plans.store import LogStore
 from logtrail.session import scratch_path
-from logtrail.sources.log_files import read_log_files
+from logtrail.sources.log_files import read_log_files, schema_statements
+from logtrail.streaming.follow import follow
 
 LOGS = '"log_hash" BIGINT,"log_start_time" DATETIME,"log_end_time" DATETIME,"log_timezone_offset" INT,"log_app_version" TEXT'
 
@@ -174,3 +176,85 @@ select path, 'merged' as status, "table", count(*) as rows from p,
 union all
 select distinct 'derived/' || lpad(device::varchar, 6, '0') || '/' || lpad(block::varchar, 6, '0') || '.azm', 'merged', 'logs', 1 from l"""
 )
+
+
+# Catalogs ------------------------------------------------------------------
+
+
+def catalog_changes(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """Columns of the case files that a store of the usual logs lacks, and the reverse."""
+    store = LogStore(spark, scratch_path(spark, "store"), "all_logs")
+    merge(store, log_files_from(events))
+    return catalog_difference(store, log_files_from(events, _pack_cases))
+
+
+CATALOG_SQL = (
+    _CASES
+    + """select 'kpi' as "table", "column", side from (values
+    ('n', 'source_only', (select count(*) from f where kind not in (2, 5)) > 0), ('z', 'source_only', (select count(*) from f where kind < 3) > 0),
+    ('posid', 'target_only', true), ('rsrp', 'target_only', true), ('modem_time', 'target_only', true),
+    ('android_cellid_from_cellfile', 'target_only', true), ('x_duration', 'target_only', true),
+    ('extra', 'target_only', (select count(*) from f where device % 2 = 0) > 0)) v("column", side, there)
+  where there and (select count(*) from f where kind <> 5) > 0
+union all select 'kpi', 'log_hash', 'target_only' from (select count(*) as n from f where kind <> 5) where n > 0"""
+)
+
+
+def drift_of(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """Files per schema of the usual log files: every other device has a column more."""
+    return schema_drift(schema_fingerprints(schema_statements(log_files_from(events)), "path"))
+
+
+def _drift_sql() -> str:
+    common = '"time" DATETIME,"time_ms" INT,"posid" INT,"log_hash" BIGINT'
+    kpi = common + ',"rsrp" Double,"modem_time" DATETIME,"android_cellid_from_cellfile" INT,"x_duration" TEXT'
+    tables = {
+        "logs": LOGS,
+        "signalling": common + ',"geom" BLOB,"symbol" TEXT,"info" TEXT',
+        "location": common + ',"geom" BLOB',
+        "android_info_1sec": '"time" DATETIME,"log_hash" BIGINT',
+        "wifi_scanned": common,
+        "spatial_ref_sys": '"srid" INT',
+    }
+
+    def text(of_kpi: str) -> str:
+        return "\n".join(sorted(f'CREATE TABLE "{name}" ({columns})' for name, columns in {**tables, "kpi": of_kpi}.items()))
+
+    even, odd = text(kpi + ',"extra" INT'), text(kpi)
+    return _CASES + f"select sha1(case when device % 2 = 0 then '{even}' else '{odd}' end) as fingerprint, count(*) as logs from f group by 1"
+
+
+DRIFT_SQL = _drift_sql()
+
+
+# Follow --------------------------------------------------------------------
+
+
+class Killed(RuntimeError):
+    """A merge that is made to break off."""
+
+
+def followed(spark: SparkSession, events: DataFrame) -> LogStore:
+    """A store that follows a growing folder: one run that ends, one that breaks off in a merge, and one that takes up its work."""
+    place, checkpoint = scratch_path(spark, "inbox"), scratch_path(spark, "checkpoint")
+    files = scratch_path(spark, "files")
+    log_files_from(events).write.parquet(files)
+    files = spark.read.parquet(files)
+    store = LogStore(spark, scratch_path(spark, "store"), "all_logs")
+
+    def kill(rows: DataFrame, table: str) -> DataFrame:
+        raise Killed(table)
+
+    late = F.crc32("path") % 2 == 0
+    write_folder(files.where(~late), place)
+    follow(store, place, checkpoint).awaitTermination()
+    write_folder(files.where(late), place)
+    broken = follow(store, place, checkpoint, MergeOptions(preprocess=kill))
+    try:
+        broken.awaitTermination()
+    except Exception as failure:
+        # Only the break that was meant: all else is a fault.
+        if "Killed" not in str(failure):
+            raise
+    follow(store, place, checkpoint).awaitTermination()
+    return store

@@ -444,6 +444,18 @@ def merge(
     return report
 
 
+def catalog_difference(store: LogStore, files: DataFrame, options: MergeOptions | None = None) -> DataFrame:
+    """``table, column, side``: columns of files that the store lacks (``source_only``), and those of its newest schema
+    that no file has, in tables that some file has (``target_only``) (J4). Names in small letters."""
+    options = options or MergeOptions()
+    rows = of_table(log_files.decode(_spread(files), options.tables, options.location_geometry_only, names_only=True), log_files.COLUMN_ROWS)
+    source = rows.select(log_files.cell("table").alias("table"), F.lower(log_files.cell("column")).alias("column")).distinct()
+    source = _written(store, source, scratch_path(store.spark, "catalog"))
+    columns = [(t, c.lower()) for t, generations in store.schemas().items() for c in generations[-1].columns]
+    target = store.spark.createDataFrame(columns, "table string, column string").join(source.select("table").distinct(), "table", "left_semi")
+    return joins.schema_difference(source, target, ["table", "column"])
+
+
 def _decide_all(store: LogStore, rows: DataFrame, options: MergeOptions, folder: str) -> tuple[DataFrame, DataFrame | None]:
     """Every staged file with its status, written; and ``(path, table)`` of all bad cells, if there are any."""
     decided = decide(

@@ -949,3 +949,21 @@ def merge_outcomes(spark: SparkSession, folder: str) -> DataFrame:
 def merge_preview(spark: SparkSession, folder: str) -> DataFrame:
     """What a merge would do and write, before it does."""
     return derived_cases.previewed(spark, read(spark, folder, "events"))
+
+
+@query(derived_logs.MERGED_SQL)
+def follow_equals_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """The same logs from a folder that grows while it is followed, with a run that breaks off."""
+    return derived_logs.read_back(derived_cases.followed(spark, read(spark, folder, "events")))
+
+
+@query(derived_cases.CATALOG_SQL)
+def catalog_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns that incoming files have and the store lacks, and the reverse."""
+    return derived_cases.catalog_changes(spark, read(spark, folder, "events"))
+
+
+@query(derived_cases.DRIFT_SQL)
+def log_schema_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Log files per schema fingerprint, two at every size."""
+    return derived_cases.drift_of(spark, read(spark, folder, "events"))
