@@ -13,9 +13,11 @@ their points lie within D of each other. Two uses are made of that:
   too common for that; documents that meet under such a key, and not in a
   family, are compared under that key by their points alone, and the few pairs
   that are left on their sets.
-* R-tree. The members of a family or key are the points of a tree whose first
-  level is size (only neighbouring size bands can link), whose second level
-  are leaves of at most about ``LEAF`` points, and whose third level are boxes
+* R-tree. Members of a family that link with the one it is named by are its
+  core, and so are members of a key that are of its largest family: they are
+  connected, and only compared with the others. The members are the points of a
+  tree whose first level is size (only neighbouring size bands can link), whose
+  second level are leaves of at most about ``LEAF`` points, and whose third level are boxes
   of ``BOX`` points, sorted by their coordinates. A pair of boxes, then a pair
   of points, is left out when the sum over groups of the smaller count cannot
   reach the overlap that a link needs. A pair of leaves is one unit of work,
@@ -49,8 +51,15 @@ from logtrail.llm.components import components, fresh_name, stored
 from logtrail.llm.key_filter import bitmap, may_hold
 from logtrail.session import configure
 
-#: Coordinates of a point, points of a leaf and of a box.
-GROUPS, LEAF, BOX = 64, 128, 8
+#: Points of a leaf and of a box.
+LEAF, BOX = 128, 8
+
+
+def groups_for(percent: int) -> int:
+    """Coordinates of a point: lower similarity leaves more room, so that large sets need finer counts to be told apart."""
+    return 64 if percent >= 88 else 256
+
+
 def strong_from(percent: int) -> int:
     """N-grams of a block below which its key is weak; lower similarity makes more and smaller blocks."""
     return 3 if percent >= 88 else 2
@@ -86,10 +95,10 @@ def set_ids(grams: np.ndarray, of: np.ndarray, rows: int) -> np.ndarray:
     return mix(total + size * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
-def points_of(grams: np.ndarray, of: np.ndarray, rows: int) -> np.ndarray:
+def points_of(grams: np.ndarray, of: np.ndarray, rows: int, groups: int) -> np.ndarray:
     """Counts of n-grams per group, a row per set."""
-    group = (grams % np.uint64(GROUPS)).astype(np.int64)
-    return np.bincount(of * GROUPS + group, minlength=rows * GROUPS).reshape(rows, GROUPS).astype(np.int32)
+    group = (grams % np.uint64(groups)).astype(np.int64)
+    return np.bincount(of * groups + group, minlength=rows * groups).reshape(rows, groups).astype(np.int32)
 
 
 class SizeClasses:
@@ -192,7 +201,7 @@ def described(documents: DataFrame, n: int, percent: int, shared: Broadcast) ->
 
     Sets of which too few probes are ``shared`` (a bitmap) have no partner, and so no keys.
     """
-    classes = SizeClasses(percent)
+    classes, groups = SizeClasses(percent), groups_for(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in slices(batches):
@@ -208,7 +217,7 @@ def described(documents: DataFrame, n: int, percent: int, shared: Broadcast) ->
             doc, key, weak = (part[order] for part in found)
             ids = pa.array(set_ids(grams, of, rows), mask=size == 0)
             keys = [_lists(doc[chosen], key[chosen], rows) for chosen in (~weak, weak)]
-            point = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * GROUPS), pa.array(points_of(grams, of, rows).ravel()))
+            point = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * groups), pa.array(points_of(grams, of, rows, groups).ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64()), ids, *keys, point], ["doc_id", "text_key", "size", "set_id", "strong", "weak", "point"])
 
     source = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
@@ -286,7 +295,7 @@ def linked_pairs(sets: list[np.ndarray], cut: int | None, percent: int) -> list[
         return x
 
     of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    points = points_of(np.concatenate(sets).view(np.uint64), of, len(sets))
+    points = points_of(np.concatenate(sets).view(np.uint64), of, len(sets), groups_for(percent))
     out: list[tuple[int, int]] = []
     for x, y in close_points(points, cut, percent):
         if root(x) != root(y):
@@ -298,28 +307,34 @@ def linked_pairs(sets: list[np.ndarray], cut: int | None, percent: int) -> list[
 
 
 def dealt_leaves(members: DataFrame, size, percent: int) -> DataFrame:
-    """Every member (with ``grp``, ``set_id``) once per pair of leaves it belongs to: l1, l2, r1, r2, is_left."""
-    # Sizes of linked sets lie in the same or in neighbouring bands.
-    rows = stored(members.withColumn("band", F.floor(F.log(size.cast("double")) / F.log(F.lit(100.0 / percent)))), "members")
+    """Every member (with ``grp``, ``set_id``, ``core``) once per pair of leaves it belongs to: l1, l2, r1, r2, is_left.
+
+    Members of a group's core are known to be connected, and are compared with the others alone.
+    """
+    # Sizes of linked sets lie in the same or in neighbouring bands; each band has leaves of the core and of the others.
+    band = F.floor(F.log(size.cast("double")) / F.log(F.lit(100.0 / percent)))
+    rows = stored(members.withColumn("zone", 2 * band + F.col("core").cast("bigint")), "members")
     # Sizes lie in some hundred bands at most, so the map of a group is small.
-    leaves = rows.groupBy("grp", "band").agg(F.ceil(F.count("*") / F.lit(LEAF)).cast("int").alias("leaves"))
-    leaves = stored(leaves.groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("band", "leaves"))).alias("leaves")), "leaves")
+    leaves = rows.groupBy("grp", "zone").agg(F.ceil(F.count("*") / F.lit(LEAF)).cast("int").alias("leaves"))
+    leaves = stored(leaves.groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("zone", "leaves"))).alias("leaves")), "leaves")
     dealt = rows.join(leaves, "grp")
-    own = F.struct("band", F.pmod(F.xxhash64("set_id"), F.try_element_at("leaves", F.col("band"))).alias("slot"))
+    own = F.struct("zone", F.pmod(F.xxhash64("set_id"), F.try_element_at("leaves", F.col("zone"))).alias("slot"))
+    outside = [2 * (F.floor(F.col("zone") / 2) + step) for step in (-1, 0, 1)]
+    zones = F.when(F.col("core"), F.array(*outside)).otherwise(F.array(*outside, *[zone + 1 for zone in outside]))
     partners = F.flatten(
         F.transform(
-            F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1),
-            lambda band: F.transform(
-                F.sequence(F.lit(0), F.coalesce(F.try_element_at(F.col("leaves"), band), F.lit(0))),
-                lambda slot: F.struct(band.alias("band"), slot.cast("bigint").alias("slot")),
+            zones,
+            lambda zone: F.transform(
+                F.sequence(F.lit(0), F.coalesce(F.try_element_at(F.col("leaves"), zone), F.lit(0))),
+                lambda slot: F.struct(zone.alias("zone"), slot.cast("bigint").alias("slot")),
             ),
         )
     )
     # The sequences go one too far, so that they are never empty.
-    partners = F.filter(partners, lambda p: p["slot"] < F.coalesce(F.try_element_at(F.col("leaves"), p["band"]), F.lit(0)))
+    partners = F.filter(partners, lambda p: p["slot"] < F.coalesce(F.try_element_at(F.col("leaves"), p["zone"]), F.lit(0)))
     dealt = dealt.withColumn("own", own).withColumn("other", F.explode(partners))
-    pair = {"l1": F.least("own", "other")["band"], "l2": F.least("own", "other")["slot"], "r1": F.greatest("own", "other")["band"], "r2": F.greatest("own", "other")["slot"]}
-    return dealt.withColumns(pair | {"is_left": F.col("own") <= F.col("other")}).drop("own", "other", "band", "leaves")
+    pair = {"l1": F.least("own", "other")["zone"], "l2": F.least("own", "other")["slot"], "r1": F.greatest("own", "other")["zone"], "r2": F.greatest("own", "other")["slot"]}
+    return dealt.withColumns(pair | {"is_left": F.col("own") <= F.col("other")}).drop("own", "other", "zone", "core", "leaves")
 
 
 _PAIR = ("grp", "l1", "l2", "r1", "r2")
@@ -338,7 +353,11 @@ def _pairs(ids: np.ndarray, found: list[tuple[int, int]]) -> pa.Table:
 
 
 def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (``a, b``) within families: ``members`` has ``grp, set_id``; at least what connects all that is linked."""
+    """Links (``a, b``) within families: ``members`` has ``grp, set_id``; at least what connects all that is linked.
+
+    Every member is first compared with the one that its family is named by. Those that link with it are the family's
+    core; only families with others go on, and their core is not compared with itself.
+    """
 
     def join(table: pa.Table) -> pa.Table:
         table, cut = _arranged(table)
@@ -347,8 +366,14 @@ def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         found = linked_pairs([values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], cut, percent)
         return _pairs(np.asarray(table.column("set_id")), found)
 
-    dealt = dealt_leaves(members.join(sets, "set_id"), F.size("grams"), percent)
-    return dealt.groupBy(*_PAIR).applyInArrow(join, "a bigint, b bigint")
+    star = members.where("grp <> set_id").select(F.col("set_id").alias("a"), F.col("grp").alias("b"))
+    star = stored(verified(star, sets, percent), "star")
+    core = star.select(F.col("a").alias("set_id")).withColumn("core", F.lit(True))
+    marked = members.join(core, "set_id", "left").withColumn("core", F.coalesce("core", F.col("grp") == F.col("set_id")))
+    marked = stored(marked, "marked")
+    open_families = marked.where("not core").select("grp").distinct()
+    dealt = dealt_leaves(marked.join(open_families, "grp", "left_semi").join(sets, "set_id"), F.size("grams"), percent)
+    return star.unionByName(dealt.groupBy(*_PAIR).applyInArrow(join, "a bigint, b bigint"))
 
 
 def close_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -356,12 +381,17 @@ def close_pairs(members: DataFrame, percent: int) -> DataFrame:
 
     def join(table: pa.Table) -> pa.Table:
         table, cut = _arranged(table)
-        points = np.asarray(table.column("point").combine_chunks().flatten()).reshape(-1, GROUPS)
+        points = np.asarray(table.column("point").combine_chunks().flatten()).reshape(-1, groups)
         family = np.asarray(table.column("family"))
         found = [(x, y) for x, y in close_points(points, cut, percent) if family[x] != family[y]]
         return _pairs(np.asarray(table.column("set_id")), found)
 
-    dealt = dealt_leaves(members, F.col("size"), percent)
+    groups = groups_for(percent)
+    # The family that most members of a key belong to needs no comparison within.
+    counts = members.groupBy("grp", "family").agg(F.count("*").alias("n"))
+    main = stored(counts.groupBy("grp").agg(F.max_by("family", F.struct("n", "family")).alias("main")), "main")
+    marked = members.join(main, "grp").withColumn("core", F.col("family") == F.col("main")).drop("main")
+    dealt = dealt_leaves(marked, F.col("size"), percent)
     return dealt.groupBy(*_PAIR).applyInArrow(join, "a bigint, b bigint").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
