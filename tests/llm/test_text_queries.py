@@ -29,7 +29,7 @@ def test_classifiers_on_held_out_rows(spark, name, label, divisor, remainder):
     known = duckdb.sql(f"select doc_id, {label} from '{LARGER}/labels.parquet'").fetchall()
     held = [(rows[i], y) for i, y in known if zlib.crc32(str(i).encode()) % divisor == remainder]
     assert all(r["held_out"] for r, _ in held)
-    assert len(rows) == duckdb.sql(f"select count(*) from '{LARGER}/documents.parquet'").fetchone()[0]
+    assert len(rows) == duckdb.sql(f"select count(*) from '{LARGER}/documents.parquet'").fetchall()[0][0]
     assert sum(r["predicted"] == y for r, y in held) >= 0.95 * len(held)
 
 
