@@ -11,25 +11,17 @@ def _rule(column: str) -> str:
     return f"case {whens} end"
 
 
-def _slot(codes: list[str], kind: int) -> str:
-    total = f"({kind} * 4099)"
-    for code in codes:
-        total = f"(({total} * 1009 + {code}) % {url_model.SLOTS})"
-    return total
-
-
 def _urls() -> str:
     n = url_model.RUN
-    names = [f"g{k}" for k in range(1, n + 1)] + [f"x{k}" for k in range(n)]
-    codes = [f"unicode(substr(padded, i + {k + 1}, 1))::bigint" for k in range(n)]
-    slots = [f"{_slot(codes[n - k :], k)} g{k}" for k in range(1, n + 1)] + [f"{_slot(codes[n - 1 - k : n - 1], n + 1 + k)} x{k}" for k in range(n)]
+    keys = {f"g{k}": f"substr(padded, i + {n - k + 1}, {k})" for k in range(1, n + 1)} | {f"x{k}": f"substr(padded, i + {n - k}, {k})" for k in range(n)}
     chance = {}
     for side in ("allow", "block"):
         p = "(1.0::double / 256)"
         for k in range(1, n + 1):
             p = f"((coalesce(t_g{k}.{side}, 0) + {url_model.PRIOR}::double * {p}) / (coalesce(t_x{k - 1}.{side}, 0) + {url_model.PRIOR}::double))"
         chance[side] = p
-    joins = " ".join(f"left join counts t_{c} on t_{c}.slot = a.{c}" for c in names)
+    joins = " ".join(f"left join counts t_{c} on t_{c}.name = '{c}' and t_{c}.key = a.{c}" for c in keys)
+    counts = " union all ".join(f"select '{c}' name, {c} \"key\", ruled from spots where ruled is not null and not held" for c in keys)
     upper = "".join(map(chr, range(65, 91)))
     return f"""
 with parts as (
@@ -40,10 +32,10 @@ with parts as (
 ruled as materialized (select *, {_rule('rule')} rule, {_rule('verdict')} ruled,
     case when page_id % {url_model.FOLDS} = {url_model.CALIBRATION} then true else false end held from parts),
 chars as (select no, ruled, held, '{'^' * (n - 1)}' || host || path || chr(10) padded, unnest(range(0, length(host || path) + 1)) i from ruled),
-spots as materialized (select no, ruled, held, {', '.join(slots)} from chars),
+spots as materialized (select no, ruled, held, {', '.join(f'{key} {name}' for name, key in keys.items())} from chars),
 counts as materialized (
-  select slot, count(*) filter (where ruled = 'allow') allow, count(*) filter (where ruled = 'block') block
-  from (select ruled, unnest([{', '.join(names)}]) slot from spots where ruled is not null and not held) group by slot),
+  select name, "key", count(*) filter (where ruled = 'allow') allow, count(*) filter (where ruled = 'block') block
+  from ({counts}) group by name, "key"),
 scored as materialized (
   select a.no, avg(ln({chance['allow']}) - ln({chance['block']})) ratio from spots a {joins} group by a.no),
 bins as (

@@ -1,12 +1,16 @@
 """URL filter: rules first, then a ratio of two character language models.
 
 URLs that a rule allows or blocks are the labelled text. Two Markov models of
-variable order, one of accepted and one of rejected URLs, are counts of
-character runs in one table of at most ``SLOTS`` rows, so the table may be
-broadcast however many URLs there are. A probability of a character backs off
-through shorter and shorter contexts (each order is smoothed by the next
-lower one). The mean log ratio per character is compared with a threshold
-that is calibrated on labelled URLs kept out of the counts.
+variable order, one of accepted and one of rejected URLs, are counts of exact
+character runs, so what is learnt grows with the URLs. A probability of a
+character backs off through shorter and shorter contexts (each order is
+smoothed by the next lower one). The mean log ratio per character is compared
+with a threshold that is calibrated on labelled URLs kept out of the counts.
+
+A character's log ratio depends on the run of ``RUN`` characters that ends
+there alone. So runs are counted first, the counts of shorter runs and of
+contexts are sums of these, and the log ratio is worked out once per distinct
+run; characters then need a single join.
 
 Everything is column expressions. Null URLs and URLs without ``://`` have an
 empty host and path, and are judged by the end mark alone. Without labelled
@@ -21,10 +25,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtrail.session import configure, scratch_path
+from logtrail.llm.components import stored
+from logtrail.session import configure
 
-#: Rows of the table of counts at most: runs share a row where their codes agree modulo this prime.
-SLOTS = 131071
 #: Characters of the longest run: the character itself and its context.
 RUN = 4
 #: Weight of the lower order, in characters seen.
@@ -79,60 +82,48 @@ def matching_rule(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -
     return text, verdict
 
 
-def _slot(codes: list[Column], kind: int) -> Column:
-    # Bound to a column, so that a run of no characters is still a key to join on.
-    total = F.lit(kind * 4099) + F.col("_n") * 0
-    for code in codes:
-        total = (total * 1009 + code) % SLOTS
-    return total
-
-
-def _positions(urls: DataFrame) -> DataFrame:
-    """A row per character of host, path and end mark: slots of its runs (g1..) and of their contexts (x0..)."""
+def _runs(urls: DataFrame) -> DataFrame:
+    """``_no`` and the run of ``RUN`` characters up to each character of host, path and end mark."""
     chars = F.split(F.concat(F.lit("^" * (RUN - 1)), "_host", "_path", F.lit("\n")), "")
-    at = urls.select("*", F.length(F.concat("_host", "_path")).alias("_n"), chars.alias("_chars"))
-    at = at.select("*", F.explode(F.sequence(F.lit(0), F.col("_n"))).alias("_i"))
-    codes = [F.ascii(F.get(F.col("_chars"), F.col("_i") + k)).cast("bigint") for k in range(RUN)]
-    at = at.select("_row", "_verdict", F.col("_n").cast("bigint").alias("_n"), *(c.alias(f"_c{k}") for k, c in enumerate(codes)))
-    code = [F.col(f"_c{k}") for k in range(RUN)]
-    return at.select(
-        "_row",
-        "_verdict",
-        "_n",
-        *(_slot(code[RUN - k :], k).alias(f"g{k}") for k in range(1, RUN + 1)),
-        *(_slot(code[RUN - 1 - k : RUN - 1], RUN + 1 + k).alias(f"x{k}") for k in range(RUN)),
-    )
-
-
-def _names() -> list[str]:
-    return [f"g{k}" for k in range(1, RUN + 1)] + [f"x{k}" for k in range(RUN)]
+    last = F.length(F.concat("_host", "_path"))
+    at = urls.select("_no", last.alias("_last"), chars.alias("_chars"))
+    run = F.transform(F.sequence(F.lit(0), F.col("_last")), lambda i: F.concat(*(F.get(F.col("_chars"), i + k) for k in range(RUN))))
+    return at.select("_no", F.explode(run).alias("_run"))
 
 
 def count_runs(urls: DataFrame) -> DataFrame:
-    """How often each slot occurs in accepted and in rejected URLs."""
-    slots = _positions(urls).select("_verdict", F.explode(F.array(*_names())).alias("slot"))
-    return slots.groupBy("slot").agg(
-        F.count(F.when(F.col("_verdict") == "allow", 1)).alias("allow"),
-        F.count(F.when(F.col("_verdict") == "block", 1)).alias("block"),
-    )
-
-
-def score(urls: DataFrame, counts: DataFrame) -> DataFrame:
-    """Mean over the characters of log P(accepted) - log P(rejected), per ``_row``."""
-    at = _positions(urls)
-    for name in _names():
-        # At most SLOTS rows of three numbers: the broadcast is bounded by construction.
-        side = counts.select(F.col("slot").alias(name), F.col("allow").alias(f"a_{name}"), F.col("block").alias(f"b_{name}"))
-        at = at.join(F.broadcast(side), name, "left")
+    """How often each run of any URL occurs in the accepted and in the rejected URLs to learn from (``_learn``)."""
+    parts = []
+    for name in ("allow", "block", None):
+        chosen = urls.where(F.col("_learn") & (F.col("_verdict") == name)) if name else urls.where("not _learn")
+        parts.append(_runs(chosen).groupBy("_run").agg(*(F.count("*").alias(n) if n == name else F.lit(0).cast("bigint").alias(n) for n in ("allow", "block"))))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("_run").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
+
+
+def log_ratios(counts: DataFrame) -> DataFrame:
+    """``_run, log_ratio``: log P(accepted) - log P(rejected) of the run's last character after its others."""
+    total = counts.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("allow", "block"))).first()
+    at = counts.select("_run", F.col("allow").alias(f"allow_g{RUN}"), F.col("block").alias(f"block_g{RUN}"))
+    # Runs of k characters end a run, contexts of k characters stand before its last one. Sums per key are
+    # far fewer than runs; Spark measures whether a side is broadcast.
+    keys = {f"g{k}": F.substring("_run", RUN - k + 1, k) for k in range(1, RUN)} | {f"x{k}": F.substring("_run", RUN - k, k) for k in range(1, RUN)}
+    for name, key in keys.items():
+        sums = counts.groupBy(key.alias(name)).agg(F.sum("allow").alias(f"allow_{name}"), F.sum("block").alias(f"block_{name}"))
+        at = at.withColumn(name, key).join(sums, name)
     chance = {}
-    for side in "ab":
+    for side in ("allow", "block"):
+        at = at.withColumn(f"{side}_x0", F.lit(total[side]))
         p = F.lit(1.0 / 256)
         for k in range(1, RUN + 1):
-            seen, context = (F.coalesce(F.col(f"{side}_{c}"), F.lit(0)) for c in (f"g{k}", f"x{k - 1}"))
-            p = (seen + PRIOR * p) / (context + PRIOR)
+            p = (F.col(f"{side}_g{k}") + PRIOR * p) / (F.col(f"{side}_x{k - 1}") + PRIOR)
         chance[side] = p
-    ratio = F.log(chance["a"]) - F.log(chance["b"])
-    return at.groupBy("_row").agg((F.sum(ratio) / F.max(F.col("_n") + 1)).alias("ratio"))
+    return at.select("_run", (F.log(chance["allow"]) - F.log(chance["block"])).alias("log_ratio"))
+
+
+def score(urls: DataFrame, ratios: DataFrame) -> DataFrame:
+    """``_no, ratio``: mean log ratio over the characters of each URL."""
+    # Every run has a ratio. A left join, as only the side of distinct runs may be broadcast: characters are many more than their file tells.
+    return _runs(urls).join(ratios, "_run", "left").groupBy("_no").agg(F.avg("log_ratio").alias("ratio"))
 
 
 def calibrate(scored: DataFrame) -> float:
@@ -162,27 +153,22 @@ def calibrate(scored: DataFrame) -> float:
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """page_id, host, path, rule, verdict and ratio of every row of ``pages``."""
-    spark = configure(pages.sparkSession)
+    configure(pages.sparkSession)
     host, path = split_url(F.col("url"))
-    urls = pages.select("page_id", host.alias("_host"), path.alias("_path"))
     rule, verdict = matching_rule(F.col("_host"), F.col("_path"), rules)
-    urls = urls.select("*", rule.alias("_rule"), verdict.alias("_verdict"))
-    texts = urls.select("_host", "_path", "_verdict", F.struct("_host", "_path").alias("_row"), "page_id")
-    labelled = texts.where(F.col("_verdict").isNotNull())
-    held = F.coalesce(F.pmod(F.col("page_id"), F.lit(FOLDS)), F.lit(CALIBRATION + 1)) == CALIBRATION
-    place = scratch_path(spark, "url-counts")
-    count_runs(labelled.where(~held)).write.parquet(place)
-    counts = spark.read.parquet(place)
-    kept_out = labelled.where(held).withColumn("_row", F.struct("page_id", "_host", "_path", "_verdict", F.monotonically_increasing_id().alias("_no")))
-    scored = score(kept_out, counts).select("ratio", F.col("_row._verdict").alias("_verdict"))
-    threshold = calibrate(scored)
-    rows = urls.withColumn("_row", F.struct("page_id", "_host", "_path", "_rule", "_verdict", F.monotonically_increasing_id().alias("_no")))
-    scored = score(rows, counts)
-    return scored.select(
-        F.col("_row.page_id").alias("page_id"),
-        F.col("_row._host").alias("host"),
-        F.col("_row._path").alias("path"),
-        F.col("_row._rule").alias("rule"),
-        F.coalesce(F.col("_row._verdict"), F.when(F.col("ratio") >= threshold, "allow").otherwise("block")).alias("verdict"),
-        F.col("ratio"),
+    held = F.coalesce(F.pmod(F.col("page_id"), F.lit(FOLDS)) == CALIBRATION, F.lit(False))
+    urls = pages.select("page_id", host.alias("_host"), path.alias("_path")).select("*", rule.alias("_rule"), verdict.alias("_verdict"), held.alias("_held"))
+    # Numbered once and written, so that the number stands for the row from here on.
+    urls = stored(urls.select("*", (F.col("_verdict").isNotNull() & ~F.col("_held")).alias("_learn"), F.monotonically_increasing_id().alias("_no")), "urls")
+    counts = stored(count_runs(urls), "url-runs")
+    ratios = stored(log_ratios(counts), "url-ratios")
+    rows = urls.join(stored(score(urls, ratios), "url-scores"), "_no")
+    threshold = calibrate(rows.where("_held and _verdict is not null").select("ratio", "_verdict"))
+    return rows.select(
+        "page_id",
+        F.col("_host").alias("host"),
+        F.col("_path").alias("path"),
+        F.col("_rule").alias("rule"),
+        F.coalesce("_verdict", F.when(F.col("ratio") >= threshold, "allow").otherwise("block")).alias("verdict"),
+        "ratio",
     )

@@ -78,6 +78,16 @@ def test_language_models_tell_kinds_of_urls_apart(spark):
     assert (verdict[900], verdict[901]) == ("allow", "block")
 
 
+def test_many_different_runs_are_counted_apart(spark):
+    rows = [(k, f"http://x.org/" + "".join(chr(0x4E00 + (k * 97 + j * 31) % 9000) for j in range(60))) for k in range(300)]
+    urls = spark.createDataFrame([(k, "", u[7:], "allow", True) for k, u in rows], "_no bigint, _host string, _path string, _verdict string, _learn boolean")
+    want = collections.Counter()
+    for _, u in rows:
+        text = "^" * (url_model.RUN - 1) + u[7:] + "\n"
+        want.update(text[i : i + url_model.RUN] for i in range(len(text) - url_model.RUN + 1))
+    assert {r["_run"]: (r["allow"], r["block"]) for r in url_model.count_runs(urls).collect()} == {run: (n, 0) for run, n in want.items()}
+
+
 def test_repeated_urls_count_as_often_as_they_occur_in_calibration(spark, monkeypatch):
     rows = [(k, f"http://a{k}.{'org/' if k % 2 else 'com/de/'}x{k}") for k in range(40)]
     seen = []
