@@ -1,14 +1,21 @@
 """Finds benchmark passages in documents, edited ones too.
 
-A window is the part of a document, as long as an item, that would line up
-with the item at a seed, a run of three words that both share. (An item of
-fewer words is its own seed.) Windows and items are embedded by random walks:
-a shared coin per step and symbol says whether the walk advances in its text,
-and the symbols it reads form the embedding, so texts with a small edit
-distance get embeddings with a small Hamming distance. Positions of the
-embedding are sampled, ``BITS`` at a time, in as many repetitions as the
-target recall needs; a window that agrees in one whole sample is verified by
-its exact edit distance to the item, best alignment included.
+Windows are parts of a document, as long as an item. They and the items are
+embedded by random walks: a shared coin per step and symbol says whether the
+walk advances in its text, and the symbols it reads form the embedding, so
+texts with a small edit distance get embeddings with a small Hamming distance.
+
+1. *Search.* A walk begins at every word of a text, and at every byte of words
+   over ``LONG`` bytes, as of texts without blanks. Steps of its first ``STEPS``
+   are sampled repeatedly, several at a time, and each sample is looked up among
+   those of the walks that begin at the words of the items. What agrees lines the
+   item up with the text: the window begins where the item does.
+2. *Bound.* The sum of the least edits of an item's pieces, each where it fits best,
+   is no more than the edits of the item: windows above ``share`` are left out.
+3. *Agreement.* Steps of the whole walk over the window are sampled, ``BITS`` at a
+   time, in as many repetitions as the target recall needs; a window that
+   agrees in one whole sample goes on.
+4. *Verification* by the exact edit distance to the item, best alignment included.
 
 Texts are compared in lower case (A-Z) with single blanks, byte by byte. An
 item is found when the distance is at most ``share`` of its length. Null and
@@ -30,12 +37,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtrail.llm.byte_text import hash_words, lower_ascii, mix, ngram_hashes, slices, word_spans
+from logtrail.llm.byte_text import lower_ascii, mix, slices, word_spans
 from logtrail.session import configure
 
-#: Words of a seed; symbols sampled at a time; items in one part, and the longest of an item's bytes in one part together.
-SEED, BITS = 3, 3
-ITEMS, ITEM_BYTES = 20_000, 8 << 20
+#: Symbols sampled at a time, for agreement; items in one part, and all their bytes in one part together.
+BITS = 3
+ITEMS, ITEM_BYTES = 20_000, 2 << 20
+#: Search: first steps of a walk that are sampled, by the bytes that are left of the item (a walk of so many steps
+#: stays within them); samples; bytes of words that are searched byte by byte, and of
+#: the stride there in items; candidates in one numpy pass.
+STEPS, SAMPLES, LONG, STRIDE, PASS = (64, 32, 16, 8, 4, 2, 1), 16, 32, 8, 1 << 16
+#: Bytes of an item's pieces in the lower bound of its edits.
+PIECE = 64
 #: Part of an item's bytes that may be edited; share of embedded symbols that such edits may change; wanted recall.
 SHARE, CHANGED, RECALL = 0.2, 0.6, 0.98
 #: Steps of the walk per byte of the item.
@@ -122,12 +135,16 @@ def best_alignment(item: bytes, text: bytes) -> tuple[int, int]:
 
 @dataclass(frozen=True)
 class Items:
-    """Some items: numbers, normal text, seeds sorted by hash, the sampled steps, and the embeddings there only."""
+    """Some items: numbers, normal text, keys of the search in order with item and place, the sampled steps, and the embeddings there only."""
 
     ids: list
     data: np.ndarray
     offsets: np.ndarray
-    seeds: tuple[tuple[int, np.ndarray, np.ndarray, np.ndarray], ...]
+    keys: np.ndarray
+    key_item: np.ndarray
+    key_at: np.ndarray
+    known: np.ndarray
+    looks: tuple[tuple[int, int, tuple[int, ...]], ...]
     samples: np.ndarray
     embedded: np.ndarray
     share: float
@@ -147,16 +164,6 @@ class Items:
         spans = [(int(bounds[k]), int(bounds[k + 1]) - 1) for k in keep]
         number = np.full(len(rows), -1)
         number[keep] = np.arange(len(keep))
-        hashes = hash_words(data, starts, ends)
-        seeds = []
-        for n in range(1, SEED + 1):
-            of_size = words >= SEED if n == SEED else words == n
-            found, of = ngram_hashes(hashes, doc, n)
-            first = np.flatnonzero(doc[n - 1 :] == doc[: len(doc) - n + 1]) if len(doc) >= n else np.zeros(0, int)
-            chosen = np.flatnonzero(of_size[of]) if len(of) else np.zeros(0, int)
-            if len(chosen):
-                order = chosen[np.argsort(found[chosen], kind="stable")]
-                seeds.append((n, found[order], number[of[order]], starts[first[order]] - bounds[of[order]]))
         new = np.concatenate([data[a:b] for a, b in spans]) if spans else np.zeros(0, np.uint8)
         offsets = np.concatenate([[0], np.cumsum([b - a for a, b in spans])]).astype(np.int64)
         steps = STRETCH * np.diff(offsets)
@@ -167,7 +174,12 @@ class Items:
         embedded = np.zeros(samples.shape, np.uint8)
         for part in _by_length(steps):
             embedded[part] = embed(new, offsets[:-1][part], offsets[1:][part], samples[part])
-        return cls([rows[k][0] for k in keep], new, offsets, tuple(seeds), samples, embedded, share)
+        at, of = window_begins(starts, ends, doc, STRIDE)
+        item, place = number[of], at - bounds[of]
+        keys, key_item, key_at, looks = _search_keys(new, offsets, item, place)
+        known = np.zeros(1 << max(16, int(16 * len(keys)).bit_length()), bool)
+        known[_slots(keys, known)] = True
+        return cls([rows[k][0] for k in keep], new, offsets, keys, key_item, key_at, known, looks, samples, embedded, share)
 
 
 def _by_length(length: np.ndarray) -> list[np.ndarray]:
@@ -176,24 +188,84 @@ def _by_length(length: np.ndarray) -> list[np.ndarray]:
     return [part for part in np.array_split(order, max(1, len(order) // 4096)) if len(part)]
 
 
-def candidates(items: Items, words: np.ndarray, starts: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, item number and first byte of each window that lines up with an item at a seed."""
-    out = []
-    for n, hashes, item, offset in items.seeds:
-        found, of = ngram_hashes(words, doc, n)
-        if not len(found):
-            continue
-        at = np.flatnonzero(doc[n - 1 :] == doc[: len(doc) - n + 1])
-        low = np.searchsorted(hashes, found, "left")
-        hit = np.flatnonzero(hashes[np.minimum(low, len(hashes) - 1)] == found)
-        count = np.searchsorted(hashes, found[hit], "right") - low[hit]
-        which = np.repeat(low[hit], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        where = np.repeat(hit, count)
-        out.append((of[where], item[which], starts[at[where]] - offset[which]))
-    if not out:
-        return (np.zeros(0, np.int64),) * 3
-    found = np.unique(np.column_stack([np.concatenate(part) for part in zip(*out, strict=True)]), axis=0)
-    return found[:, 0], found[:, 1], found[:, 2]
+def window_begins(starts: np.ndarray, ends: np.ndarray, doc: np.ndarray, stride: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and text number of each window to look at: at words, and within long words at every ``stride`` bytes."""
+    count = np.where(ends - starts > LONG, -(-(ends - starts) // stride), 1)
+    inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return np.repeat(starts, count) + inside * stride, np.repeat(doc, count)
+
+
+def first_symbols(data: np.ndarray, at: np.ndarray, steps: int) -> np.ndarray:
+    """What the walks that begin at some places read in their first steps, a row per step."""
+    data = np.concatenate([data, np.zeros(steps, np.uint8)])
+    out, here = np.empty((steps, len(at)), np.uint8), at.copy()
+    for j in range(steps):
+        out[j] = data[here]
+        here += coins(0)[j, out[j]]
+    return out
+
+
+def _keys(symbols: np.ndarray, number: int, steps: tuple[int, ...]) -> np.ndarray:
+    """The sampled symbols of each walk, and the sample's number, as one well spread 64-bit key."""
+    key = np.full(symbols.shape[1], number, np.uint64)
+    for j in steps:
+        key = key * np.uint64(0x9E3779B97F4A7C15) + symbols[j]
+    return mix(key)
+
+
+def _slots(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(65 - len(known).bit_length())).astype(np.int64)
+
+
+def _search_keys(data: np.ndarray, offsets: np.ndarray, item: np.ndarray, place: np.ndarray, seed: int = 7):
+    """Keys in order, their item and place, and the samples as (number, bytes needed, steps)."""
+    length = np.diff(offsets)[item]
+    left = length - place
+    # Short items have fewer places to be found at, so fewer steps have to agree, and half as many at their ends.
+    steps = -np.array(STEPS)
+    most = np.where(length >= 192, 64, np.where(length >= 64, 32, 16))
+    reach = -steps[np.searchsorted(steps, -np.minimum(left, most))] if len(left) else left
+    least = -steps[np.searchsorted(steps, -np.minimum(length, np.where(length >= 64, most, most // 2)))] if len(left) else left
+    rng = np.random.default_rng(seed)
+    symbols = first_symbols(data, offsets[item] + place, STEPS[0])
+    found, looks = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], []
+    for need in STEPS:
+        chosen = np.flatnonzero((reach == need) & (reach >= least))
+        look = min(need // 5 + 2 if need > 16 else 7, max(need - 2, 1))
+        drawn = {tuple(sorted(rng.choice(need, look, replace=False).tolist())) for _ in range(SAMPLES)}
+        for steps in sorted(drawn) if len(chosen) else ():
+            found.append((_keys(symbols[:, chosen], len(looks), steps), chosen))
+            looks.append((len(looks), need, steps))
+    keys, of = (np.concatenate(part) for part in zip(*found, strict=True))
+    order = np.argsort(keys, kind="stable")
+    return keys[order], item[of[order]].astype(np.int32), place[of[order]].astype(np.int32), tuple(looks)
+
+
+def candidates(items: Items, data: np.ndarray, at: np.ndarray, doc: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Text number, item number and first byte of each window that lines up with an item, by passes; some come twice."""
+    symbols = first_symbols(data, at, STEPS[0])
+    hits, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for number, _, steps in items.looks:
+        keys = _keys(symbols, number, steps)
+        hit = np.flatnonzero(items.known[_slots(keys, items.known)])
+        hits.append(keys[hit])
+        rows.append(hit)
+    keys, where = np.concatenate(hits), np.concatenate(rows)
+    low = np.searchsorted(items.keys, keys, "left")
+    count = np.searchsorted(items.keys, keys, "right") - low
+    where, low, count = where[count > 0], low[count > 0], count[count > 0]
+    # In order of places, so that what samples have in common falls into one pass.
+    order = np.argsort(where, kind="stable")
+    where, low, count = where[order], low[order], count[order]
+    ends = np.cumsum(count)
+    first = 0
+    while first < len(where):
+        last = max(int(np.searchsorted(ends, (ends[first - 1] if first else 0) + PASS, "right")), first + 1)
+        n = count[first:last]
+        which = np.repeat(low[first:last], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        window = np.repeat(where[first:last], n)
+        yield _distinct(doc[window], items.key_item[which].astype(np.int64), at[window] - items.key_at[which])
+        first = last
 
 
 def agree(items: Items, data: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -205,16 +277,84 @@ def agree(items: Items, data: np.ndarray, item: np.ndarray, begin: np.ndarray, e
     return ok
 
 
+def bounded(items: Items, data: np.ndarray, item: np.ndarray, begin: np.ndarray, low: np.ndarray, high: np.ndarray, slack: np.ndarray) -> np.ndarray:
+    """Windows whose item may have no more than ``slack`` edits: the least edits of its pieces add up to no more.
+
+    A piece is shifted by no more than the edits between it and where the window lined up, so it is looked for there
+    only. Twice as many pieces are taken each round, and windows that are above already drop out.
+    """
+    length = items.length[item]
+    per = -(-length // PIECE)
+    total, left, k = np.zeros(len(item), np.int64), np.arange(len(item)), 0
+    out = []
+    while len(left):
+        many = np.minimum(per[left], max(2 * k, 1)) - k
+        w = np.repeat(left, many)
+        piece = k + np.arange(len(w)) - np.repeat(np.cumsum(many) - many, many)
+        # Pieces of one item are of the same size, but for one byte.
+        at, end = piece * length[w] // per[w], (piece + 1) * length[w] // per[w]
+        start, stop = np.maximum(begin[w] + at - slack[w], low[w]), np.minimum(begin[w] + end + slack[w], high[w])
+        for lanes in _by_length(stop - start):
+            v = w[lanes]
+            np.add.at(total, v, _best_pieces(items.data, items.offsets[item[v]] + at[lanes], (end - at)[lanes], data, start[lanes], stop[lanes]))
+        k = max(2 * k, 1)
+        left = left[total[left] <= slack[left]]
+        done = per[left] <= k
+        out.append(left[done])
+        left = left[~done]
+    return np.sort(np.concatenate(out)) if out else left
+
+
+def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct rows in order, by the first column first."""
+    order = np.lexsort(columns[::-1])
+    columns = tuple(c[order] for c in columns)
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return tuple(c[new] for c in columns)
+
+
+def _best_pieces(pattern: np.ndarray, first: np.ndarray, size: np.ndarray, data: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Least edit distance of each piece of up to 64 bytes to any part of its text: one lane of bits each, all lanes at once."""
+    _, kept, kind = np.unique(first, return_index=True, return_inverse=True)
+    masks = np.zeros((len(kept), 256), np.uint64)
+    for j in range(int(size.max(initial=0))):
+        inside = np.flatnonzero(size[kept] > j)
+        masks[inside, pattern[first[kept][inside] + j]] |= np.uint64(1 << j)
+    one, top = np.uint64(1), (size - 1).astype(np.uint64)
+    plus, minus = np.full(len(first), ~np.uint64(0)), np.zeros(len(first), np.uint64)
+    score, best = size.copy(), size.copy()
+    for j in range(int((high - low).max(initial=0))):
+        # Behind its end a text goes on with its last byte's neighbour; a bound it stays, as more text only lowers it.
+        x = masks[kind, data[np.minimum(low + j, len(data) - 1)]] | minus
+        d0 = (((x & plus) + plus) ^ plus) | x
+        hp, hn = minus | ~(d0 | plus), plus & d0
+        score += ((hp >> top) & one).astype(np.int64) - ((hn >> top) & one).astype(np.int64)
+        hp, hn = hp << one, hn << one
+        plus, minus = hn | ~(d0 | hp), hp & d0
+        np.minimum(best, score, out=best)
+    return best
+
+
 def find(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Text number, item number, edits, and first byte (of the normal text) of the best place of each found item."""
     data, bounds, starts, ends, doc = normal(data, offsets)
-    of, item, begin = candidates(items, hash_words(data, starts, ends), starts, doc)
-    if not len(of):
+    if not len(items.keys) or not len(starts):
         return []
-    first, last = bounds[of], bounds[of + 1] - 1
-    length = items.length[item]
-    ok = agree(items, data, item, np.maximum(begin, first), np.minimum(begin + length, last))
-    of, item, begin, first, last, length = (x[ok] for x in (of, item, begin, first, last, length))
+    kept = [np.zeros((0, 3), np.int64)]
+    for of, item, begin in candidates(items, data, *window_begins(starts, ends, doc)):
+        slack = np.floor(items.share * items.length[item]).astype(np.int64)
+        low, high = np.maximum(begin - slack, bounds[of]), np.minimum(begin + items.length[item] + slack, bounds[of + 1] - 1)
+        # The bound first: it costs less than walks over whole windows, and rules out more.
+        # Few windows are those of long items, and many steps: these are verified without a bound.
+        brief = np.flatnonzero(slack <= PIECE * 8)
+        kept_in = bounded(items, data, *(x[brief] for x in (item, begin, low, high, slack)))
+        ok = np.concatenate([np.flatnonzero(slack > PIECE * 8), brief[kept_in]])
+        of, item, begin = of[ok], item[ok], begin[ok]
+        ok = agree(items, data, item, np.maximum(begin, bounds[of]), np.minimum(begin + items.length[item], bounds[of + 1] - 1))
+        kept.append(np.column_stack([of, item, begin])[ok])
+    of, item, begin = _distinct(*np.concatenate(kept).T)
+    first, last, length = bounds[of], bounds[of + 1] - 1, items.length[item]
     slack = np.floor(items.share * length).astype(np.int64)
     low, high = np.maximum(begin - slack, first), np.minimum(begin + length + slack, last)
     best: dict[tuple[int, int], tuple[int, int]] = {}

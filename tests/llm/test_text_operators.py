@@ -139,6 +139,41 @@ def test_passages_are_found_with_edits_and_clean_texts_stay(spark):
     assert decontaminate.matches(docs.limit(0), benchmark).count() == 0
 
 
+def edited(rng, text, share):
+    out = list(text)
+    for _ in range(int(share * len(text))):
+        i, kind = rng.randrange(len(out)), rng.randrange(3)
+        out[i : i + (kind < 2)] = [] if kind == 0 else [rng.choice("abcdefghij")]
+    return "".join(out)
+
+
+@pytest.mark.parametrize("words", [8, 15, 30, 0])
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.15, 0.19, None])
+def test_recall_against_edit_distances_of_all_items(words, share):
+    """Nine of ten at least, at every share of edits, one byte in every third word, and in texts without blanks (0 words)."""
+    rng = random.Random(9)
+    pool = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(2000)]
+
+    def made(n):
+        return " ".join(rng.choice(pool) for _ in range(n)) if words else "".join(rng.choice(pool) for _ in range(n))
+
+    items = [made(words or 20) for _ in range(60)]
+    texts = []
+    for item in items:
+        other = edited(rng, item, share) if share else "".join("#" if i % 18 == 7 and c != " " else c for i, c in enumerate(item))
+        texts.append((made(30) + " " * bool(words) + other + " " * bool(words) + made(30)).encode())
+    found = decontaminate.find(decontaminate.Items.of(list(enumerate(items))), np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+    plain = {}
+    for a, text in enumerate(texts):
+        for b in {a, *(f[1] for f in found if f[0] == a)}:
+            edits = decontaminate.best_alignment(items[b].encode(), b" ".join(text.split()))[0]
+            if edits <= int(decontaminate.SHARE * len(items[b])):
+                plain[a, b] = edits
+    got = {f[:2]: f[2] for f in found}
+    assert got.keys() <= plain.keys() and all(plain[k] <= n for k, n in got.items())
+    assert len(got) >= 0.9 * len(plain)
+
+
 # Repeats
 
 
