@@ -183,9 +183,9 @@ class Items:
 
 
 def _by_length(length: np.ndarray) -> list[np.ndarray]:
-    """Numbers in parts of a few thousand of similar length."""
+    """Numbers in parts of some 8,000 of similar length."""
     order = np.argsort(length, kind="stable")
-    return [part for part in np.array_split(order, max(1, len(order) // 4096)) if len(part)]
+    return [part for part in np.array_split(order, max(1, len(order) // 8192)) if len(part)]
 
 
 def window_begins(starts: np.ndarray, ends: np.ndarray, doc: np.ndarray, stride: int = 1) -> tuple[np.ndarray, np.ndarray]:
@@ -252,8 +252,9 @@ def candidates(items: Items, data: np.ndarray, at: np.ndarray, doc: np.ndarray)
         rows.append(hit)
     keys, where = np.concatenate(hits), np.concatenate(rows)
     low = np.searchsorted(items.keys, keys, "left")
-    count = np.searchsorted(items.keys, keys, "right") - low
-    where, low, count = where[count > 0], low[count > 0], count[count > 0]
+    there = np.flatnonzero(items.keys[np.minimum(low, len(items.keys) - 1)] == keys)
+    where, low = where[there], low[there]
+    count = np.searchsorted(items.keys, keys[there], "right") - low
     # In order of places, so that what samples have in common falls into one pass.
     order = np.argsort(where, kind="stable")
     where, low, count = where[order], low[order], count[order]
@@ -317,21 +318,40 @@ def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, ...]:
 def _best_pieces(pattern: np.ndarray, first: np.ndarray, size: np.ndarray, data: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Least edit distance of each piece of up to 64 bytes to any part of its text: one lane of bits each, all lanes at once."""
     _, kept, kind = np.unique(first, return_index=True, return_inverse=True)
-    masks = np.zeros((len(kept), 256), np.uint64)
+    # A piece lies in the upper bits, so that the sign tells its last row. The bits below fit any byte, and stay at no edits.
+    free = (64 - size[kept]).astype(np.uint64)
+    rest = (np.uint64(1) << free) - np.uint64(1)
+    masks = np.repeat(rest[:, None], 256, 1)
     for j in range(int(size.max(initial=0))):
         inside = np.flatnonzero(size[kept] > j)
-        masks[inside, pattern[first[kept][inside] + j]] |= np.uint64(1 << j)
-    one, top = np.uint64(1), (size - 1).astype(np.uint64)
-    plus, minus = np.full(len(first), ~np.uint64(0)), np.zeros(len(first), np.uint64)
-    score, best = size.copy(), size.copy()
-    for j in range(int((high - low).max(initial=0))):
-        # Behind its end a text goes on with its last byte's neighbour; a bound it stays, as more text only lowers it.
-        x = masks[kind, data[np.minimum(low + j, len(data) - 1)]] | minus
-        d0 = (((x & plus) + plus) ^ plus) | x
-        hp, hn = minus | ~(d0 | plus), plus & d0
-        score += ((hp >> top) & one).astype(np.int64) - ((hn >> top) & one).astype(np.int64)
-        hp, hn = hp << one, hn << one
-        plus, minus = hn | ~(d0 | hp), hp & d0
+        masks[inside, pattern[first[kept][inside] + j]] |= np.uint64(1) << (free[inside] + np.uint64(j))
+    masks, row, one = masks.ravel(), kind * 256, np.uint64(1)
+    plus, minus = ~rest[kind], np.zeros(len(first), np.uint64)
+    score, best, at = size.astype(np.int64), size.astype(np.int64), low.copy()
+    x, d0, hp, hn = (np.empty(len(first), np.uint64) for _ in range(4))
+    up, place = np.empty(len(first), np.int64), np.empty(len(first), np.int64)
+    for _ in range(int((high - low).max(initial=0))):
+        # Behind its end a text goes on with what follows; a bound it stays, as more text only lowers it.
+        np.add(row, data.take(at, mode="clip"), out=place)
+        masks.take(place, out=x, mode="clip")
+        at += 1
+        x |= minus
+        np.bitwise_and(x, plus, out=d0)
+        d0 += plus
+        d0 ^= plus
+        d0 |= x
+        np.bitwise_or(d0, plus, out=hp)
+        np.invert(hp, out=hp)
+        hp |= minus
+        np.bitwise_and(plus, d0, out=hn)
+        score -= np.right_shift(hp.view(np.int64), 63, out=up)
+        score += np.right_shift(hn.view(np.int64), 63, out=up)
+        np.left_shift(hp, one, out=hp)
+        np.left_shift(hn, one, out=hn)
+        np.bitwise_and(hp, d0, out=minus)
+        d0 |= hp
+        np.invert(d0, out=d0)
+        np.bitwise_or(hn, d0, out=plus)
         np.minimum(best, score, out=best)
     return best
 
