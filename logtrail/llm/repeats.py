@@ -18,6 +18,9 @@ Only texts that hold such pieces are shuffled. Marked windows become spans of
 bytes per text, and what is left is digested. Texts equal to another one need
 no marks: all of them goes if they have ``length`` bytes.
 
+A text longer than ``TEXT`` is taken in overlapping parts; a piece that lies over
+their border is two pieces of one anchor then.
+
 Null counts as empty. Texts shorter than ``length`` keep all bytes. Repeated
 rows are copies of each other whatever their doc_id, null doc_ids included.
 Equality of whole pieces and texts is that of 128-bit digests.
@@ -42,7 +45,7 @@ from logtrail.session import configure
 
 #: Bytes of an anchor (longer than common lines, so that these make no groups), of a shard, and of the pieces of a
 #: group that goes to a shard; windows of a cut of a larger group; bytes of text in one step.
-ANCHOR, SHARD, GROUP, STEP, TEXT = 128, 512 << 10, 128 << 10, 16, 512 << 10
+ANCHOR, SHARD, GROUP, STEP, TEXT = 128, 256 << 10, 128 << 10, 16, 128 << 10
 
 _ROWS = "text_id binary, anchor bigint, digest binary, begin int, size int"
 
@@ -83,6 +86,16 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     return number[new], begin[new], begin[last] + length - begin[new], place[new]
 
 
+def _in_parts(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The bytes as they are, or of one text longer than ``TEXT`` parts that hold each of its windows once: first byte, bytes, offsets."""
+    if len(offsets) != 2 or len(data) <= TEXT + length:
+        yield 0, data, offsets
+        return
+    for at in range(0, len(data) - length + 1, TEXT):
+        part = data[at : at + TEXT + length - 1]
+        yield at, part, np.array([0, len(part)])
+
+
 def _digest(anchor_at: int, part: memoryview) -> bytes:
     return xxhash.xxh3_128_digest(part, seed=anchor_at)
 
@@ -92,12 +105,13 @@ def pieces(documents: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in slices(batches, limit=TEXT):
-            doc, begin, size, at = anchors(data, offsets, length)
-            view = memoryview(np.ascontiguousarray(data))
-            digest = [_digest(a - b, view[b : b + s]) for b, s, a in zip(begin.tolist(), size.tolist(), at.tolist(), strict=True)]
-            hashes = PrefixHash(data).spans(at, at + ANCHOR).view(np.int64)
-            columns = [batch.column(0).take(pa.array(doc)), pa.array(hashes), pa.array(digest, pa.binary()), pa.array((begin - offsets[doc]).astype(np.int32)), pa.array(size.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, ["text_id", "anchor", "digest", "begin", "size"])
+            for first, part, bounds in _in_parts(data, offsets, length):
+                doc, begin, size, at = anchors(part, bounds, length)
+                view = memoryview(np.ascontiguousarray(part))
+                digest = [_digest(a - b, view[b : b + s]) for b, s, a in zip(begin.tolist(), size.tolist(), at.tolist(), strict=True)]
+                hashes = PrefixHash(part).spans(at, at + ANCHOR).view(np.int64)
+                columns = [batch.column(0).take(pa.array(doc)), pa.array(hashes), pa.array(digest, pa.binary()), pa.array((first + begin - bounds[doc]).astype(np.int32)), pa.array(size.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["text_id", "anchor", "digest", "begin", "size"])
 
     return documents.select("text_id", "text").mapInArrow(run, _ROWS)
 
@@ -298,10 +312,15 @@ def without_repeats(documents: DataFrame, length: int) -> DataFrame:
         kept = pa.array([hashlib.sha256(f[3]).hexdigest() for f in found], pa.string())
         return pa.RecordBatch.from_arrays([ids, *columns, kept], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
+    def whole_texts(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+        for part, data, offsets in slices(iter([batch])):
+            yield part, [data[b:e].tobytes() for b, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(~may_hold(bits.value, np.asarray(batch.column(2)))))
-            yield results(batch.column(0), [t.encode() for t in batch.column(1).to_pylist()], [[]] * batch.num_rows)
+            for part, texts in whole_texts(batch):
+                yield results(part.column(0), texts, [[]] * part.num_rows)
 
     def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,8 +328,9 @@ def without_repeats(documents: DataFrame, length: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[(s["b"], s["e"]) for s in parts or []] for parts in batch.column(2).to_pylist()]
-            yield results(batch.column(0), [t.encode() for t in batch.column(1).to_pylist()], found)
+            for part, texts in whole_texts(batch):
+                found = [[(s["b"], s["e"]) for s in parts or []] for parts in part.column(2).to_pylist()]
+                yield results(part.column(0), texts, found)
 
     source = rows.select("doc_id", "text", "text_key", "text_id")
     plain = source.mapInArrow(untouched, _RESULT)

@@ -245,6 +245,20 @@ def test_repeats_match_brute_force(spark, monkeypatch, group):
     assert repeats.without_repeats(frame.limit(0), 400).count() == 0
 
 
+def test_repeats_in_texts_of_several_parts(spark):
+    rng = random.Random(6)
+    make = lambda n: "".join(rng.choice("abcdefghij é") for _ in range(n))
+    long = make(2 * repeats.TEXT)
+    # Around each place where parts of the text meet: a passage that another text has, and one that it has again itself.
+    raw = long.encode()
+    cut = lambda at, n: raw[at : at + n].decode(errors="ignore")
+    texts = [long, make(60) + cut(repeats.TEXT - 300, 900) + make(60), long[:700] + cut(2 * repeats.TEXT - 450, 500), cut(repeats.TEXT + 2000, 399)]
+    texts.append(make(repeats.TEXT - 200) + texts[1] + make(200) + texts[1][100:])
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: tuple(r)[1:] for r in repeats.without_repeats(frame, 400).collect()}
+    assert [found[k] for k in range(len(texts))] == brute_repeats(texts, 400)
+
+
 # Byte-level BPE
 
 
