@@ -44,8 +44,8 @@ from logtrail.llm.suffix_sort import common_prefixes, suffix_array
 from logtrail.session import configure
 
 #: Bytes of an anchor (longer than common lines, so that these make no groups), of a shard, and of the pieces of a
-#: group that goes to a shard; windows of a cut of a larger group; bytes of text in one step.
-ANCHOR, SHARD, GROUP, STEP, TEXT = 128, 256 << 10, 128 << 10, 16, 128 << 10
+#: group that goes to a shard; windows of a cut of a larger group; bytes of text, and rows of cuts, in one step.
+ANCHOR, SHARD, GROUP, STEP, TEXT, ROWS = 128, 256 << 10, 128 << 10, 16, 128 << 10, 512
 
 _ROWS = "text_id binary, anchor bigint, digest binary, begin int, size int"
 
@@ -187,11 +187,18 @@ def in_shards(groups: DataFrame, length: int, shards: int) -> DataFrame:
     return dealt.groupBy("shard").applyInArrow(sort, "anchor bigint, digest binary, spans array<struct<b:int,e:int>>")
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``ROWS`` rows, as each row becomes many."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, ROWS):
+            yield batch.slice(begin, ROWS)
+
+
 def in_cuts(groups: DataFrame, length: int) -> DataFrame:
     """The same for pieces (``anchor, digest, at, data``; ``at``: the anchor's place) of groups that do not fit."""
 
     def cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             rows = []
             for anchor, digest, at, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 # Windows are told by how far the anchor is from their begin: equal windows agree in that.
@@ -216,7 +223,7 @@ def in_cuts(groups: DataFrame, length: int) -> DataFrame:
     rest = joined.where("is_loose or contents > 1 or loose > 0").select("anchor", "digest", "far", "b", "part")
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             rows = []
             for anchor, digest, _, b, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for k in range(len(part) - length + 1):
@@ -253,7 +260,7 @@ def removed_spans(documents: DataFrame, length: int) -> DataFrame:
     found = in_shards(parts.where(F.col("bytes") <= GROUP).drop("bytes"), length, shards)
     large = parts.where(F.col("bytes") > GROUP)
     if not groups.where(F.col("bytes") > GROUP).isEmpty():
-        found = found.unionByName(in_cuts(_with_anchor_place(large), length))
+        found = found.unionByName(in_cuts(stored(_with_anchor_place(large), "placed"), length))
     whole = counted.where("n > 1").select("anchor", "digest", F.array(F.struct(F.lit(0).alias("b"), F.col("one.size").alias("e"))).alias("spans"))
     found = stored(found.unionByName(whole).select("anchor", "digest", F.explode("spans").alias("s")), "found")
     single = copies.where("n = 1").select("text_id")
