@@ -259,6 +259,30 @@ def test_repeats_in_texts_of_several_parts(spark):
     assert [found[k] for k in range(len(texts))] == brute_repeats(texts, 400)
 
 
+def test_a_large_group_of_near_copies_is_not_taken_window_by_window(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "GROUP", 24 << 10)
+    rng = random.Random(8)
+    base = "".join(rng.choice("abcdefghij é") for _ in range(1500))
+    texts = []
+    for _ in range(150):
+        at = rng.randrange(len(base))
+        texts.append(base[:at] + rng.choice("XYZ") * rng.randint(1, 3) + base[at + 1 :])
+    texts += [base[200:1100], texts[3], texts[4][300:900]]
+    made, stored = {}, repeats.stored
+
+    def counting(rows, label):
+        rows = stored(rows, label)
+        made[label] = made.get(label, 0) + rows.count()
+        return rows
+
+    monkeypatch.setattr(repeats, "stored", counting)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: tuple(r)[1:] for r in repeats.without_repeats(frame, 400).collect()}
+    assert [found[k] for k in range(len(texts))] == brute_repeats(texts, 400)
+    # Cut again a few times, but by far not into some 100 windows each.
+    assert 0 < made["cuts"] + made.get("windows", 0) < 16 * made["placed"]
+
+
 # Byte-level BPE
 
 
