@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from logtrail.llm.byte_text import hash_words, lower_ascii, mix, ngram_hashes, slices, word_spans
 from logtrail.llm.components import components, fresh_name, stored
-from logtrail.llm.key_filter import bitmap, may_hold
+from logtrail.llm.key_filter import among, bitmap, may_hold
 from logtrail.session import configure
 
 #: Points of a leaf and of a box.
@@ -236,15 +236,15 @@ def sets_of(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
             rows = pa.RecordBatch.from_arrays([batch.column(0), _lists(of, grams.view(np.int64), batch.num_rows)], ["set_id", "grams"])
             yield rows.filter(right)
 
-    bits = bitmap(wanted.select("text_key"))
+    texts = among(documents.select(F.xxhash64("text").alias("text_key"), "text"), "text_key", bitmap(wanted.select("text_key")))
+    # Copies of a text meet in the join already, so that no set is made and shuffled only to be dropped.
+    joined = texts.join(wanted, "text_key").dropDuplicates(["text_key", "set_id", "text"]).select("set_id", "text")
+    return joined.mapInArrow(run, "set_id bigint, grams array<bigint>")
 
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(may_hold(bits.value, np.asarray(batch.column(0)))))
 
-    texts = documents.select(F.xxhash64("text").alias("text_key"), "text").mapInArrow(some, "text_key bigint, text string")
-    joined = texts.join(wanted, "text_key").select("set_id", "text")
-    return joined.mapInArrow(run, "set_id bigint, grams array<bigint>")
+def only(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """The sets that may be among ``ids`` (one column): the others need no shuffle."""
+    return among(sets, "set_id", bitmap(ids))
 
 
 def _boxes(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -366,13 +366,14 @@ def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         found = linked_pairs([values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], cut, percent)
         return _pairs(np.asarray(table.column("set_id")), found)
 
-    star = members.where("grp <> set_id").select(F.col("set_id").alias("a"), F.col("grp").alias("b"))
+    star = stored(members.where("grp <> set_id").select(F.col("set_id").alias("a"), F.col("grp").alias("b")), "star-pairs")
     star = stored(verified(star, sets, percent), "star")
     core = star.select(F.col("a").alias("set_id")).withColumn("core", F.lit(True))
     marked = members.join(core, "set_id", "left").withColumn("core", F.coalesce("core", F.col("grp") == F.col("set_id")))
     marked = stored(marked, "marked")
     open_families = marked.where("not core").select("grp").distinct()
-    dealt = dealt_leaves(marked.join(open_families, "grp", "left_semi").join(sets, "set_id"), F.size("grams"), percent)
+    asked = stored(marked.join(open_families, "grp", "left_semi"), "asked")
+    dealt = dealt_leaves(asked.join(only(sets, asked.select("set_id")), "set_id"), F.size("grams"), percent)
     return star.unionByName(dealt.groupBy(*_PAIR).applyInArrow(join, "a bigint, b bigint"))
 
 
@@ -397,7 +398,7 @@ def close_pairs(members: DataFrame, percent: int) -> DataFrame:
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets are similar enough."""
-    left, right = (sets.select(F.col("set_id").alias(c), F.col("grams").alias(f"_{c}")) for c in ("a", "b"))
+    left, right = (only(sets, pairs.select(c)).select(F.col("set_id").alias(c), F.col("grams").alias(f"_{c}")) for c in ("a", "b"))
     both = pairs.join(left, "a").join(right, "b").withColumn("_shared", F.size(F.array_intersect("_a", "_b")))
     return both.where(100 * F.col("_shared") >= percent * (F.size("_a") + F.size("_b") - F.col("_shared"))).select("a", "b")
 
@@ -422,7 +423,7 @@ def classes(documents: DataFrame, n: int, percent: int) -> DataFrame:
     pairs = stored(close_pairs(loose, percent), "pairs")
     wanted = families.select("set_id").unionByName(pairs.select(F.col("a").alias("set_id"))).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
     wanted = stored(one.select("set_id", "text_key").join(wanted, "set_id"), "wanted")
-    sets = stored(sets_of(documents, wanted, n).dropDuplicates(["set_id"]), "sets")
+    sets = stored(sets_of(documents, wanted, n), "sets")
     found = links(families.withColumnRenamed("family", "grp"), sets, percent).unionByName(verified(pairs, sets, percent))
     labels = stored(components(stored(found, "links")), "labels").withColumnRenamed("node", "set_id")
     slim = rows.select("doc_id", "text_key", "size", "set_id").join(labels, "set_id", "left")

@@ -581,3 +581,15 @@ def test_components_of_a_path_and_a_star(spark):
     want = {k: 0 for k in range(41)} | {100 + k: 100 for k in range(50)}
     assert {r["node"]: r["component"] for r in found.collect()} == want
     assert found.count() == len(want)
+
+
+def test_sets_of_copies_are_made_once_and_only_those_asked_for_are_joined(spark):
+    docs = documents(spark, ["a b c d e f", "g h i j k l", *["m n o p q r"] * 9])
+    keys = F.xxhash64("text")
+    ids = docs.select(keys.alias("text_key"), keys.alias("any")).distinct()
+    described = jaccard_rtree.described(docs, 3, 90, jaccard_rtree.bitmap(ids.select("any")))
+    wanted = described.select("text_key", "set_id").distinct()
+    sets = jaccard_rtree.sets_of(docs, wanted, 3)
+    assert sets.count() == 3
+    asked = wanted.select("set_id").limit(1).localCheckpoint()
+    assert [r["set_id"] for r in jaccard_rtree.only(sets, asked).collect()] == [asked.first()[0]]
