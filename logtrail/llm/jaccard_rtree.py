@@ -101,6 +101,35 @@ def points_of(grams: np.ndarray, of: np.ndarray, rows: int, groups: int) -> np.n
     return np.bincount(of * groups + group, minlength=rows * groups).reshape(rows, groups).astype(np.int32)
 
 
+#: Forms of the counts of a point in bytes, and the least count that is too large for each; the first has two in a byte.
+FORMS = (("u1", 1 << 4), ("u1", 1 << 8), ("<u2", 1 << 16), ("<u4", 1 << 32))
+
+
+def packed(points: np.ndarray) -> pa.Array:
+    """Each point in the shortest form that holds all its counts."""
+    form = np.searchsorted([limit for _, limit in FORMS], points.max(1, initial=0), "right")
+    out = np.full(len(points), b"", object)
+    for k, (dtype, _) in enumerate(FORMS):
+        rows = np.flatnonzero(form == k)
+        counts = points[rows].astype(dtype)
+        if k == 0:
+            counts = counts[:, ::2] | counts[:, 1::2] << 4
+        out[rows] = [row.tobytes() for row in counts]
+    return pa.array(out, pa.binary())
+
+
+def unpacked(column: list[bytes], groups: int) -> np.ndarray:
+    """The points again; the number of bytes tells the form."""
+    size, out = np.fromiter(map(len, column), np.int64, len(column)), np.zeros((len(column), groups), np.int32)
+    for k, (dtype, _) in enumerate(FORMS):
+        rows = np.flatnonzero(size == (groups * np.dtype(dtype).itemsize if k else groups // 2))
+        counts = np.frombuffer(b"".join([column[r] for r in rows]), dtype).reshape(len(rows), groups if k else groups // 2)
+        if k == 0:
+            counts = np.stack([counts & 15, counts >> 4], 2).reshape(len(rows), groups)
+        out[rows] = counts
+    return out
+
+
 class SizeClasses:
     """Classes of sizes, and how many blocks the groups are cut into for each.
 
@@ -217,11 +246,11 @@ def described(documents: DataFrame, n: int, percent: int, shared: Broadcast) ->
             doc, key, weak = (part[order] for part in found)
             ids = pa.array(set_ids(grams, of, rows), mask=size == 0)
             keys = [_lists(doc[chosen], key[chosen], rows) for chosen in (~weak, weak)]
-            point = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * groups), pa.array(points_of(grams, of, rows, groups).ravel()))
+            point = packed(points_of(grams, of, rows, groups))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64()), ids, *keys, point], ["doc_id", "text_key", "size", "set_id", "strong", "weak", "point"])
 
     source = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return source.mapInArrow(run, "doc_id bigint, text_key bigint, size bigint, set_id bigint, strong array<bigint>, weak array<bigint>, point array<int>")
+    return source.mapInArrow(run, "doc_id bigint, text_key bigint, size bigint, set_id bigint, strong array<bigint>, weak array<bigint>, point binary")
 
 
 def sets_of(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -306,35 +335,42 @@ def linked_pairs(sets: list[np.ndarray], cut: int | None, percent: int) -> list[
     return out
 
 
-def dealt_leaves(members: DataFrame, size, percent: int) -> DataFrame:
-    """Every member (with ``grp``, ``set_id``, ``core``) once per pair of leaves it belongs to: l1, l2, r1, r2, is_left.
+def dealt_leaves(members: DataFrame, percent: int) -> DataFrame:
+    """Every member (with ``grp``, ``set_id``, ``size``, ``core``) once per pair of leaves it belongs to: l1, l2, r1, r2, is_left.
 
-    Members of a group's core are known to be connected, and are compared with the others alone.
+    Members of a group's core are known to be connected, and are compared with the others alone. Leaves without a
+    member of a size that can link, and a leaf of one member with itself, are no pairs.
     """
+    size = F.col("size")
     # Sizes of linked sets lie in the same or in neighbouring bands; each band has leaves of the core and of the others.
     band = F.floor(F.log(size.cast("double")) / F.log(F.lit(100.0 / percent)))
     rows = stored(members.withColumn("zone", 2 * band + F.col("core").cast("bigint")), "members")
     # Sizes lie in some hundred bands at most, so the map of a group is small.
-    leaves = rows.groupBy("grp", "zone").agg(F.ceil(F.count("*") / F.lit(LEAF)).cast("int").alias("leaves"))
-    leaves = stored(leaves.groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("zone", "leaves"))).alias("leaves")), "leaves")
+    count = F.count("*")
+    leaves = rows.groupBy("grp", "zone").agg(F.ceil(count / F.lit(LEAF)).cast("int").alias("leaves"), count.alias("n"), F.min(size).alias("low"), F.max(size).alias("high"))
+    leaves = stored(leaves.groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("zone", F.struct("leaves", "n", "low", "high")))).alias("zones")), "leaves")
     dealt = rows.join(leaves, "grp")
-    own = F.struct("zone", F.pmod(F.xxhash64("set_id"), F.try_element_at("leaves", F.col("zone"))).alias("slot"))
+    own = F.struct("zone", F.pmod(F.xxhash64("set_id"), F.try_element_at("zones", F.col("zone"))["leaves"]).alias("slot"))
     outside = [2 * (F.floor(F.col("zone") / 2) + step) for step in (-1, 0, 1)]
     zones = F.when(F.col("core"), F.array(*outside)).otherwise(F.array(*outside, *[zone + 1 for zone in outside]))
+
+    def fits(zone):
+        there = F.try_element_at(F.col("zones"), zone)
+        alone = (zone == F.col("zone")) & (there["n"] == 1)
+        return there.isNotNull() & ~alone & (100 * there["high"] >= percent * size) & (percent * there["low"] <= 100 * size)
+
     partners = F.flatten(
         F.transform(
-            zones,
+            F.filter(zones, fits),
             lambda zone: F.transform(
-                F.sequence(F.lit(0), F.coalesce(F.try_element_at(F.col("leaves"), zone), F.lit(0))),
+                F.sequence(F.lit(0), F.try_element_at(F.col("zones"), zone)["leaves"] - 1),
                 lambda slot: F.struct(zone.alias("zone"), slot.cast("bigint").alias("slot")),
             ),
         )
     )
-    # The sequences go one too far, so that they are never empty.
-    partners = F.filter(partners, lambda p: p["slot"] < F.coalesce(F.try_element_at(F.col("leaves"), p["zone"]), F.lit(0)))
     dealt = dealt.withColumn("own", own).withColumn("other", F.explode(partners))
     pair = {"l1": F.least("own", "other")["zone"], "l2": F.least("own", "other")["slot"], "r1": F.greatest("own", "other")["zone"], "r2": F.greatest("own", "other")["slot"]}
-    return dealt.withColumns(pair | {"is_left": F.col("own") <= F.col("other")}).drop("own", "other", "zone", "core", "leaves")
+    return dealt.withColumns(pair | {"is_left": F.col("own") <= F.col("other")}).drop("own", "other", "zone", "zones", "core", "size")
 
 
 _PAIR = ("grp", "l1", "l2", "r1", "r2")
@@ -372,8 +408,10 @@ def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     marked = members.join(core, "set_id", "left").withColumn("core", F.coalesce("core", F.col("grp") == F.col("set_id")))
     marked = stored(marked, "marked")
     open_families = marked.where("not core").select("grp").distinct()
-    asked = stored(marked.join(open_families, "grp", "left_semi"), "asked")
-    dealt = dealt_leaves(asked.join(only(sets, asked.select("set_id")), "set_id"), F.size("grams"), percent)
+    sizes = sets.select("set_id", F.size("grams").cast("bigint").alias("size"))
+    # Dealt before the sets come in: most of a core has no partner left to compare with.
+    dealt = stored(dealt_leaves(marked.join(open_families, "grp", "left_semi").join(sizes, "set_id"), percent), "dealt")
+    dealt = dealt.join(only(sets, dealt.select("set_id")), "set_id")
     return star.unionByName(dealt.groupBy(*_PAIR).applyInArrow(join, "a bigint, b bigint"))
 
 
@@ -382,7 +420,7 @@ def close_pairs(members: DataFrame, percent: int) -> DataFrame:
 
     def join(table: pa.Table) -> pa.Table:
         table, cut = _arranged(table)
-        points = np.asarray(table.column("point").combine_chunks().flatten()).reshape(-1, groups)
+        points = unpacked(table.column("point").to_pylist(), groups)
         family = np.asarray(table.column("family"))
         found = [(x, y) for x, y in close_points(points, cut, percent) if family[x] != family[y]]
         return _pairs(np.asarray(table.column("set_id")), found)
@@ -392,7 +430,7 @@ def close_pairs(members: DataFrame, percent: int) -> DataFrame:
     counts = members.groupBy("grp", "family").agg(F.count("*").alias("n"))
     main = stored(counts.groupBy("grp").agg(F.max_by("family", F.struct("n", "family")).alias("main")), "main")
     marked = members.join(main, "grp").withColumn("core", F.col("family") == F.col("main")).drop("main")
-    dealt = dealt_leaves(marked, F.col("size"), percent)
+    dealt = dealt_leaves(marked, percent)
     return dealt.groupBy(*_PAIR).applyInArrow(join, "a bigint, b bigint").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

@@ -593,3 +593,23 @@ def test_sets_of_copies_are_made_once_and_only_those_asked_for_are_joined(spark)
     assert sets.count() == 3
     asked = wanted.select("set_id").limit(1).localCheckpoint()
     assert [r["set_id"] for r in jaccard_rtree.only(sets, asked).collect()] == [asked.first()[0]]
+
+
+def test_points_in_any_form_come_back():
+    points = np.array([[0, 15, 0, 0], [16, 0, 255, 0], [256, 3, 0, 65535], [65536, 0, 0, 0], [0, 0, 0, 0]], np.int32)
+    sent = jaccard_rtree.packed(points).to_pylist()
+    assert [len(p) for p in sent] == [2, 4, 8, 16, 2]
+    assert (jaccard_rtree.unpacked(sent, 4) == points).all()
+
+
+def test_only_leaves_that_can_link_are_dealt(spark):
+    """Members without a partner of a fitting size are in no pair of leaves; those with one meet in one."""
+    rows = [(1, 10, 100, False), (1, 11, 300, False), (1, 12, 110, True), (1, 13, 90, False), (1, 14, 1000, True), (2, 10, 100, False)]
+    members = spark.createDataFrame(rows, "grp bigint, set_id bigint, size bigint, core boolean")
+    pairs = {}
+    for r in jaccard_rtree.dealt_leaves(members, 80).collect():
+        pairs.setdefault((r["grp"], r["l1"], r["l2"], r["r1"], r["r2"]), []).append(r["set_id"])
+    met = {frozenset(p) for p in pairs.values()}
+    assert {x for some in met for x in some} == {10, 12, 13}
+    assert all(len(some) > 1 for some in pairs.values())
+    assert all(any(pair <= some for some in met) for pair in ({10, 12}, {10, 13}, {12, 13}))
