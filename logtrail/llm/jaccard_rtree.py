@@ -24,7 +24,8 @@ their points lie within D of each other. Two uses are made of that:
   so a family that holds a third of all documents is spread over many tasks.
 
 Pairs that survive are verified on their whole sets, unless they are connected
-already. Documents with equal sets are one point from the start. Before all that, a
+already. Whole sets are long, so finer points, of about a coordinate per ``FINE``
+n-grams, are compared ahead of their shuffle, and most sets stay where they are. Documents with equal sets are one point from the start. Before all that, a
 document is left out if too few of its n-grams with the least hashes occur
 anywhere else: any partner would share more of them.
 
@@ -51,8 +52,10 @@ from logtrail.llm.components import components, fresh_name, stored
 from logtrail.llm.key_filter import among, bitmap, may_hold
 from logtrail.session import configure
 
-#: Points of a leaf and of a box.
-LEAF, BOX = 128, 8
+#: Points of a leaf and of a box; how many times more points a leaf has where nothing but points is dealt.
+LEAF, BOX, WIDER = 128, 8, 4
+#: N-grams per coordinate of a fine point, and its most coordinates.
+FINE, MOST_GROUPS = 4, 1 << 13
 
 
 def groups_for(percent: int) -> int:
@@ -60,6 +63,12 @@ def groups_for(percent: int) -> int:
     return 64 if percent >= 88 else 256
 
 
+def fine_groups(size: np.ndarray, percent: int) -> np.ndarray:
+    """Coordinates of the fine point of sets of these sizes: those of a point, doubled until few n-grams share one."""
+    times = np.clip(size / (FINE * groups_for(percent)), 1, MOST_GROUPS // groups_for(percent))
+    return groups_for(percent) << np.ceil(np.log2(times)).astype(np.int64)
+
+
 def strong_from(percent: int) -> int:
     """N-grams of a block below which its key is weak; lower similarity makes more and smaller blocks."""
     return 3 if percent >= 88 else 2
@@ -130,6 +139,37 @@ def unpacked(column: list[bytes], groups: int) -> np.ndarray:
     return out
 
 
+def fine_points(sets: DataFrame, percent: int) -> DataFrame:
+    """set_id, and the fine point of each set with the number of its coordinates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            grams, size = np.asarray(lists.flatten()).view(np.uint64), np.asarray(lists.value_lengths()).astype(np.int64)
+            of, groups = np.repeat(np.arange(len(size)), size), fine_groups(size, percent)
+            for g in np.unique(groups):
+                rows = np.flatnonzero(groups == g)
+                # Few points at a time where they are long.
+                for some in np.array_split(rows, -(-len(rows) * int(g) // (1 << 20))):
+                    number = np.full(len(size), -1)
+                    number[some] = np.arange(len(some))
+                    chosen = number[of] >= 0
+                    point = packed(points_of(grams[chosen], number[of[chosen]], len(some), int(g)))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some)), pa.array(np.full(len(some), g, np.int32)), point], ["set_id", "groups", "point"])
+
+    return sets.select("set_id", "grams").mapInArrow(run, "set_id bigint, groups int, point binary")
+
+
+def folded(column: list[bytes], groups: np.ndarray) -> np.ndarray:
+    """Fine points with as many coordinates as the coarsest of them: numbers of groups divide one another, so counts add up."""
+    least = int(groups.min())
+    out = np.zeros((len(column), least), np.int32)
+    for g in np.unique(groups):
+        rows = np.flatnonzero(groups == g)
+        out[rows] = unpacked([column[r] for r in rows], int(g)).reshape(len(rows), -1, least).sum(1)
+    return out
+
+
 class SizeClasses:
     """Classes of sizes, and how many blocks the groups are cut into for each.
 
@@ -335,7 +375,7 @@ def linked_pairs(sets: list[np.ndarray], cut: int | None, percent: int) -> list[
     return out
 
 
-def dealt_leaves(members: DataFrame, percent: int) -> DataFrame:
+def dealt_leaves(members: DataFrame, percent: int, wider: int = 1) -> DataFrame:
     """Every member (with ``grp``, ``set_id``, ``size``, ``core``) once per pair of leaves it belongs to: l1, l2, r1, r2, is_left.
 
     Members of a group's core are known to be connected, and are compared with the others alone. Leaves without a
@@ -347,7 +387,7 @@ def dealt_leaves(members: DataFrame, percent: int) -> DataFrame:
     rows = stored(members.withColumn("zone", 2 * band + F.col("core").cast("bigint")), "members")
     # Sizes lie in some hundred bands at most, so the map of a group is small.
     count = F.count("*")
-    leaves = rows.groupBy("grp", "zone").agg(F.ceil(count / F.lit(LEAF)).cast("int").alias("leaves"), count.alias("n"), F.min(size).alias("low"), F.max(size).alias("high"))
+    leaves = rows.groupBy("grp", "zone").agg(F.ceil(count / F.lit(wider * LEAF)).cast("int").alias("leaves"), count.alias("n"), F.min(size).alias("low"), F.max(size).alias("high"))
     leaves = stored(leaves.groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("zone", F.struct("leaves", "n", "low", "high")))).alias("zones")), "leaves")
     dealt = rows.join(leaves, "grp")
     own = F.struct("zone", F.pmod(F.xxhash64("set_id"), F.try_element_at("zones", F.col("zone"))["leaves"]).alias("slot"))
@@ -388,13 +428,22 @@ def _pairs(ids: np.ndarray, found: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"a": pa.array([ids[x] for x, _ in found], pa.int64()), "b": pa.array([ids[y] for _, y in found], pa.int64())})
 
 
-def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def links(members: DataFrame, sets: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """Links (``a, b``) within families: ``members`` has ``grp, set_id``; at least what connects all that is linked.
 
     Every member is first compared with the one that its family is named by. Those that link with it are the family's
-    core; only families with others go on, and their core is not compared with itself.
+    core; only families with others go on, and their core is not compared with itself. Leaves get fine points first,
+    and whole sets only of the members that some point of the other leaf is close to.
     """
 
+    def near(table: pa.Table) -> pa.Table:
+        table, cut = _arranged(table)
+        points = folded(table.column("point").to_pylist(), np.asarray(table.column("groups")))
+        held = np.zeros(table.num_rows, bool)
+        for pair in close_points(points, cut, percent):
+            held[list(pair)] = True
+        return table.select([*_PAIR, "is_left", "set_id"]).filter(pa.array(held))
+
     def join(table: pa.Table) -> pa.Table:
         table, cut = _arranged(table)
         grams = table.column("grams").combine_chunks()
@@ -403,7 +452,7 @@ def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return _pairs(np.asarray(table.column("set_id")), found)
 
     star = stored(members.where("grp <> set_id").select(F.col("set_id").alias("a"), F.col("grp").alias("b")), "star-pairs")
-    star = stored(verified(star, sets, percent), "star")
+    star = stored(verified(star, sets, points, percent), "star")
     core = star.select(F.col("a").alias("set_id")).withColumn("core", F.lit(True))
     marked = members.join(core, "set_id", "left").withColumn("core", F.coalesce("core", F.col("grp") == F.col("set_id")))
     marked = stored(marked, "marked")
@@ -411,6 +460,9 @@ def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sizes = sets.select("set_id", F.size("grams").cast("bigint").alias("size"))
     # Dealt before the sets come in: most of a core has no partner left to compare with.
     dealt = stored(dealt_leaves(marked.join(open_families, "grp", "left_semi").join(sizes, "set_id"), percent), "dealt")
+    dealt = dealt.select(*_PAIR, "is_left", "set_id").join(only(points, dealt.select("set_id")), "set_id")
+    schema = "grp bigint, l1 bigint, l2 bigint, r1 bigint, r2 bigint, is_left boolean, set_id bigint"
+    dealt = stored(dealt.groupBy(*_PAIR).applyInArrow(near, schema), "near")
     dealt = dealt.join(only(sets, dealt.select("set_id")), "set_id")
     return star.unionByName(dealt.groupBy(*_PAIR).applyInArrow(join, "a bigint, b bigint"))
 
@@ -430,12 +482,31 @@ def close_pairs(members: DataFrame, percent: int) -> DataFrame:
     counts = members.groupBy("grp", "family").agg(F.count("*").alias("n"))
     main = stored(counts.groupBy("grp").agg(F.max_by("family", F.struct("n", "family")).alias("main")), "main")
     marked = members.join(main, "grp").withColumn("core", F.col("family") == F.col("main")).drop("main")
-    dealt = dealt_leaves(marked, percent)
+    dealt = dealt_leaves(marked, percent, WIDER)
     return dealt.groupBy(*_PAIR).applyInArrow(join, "a bigint, b bigint").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
+def verified(pairs: DataFrame, sets: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole sets are similar enough; only sets of pairs with close fine points are shuffled."""
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups = [np.asarray(batch.column(c)) for c in ("_ga", "_gb")]
+            kept = np.zeros(batch.num_rows, bool)
+            kinds = groups[0].astype(np.int64) << 32 | groups[1]
+            for kind in np.unique(kinds):
+                rows = np.flatnonzero(kinds == kind)
+                for some in np.array_split(rows, -(-len(rows) * int(kind >> 32) // (1 << 20))):
+                    place = pa.array(some)
+                    columns = batch.column("_pa").take(place).to_pylist() + batch.column("_pb").take(place).to_pylist()
+                    both = folded(columns, np.concatenate([g[some] for g in groups]))
+                    overlap = np.minimum(both[: len(some)], both[len(some) :]).sum(1)
+                    kept[some] = (100 + percent) * overlap >= percent * (both[: len(some)].sum(1) + both[len(some) :].sum(1))
+            yield batch.select(["a", "b"]).filter(pa.array(kept))
+
+    for c in ("a", "b"):
+        pairs = pairs.join(only(points, pairs.select(c)).select(F.col("set_id").alias(c), F.col("groups").alias(f"_g{c}"), F.col("point").alias(f"_p{c}")), c)
+    pairs = stored(pairs.select("a", "b", "_ga", "_gb", "_pa", "_pb").mapInArrow(close, "a bigint, b bigint"), "close")
     left, right = (only(sets, pairs.select(c)).select(F.col("set_id").alias(c), F.col("grams").alias(f"_{c}")) for c in ("a", "b"))
     both = pairs.join(left, "a").join(right, "b").withColumn("_shared", F.size(F.array_intersect("_a", "_b")))
     return both.where(100 * F.col("_shared") >= percent * (F.size("_a") + F.size("_b") - F.col("_shared"))).select("a", "b")
@@ -462,7 +533,8 @@ def classes(documents: DataFrame, n: int, percent: int) -> DataFrame:
     wanted = families.select("set_id").unionByName(pairs.select(F.col("a").alias("set_id"))).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
     wanted = stored(one.select("set_id", "text_key").join(wanted, "set_id"), "wanted")
     sets = stored(sets_of(documents, wanted, n), "sets")
-    found = links(families.withColumnRenamed("family", "grp"), sets, percent).unionByName(verified(pairs, sets, percent))
+    points = stored(fine_points(sets, percent), "fine-points")
+    found = links(families.withColumnRenamed("family", "grp"), sets, points, percent).unionByName(verified(pairs, sets, points, percent))
     labels = stored(components(stored(found, "links")), "labels").withColumnRenamed("node", "set_id")
     slim = rows.select("doc_id", "text_key", "size", "set_id").join(labels, "set_id", "left")
     return stored(slim.withColumn("class", F.coalesce("component", "set_id")).drop("component", "set_id"), "classes")

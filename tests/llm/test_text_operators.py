@@ -613,3 +613,29 @@ def test_only_leaves_that_can_link_are_dealt(spark):
     assert {x for some in met for x in some} == {10, 12, 13}
     assert all(len(some) > 1 for some in pairs.values())
     assert all(any(pair <= some for some in met) for pair in ({10, 12}, {10, 13}, {12, 13}))
+
+
+def test_fine_points_fold_into_coarser_ones(spark):
+    rng = np.random.default_rng(4)
+    grams = [np.unique(rng.integers(-(2**63), 2**63 - 1, n)) for n in (0, 3, 900, 1100, 5000, 70000)]
+    sets = spark.createDataFrame([(k, g.tolist()) for k, g in enumerate(grams)], "set_id bigint, grams array<bigint>")
+    rows = jaccard_rtree.fine_points(sets, 80).orderBy("set_id").collect()
+    assert [r["groups"] for r in rows] == [256, 256, 256, 512, 2048, 8192]
+    whole = jaccard_rtree.points_of(np.concatenate(grams).view(np.uint64), np.repeat(np.arange(6), [len(g) for g in grams]), 6, 256)
+    assert (jaccard_rtree.folded([r["point"] for r in rows], np.array([r["groups"] for r in rows])) == whole).all()
+
+
+def test_whole_sets_are_dealt_only_to_members_with_a_close_partner(spark, monkeypatch):
+    """A family of sets alike in a third, and two linked ones among them: of 32 members, two sets are shuffled."""
+    rng = np.random.default_rng(8)
+    common, first = rng.integers(0, 2**62, 1000), rng.integers(0, 2**62, 2000)
+    grams = [np.concatenate([common, rng.integers(0, 2**62, 2000)]) for _ in range(30)]
+    grams += [np.concatenate([common, first]), np.concatenate([common, first[:1900], rng.integers(0, 2**62, 100)])]
+    sets = spark.createDataFrame([(k, np.unique(g).tolist()) for k, g in enumerate(grams)], "set_id bigint, grams array<bigint>").localCheckpoint()
+    members = spark.createDataFrame([(0, k) for k in range(32)], "grp bigint, set_id bigint")
+    kept, stored = {}, jaccard_rtree.stored
+    monkeypatch.setattr(jaccard_rtree, "stored", lambda rows, label: kept.setdefault(label, stored(rows, label)))
+    found = jaccard_rtree.links(members, sets, jaccard_rtree.fine_points(sets, 80), 80)
+    assert [tuple(sorted(r)) for r in found.collect()] == [(30, 31)]
+    assert sorted(r["set_id"] for r in kept["near"].collect()) == [30, 31]
+    assert kept["close"].count() == 0
