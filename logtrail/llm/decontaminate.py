@@ -45,10 +45,14 @@ BITS = 3
 ITEMS, ITEM_BYTES = 20_000, 2 << 20
 #: Search: first steps of a walk that are sampled, by the bytes that are left of the item (a walk of so many steps
 #: stays within them); samples; bytes of words that are searched byte by byte, and of
-#: the stride there in items; candidates in one numpy pass.
-STEPS, SAMPLES, LONG, STRIDE, PASS = (64, 32, 16, 8, 4, 2, 1), 16, 32, 8, 1 << 16
+#: the stride there in items; candidates in one numpy pass, and places of a text that are searched before them; places
+#: whose keys are made at once, so few that they stay in a core's cache.
+STEPS, SAMPLES, LONG, STRIDE, PASS, PLACES, AT_ONCE = (64, 32, 16, 8, 4, 2, 1), 16, 32, 8, 1 << 16, 1 << 14, 1 << 12
 #: Bytes of an item's pieces in the lower bound of its edits.
 PIECE = 64
+#: Bytes of a block in the bound before that, numbers of three-byte strings, windows of an item from which that bound is
+#: worth while, and lookups in one numpy pass.
+BLOCK, CODES, GROUP, LOOKUPS = 16, 1 << 11, 16, 1 << 15
 #: Part of an item's bytes that may be edited; share of embedded symbols that such edits may change; wanted recall.
 SHARE, CHANGED, RECALL = 0.2, 0.6, 0.98
 #: Steps of the walk per byte of the item.
@@ -79,6 +83,12 @@ def coins(block: int, seed: int = 11) -> np.ndarray:
     return ((rows >> np.uint64(17)) & np.uint64(1)).astype(np.int8).reshape(256, 256)
 
 
+@lru_cache(1)
+def wide_coins() -> np.ndarray:
+    """The first coins, as wide as places are."""
+    return coins(0).astype(np.intp)
+
+
 def embed(data: np.ndarray, begin: np.ndarray, end: np.ndarray, samples: np.ndarray) -> np.ndarray:
     """Symbols that the walks over some spans read at the sampled steps, a row each; 0 after a span's end."""
     flat = samples.reshape(len(begin), -1)
@@ -147,6 +157,9 @@ class Items:
     looks: tuple[tuple[int, int, tuple[int, ...]], ...]
     samples: np.ndarray
     embedded: np.ndarray
+    string_of: np.ndarray
+    string_at: np.ndarray
+    string_bit: np.ndarray
     share: float
 
     @property
@@ -176,10 +189,8 @@ class Items:
             embedded[part] = embed(new, offsets[:-1][part], offsets[1:][part], samples[part])
         at, of = window_begins(starts, ends, doc, STRIDE)
         item, place = number[of], at - bounds[of]
-        keys, key_item, key_at, looks = _search_keys(new, offsets, item, place)
-        known = np.zeros(1 << max(16, int(16 * len(keys)).bit_length()), bool)
-        known[_slots(keys, known)] = True
-        return cls([rows[k][0] for k in keep], new, offsets, keys, key_item, key_at, known, looks, samples, embedded, share)
+        keys, key_item, key_at, known, looks = _search_keys(new, offsets, item, place)
+        return cls([rows[k][0] for k in keep], new, offsets, keys, key_item, key_at, known, looks, samples, embedded, *_strings(new, offsets), share)
 
 
 def _by_length(length: np.ndarray) -> list[np.ndarray]:
@@ -197,28 +208,52 @@ def window_begins(starts: np.ndarray, ends: np.ndarray, doc: np.ndarray, stride:
 
 def first_symbols(data: np.ndarray, at: np.ndarray, steps: int) -> np.ndarray:
     """What the walks that begin at some places read in their first steps, a row per step."""
-    data = np.concatenate([data, np.zeros(steps, np.uint8)])
-    out, here = np.empty((steps, len(at)), np.uint8), at.copy()
+    # A walk reads no further than one byte a step; behind the end it reads zeros.
+    low, high = (int(at.min()), int(at.max()) + steps) if len(at) else (0, 0)
+    data = np.concatenate([data[low:high], np.zeros(steps, np.uint8)])
+    out, here = np.empty((steps, len(at)), np.uint8), at - low
+    symbol = np.empty(len(at), np.uint8)
     for j in range(steps):
-        out[j] = data[here]
-        here += coins(0)[j, out[j]]
+        data.take(here, out=symbol, mode="clip")
+        out[j] = symbol
+        here += wide_coins()[j].take(symbol, mode="clip")
     return out
 
 
-def _keys(symbols: np.ndarray, number: int, steps: tuple[int, ...]) -> np.ndarray:
-    """The sampled symbols of each walk, and the sample's number, as one well spread 64-bit key."""
-    key = np.full(symbols.shape[1], number, np.uint64)
-    for j in steps:
-        key = key * np.uint64(0x9E3779B97F4A7C15) + symbols[j]
-    return mix(key)
+@lru_cache(1)
+def _weights(seed: int = 13) -> np.ndarray:
+    """An odd number per step."""
+    return (mix(np.arange(STEPS[0], dtype=np.uint64) + np.uint64(seed << 40)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+
+
+@lru_cache(1)
+def _salts(seed: int = 17) -> np.ndarray:
+    """A number per sample."""
+    return (mix(np.arange(len(STEPS) * SAMPLES, dtype=np.uint64) + np.uint64(seed << 40)) >> np.uint64(32)).astype(np.uint32)
+
+
+def _weighted(symbols: np.ndarray) -> np.ndarray:
+    """The symbols times their step's number: what keys are summed up from."""
+    return symbols * _weights()[: len(symbols), None]
 
 
-def _slots(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
-    return (keys >> np.uint64(65 - len(known).bit_length())).astype(np.int64)
+def _keys(weighted: np.ndarray, number: int, steps: tuple[int, ...]) -> np.ndarray:
+    """The sampled symbols of each walk, and the sample's number, as one 32-bit key with well spread upper bits.
+
+    A sum modulo 2**32 of odd multiples; what is equal by chance is ruled out by what follows.
+    """
+    key = weighted[steps[0]] + _salts()[number]
+    for j in steps[1:]:
+        key += weighted[j]
+    return key
+
+
+def _slots(keys: np.ndarray, size: int) -> np.ndarray:
+    return (keys >> np.uint32(33 - size.bit_length())).astype(np.intp)
 
 
 def _search_keys(data: np.ndarray, offsets: np.ndarray, item: np.ndarray, place: np.ndarray, seed: int = 7):
-    """Keys in order, their item and place, and the samples as (number, bytes needed, steps)."""
+    """Keys in order, their item and place, a table per sample of what keys there may be, and the samples as (number, bytes needed, steps)."""
     length = np.diff(offsets)[item]
     left = length - place
     # Short items have fewer places to be found at, so fewer steps have to agree, and half as many at their ends.
@@ -227,30 +262,42 @@ def _search_keys(data: np.ndarray, offsets: np.ndarray, item: np.ndarray, place:
     reach = -steps[np.searchsorted(steps, -np.minimum(left, most))] if len(left) else left
     least = -steps[np.searchsorted(steps, -np.minimum(length, np.where(length >= 64, most, most // 2)))] if len(left) else left
     rng = np.random.default_rng(seed)
-    symbols = first_symbols(data, offsets[item] + place, STEPS[0])
-    found, looks = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], []
+    weighted = _weighted(first_symbols(data, offsets[item] + place, STEPS[0]))
+    found, looks = [(np.zeros(0, np.uint32), np.zeros(0, np.int64))], []
     for need in STEPS:
         chosen = np.flatnonzero((reach == need) & (reach >= least))
         look = min(need // 5 + 2 if need > 16 else 7, max(need - 2, 1))
         drawn = {tuple(sorted(rng.choice(need, look, replace=False).tolist())) for _ in range(SAMPLES)}
         for steps in sorted(drawn) if len(chosen) else ():
-            found.append((_keys(symbols[:, chosen], len(looks), steps), chosen))
+            found.append((_keys(weighted[:, chosen], len(looks), steps), chosen))
             looks.append((len(looks), need, steps))
+    # A small table per sample: one stays in cache while its sample is looked up.
+    known = np.zeros((len(looks), 1 << min(max(11, (16 * max(len(part) for part, _ in found)).bit_length()), 24)), bool)
+    for number, (part, _) in enumerate(found[1:]):
+        known[number, _slots(part, known.shape[1])] = True
     keys, of = (np.concatenate(part) for part in zip(*found, strict=True))
     order = np.argsort(keys, kind="stable")
-    return keys[order], item[of[order]].astype(np.int32), place[of[order]].astype(np.int32), tuple(looks)
+    return keys[order], item[of[order]].astype(np.int32), place[of[order]].astype(np.int32), known, tuple(looks)
 
 
 def candidates(items: Items, data: np.ndarray, at: np.ndarray, doc: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Text number, item number and first byte of each window that lines up with an item, by passes; some come twice."""
-    symbols = first_symbols(data, at, STEPS[0])
-    hits, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for number, _, steps in items.looks:
-        keys = _keys(symbols, number, steps)
-        hit = np.flatnonzero(items.known[_slots(keys, items.known)])
-        hits.append(keys[hit])
-        rows.append(hit)
-    keys, where = np.concatenate(hits), np.concatenate(rows)
+    for first in range(0, len(at), PLACES):
+        yield from _candidates(items, data, at[first : first + PLACES], doc[first : first + PLACES])
+
+
+def _candidates(items: Items, data: np.ndarray, at: np.ndarray, doc: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    hits, rows = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+    for first in range(0, len(at), AT_ONCE):
+        weighted = _weighted(first_symbols(data, at[first : first + AT_ONCE], STEPS[0]))
+        for number, _, steps in items.looks:
+            keys = _keys(weighted, number, steps)
+            hit = np.flatnonzero(items.known[number].take(_slots(keys, items.known.shape[1]), mode="clip"))
+            hits.append(keys[hit])
+            rows.append(hit + first)
+    # In order of keys, a search costs little.
+    both = np.sort(np.concatenate(hits).astype(np.uint64) << np.uint64(32) | np.concatenate(rows).astype(np.uint64))
+    keys, where = (both >> np.uint64(32)).astype(np.uint32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
     low = np.searchsorted(items.keys, keys, "left")
     there = np.flatnonzero(items.keys[np.minimum(low, len(items.keys) - 1)] == keys)
     where, low = where[there], low[there]
@@ -278,6 +325,80 @@ def agree(items: Items, data: np.ndarray, item: np.ndarray, begin: np.ndarray, e
     return ok
 
 
+def gram_codes(data: np.ndarray) -> np.ndarray:
+    """A number below ``CODES`` for the three bytes that begin at each place."""
+    data = np.concatenate([data, np.zeros(2, np.uint8)]).astype(np.uint32)
+    return ((data[:-2] << 16 | data[1:-1] << 8 | data[2:]) * np.uint32(0x9E3779B1) >> np.uint32(33 - CODES.bit_length())).astype(np.int64)
+
+
+def _strings(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each item's strings of three bytes, one after the other: where they begin; place in a row of blocks; bit.
+
+    Those of an item are filled up to a multiple of 64, by ones without a bit, so that whole words can be counted.
+    """
+    many = np.diff(offsets) // 3
+    first = np.concatenate([[0], np.cumsum(-(-many // 64) * 64)])
+    item = np.repeat(np.arange(len(many)), many)
+    number = np.arange(many.sum()) - (np.cumsum(many) - many)[item]
+    code = gram_codes(data)[offsets[item] + 3 * number] if len(item) else item
+    at, bit = np.zeros(first[-1], np.int64), np.zeros(first[-1], np.uint8)
+    at[first[item] + number] = 3 * number // BLOCK * (CODES // 8) + (code >> 3)
+    bit[first[item] + number] = np.left_shift(1, code & 7)
+    return first, at, bit
+
+
+def plausible(items: Items, data: np.ndarray, item: np.ndarray, begin: np.ndarray, slack: np.ndarray) -> np.ndarray:
+    """Windows in which enough of the item occurs, cut into strings of three bytes: an edit spoils one of them at most.
+
+    Each string is looked for as far away as the edits may have shifted it, in whole blocks of ``BLOCK`` bytes, so that
+    more is found than there is. A bound that costs a fraction of that of pieces, and mostly suffices. Items with few
+    windows are left to that one.
+    """
+    order = np.argsort(item, kind="stable")
+    many = np.bincount(item, minlength=1)
+    kept, order = [order[many[item[order]] < GROUP]], order[many[item[order]] >= GROUP]
+    if not len(order):
+        return np.sort(kept[0])
+    item, begin, slack = item[order], begin[order], slack[order]
+    first = int((begin - slack).min()) // BLOCK
+    blocks = int((begin + items.length[item] + slack).max()) // BLOCK + 2 - first
+    at = np.arange(max(first * BLOCK, 0), min((first + blocks) * BLOCK, len(data) - 2))
+    code = gram_codes(data[at[0] : at[-1] + 3])[: len(at)] if len(at) else at
+    row = CODES // 8
+    # Bits of the strings that begin within 1, 2, 4 ... blocks in a row: two of these make up any number of blocks.
+    spans = [np.zeros((blocks, row), np.uint8)]
+    np.bitwise_or.at(spans[0].reshape(-1), (at // BLOCK - first) * row + (code >> 3), np.left_shift(1, code & 7).astype(np.uint8))
+    tables: dict[int, np.ndarray] = {}
+    start = ((begin - slack) // BLOCK - first) * row
+    found = np.empty(len(item), np.int64)
+    ends = np.flatnonzero(np.append(item[1:] != item[:-1], True)) + 1
+    for lo, hi in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+        which = int(item[lo])
+        wide = (2 * int(slack[lo]) + BLOCK - 1) // BLOCK + 2
+        if wide not in tables:
+            while 2 << len(spans) - 1 <= wide:
+                spans.append(_joined(spans[-1], 1 << len(spans) - 1))
+            tables[wide] = _joined(spans[wide.bit_length() - 1], wide - (1 << wide.bit_length() - 1)).reshape(-1)
+        strings = slice(items.string_of[which], items.string_of[which + 1])
+        place, bit, table = items.string_at[strings], items.string_bit[strings], tables[wide]
+        at_once = max(1, LOOKUPS // max(len(place), 1))
+        for some in range(lo, hi, at_once):
+            part = slice(some, min(some + at_once, hi))
+            held = table.take(start[part, None] + place, mode="clip")
+            held &= bit
+            np.bitwise_count(np.packbits(held, axis=1).view(np.uint64)).sum(1, dtype=np.int64, out=found[part])
+    kept.append(order[found >= items.length[item] // 3 - slack])
+    return np.sort(np.concatenate(kept))
+
+
+def _joined(rows: np.ndarray, by: int) -> np.ndarray:
+    """The bits of each row, and of the row ``by`` further."""
+    out = np.empty_like(rows)
+    np.bitwise_or(rows[: len(rows) - by], rows[by:], out=out[: len(rows) - by])
+    out[len(rows) - by :] = rows[len(rows) - by :]
+    return out
+
+
 def bounded(items: Items, data: np.ndarray, item: np.ndarray, begin: np.ndarray, low: np.ndarray, high: np.ndarray, slack: np.ndarray) -> np.ndarray:
     """Windows whose item may have no more than ``slack`` edits: the least edits of its pieces add up to no more.
 
@@ -356,13 +477,34 @@ def _best_pieces(pattern: np.ndarray, first: np.ndarray, size: np.ndarray, data:
     return best
 
 
+def _plausible(items: Items, windows: Iterator[tuple[np.ndarray, ...]], data: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    for window in windows:
+        slack = np.floor(items.share * items.length[window[1]]).astype(np.int64)
+        brief = np.flatnonzero(slack <= PIECE * 8)
+        ok = np.concatenate([np.flatnonzero(slack > PIECE * 8), brief[plausible(items, data, window[1][brief], window[2][brief], slack[brief])]])
+        yield tuple(x[ok] for x in window)
+
+
+def _in_passes(windows: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The windows, so many at a time that numpy's calls pay."""
+    some, n = [], 0
+    for window in windows:
+        some.append(window)
+        n += len(window[0])
+        if n >= PASS // 2:
+            yield tuple(map(np.concatenate, zip(*some, strict=True)))
+            some, n = [], 0
+    if n:
+        yield tuple(map(np.concatenate, zip(*some, strict=True)))
+
+
 def find(items: Items, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Text number, item number, edits, and first byte (of the normal text) of the best place of each found item."""
     data, bounds, starts, ends, doc = normal(data, offsets)
     if not len(items.keys) or not len(starts):
         return []
     kept = [np.zeros((0, 3), np.int64)]
-    for of, item, begin in candidates(items, data, *window_begins(starts, ends, doc)):
+    for of, item, begin in _in_passes(_plausible(items, candidates(items, data, *window_begins(starts, ends, doc)), data)):
         slack = np.floor(items.share * items.length[item]).astype(np.int64)
         low, high = np.maximum(begin - slack, bounds[of]), np.minimum(begin + items.length[item] + slack, bounds[of + 1] - 1)
         # The bound first: it costs less than walks over whole windows, and rules out more.
