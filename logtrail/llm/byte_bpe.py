@@ -7,8 +7,8 @@ pair of minimum rank: ranks are looked up in a hash table of pairs, and rows
 are compacted after the merge. Rows without a pair left are done.
 
 Null and empty texts have no tokens. Any text round-trips: each byte is a
-token. The memory of pieces already encoded is emptied when it is full, which
-changes nothing in the results.
+token. The memory of pieces already encoded is emptied when it is full, and at
+the end of a task, as its process lives on; that changes nothing in the results.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain
 
@@ -94,7 +95,10 @@ class Encoder:
                     merged.append(rank)
         self._pairs = PairTable(*(np.array(x, np.int64) for x in (left, right, merged)))
         self._whole = {token: (rank,) for token, rank in ranks.items()}
-        self._known: dict[str, tuple[str, int, bytes, tuple[int, ...]]] = {}
+        # One object per id, for all pieces that are remembered.
+        self._ids = list(range(len(self._tokens)))
+        self._known: dict[str, tuple] = {}
+        self._full = False
 
     def merge_rows(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Token ids of each piece; the pieces should be of similar length."""
@@ -183,7 +187,7 @@ class Encoder:
         return ids
 
     def _learn(self, words: set[str]) -> None:
-        """Remember ids (as text and count) and decoded bytes of new pieces."""
+        """Remember new pieces."""
         rest = []
         for word in words:
             whole = self._whole.get(word.encode())
@@ -195,15 +199,23 @@ class Encoder:
             self._remember(word, ids.tolist())
 
     def _remember(self, word: str, ids) -> None:
-        self._known[word] = (" ".join(map(str, ids)), len(ids), self.decode(ids), tuple(ids))
+        """The ids of a piece, or what digests need: the ids as text, their number, and the decoded bytes."""
+        self._known[word] = (" ".join(map(str, ids)), len(ids), self.decode(ids)) if self._full else tuple([self._ids[i] for i in ids])
+
+    def forget(self) -> None:
+        """Empties the memory of pieces."""
+        self._known = {}
 
     def decode(self, ids) -> bytes:
         """The bytes of token ids."""
         tokens = self._tokens
         return b"".join([tokens[i] for i in ids])
 
-    def _ready(self, texts: list[str]) -> Iterator[list[tuple[str, int, bytes, tuple[int, ...]]]]:
+    def _ready(self, texts: list[str], full: bool) -> Iterator[list[tuple]]:
         """What is remembered of the pieces of each text; new pieces of all texts are encoded together."""
+        if full != self._full:
+            self.forget()
+            self._full = full
         split = [self._pattern.findall(text) for text in texts]
         known = self._known
         new = {w for words in split for w in words if w not in known}
@@ -216,7 +228,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Token ids of each text, special tokens' strings as ordinary text."""
-        return [list(chain.from_iterable([p[3] for p in parts])) for parts in self._ready(texts)]
+        return [list(chain.from_iterable(parts)) for parts in self._ready(texts, False)]
 
     def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """Number of tokens, SHA-256 of the ids as decimals with one space between, SHA-256 of the decoded bytes."""
@@ -226,10 +238,20 @@ class Encoder:
                 hashlib.sha256(" ".join([p[0] for p in parts]).encode()).hexdigest(),
                 hashlib.sha256(b"".join([p[2] for p in parts])).hexdigest(),
             )
-            for parts in self._ready(texts)
+            for parts in self._ready(texts, True)
         ]
 
 
+@contextmanager
+def for_task(path: str, pattern: str) -> Iterator[Encoder]:
+    """The encoder of a file; what it has remembered is given back at the end."""
+    use = encoder(path, pattern)
+    try:
+        yield use
+    finally:
+        use.forget()
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str, pattern: str) -> Encoder:
     """The encoder of a file, read once per process."""
@@ -242,10 +264,10 @@ def encode(documents: DataFrame, path: str, pattern: str, text: str = "text", id
     schema = StructType([*documents.drop(ids).schema.fields, StructField(ids, ArrayType(IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = encoder(path, pattern)
-        for rows, _, _ in slices(batches, text):
-            found = use.encode([t or "" for t in rows.column(rows.schema.get_field_index(text)).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, pa.list_(pa.int32()))], [*rows.schema.names, ids])
+        with for_task(path, pattern) as use:
+            for rows, _, _ in slices(batches, text):
+                found = use.encode([t or "" for t in rows.column(rows.schema.get_field_index(text)).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, pa.list_(pa.int32()))], [*rows.schema.names, ids])
 
     return documents.drop(ids).mapInArrow(run, schema)
 
@@ -271,13 +293,13 @@ def encode_checked(documents: DataFrame, path: str, pattern: str, text: str = "t
     schema = StructType([*others.schema.fields, StructField(ids, ArrayType(IntegerType())), StructField(check, StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = encoder(path, pattern)
-        for rows, _, _ in slices(batches, text):
-            at = rows.schema.get_field_index(text)
-            found = use.encode([t or "" for t in rows.column(at).to_pylist()])
-            sums = [hashlib.sha256(use.decode(i)).hexdigest() for i in found]
-            kept = [k for k in range(rows.num_columns) if k != at]
-            yield pa.RecordBatch.from_arrays([*(rows.column(k) for k in kept), pa.array(found, pa.list_(pa.int32())), pa.array(sums)], [*(rows.schema.names[k] for k in kept), ids, check])
+        with for_task(path, pattern) as use:
+            for rows, _, _ in slices(batches, text):
+                at = rows.schema.get_field_index(text)
+                found = use.encode([t or "" for t in rows.column(at).to_pylist()])
+                sums = [hashlib.sha256(use.decode(i)).hexdigest() for i in found]
+                kept = [k for k in range(rows.num_columns) if k != at]
+                yield pa.RecordBatch.from_arrays([*(rows.column(k) for k in kept), pa.array(found, pa.list_(pa.int32())), pa.array(sums)], [*(rows.schema.names[k] for k in kept), ids, check])
 
     return documents.drop(ids, check).mapInArrow(run, schema)
 
@@ -287,10 +309,10 @@ def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     configure(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = encoder(path, pattern)
-        for rows, _, _ in slices(batches):
-            found = use.digests([t or "" for t in rows.column(1).to_pylist()])
-            columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([rows.column(0), *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        with for_task(path, pattern) as use:
+            for rows, _, _ in slices(batches):
+                found = use.digests([t or "" for t in rows.column(1).to_pylist()])
+                columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
+                yield pa.RecordBatch.from_arrays([rows.column(0), *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
