@@ -10,7 +10,8 @@ texts with a small edit distance get embeddings with a small Hamming distance.
    are sampled repeatedly, several at a time, and each sample is looked up among
    those of the walks that begin at the words of the items. What agrees lines the
    item up with the text: the window begins where the item does.
-2. *Bound.* The sum of the least edits of an item's pieces, each where it fits best,
+2. *Bounds.* Of the item, cut into strings of three bytes, no more may be missing around the window than there may
+   be edits: that rules out most windows at little cost. The sum of the least edits of an item's pieces, each where it fits best,
    is no more than the edits of the item: windows above ``share`` are left out.
 3. *Agreement.* Steps of the whole walk over the window are sampled, ``BITS`` at a
    time, in as many repetitions as the target recall needs; a window that
