@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtrail.llm.byte_text import lower_ascii, mix, slices, word_spans
+from logtrail.llm.byte_text import lower_ascii, mix, slices, word_bytes, word_spans
 from logtrail.session import configure
 
 #: Symbols sampled at a time, for agreement; items in one part, and all their bytes in one part together.
@@ -48,12 +48,12 @@ ITEMS, ITEM_BYTES = 20_000, 2 << 20
 #: stays within them); samples; bytes of words that are searched byte by byte, and of
 #: the stride there in items; candidates in one numpy pass, and places of a text that are searched before them; places
 #: whose keys are made at once, so few that they stay in a core's cache.
-STEPS, SAMPLES, LONG, STRIDE, PASS, PLACES, AT_ONCE = (64, 32, 16, 8, 4, 2, 1), 16, 32, 8, 1 << 16, 1 << 14, 1 << 12
+STEPS, SAMPLES, LONG, STRIDE, PASS, PLACES, AT_ONCE = (64, 32, 16, 8, 4, 2, 1), 16, 32, 8, 1 << 16, 1 << 14, 1 << 14
 #: Bytes of an item's pieces in the lower bound of its edits.
 PIECE = 64
-#: Bytes of a block in the bound before that, numbers of three-byte strings, windows of an item from which that bound is
-#: worth while, and lookups in one numpy pass.
-BLOCK, CODES, GROUP, LOOKUPS = 16, 1 << 11, 16, 1 << 15
+#: Bytes of a block in the bound before that, numbers of three-byte strings, windows searched equally far from which that
+#: bound is worth while, and lookups in one numpy pass.
+BLOCK, CODES, GROUP, LOOKUPS = 8, 1 << 10, 16, 1 << 14
 #: Part of an item's bytes that may be edited; share of embedded symbols that such edits may change; wanted recall.
 SHARE, CHANGED, RECALL = 0.2, 0.6, 0.98
 #: Steps of the walk per byte of the item.
@@ -71,9 +71,10 @@ def normal(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     starts, ends, doc = word_spans(data, offsets)
     length = ends - starts + 1
     begin = np.concatenate([[0], np.cumsum(length)])
-    source = np.repeat(starts - begin[:-1], length) + np.arange(begin[-1])
-    out = data[np.minimum(source, max(len(data) - 1, 0))] if len(data) else data
-    out[begin[1:] - 1] = 0x20
+    inside = np.ones(begin[-1], bool)
+    inside[begin[1:] - 1] = False
+    out = np.full(begin[-1], 0x20, np.uint8)
+    out[inside] = word_bytes(data)
     return out, begin[np.searchsorted(doc, np.arange(len(offsets)))], begin[:-1], begin[1:] - 1, doc
 
 
@@ -158,7 +159,8 @@ class Items:
     looks: tuple[tuple[int, int, tuple[int, ...]], ...]
     samples: np.ndarray
     embedded: np.ndarray
-    string_of: np.ndarray
+    gram_code: np.ndarray
+    string_row: np.ndarray
     string_at: np.ndarray
     string_bit: np.ndarray
     share: float
@@ -313,10 +315,19 @@ def _candidates(items: Items, data: np.ndarray, at: np.ndarray, doc: np.ndarray)
         n = count[first:last]
         which = np.repeat(low[first:last], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         window = np.repeat(where[first:last], n)
-        yield _distinct(doc[window], items.key_item[which].astype(np.int64), at[window] - items.key_at[which])
+        yield _once(doc[window], items.key_item[which].astype(np.int64), at[window] - items.key_at[which])
         first = last
 
 
+def _once(doc: np.ndarray, item: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows in order of their first byte, hardly any twice."""
+    key = begin * (int(item.max(initial=0)) + 1) + item
+    order = np.argsort(key)
+    key, doc = key[order], doc[order]
+    new = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))[: len(key)]
+    return doc[new], item[order[new]], begin[order[new]]
+
+
 def agree(items: Items, data: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Whether each window agrees with its item in one whole sample of the embedding."""
     ok = np.zeros(len(item), bool)
@@ -326,75 +337,101 @@ def agree(items: Items, data: np.ndarray, item: np.ndarray, begin: np.ndarray, e
     return ok
 
 
-def gram_codes(data: np.ndarray) -> np.ndarray:
-    """A number below ``CODES`` for the three bytes that begin at each place."""
+_BITS = np.left_shift(1, np.arange(8)).astype(np.uint8)
+
+
+def grams(data: np.ndarray) -> np.ndarray:
+    """16 bits of a hash of the three bytes that begin at each place."""
     data = np.concatenate([data, np.zeros(2, np.uint8)]).astype(np.uint32)
-    return ((data[:-2] << 16 | data[1:-1] << 8 | data[2:]) * np.uint32(0x9E3779B1) >> np.uint32(33 - CODES.bit_length())).astype(np.int64)
+    return ((data[:-2] << 16 | data[1:-1] << 8 | data[2:]) * np.uint32(0x9E3779B1) >> np.uint32(16)).astype(np.intp)
 
 
-def _strings(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each item's strings of three bytes, one after the other: where they begin; place in a row of blocks; bit.
+def _strings(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A number below ``CODES`` for each hash of three bytes, 0 if no item is cut into these; and of each item's strings, in
+    rows of 64: its first row; their places in a row of blocks; their bits.
 
-    Those of an item are filled up to a multiple of 64, by ones without a bit, so that whole words can be counted.
+    The commonest strings do not share a number. Those that are rare come first: where an item is not, they tell soonest.
+    The last row of an item is filled up by ones without a bit.
     """
     many = np.diff(offsets) // 3
-    first = np.concatenate([[0], np.cumsum(-(-many // 64) * 64)])
+    first = np.concatenate([[0], np.cumsum(-(-many // 64))])
     item = np.repeat(np.arange(len(many)), many)
     number = np.arange(many.sum()) - (np.cumsum(many) - many)[item]
-    code = gram_codes(data)[offsets[item] + 3 * number] if len(item) else item
-    at, bit = np.zeros(first[-1], np.int64), np.zeros(first[-1], np.uint8)
-    at[first[item] + number] = 3 * number // BLOCK * (CODES // 8) + (code >> 3)
-    bit[first[item] + number] = np.left_shift(1, code & 7)
-    return first, at, bit
+    gram = grams(data)[offsets[item] + 3 * number] if len(item) else item
+    times = np.bincount(gram, minlength=1 << 16)
+    common = np.argsort(-times, kind="stable")[: np.count_nonzero(times)]
+    code = np.zeros(1 << 16, np.intp)
+    code[common] = 1 + np.arange(len(common)) % (CODES - 1)
+    order = np.lexsort((times[gram], item))
+    to = 64 * first[item] + number
+    at, bit = np.zeros(64 * first[-1], np.intp), np.zeros(64 * first[-1], np.uint8)
+    at[to] = (3 * number // BLOCK * (CODES // 8) + (code[gram] >> 3))[order]
+    bit[to] = _BITS[code[gram] & 7][order]
+    return code, first, at.reshape(-1, 64), bit.reshape(-1, 64)
 
 
 def plausible(items: Items, data: np.ndarray, item: np.ndarray, begin: np.ndarray, slack: np.ndarray) -> np.ndarray:
     """Windows in which enough of the item occurs, cut into strings of three bytes: an edit spoils one of them at most.
 
     Each string is looked for as far away as the edits may have shifted it, in whole blocks of ``BLOCK`` bytes, so that
-    more is found than there is. A bound that costs a fraction of that of pieces, and mostly suffices. Items with few
-    windows are left to that one.
+    more is found than there is. A bound that costs a fraction of that of pieces, and mostly suffices. Windows of all
+    items that are searched equally far are treated together, in order of their places; few of a kind are left to the
+    bound of pieces.
     """
-    order = np.argsort(item, kind="stable")
-    many = np.bincount(item, minlength=1)
-    kept, order = [order[many[item[order]] < GROUP]], order[many[item[order]] >= GROUP]
+    wide = (2 * slack + BLOCK - 1) // BLOCK + 2
+    # Windows come nearly in order of their places, which keeps together what they look up.
+    order = np.argsort(wide.astype(np.int16), kind="stable")
+    many = np.bincount(wide, minlength=1)
+    kept, order = [order[many[wide[order]] < GROUP]], order[many[wide[order]] >= GROUP]
     if not len(order):
         return np.sort(kept[0])
-    item, begin, slack = item[order], begin[order], slack[order]
+    item, begin, slack, wide = item[order], begin[order], slack[order], wide[order]
     first = int((begin - slack).min()) // BLOCK
     blocks = int((begin + items.length[item] + slack).max()) // BLOCK + 2 - first
     at = np.arange(max(first * BLOCK, 0), min((first + blocks) * BLOCK, len(data) - 2))
-    code = gram_codes(data[at[0] : at[-1] + 3])[: len(at)] if len(at) else at
+    code = items.gram_code.take(grams(data[at[0] : at[-1] + 3])[: len(at)]) if len(at) else at
     row = CODES // 8
     # Bits of the strings that begin within 1, 2, 4 ... blocks in a row: two of these make up any number of blocks.
     spans = [np.zeros((blocks, row), np.uint8)]
-    np.bitwise_or.at(spans[0].reshape(-1), (at // BLOCK - first) * row + (code >> 3), np.left_shift(1, code & 7).astype(np.uint8))
-    tables: dict[int, np.ndarray] = {}
+    np.bitwise_or.at(spans[0].reshape(-1), (at // BLOCK - first) * row + (code >> 3), _BITS.take(code & 7))
     start = ((begin - slack) // BLOCK - first) * row
-    found = np.empty(len(item), np.int64)
-    ends = np.flatnonzero(np.append(item[1:] != item[:-1], True)) + 1
+    ends, table = np.flatnonzero(np.append(wide[1:] != wide[:-1], True)) + 1, np.empty_like(spans[0])
     for lo, hi in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-        which = int(item[lo])
-        wide = (2 * int(slack[lo]) + BLOCK - 1) // BLOCK + 2
-        if wide not in tables:
-            while 2 << len(spans) - 1 <= wide:
-                spans.append(_joined(spans[-1], 1 << len(spans) - 1))
-            tables[wide] = _joined(spans[wide.bit_length() - 1], wide - (1 << wide.bit_length() - 1)).reshape(-1)
-        strings = slice(items.string_of[which], items.string_of[which + 1])
-        place, bit, table = items.string_at[strings], items.string_bit[strings], tables[wide]
-        at_once = max(1, LOOKUPS // max(len(place), 1))
-        for some in range(lo, hi, at_once):
-            part = slice(some, min(some + at_once, hi))
-            held = table.take(start[part, None] + place, mode="clip")
-            held &= bit
-            np.bitwise_count(np.packbits(held, axis=1).view(np.uint64)).sum(1, dtype=np.int64, out=found[part])
-    kept.append(order[found >= items.length[item] // 3 - slack])
+        far = int(wide[lo])
+        while 2 << len(spans) - 1 <= far:
+            spans.append(_joined(spans[-1], 1 << len(spans) - 1, np.empty_like(table)))
+        _joined(spans[far.bit_length() - 1], far - (1 << far.bit_length() - 1), table)
+        kept += [order[some[_enough(items, table.reshape(-1), item[some], start[some], slack[some])]] for some in _ranges(lo, hi, LOOKUPS // 64)]
     return np.sort(np.concatenate(kept))
 
 
-def _joined(rows: np.ndarray, by: int) -> np.ndarray:
+def _ranges(lo: int, hi: int, size: int) -> Iterator[np.ndarray]:
+    for first in range(lo, hi, size):
+        yield np.arange(first, min(first + size, hi))
+
+
+def _enough(items: Items, table: np.ndarray, item: np.ndarray, start: np.ndarray, slack: np.ndarray) -> np.ndarray:
+    """Windows of which no more strings are missing than there may be edits; 64 strings at a time."""
+    left, k, kept = np.arange(len(item)), 0, []
+    # Strings that may be missing yet; those of the rows' ends have no bit and are no loss.
+    spare, strings = slack.copy(), items.length[item] // 3
+    while len(left):
+        done = strings[left] <= 64 * k
+        kept.append(left[done])
+        left = left[~done]
+        at = items.string_row[item[left]] + k
+        place = items.string_at.take(at, axis=0)
+        place += start[left, None]
+        held = table.take(place, mode="clip")
+        held &= items.string_bit.take(at, axis=0)
+        k += 1
+        spare[left] -= np.minimum(strings[left] - 64 * (k - 1), 64) - np.bitwise_count(np.packbits(held, axis=1).view(np.uint64))[:, 0]
+        left = left[spare[left] >= 0]
+    return np.concatenate(kept) if kept else left
+
+
+def _joined(rows: np.ndarray, by: int, out: np.ndarray) -> np.ndarray:
     """The bits of each row, and of the row ``by`` further."""
-    out = np.empty_like(rows)
     np.bitwise_or(rows[: len(rows) - by], rows[by:], out=out[: len(rows) - by])
     out[len(rows) - by :] = rows[len(rows) - by :]
     return out

@@ -90,13 +90,20 @@ def ngram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarra
         for j in range(k):
             total = mix(total * np.uint64(31) + words[first[short] + j])
         grams, of = np.concatenate([grams, total]), np.concatenate([of, short])
-    order = np.lexsort((grams, of))
+    order = within_texts(grams, of, len(offsets) - 1)
     grams, of = grams[order], of[order]
     new = np.ones(len(grams), bool)
     new[1:] = (grams[1:] != grams[:-1]) | (of[1:] != of[:-1])
     return grams[new], of[new]
 
 
+def within_texts(values: np.ndarray, of: np.ndarray, texts: int) -> np.ndarray:
+    """Order by text number, then by value; equal values of a text come in any order."""
+    order = np.argsort(values)
+    # Numbers of 16 bits are sorted without a comparison.
+    return order[np.argsort(of[order].astype(np.uint16 if texts <= 1 << 16 else np.int64), kind="stable")]
+
+
 def set_ids(grams: np.ndarray, of: np.ndarray, rows: int) -> np.ndarray:
     """A 64-bit number per set, equal for equal sets."""
     total, size = np.zeros(rows, np.uint64), np.bincount(of, minlength=rows).astype(np.uint64)
@@ -248,7 +255,7 @@ def probes_of(grams: np.ndarray, of: np.ndarray, size: np.ndarray, percent: int)
     """
     lacking = (100 - percent) * size // 100
     number = np.minimum(lacking + np.maximum(1, -(-lacking * 3 // 10)), size)
-    order = np.lexsort((mix(grams ^ np.uint64(0x5BF03635F0935AD1)), of))
+    order = within_texts(mix(grams ^ np.uint64(0x5BF03635F0935AD1)), of, len(size))
     rank = np.arange(len(grams)) - (np.cumsum(size) - size)[of]
     return order[rank < number[of]], number - lacking
 

@@ -58,7 +58,6 @@ _SYMBOL[0x80:0xC0] = 28 + np.arange(64) % 3
 #: Stands before the first symbol of a word.
 _BEGIN = _SYMBOLS - 1
 _CODES = _SYMBOLS**4
-_OFFSETS = [(a, b, c) for c in range(3, REACH) for b in range(2, c) for a in range(1, b)]
 _LETTER = (_SYMBOL > 0) & (_SYMBOL < 27)
 
 
@@ -98,14 +97,23 @@ def thinned(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return data[np.concatenate([source[chosen] for chosen in readings])], to - size[used], to, used % max(len(starts), 1)
 
 
-def subsequences(symbols: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-    """Code and whether it counts, per position and choice of offsets, with the weight; ``ends``: of the word at each position."""
-    n = len(symbols)
-    room = ends - np.arange(n)
-    padded = np.concatenate([symbols, np.zeros(REACH, symbols.dtype)])
-    for a, b, c in _OFFSETS:
-        code = ((symbols * _SYMBOLS + padded[a : a + n]) * _SYMBOLS + padded[b : b + n]) * _SYMBOLS + padded[c : c + n]
-        yield code, room > c, DECAY ** (c - 3)
+def subsequences(symbols: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, Iterator[np.ndarray], float]]:
+    """By the last offset: the positions whose word reaches that far, codes there for each choice of the others, and the weight.
+
+    ``ends``: of the word at each position. Most positions are too close to their word's end for the far offsets.
+    """
+    at = np.arange(len(symbols))
+    for c in range(3, REACH):
+        at = at[ends[at] - at > c]
+        yield at, _codes(symbols, at, c), DECAY ** (c - 3)
+
+
+def _codes(symbols: np.ndarray, at: np.ndarray, c: int) -> Iterator[np.ndarray]:
+    read = [symbols[at + k].astype(np.intp) for k in range(c + 1)]
+    for b in range(2, c):
+        later = read[b] * _SYMBOLS + read[c]
+        for a in range(1, b):
+            yield (read[0] * _SYMBOLS + read[a]) * _SYMBOLS**2 + later
 
 
 def packed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,10 +141,12 @@ class Model:
         """Margin of each span."""
         symbols, begin, end_at = packed(data, starts, ends)
         value, norm = np.zeros(len(symbols), np.float32), np.zeros(len(symbols), np.float32)
-        for code, counts, weight in subsequences(symbols, end_at):
-            kept = np.where(counts, np.float32(weight), np.float32(0))
-            value += kept * self.weights[code]
-            norm += kept * kept
+        for at, codes, weight in subsequences(symbols, end_at):
+            weight, sums, squares = np.float32(weight), value[at], norm[at]
+            for code in codes:
+                sums += weight * self.weights.take(code, mode="clip")
+                squares += weight * weight
+            value[at], norm[at] = sums, squares
         if not len(starts):
             return np.zeros(0)
         value, norm = np.add.reduceat(value, begin[:-1]), np.add.reduceat(norm, begin[:-1])
@@ -189,7 +199,7 @@ def _entries(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _merged(symbols: np.ndarray, begin: np.ndarray, end_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each subsequence of each word once, the number of its word, and its weight over all occurrences."""
     word = np.repeat(np.arange(len(begin) - 1, dtype=np.int64), np.diff(begin))
-    found = [(word[counts] * _CODES + code[counts], np.full(int(counts.sum()), weight)) for code, counts, weight in subsequences(symbols, end_at)]
+    found = [(word[at] * _CODES + code, np.full(len(at), weight)) for at, codes, weight in subsequences(symbols, end_at) for code in codes]
     keys, weights = (np.concatenate(part) for part in zip(*found, strict=True))
     keys, inverse = np.unique(keys, return_inverse=True)
     return keys % _CODES, keys // _CODES, np.bincount(inverse, weights, len(keys))
