@@ -94,19 +94,18 @@ class Encoder:
                     right.append(b)
                     merged.append(rank)
         self._pairs = PairTable(*(np.array(x, np.int64) for x in (left, right, merged)))
-        self._whole = {token: (rank,) for token, rank in ranks.items()}
-        # One object per id, for all pieces that are remembered.
         self._ids = list(range(len(self._tokens)))
+        self._whole = {token: (self._ids[rank],) for token, rank in ranks.items()}
         self._known: dict[str, tuple] = {}
         self._full = False
 
-    def merge_rows(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Token ids of each piece; the pieces should be of similar length."""
+    def merge_rows(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all pieces, one after the other, and where those of each begin; the pieces should be of similar length."""
         width = np.array([len(p) for p in pieces])
         rows, columns = len(pieces), int(width.max())
         ids = np.full((rows, columns), -1, np.int32)
         ids[np.arange(columns) < width[:, None]] = self._bytes[np.frombuffer(b"".join(pieces), np.uint8)]
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * rows
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         number = np.arange(rows)
         none = np.iinfo(np.int32).max
         ranks = np.full((rows, columns), none, np.int32)
@@ -118,8 +117,8 @@ class Encoder:
             value = ranks[np.arange(len(ids)), best]
             going = value < none
             if not going.all():
-                for r in np.flatnonzero(~going):
-                    out[number[r]] = ids[r, : width[r]].copy()
+                ended = ~going
+                done.append((number[ended], width[ended], ids[ended][np.arange(ids.shape[1]) < width[ended, None]]))
                 ids, ranks, width, number = ids[going], ranks[going], width[going], number[going]
                 best, value = best[going], value[going]
                 if not len(ids):
@@ -143,25 +142,38 @@ class Encoder:
             if columns > int(width.max()):
                 columns = max(int(width.max()), 1)
                 ids, ranks = ids[:, :columns], ranks[:, :columns]
-        return out
-
-    def _encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Token ids of each piece, by matrices of pieces of like length."""
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(pieces)
-        order = sorted((i for i in range(len(pieces)) if pieces[i]), key=lambda i: len(pieces[i]))
-        begin = 0
+        number, width, flat = (np.concatenate(part) for part in zip(*done, strict=True))
+        size = np.zeros(rows, np.int64)
+        size[number] = width
+        offsets = np.concatenate([[0], np.cumsum(size)])
+        out = np.empty(offsets[-1], np.int32)
+        out[np.repeat(offsets[number] - (np.cumsum(width) - width), width) + np.arange(len(flat))] = flat
+        return out, offsets
+
+    def _encode_pieces(self, pieces: list[bytes]) -> Iterator[tuple[int, tuple[int, ...]]]:
+        """Number and token ids of each piece, by matrices of pieces of like length."""
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        order = np.argsort(size, kind="stable")
+        size = size[order]
+        begin = int(np.searchsorted(size, 0, "right"))
+        yield from ((i, ()) for i in order[:begin].tolist())
+        # One object per id, for all pieces that are remembered.
+        shared = self._ids.__getitem__
         while begin < len(order):
-            shortest, end = len(pieces[order[begin]]), begin
-            while end < len(order) and (end == begin or (len(pieces[order[end]]) <= shortest + shortest // 4 + 1 and (end - begin + 1) * len(pieces[order[end]]) <= CELLS)):
-                end += 1
-            chosen = order[begin:end]
+            shortest = int(size[begin])
+            end = int(np.searchsorted(size, shortest + shortest // 4 + 1, "right"))
+            # Sizes grow, so the cells do too.
+            cells = np.arange(1, end - begin + 1) * size[begin:end]
+            end = begin + max(int(np.searchsorted(cells, CELLS, "right")), 1)
+            chosen = order[begin:end].tolist()
             if len(chosen) == 1 and shortest > 256:
-                out[chosen[0]] = self._encode_long(pieces[chosen[0]])
+                yield chosen[0], tuple(map(shared, self._encode_long(pieces[chosen[0]]).tolist()))
             else:
-                for i, ids in zip(chosen, self.merge_rows([pieces[i] for i in chosen]), strict=True):
-                    out[i] = ids
+                flat, offsets = self.merge_rows([pieces[i] for i in chosen])
+                ids, cuts = tuple(map(shared, flat.tolist())), offsets.tolist()
+                for i, first, last in zip(chosen, cuts[:-1], cuts[1:], strict=True):
+                    yield i, ids[first:last]
             begin = end
-        return out
 
     def _encode_long(self, piece: bytes) -> np.ndarray:
         """One long piece: all merges of the lowest rank at once, where they do not overlap.
@@ -188,19 +200,20 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> None:
         """Remember new pieces."""
-        rest = []
+        whole, rest, raw = self._whole, [], []
         for word in words:
-            whole = self._whole.get(word.encode())
-            if whole:
-                self._remember(word, whole)
+            piece = word.encode()
+            if piece in whole:
+                self._known[word] = self._kept(whole[piece])
             else:
                 rest.append(word)
-        for word, ids in zip(rest, self._encode_pieces([w.encode() for w in rest]), strict=True):
-            self._remember(word, ids.tolist())
+                raw.append(piece)
+        for k, ids in self._encode_pieces(raw):
+            self._known[rest[k]] = self._kept(ids)
 
-    def _remember(self, word: str, ids) -> None:
+    def _kept(self, ids: tuple[int, ...]) -> tuple:
         """The ids of a piece, or what digests need: the ids as text, their number, and the decoded bytes."""
-        self._known[word] = (" ".join(map(str, ids)), len(ids), self.decode(ids)) if self._full else tuple([self._ids[i] for i in ids])
+        return (" ".join(map(str, ids)), len(ids), self.decode(ids)) if self._full else ids
 
     def forget(self) -> None:
         """Empties the memory of pieces."""

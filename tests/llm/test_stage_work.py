@@ -1,10 +1,11 @@
-"""Work that the pipeline's stages leave out: subsequences that no word has, windows that hold too little of an item."""
+"""Work that the pipeline's stages leave out or do at once: subsequences, windows that hold too little of an item, order of n-grams, ids of pieces."""
 
 import random
 
 import numpy as np
 
-from logtrail.llm import decontaminate, jaccard_rtree, toxicity
+from logtrail.llm import byte_bpe, decontaminate, jaccard_rtree, toxicity
+from logtrail.llm.queries import bpe_files
 
 
 def words_of(rng, count):
@@ -84,3 +85,28 @@ def test_order_within_texts():
         expected = np.lexsort((values, of))
         assert np.array_equal(values[order], values[expected]) and np.array_equal(of[order], of[expected])
     assert len(jaccard_rtree.within_texts(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0)) == 0
+
+
+def test_ids_of_many_pieces_come_as_one_array():
+    use = byte_bpe.Encoder(*bpe_files())
+    rng = random.Random(8)
+    pieces = [w.encode() for w in words_of(rng, 400)] + [b"ab" * 200, b"z" * 300, b"\x00", "ñ€".encode(), b"ab" * 200]
+
+    def alone(piece):
+        ids = use._bytes[np.frombuffer(piece, np.uint8)].tolist()
+        while len(ids) > 1:
+            found = use._pairs.find(np.array(ids[:-1]), np.array(ids[1:]))
+            if (found < 0).all():
+                break
+            best = found[found >= 0].min()
+            at = int(np.flatnonzero(found == best)[0])
+            ids[at : at + 2] = [int(best)]
+        return ids
+
+    flat, offsets = use.merge_rows(pieces)
+    assert [flat[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [alone(p) for p in pieces]
+    ids = dict(use._encode_pieces([b"", *pieces, b"q" * 999]))
+    assert [list(ids[k]) for k in range(len(pieces) + 2)] == [[], *map(alone, pieces), alone(b"q" * 999)]
+    text = b" ".join(pieces).decode()
+    assert use.decode(use.encode([text])[0]) == text.encode()
+    assert dict(use._encode_pieces([])) == {}
