@@ -46,6 +46,8 @@ SHORT = 1.0
 LANDMARKS, STEPS, ROUNDS = 400, 30, 4
 #: Margins below this are all alike.
 FLOOR = -0.5
+#: Words whose margins a task remembers.
+REMEMBERED = 1 << 18
 #: A score of at least this is toxic.
 THRESHOLD = 0.7
 
@@ -128,6 +130,41 @@ def packed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     return symbols, begin, np.repeat(begin[1:], np.diff(begin))
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, a place of each, and the number of the value at each place."""
+    order = np.argsort(values)
+    held = values[order]
+    new = np.append(True, held[1:] != held[:-1])[: len(held)]
+    number = np.empty(len(values), np.intp)
+    number[order] = np.cumsum(new) - 1
+    return held[new], order[new], number
+
+
+class Memory:
+    """Margins of words that a task has met, by the words' hashes: most words of a text are in others too.
+
+    With more than ``REMEMBERED`` words, only those met last stay.
+    """
+
+    def __init__(self) -> None:
+        self.keys, self.margins = np.zeros(0, np.uint64), np.zeros(0, np.float32)
+
+    def places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each key is or belongs, and whether it is there."""
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        return at, known
+
+    def add(self, at: np.ndarray, known: np.ndarray, keys: np.ndarray, margins: np.ndarray) -> None:
+        """Take in the keys that were not known; ``keys`` and ``margins`` are all that were asked for."""
+        if len(self.keys) + np.count_nonzero(~known) > REMEMBERED:
+            self.keys, self.margins = keys, margins
+        else:
+            self.keys, self.margins = np.insert(self.keys, at[~known], keys[~known]), np.insert(self.margins, at[~known], margins[~known])
+
+
 @dataclass(frozen=True)
 class Model:
     """A weight per subsequence, the machine's bias, and the logistic curve over a text's worst words."""
@@ -158,7 +195,7 @@ class Model:
             margin[again] = value[again] / np.sqrt(np.bincount(at, weights**2, len(again)) + SHORT) - self.bias
         return margin
 
-    def margins(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    def margins(self, data: np.ndarray, offsets: np.ndarray, memory: Memory | None = None) -> np.ndarray:
         """Largest word margin of each text, and the second to a quarter; each within FLOOR and 1."""
         data = lower_ascii(data)
         starts, ends, doc = word_spans(data, offsets)
@@ -166,11 +203,18 @@ class Model:
         starts, ends, doc = (np.concatenate(pair) for pair in zip((starts, ends, doc), more, strict=True))
         best = np.full((2, len(offsets) - 1), FLOOR)
         if len(starts):
-            _, first, inverse = np.unique(hash_words(data, starts, ends), return_index=True, return_inverse=True)
-            margin = self.words(data, starts[first], ends[first])
-            less, begin, end, word = thinned(data, starts[first], ends[first])
+            keys, first, inverse = _distinct(hash_words(data, starts, ends))
+            at, known = memory.places(keys) if memory else (keys, np.zeros(len(keys), bool))
+            new = first[~known]
+            fresh = self.words(data, starts[new], ends[new])
+            less, begin, end, word = thinned(data, starts[new], ends[new])
             if len(word):
-                np.maximum.at(margin, word, self.words(less, begin, end))
+                np.maximum.at(fresh, word, self.words(less, begin, end))
+            margin = np.empty(len(keys), np.float32)
+            margin[~known] = fresh
+            if memory:
+                margin[known] = memory.margins[at[known]]
+                memory.add(at, known, keys, margin)
             margin = np.minimum(margin, 1.0)[inverse]
             some = np.flatnonzero(margin > FLOOR)
             some = some[np.lexsort((margin[some], doc[some]))]
@@ -182,8 +226,8 @@ class Model:
                 doc, margin = np.delete(doc, last), np.delete(margin, last)
         return 0.75 * best[0] + 0.25 * best[1]
 
-    def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-self.slope * (self.margins(data, offsets) - self.middle)))
+    def scores(self, data: np.ndarray, offsets: np.ndarray, memory: Memory | None = None) -> np.ndarray:
+        return 1 / (1 + np.exp(-self.slope * (self.margins(data, offsets, memory) - self.middle)))
 
 
 def _entries(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -413,8 +457,8 @@ def score(documents: DataFrame, model: Model, text: str = "text", into: str = "t
     sent = documents.sparkSession.sparkContext.broadcast(model)  # one table of 32**4 weights, whatever the data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = sent.value
+        use, memory = sent.value, Memory()
         for batch, data, offsets in slices(batches, text):
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(use.scores(data, offsets), pa.float64())], [*batch.schema.names, into])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(use.scores(data, offsets, memory), pa.float64())], [*batch.schema.names, into])
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(into, DoubleType())]))

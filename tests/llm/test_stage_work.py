@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from logtrail.llm import byte_bpe, decontaminate, jaccard_rtree, toxicity
+from logtrail.llm import byte_bpe, byte_text, decontaminate, jaccard_rtree, toxicity
 from logtrail.llm.queries import bpe_files
 
 
@@ -110,3 +110,44 @@ def test_ids_of_many_pieces_come_as_one_array():
     text = b" ".join(pieces).decode()
     assert use.decode(use.encode([text])[0]) == text.encode()
     assert dict(use._encode_pieces([])) == {}
+
+
+def test_words_that_were_met_are_not_scored_again(monkeypatch):
+    rng = np.random.default_rng(9)
+    model = toxicity.Model(rng.normal(0, 0.3, 32**4).astype(np.float32), 0.1, 2.0, 0.2)
+    words = words_of(random.Random(10), 500)
+    texts = [" ".join(words[k * 40 : k * 40 + 120]).encode() for k in range(10)] + [b"", b"a b c 5 x1y2z3w4", *[" ".join(words).encode()] * 2]
+    plain = [model.scores(np.frombuffer(t, np.uint8), np.array([0, len(t)])) for t in texts]
+    for most in (toxicity.REMEMBERED, 150, 0):
+        monkeypatch.setattr(toxicity, "REMEMBERED", most)
+        seen, scored = [], toxicity.Model.words
+        monkeypatch.setattr(toxicity.Model, "words", lambda self, data, starts, ends: (seen.append(len(starts)), scored(self, data, starts, ends))[1])
+        memory = toxicity.Memory()
+        kept = [model.scores(np.frombuffer(t, np.uint8), np.array([0, len(t)]), memory) for t in texts]
+        monkeypatch.setattr(toxicity.Model, "words", scored)
+        assert [k.tolist() for k in kept] == [p.tolist() for p in plain]
+        if most > 500:
+            # The last text has no word that is new.
+            assert seen[-1] == 0 < seen[0]
+
+
+def test_words_are_found_as_by_looking_up_every_byte():
+    rng = np.random.default_rng(11)
+    blank = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+    for size in (0, 1, 2, 300, 3000):
+        data = rng.choice(np.array([0x08, 0x09, 0x0D, 0x0E, 0x20, 0x40, 0x41, 0x5A, 0x5B, 0x61, 0xC3, 0xFF], np.uint8), size)
+        offsets = np.sort(np.concatenate([[0, 0, size, size], rng.integers(0, size + 1, 5)]))
+        starts, ends, doc = byte_text.word_spans(data, offsets)
+        expected = []
+        for k, (first, last) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+            at = first
+            while at < last:
+                to = at
+                while to < last and not blank[data[to]]:
+                    to += 1
+                if to > at:
+                    expected.append((at, to, k))
+                at = to + 1
+        assert list(zip(starts, ends, doc, strict=True)) == expected
+        assert byte_text.word_bytes(data).tobytes() == b"".join(data[a:b].tobytes() for a, b, _ in expected)
+        assert byte_text.lower_ascii(data).tobytes() == data.tobytes().lower()
